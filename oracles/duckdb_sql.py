@@ -150,3 +150,256 @@ l5 AS (SELECT * FROM f5 QUALIFY row_number() OVER (PARTITION BY card_id ORDER BY
 SELECT p.event_id, p.card_id, l1.txn_count_1m, round(l1.amount_sum_1m, 6) AS amount_sum_1m,
        l5.txn_count_5m, round(l5.avg_transaction_amount_5m, 6) AS avg_transaction_amount_5m
 FROM payments p LEFT JOIN l1 ON p.card_id = l1.card_id LEFT JOIN l5 ON p.card_id = l5.card_id"""
+
+
+# ---------------------------------------------------------------- scoring / prediction log
+def _pit_no_fill(name: str = "s2") -> str:
+    return f"""ent AS (SELECT event_id, card_id, event_timestamp, amount FROM payments),
+s1 AS (
+  SELECT ent.*,
+         CASE WHEN f1.event_timestamp >= ent.event_timestamp - INTERVAL '120 minutes' THEN f1.txn_count_1m END AS txn_count_1m,
+         CASE WHEN f1.event_timestamp >= ent.event_timestamp - INTERVAL '120 minutes' THEN f1.amount_sum_1m END AS amount_sum_1m
+  FROM ent ASOF LEFT JOIN f1 ON ent.card_id = f1.card_id AND ent.event_timestamp >= f1.event_timestamp),
+{name} AS (
+  SELECT s1.*,
+         CASE WHEN f5.event_timestamp >= s1.event_timestamp - INTERVAL '240 minutes' THEN f5.txn_count_5m END AS txn_count_5m,
+         CASE WHEN f5.event_timestamp >= s1.event_timestamp - INTERVAL '240 minutes' THEN f5.avg_transaction_amount_5m END AS avg_transaction_amount_5m
+  FROM s1 ASOF LEFT JOIN f5 ON s1.card_id = f5.card_id AND s1.event_timestamp >= f5.event_timestamp)"""
+
+
+def heuristic(amount: str, t1: str, t5: str) -> str:
+    logit = f"(((-6.0 + CAST({amount} AS DOUBLE) / 250.0) + CAST({t1} AS DOUBLE) * 0.35) + CAST({t5} AS DOUBLE) * 0.08)"
+    return f"least(greatest(1.0 / (1.0 + exp(-{logit})), 0.001), 0.999)"
+
+
+SCORED = _pit_no_fill() + f""",
+scored AS (
+  SELECT event_id, card_id, event_timestamp, amount,
+         coalesce(txn_count_1m, 0) AS txn_count_1m, coalesce(amount_sum_1m, 0.0) AS amount_sum_1m,
+         coalesce(txn_count_5m, 0) AS txn_count_5m, coalesce(avg_transaction_amount_5m, 0.0) AS avg_transaction_amount_5m,
+         list_filter([CASE WHEN txn_count_1m IS NULL THEN 'txn_count_1m' END,
+                      CASE WHEN amount_sum_1m IS NULL THEN 'amount_sum_1m' END,
+                      CASE WHEN txn_count_5m IS NULL THEN 'txn_count_5m' END,
+                      CASE WHEN avg_transaction_amount_5m IS NULL THEN 'avg_transaction_amount_5m' END],
+                     lambda x: x IS NOT NULL) AS missing_features,
+         {heuristic('amount', 'coalesce(txn_count_1m, 0)', 'coalesce(txn_count_5m, 0)')} AS fraud_probability
+  FROM s2),
+scored2 AS (
+  SELECT *, CASE WHEN fraud_probability >= 0.5 THEN 'fraud' ELSE 'approve' END AS decision, 'fallback' AS model_version
+  FROM scored)"""
+
+PLOG = SCORED + """,
+plog AS (
+  SELECT event_timestamp AS ts, event_id, card_id, amount, event_timestamp AS event_ts, event_timestamp AS ingest_ts,
+         txn_count_1m, amount_sum_1m, txn_count_5m, avg_transaction_amount_5m,
+         CASE WHEN (CAST(event_id AS BIGINT) * 31) % 50 <> 0 THEN fraud_probability END AS fraud_probability,
+         CASE WHEN (CAST(event_id AS BIGINT) * 31) % 50 <> 0 THEN decision END AS decision,
+         model_version,
+         ((CAST(event_id AS BIGINT) * 7919) % 4000) / 10.0 AS latency_ms,
+         missing_features,
+         false AS event_id_missing,
+         CASE WHEN (CAST(event_id AS BIGINT) * 31) % 50 = 0 THEN 'error' ELSE 'ok' END AS status
+  FROM scored2)"""
+
+LABLOG = """lablog AS (
+  SELECT event_id, is_fraud, event_timestamp + INTERVAL '3600 seconds' AS label_timestamp, 3600.0 AS delay_seconds
+  FROM payments WHERE CAST(event_id AS BIGINT) % 10 <> 0
+  UNION ALL
+  SELECT event_id, 1 - is_fraud AS is_fraud, event_timestamp + INTERVAL '7200 seconds' AS label_timestamp, 7200.0 AS delay_seconds
+  FROM payments WHERE CAST(event_id AS BIGINT) % 25 = 0)"""
+
+
+def dedup(preds: str = "plog", labels: str = "lablog", grace: int = 5, max_rows: int = 200000) -> str:
+    return f"""pl AS (
+  SELECT CAST(event_id AS VARCHAR) AS event_id, ts, CAST(fraud_probability AS DOUBLE) AS fraud_probability FROM {preds}
+  WHERE event_id IS NOT NULL AND fraud_probability IS NOT NULL AND ts IS NOT NULL AND NOT isnan(fraud_probability)),
+pd AS (SELECT * FROM pl QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts DESC, fraud_probability DESC) = 1),
+ll AS (
+  SELECT CAST(event_id AS VARCHAR) AS event_id, label_timestamp, CAST(is_fraud AS INTEGER) AS is_fraud FROM {labels}
+  WHERE event_id IS NOT NULL AND is_fraud IS NOT NULL AND label_timestamp IS NOT NULL),
+ld AS (SELECT * FROM ll QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY label_timestamp DESC, is_fraud DESC) = 1),
+el AS (
+  SELECT * FROM pd WHERE ts <= (SELECT max(label_timestamp) FROM ld) - INTERVAL '{grace} minutes'
+  ORDER BY ts DESC, event_id DESC LIMIT {max_rows}),
+j AS (SELECT el.event_id, el.ts, el.fraud_probability, ld.is_fraud, ld.label_timestamp FROM el LEFT JOIN ld ON el.event_id = ld.event_id),
+m AS (SELECT * FROM j WHERE is_fraud IS NOT NULL)"""
+
+
+def ap_sql(src: str = "m", name: str = "ap", label: str = "is_fraud", score: str = "fraud_probability") -> str:
+    return f"""{name}_s AS (SELECT {score} AS sc, count(*) AS n, sum({label}) AS tp FROM {src}
+  WHERE {score} IS NOT NULL AND {label} IS NOT NULL GROUP BY 1),
+{name}_c AS (SELECT tp, n, sum(n) OVER (ORDER BY sc DESC) AS cn, sum(tp) OVER (ORDER BY sc DESC) AS ctp FROM {name}_s),
+{name} AS (SELECT CASE WHEN sum(tp) > 0 AND sum(tp) < sum(n) THEN CAST(sum(tp * ctp / cn) / sum(tp) AS DOUBLE)
+                      ELSE CAST('nan' AS DOUBLE) END AS pr_auc FROM {name}_c)"""
+
+
+def _cls(src: str, thr: float = 0.5) -> str:
+    p = f"(fraud_probability >= {thr})"
+    return f"""CAST(sum(CASE WHEN is_fraud = 0 AND NOT {p} THEN 1 ELSE 0 END) AS BIGINT) AS tn,
+       CAST(sum(CASE WHEN is_fraud = 0 AND {p} THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+       CAST(sum(CASE WHEN is_fraud = 1 AND NOT {p} THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+       CAST(sum(CASE WHEN is_fraud = 1 AND {p} THEN 1 ELSE 0 END) AS BIGINT) AS tp"""
+
+
+def psi_sql(p: str, expected: str, actual: str, bins: int = 10, eps: float = 1e-6) -> str:
+    """CTEs ending in ``{p}`` with one row (psi, n_bins, n_expected, n_actual);
+    ``expected`` / ``actual`` are queries with one column ``x``."""
+    qs = ", ".join(f"{i / bins!r}" for i in range(1, bins))
+    return f"""{p}e AS (SELECT CAST(x AS DOUBLE) AS x FROM ({expected}) WHERE x IS NOT NULL AND NOT isnan(CAST(x AS DOUBLE))),
+{p}a AS (SELECT CAST(x AS DOUBLE) AS x FROM ({actual}) WHERE x IS NOT NULL AND NOT isnan(CAST(x AS DOUBLE))),
+{p}q AS (SELECT list_sort(list_distinct(quantile_cont(x, [{qs}]))) AS edges FROM {p}e),
+{p}b AS (SELECT len(list_filter({p}q.edges, lambda z: z < u.x)) AS bin, u.side
+         FROM (SELECT x, 0 AS side FROM {p}e UNION ALL SELECT x, 1 AS side FROM {p}a) u, {p}q),
+{p}sp AS (SELECT unnest(range(0, len(edges) + 1)) AS bin FROM {p}q WHERE edges IS NOT NULL),
+{p}c AS (SELECT sp.bin, count(b.side) FILTER (WHERE b.side = 0) AS ne, count(b.side) FILTER (WHERE b.side = 1) AS na
+         FROM {p}sp sp LEFT JOIN {p}b b ON sp.bin = b.bin GROUP BY sp.bin),
+{p}t AS (SELECT bin, ne, na, sum(ne) OVER () AS tne, sum(na) OVER () AS tna, count(*) OVER () AS k FROM {p}c),
+{p}r AS (SELECT bin, ne, na, k, tne, tna,
+                (ne / greatest(tne, 1) + {eps}) / (1.0 + k * {eps}) AS es,
+                (na / greatest(tna, 1) + {eps}) / (1.0 + k * {eps}) AS ac FROM {p}t),
+{p} AS (SELECT CASE WHEN (SELECT count(*) FROM {p}e) = 0 OR (SELECT count(*) FROM {p}a) = 0 THEN CAST('nan' AS DOUBLE)
+                    WHEN coalesce(max(k), 0) < 2 THEN 0.0
+                    ELSE sum((ac - es) * ln(ac / es)) END AS psi,
+               CAST(coalesce(max(k), 0) AS INTEGER) AS n_bins,
+               (SELECT count(*) FROM {p}e) AS n_expected, (SELECT count(*) FROM {p}a) AS n_actual
+        FROM {p}r)"""
+
+
+BASE_PLOG = with_(PAYMENTS, V1M, V5M, PLOG)
+
+SQL["heuristic_scores"] = with_(PAYMENTS, V1M, V5M, SCORED) + """
+SELECT event_id, card_id, event_timestamp, round(amount, 6) AS amount, txn_count_1m, round(amount_sum_1m, 6) AS amount_sum_1m,
+       txn_count_5m, round(avg_transaction_amount_5m, 6) AS avg_transaction_amount_5m,
+       array_to_string(missing_features, ',') AS missing_features, round(fraud_probability, 6) AS fraud_probability,
+       decision, model_version
+FROM scored2"""
+
+SQL["decision_counts"] = BASE_PLOG + "SELECT decision, count(*) AS n FROM plog GROUP BY decision"
+
+SQL["missing_feature_counts"] = BASE_PLOG + """
+SELECT feature, count(*) AS n FROM (SELECT unnest(missing_features) AS feature FROM plog) GROUP BY feature"""
+
+_EVAL = with_(PAYMENTS, V1M, V5M, PLOG, LABLOG, dedup())
+
+SQL["labels_latest"] = with_(PAYMENTS, LABLOG) + """, ll AS (
+  SELECT CAST(event_id AS VARCHAR) AS event_id, label_timestamp, CAST(is_fraud AS INTEGER) AS is_fraud FROM lablog
+  WHERE event_id IS NOT NULL AND is_fraud IS NOT NULL AND label_timestamp IS NOT NULL)
+SELECT * FROM ll QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY label_timestamp DESC, is_fraud DESC) = 1"""
+
+SQL["predictions_latest"] = _EVAL + "SELECT event_id, ts, round(fraud_probability, 6) AS fraud_probability FROM pd"
+
+SQL["prediction_label_join"] = _EVAL + """
+SELECT event_id, ts, round(fraud_probability, 6) AS fraud_probability, is_fraud, label_timestamp FROM j"""
+
+SQL["unlabeled_predictions"] = _EVAL + """
+SELECT event_id, ts, round(fraud_probability, 6) AS fraud_probability FROM el
+WHERE event_id NOT IN (SELECT event_id FROM ld)"""
+
+SQL["confusion"] = _EVAL + f"SELECT {_cls('m')} FROM m"
+
+SQL["precision_recall"] = _EVAL + f""", cm AS (SELECT count(*) AS n, {_cls('m')}, min(is_fraud) AS ymin, max(is_fraud) AS ymax FROM m)
+SELECT n, round(CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END, 6) AS precision,
+       round(CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END, 6) AS recall,
+       CASE WHEN ymin <> ymax THEN 2 WHEN ymin IS NOT NULL THEN 1 ELSE 0 END AS n_classes
+FROM cm"""
+
+SQL["average_precision"] = _EVAL + ", " + ap_sql() + "\nSELECT round(pr_auc, 6) AS pr_auc FROM ap"
+
+SQL["label_lag_quantiles"] = _EVAL + """, q AS (
+  SELECT quantile_cont(date_diff('microsecond', ts, label_timestamp) / 1e6, [0.5, 0.95]) AS q FROM m)
+SELECT round(q[1], 6) AS label_lag_p50_s, round(q[2], 6) AS label_lag_p95_s FROM q"""
+
+
+def _summary(body: str) -> str:
+    return body + ", " + ap_sql() + """,
+agg AS (
+  SELECT count(*) AS nj, count(is_fraud) AS n_eval,
+         CAST(sum(CASE WHEN is_fraud = 1 AND fraud_probability >= 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+         CAST(sum(CASE WHEN is_fraud = 0 AND fraud_probability >= 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+         CAST(sum(CASE WHEN is_fraud = 1 AND fraud_probability < 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+         quantile_cont(CASE WHEN is_fraud IS NOT NULL THEN date_diff('microsecond', ts, label_timestamp) / 1e6 END,
+                       [0.5, 0.95]) AS lag
+  FROM j),
+summary AS (
+  SELECT (SELECT count(*) FROM pd) AS n_predictions_total, (SELECT count(*) FROM ld) AS n_labels_total,
+         n_eval, round(1.0 - (nj - n_eval) / greatest(nj, 1), 6) AS join_rate, nj - n_eval AS missing_joins,
+         round(CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END, 6) AS precision,
+         round(CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END, 6) AS recall,
+         round((SELECT pr_auc FROM ap), 6) AS pr_auc,
+         round(lag[1], 6) AS label_lag_p50_s, round(lag[2], 6) AS label_lag_p95_s,
+         CASE WHEN nj = 0 THEN 'no_eligible_predictions' ELSE 'ok' END AS status
+  FROM agg)"""
+
+
+SQL["eval_event_id"] = _summary(_EVAL) + "\nSELECT * FROM summary"
+
+_DOCS = """dpred AS (SELECT CAST(doc_id AS VARCHAR) AS event_id, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id) AS ts,
+                        least(n_chars / 20000.0, 1.0) AS fraud_probability FROM documents),
+dlab AS (SELECT CAST(doc_id AS VARCHAR) AS event_id, quality AS is_fraud,
+                TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id + 3600) AS label_timestamp FROM labels)"""
+SQL["eval_event_id_docs"] = _summary(with_(_DOCS, dedup("dpred", "dlab"))) + "\nSELECT * FROM summary"
+
+
+def _gate(col: str, t: float, nan_ok: bool = False) -> str:
+    cond = f"{col} < {t}" + (f" AND NOT isnan({col})" if nan_ok else "")
+    return f"CASE WHEN {cond} THEN printf('{col} %.6f < %.6f', {col}, {float(t)}) END"
+
+
+SQL["quality_gate"] = _summary(_EVAL).replace(
+    "round((SELECT pr_auc FROM ap), 6) AS pr_auc", "(SELECT pr_auc FROM ap) AS pr_auc").replace(
+    "round(1.0 - (nj - n_eval) / greatest(nj, 1), 6) AS join_rate", "1.0 - (nj - n_eval) / greatest(nj, 1) AS join_rate").replace(
+    "round(CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END, 6) AS precision",
+    "CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS precision").replace(
+    "round(CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END, 6) AS recall",
+    "CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS recall") + f""",
+g AS (SELECT *, list_filter([{_gate('join_rate', 0.99)}, {_gate('precision', 0.003)}, {_gate('recall', 0.2)},
+                             {_gate('pr_auc', 0.004, True)}], lambda x: x IS NOT NULL) AS f FROM summary)
+SELECT round(join_rate, 6) AS join_rate, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(pr_auc, 6) AS pr_auc, array_to_string(f, '; ') AS gate_failures, len(f) = 0 AS gate_passed FROM g"""
+
+SQL["recent_top_n"] = BASE_PLOG + """
+SELECT ts, event_id, card_id, round(amount, 6) AS amount, round(fraud_probability, 6) AS fraud_probability
+FROM plog ORDER BY ts DESC, event_id DESC LIMIT 5000"""
+
+SQL["label_delay_cutoff"] = with_(PAYMENTS) + """
+SELECT event_id, card_id, event_timestamp, amount FROM payments
+WHERE event_timestamp <= (SELECT max(event_timestamp) FROM payments) - INTERVAL '60 minutes'"""
+
+_RECENT = "SELECT * FROM plog ORDER BY ts DESC, event_id DESC LIMIT 5000"
+
+SQL["psi_bins_amount"] = with_(PAYMENTS, V1M, V5M, PLOG, psi_sql(
+    "pa", "SELECT amount AS x FROM payments", f"SELECT amount AS x FROM ({_RECENT})")) + """
+SELECT bin::INTEGER AS bin, ne AS n_expected_bin, na AS n_actual_bin, round(es, 6) AS e_share, round(ac, 6) AS a_share FROM par"""
+
+SQL["psi_report"] = with_(
+    PAYMENTS, V1M, V5M, PLOG,
+    psi_sql("pa", "SELECT amount AS x FROM payments", f"SELECT amount AS x FROM ({_RECENT})"),
+    psi_sql("pt", "SELECT txn_count_1m AS x FROM f1", f"SELECT txn_count_1m AS x FROM ({_RECENT})"),
+    psi_sql("ps", "SELECT amount_sum_1m AS x FROM f1", f"SELECT amount_sum_1m AS x FROM ({_RECENT})"),
+) + """
+SELECT 'psi_amount' AS feature, round(psi, 6) AS psi, n_bins, n_expected, n_actual, 5000::BIGINT AS n_recent FROM pa
+UNION ALL SELECT 'psi_txn_count_1m', round(psi, 6), n_bins, n_expected, n_actual, 5000::BIGINT FROM pt
+UNION ALL SELECT 'psi_amount_sum_1m', round(psi, 6), n_bins, n_expected, n_actual, 5000::BIGINT FROM ps"""
+
+SQL["psi_amount_halves"] = with_(PAYMENTS, psi_sql(
+    "ph", "SELECT amount AS x FROM payments WHERE event_timestamp < TIMESTAMP '2024-01-16 00:00:00'",
+    "SELECT amount AS x FROM payments WHERE event_timestamp >= TIMESTAMP '2024-01-16 00:00:00'")) + """
+SELECT 'amount' AS feature, round(psi, 6) AS psi, n_bins, n_expected, n_actual FROM ph"""
+
+_DELAYED = with_(PAYMENTS, V1M, V5M) + """, pe AS (
+  SELECT * FROM payments WHERE card_id IS NOT NULL AND event_timestamp IS NOT NULL AND amount IS NOT NULL AND is_fraud IS NOT NULL),
+elig AS (
+  SELECT * FROM pe WHERE event_timestamp <= (SELECT max(event_timestamp) FROM pe) - INTERVAL '60 minutes'
+  ORDER BY event_timestamp DESC, event_id DESC LIMIT 200000),
+""" + pit_two_views(ALIGN_5M).replace("FROM payments\n  WHERE card_id", "FROM elig\n  WHERE card_id") + f""",
+js AS (SELECT *, {heuristic('amount', 'txn_count_1m', 'txn_count_5m')} AS fraud_probability FROM pit),
+cm AS (SELECT count(*) AS n, {_cls('js')} FROM js),
+""" + ap_sql("js", "ap") + ",\n" + psi_sql("pa", "SELECT amount AS x FROM pe", "SELECT amount AS x FROM js") + ",\n" + \
+    psi_sql("pt", "SELECT txn_count_1m AS x FROM f1", "SELECT txn_count_1m AS x FROM js")
+SQL["eval_delayed"] = _DELAYED + """
+SELECT n AS n_eval, tn, fp, fn, tp,
+       round(CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END, 6) AS precision,
+       round(CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END, 6) AS recall,
+       round((SELECT pr_auc FROM ap), 6) AS pr_auc,
+       round((SELECT psi FROM pa), 6) AS psi_amount, round((SELECT psi FROM pt), 6) AS psi_txn_count_1m
+FROM cm"""

@@ -142,3 +142,187 @@ def q_online_lookup(spark, sf_dir):
     out = pit.lookup_latest(req, pit.latest_per_key(v1.df), list(v1.fields))
     out = pit.lookup_latest(out, pit.latest_per_key(v5.df), list(v5.fields))
     return _round(out, ["amount_sum_1m", "avg_transaction_amount_5m"])
+
+
+# ---------------------------------------------------------------- scoring
+from payrisk.operators import dedupe, metrics, psi as psi_op, topk  # noqa: E402
+from payrisk.plans import evaluate as ev  # noqa: E402
+
+_D6 = ["amount", "amount_sum_1m", "avg_transaction_amount_5m", "fraud_probability"]
+
+
+def _log(spark, sf_dir):
+    return fixtures.prediction_log(_pay(spark, sf_dir))
+
+
+def _labels(spark, sf_dir):
+    return fixtures.labels_log(_pay(spark, sf_dir))
+
+
+@register("heuristic_scores")
+def q_heuristic_scores(spark, sf_dir):
+    """ML-3 + ML-8 + PRJ-6 + PRJ-15: strict point-in-time features, missing flags, fallback score, decision."""
+    from payrisk.plans.score import score_payments
+
+    s = score_payments(_pay(spark, sf_dir))
+    s = s.withColumn("missing_features", F.array_join("missing_features", ","))
+    return _round(s, _D6)
+
+
+@register("decision_counts")
+def q_decision_counts(spark, sf_dir):
+    """PRJ-15: decisions and their counts (error records have none)."""
+    return _log(spark, sf_dir).groupBy("decision").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("missing_feature_counts")
+def q_missing_feature_counts(spark, sf_dir):
+    """ML-8: how often each online feature was missing at scoring time."""
+    return (_log(spark, sf_dir).select(F.explode("missing_features").alias("feature"))
+            .groupBy("feature").agg(F.count(F.lit(1)).alias("n")))
+
+
+# ---------------------------------------------------------------- evaluation pieces
+@register("labels_latest")
+def q_labels_latest(spark, sf_dir):
+    """WIN-1: newest label per event id (re-labels win)."""
+    return ev.latest_labels(_labels(spark, sf_dir))
+
+
+@register("predictions_latest")
+def q_predictions_latest(spark, sf_dir):
+    """WIN-2: newest prediction per event id."""
+    return _round(ev.latest_predictions(_log(spark, sf_dir)), ["fraud_probability"])
+
+
+def _eligible(spark, sf_dir):
+    labels_d = ev.latest_labels(_labels(spark, sf_dir))
+    preds_d = ev.latest_predictions(_log(spark, sf_dir))
+    return ev.eligible_predictions(preds_d, labels_d), labels_d
+
+
+@register("prediction_label_join")
+def q_prediction_label_join(spark, sf_dir):
+    """FLT-4 + TOPK-1 + JOIN-3: eligible predictions left-joined to their newest label."""
+    el, labels_d = _eligible(spark, sf_dir)
+    return _round(ev.join_labels(el, labels_d), ["fraud_probability"])
+
+
+@register("unlabeled_predictions")
+def q_unlabeled_predictions(spark, sf_dir):
+    """JOIN-4: eligible predictions without any label."""
+    el, labels_d = _eligible(spark, sf_dir)
+    return _round(ev.unlabeled(el, labels_d), ["fraud_probability"])
+
+
+def _matched(spark, sf_dir):
+    el, labels_d = _eligible(spark, sf_dir)
+    return ev.join_labels(el, labels_d).where(F.col("is_fraud").isNotNull())
+
+
+@register("confusion")
+def q_confusion(spark, sf_dir):
+    """AGG-6: 2×2 confusion matrix at threshold 0.5 (non_fraud, fraud)."""
+    return metrics.classification_summary(_matched(spark, sf_dir)).select("tn", "fp", "fn", "tp")
+
+
+@register("precision_recall")
+def q_precision_recall(spark, sf_dir):
+    """AGG-7 + AGG-9: precision and recall (0 on zero division), class count."""
+    s = metrics.classification_summary(_matched(spark, sf_dir))
+    return _round(s.select("n", "precision", "recall", "n_classes"), ["precision", "recall"])
+
+
+@register("average_precision")
+def q_average_precision(spark, sf_dir):
+    """AGG-8 + WIN-4: average precision over distinct scores (two-level running sums)."""
+    return _round(metrics.average_precision(_matched(spark, sf_dir)), ["pr_auc"])
+
+
+@register("label_lag_quantiles")
+def q_label_lag_quantiles(spark, sf_dir):
+    """AGG-5: exact p50/p95 of label lag (seconds), linear interpolation."""
+    from payrisk.functions.columns import seconds_between
+
+    m = _matched(spark, sf_dir).select(seconds_between("label_timestamp", "ts").alias("lag"))
+    q = m.agg(metrics.quantiles("lag", [0.5, 0.95]).alias("q"))
+    return q.select(round6(F.get("q", 0)).alias("label_lag_p50_s"), round6(F.get("q", 1)).alias("label_lag_p95_s"))
+
+
+_SUMMARY_D = ["join_rate", "precision", "recall", "pr_auc", "label_lag_p50_s", "label_lag_p95_s"]
+
+
+@register("eval_event_id")
+def q_eval_event_id(spark, sf_dir):
+    """ML-10 / AGG-14: event-id evaluation summary (partial joins allowed)."""
+    s = ev.evaluate_event_id(_log(spark, sf_dir), _labels(spark, sf_dir), allow_partial=True)
+    return _round(s, _SUMMARY_D)
+
+
+@register("eval_event_id_docs")
+def q_eval_event_id_docs(spark, sf_dir):
+    """ML-10 on document scores vs quality labels (truly partial label coverage)."""
+    configure(spark)
+    preds, labels = fixtures.document_predictions(spark, sf_dir)
+    return _round(ev.evaluate_event_id(preds, labels, allow_partial=True), _SUMMARY_D)
+
+
+@register("quality_gate")
+def q_quality_gate(spark, sf_dir):
+    """AGG-15: staging gate (join ≥ 0.99, precision ≥ 0.003, recall ≥ 0.20, PR-AUC ≥ 0.004)."""
+    s = ev.evaluate_event_id(_log(spark, sf_dir), _labels(spark, sf_dir), allow_partial=True)
+    g = ev.quality_gate(s, **S.GATE_STAGING)
+    return _round(g.select("join_rate", "precision", "recall", "pr_auc", "gate_failures", "gate_passed"),
+                  ["join_rate", "precision", "recall", "pr_auc"])
+
+
+@register("eval_delayed")
+def q_eval_delayed(spark, sf_dir):
+    """ML-9: delayed-label offline evaluation with the fallback model, plus drift."""
+    s = ev.evaluate_delayed(_pay(spark, sf_dir))
+    return _round(s, ["precision", "recall", "pr_auc", "psi_amount", "psi_txn_count_1m"])
+
+
+@register("recent_top_n")
+def q_recent_top_n(spark, sf_dir):
+    """TOPK-2: the 5,000 newest prediction-log records (ts, then event_id, descending)."""
+    log = _log(spark, sf_dir).select("ts", "event_id", "card_id", "amount", "fraud_probability")
+    return _round(topk.tail_by_time(log, S.RECENT_ROWS, "ts", ("event_id",)), ["amount", "fraud_probability"])
+
+
+@register("label_delay_cutoff")
+def q_label_delay_cutoff(spark, sf_dir):
+    """FLT-3 + AGG-16: payments at least 60 minutes older than the newest payment."""
+    p = _pay(spark, sf_dir)
+    cut = topk.cutoff_minus(topk.max_value(p, "event_timestamp"), S.LABEL_DELAY_MINUTES)
+    return topk.before_cutoff(p, "event_timestamp", cut).select("event_id", "card_id", "event_timestamp", "amount")
+
+
+# ---------------------------------------------------------------- drift
+def _recent(spark, sf_dir):
+    return topk.tail_by_time(_log(spark, sf_dir), S.RECENT_ROWS, "ts", ("event_id",))
+
+
+@register("psi_bins_amount")
+def q_psi_bins_amount(spark, sf_dir):
+    """AGG-11: decile bins of payment amounts (expected) vs the recent log (actual)."""
+    t = psi_op.psi_bins(_pay(spark, sf_dir), _recent(spark, sf_dir), "amount")
+    return _round(t.select("bin", "n_expected_bin", "n_actual_bin", "e_share", "a_share"), ["e_share", "a_share"])
+
+
+@register("psi_report")
+def q_psi_report(spark, sf_dir):
+    """AGG-12 + AGG-13: drift report over amount, txn_count_1m and amount_sum_1m, plus n_recent."""
+    from payrisk.plans.drift import drift_report
+
+    pay = _pay(spark, sf_dir)
+    return _round(drift_report(pay, velocity.card_velocity_1m(pay), _recent(spark, sf_dir)), ["psi"])
+
+
+@register("psi_amount_halves")
+def q_psi_amount_halves(spark, sf_dir):
+    """AGG-12: PSI of payment amounts, first half of the month (expected) vs the rest."""
+    pay = _pay(spark, sf_dir)
+    mid = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    r = psi_op.psi(pay.where(F.col("event_timestamp") < mid), pay.where(F.col("event_timestamp") >= mid), "amount")
+    return _round(r, ["psi"])

@@ -151,3 +151,50 @@ def raw_payment_messages(pay: DataFrame, topic: str = "payments.v1", partitions:
         F.encode(F.col("card_id"), "UTF-8").alias("key"),
         value.alias("value"),
     )
+
+
+def prediction_log(pay: DataFrame) -> DataFrame:
+    """Scored-event log (schema ``prediction_log``, NTZ ``ts``) from payments.
+
+    The scoring itself is the library's (``payrisk.plans.score.score_payments``:
+    point-in-time features at event time, flags, fallback model).  Only the
+    log's service fields are made up here: ``ts`` = event time, latency
+    (id·7919 mod 4000)/10 ms, and status ``error`` for ids with id·31 mod 50 = 0
+    (an error record carries no probability or decision).
+    """
+    from payrisk.plans.score import score_payments
+
+    scored = score_payments(pay)
+    eid = F.col("event_id").cast("long")
+    err = F.pmod(eid * 31, F.lit(50)) == 0
+    return scored.select(
+        F.col("event_timestamp").alias("ts"), "event_id", "card_id", "amount",
+        F.col("event_timestamp").alias("event_ts"), F.col("event_timestamp").alias("ingest_ts"),
+        "txn_count_1m", "amount_sum_1m", "txn_count_5m", "avg_transaction_amount_5m",
+        F.when(~err, F.col("fraud_probability")).alias("fraud_probability"),
+        F.when(~err, F.col("decision")).alias("decision"),
+        "model_version",
+        (F.pmod(eid * 7919, F.lit(4000)) / F.lit(10.0)).alias("latency_ms"),
+        "missing_features",
+        F.lit(False).alias("event_id_missing"),
+        F.when(err, F.lit("error")).otherwise(F.lit("ok")).alias("status"),
+    )
+
+
+def document_predictions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Second prediction/label pair: documents scored by length, labelled by
+    ``labels.quality`` (only some documents are labelled, so joins are partial).
+
+    prediction ts = 2024-01-01 + doc_id seconds; label time = ts + 1 h.
+    """
+    docs = table(spark, sf_dir, "documents", ["doc_id", "n_chars"])
+    lab = table(spark, sf_dir, "labels", ["doc_id", "quality"])
+    base = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    preds = docs.select(
+        F.col("doc_id").cast("string").alias("event_id"),
+        F.timestamp_add("SECOND", F.col("doc_id"), base).alias("ts"),
+        F.least(F.col("n_chars") / F.lit(20000.0), F.lit(1.0)).alias("fraud_probability"))
+    labels = lab.select(
+        F.col("doc_id").cast("string").alias("event_id"), F.col("quality").alias("is_fraud"),
+        F.timestamp_add("SECOND", F.col("doc_id") + 3600, base).alias("label_timestamp"))
+    return preds, labels
