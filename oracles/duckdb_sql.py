@@ -403,3 +403,75 @@ SELECT n AS n_eval, tn, fp, fn, tp,
        round((SELECT pr_auc FROM ap), 6) AS pr_auc,
        round((SELECT psi FROM pa), 6) AS psi_amount, round((SELECT psi FROM pt), 6) AS psi_txn_count_1m
 FROM cm"""
+
+
+# ---------------------------------------------------------------- validation / ingest
+_K = "CAST(event_id AS BIGINT) % 97"
+_OUTCOME = f"""CASE {_K} WHEN 0 THEN 'type:amount' WHEN 2 THEN 'enum:is_fraud' WHEN 3 THEN 'type:is_fraud'
+  WHEN 4 THEN 'enum:channel' WHEN 5 THEN 'type:amount' WHEN 6 THEN 'missing_required:amount' WHEN 7 THEN 'not_object'
+  WHEN 8 THEN 'not_json' WHEN 9 THEN 'invalid_utf8' WHEN 11 THEN 'type:is_card_present' ELSE 'ok' END"""
+
+SQL["dlq_reasons"] = with_(PAYMENTS) + f"SELECT {_OUTCOME} AS outcome, count(*) AS n FROM payments GROUP BY 1"
+
+SQL["valid_payments"] = with_(PAYMENTS) + f"""
+SELECT event_id, card_id, round(amount, 6) AS amount, channel, channel = 'pos' AS is_card_present, is_fraud,
+       date_trunc('second', event_timestamp) AS event_time
+FROM payments WHERE {_OUTCOME} = 'ok'"""
+
+SQL["dlq_records"] = with_(PAYMENTS) + f"""
+SELECT CAST(event_id AS BIGINT) AS offset, {_OUTCOME} AS error, 'payments.v1' AS topic FROM payments
+WHERE {_OUTCOME} <> 'ok'"""
+
+_CSV_SRC = """src AS (
+  SELECT event_id AS eid,
+         date_diff('microsecond', (SELECT min(ts) FROM events), ts) / 1e6 AS t,
+         CASE WHEN event_id % 101 = 0 THEN NULL WHEN event_id % 103 = 0 THEN -value ELSE value END AS amount,
+         CASE WHEN event_id % 107 = 0 THEN NULL ELSE CAST(event_type = 'error' AS INTEGER) END AS cls
+  FROM events)"""
+
+
+def _uuid5(idx: str) -> str:
+    h = f"sha1(unhex('00000000000000000000000000000001') || encode('creditcard:' || CAST({idx} AS VARCHAR)))"
+    return (f"(SELECT substr(h,1,8) || '-' || substr(h,9,4) || '-5' || substr(h,14,3) || '-' || "
+            f"lower(printf('%x', ((('0x' || substr(h,17,1))::INTEGER) & 3) | 8)) || substr(h,18,3) || '-' || "
+            f"substr(h,21,12) FROM (SELECT {h} AS h))")
+
+
+_ING = with_(_CSV_SRC) + f""", kept AS (
+  SELECT eid, t, amount, coalesce(cls, 0) AS is_fraud, row_number() OVER (ORDER BY eid) - 1 AS idx
+  FROM src WHERE t IS NOT NULL AND amount IS NOT NULL AND amount >= 0),
+ids AS (SELECT *, {_uuid5('idx')} AS event_id FROM kept),
+ing AS (
+  SELECT idx, event_id, 'card_' || CAST(idx % 50000 AS VARCHAR) AS card_id, 'm_' || CAST(idx % 10000 AS VARCHAR) AS merchant_id,
+         TIMESTAMP '2024-01-01 00:00:00' + to_microseconds(CAST(round(t * 1e6) AS BIGINT)) AS event_timestamp,
+         amount,
+         CASE WHEN ('0x' || substr(md5('7:channel:' || event_id), 1, 8))::BIGINT % 10 < 7 THEN 'pos' ELSE 'ecom' END AS channel,
+         ('0x' || substr(md5('7:geo:' || event_id), 1, 8))::BIGINT % 6 + 1 AS g,
+         is_fraud
+  FROM ids)"""
+
+SQL["ingest_payments"] = _ING + f"""
+SELECT idx, event_id, card_id, merchant_id, event_timestamp, amount, channel,
+       {GEO_COUNTRY}[g] AS country, {GEO_CITY}[g] AS city,
+       CAST({GEO_LAT}[g] AS DOUBLE) AS lat, CAST({GEO_LON}[g] AS DOUBLE) AS lon, is_fraud
+FROM ing"""
+
+SQL["ingest_report"] = _ING + """
+SELECT count(*) AS rows, round(coalesce(avg(is_fraud), 0.0), 6) AS fraud_rate, min(amount) AS amount_min,
+       max(amount) AS amount_max, '2024-01-01T00:00:00Z' AS start_time_utc, 50000 AS n_cards, 10000 AS n_merchants,
+       '' AS validation_errors
+FROM ing"""
+
+SQL["quality_rules"] = with_(_CSV_SRC) + """, r AS (
+  SELECT sum(CASE WHEN amount IS NULL THEN 1 ELSE 0 END) AS a_null, sum(CASE WHEN amount < 0 THEN 1 ELSE 0 END) AS a_neg,
+         sum(CASE WHEN cls IS NULL OR cls NOT IN (0, 1) THEN 1 ELSE 0 END) AS bad_y,
+         sum(CASE WHEN t IS NULL THEN 1 ELSE 0 END) AS ts_null, quantile_cont(amount, 0.999) AS p999 FROM src)
+SELECT array_to_string(list_filter([
+         'missing_required_columns=[''card_id'', ''merchant_id'']',
+         CASE WHEN a_null > 0 THEN 'amount_has_nulls' END,
+         CASE WHEN a_neg > 0 THEN 'amount_has_negative_values' END,
+         CASE WHEN p999 > 100000 THEN 'amount_p999_too_high' END,
+         CASE WHEN bad_y > 0 THEN 'is_fraud_has_invalid_values count=' || CAST(bad_y AS VARCHAR) END,
+         CASE WHEN ts_null > 0 THEN 'event_timestamp_has_nulls' END,
+         'event_timestamp_not_utc'], lambda x: x IS NOT NULL), '; ') AS validation_errors
+FROM r"""

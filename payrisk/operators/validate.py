@@ -31,11 +31,10 @@ def _is_number(t: Column) -> Column:
     return F.regexp_like(t, F.lit("^(" + "|".join(_NUMBER_TYPES) + ")"))
 
 
-def _field_errors(v: Column, field: str, jtype: str) -> Column:
-    """Array with at most one error for ``field`` (type first, then enum);
-    an absent field yields none here (the required rule reports it)."""
-    t = _vtype(v, field)
-    num = F.try_variant_get(v, f"$.{field}", "double")
+def _field_error(t: Column, num: Column, sval: Column, field: str, jtype: str) -> Column:
+    """At most one error for ``field`` (type first, then enum) from its variant
+    type name ``t``; an absent field (t null) yields none here (the required
+    rule reports it)."""
     if jtype == "string":
         ok = t == "STRING"
     elif jtype == "number":
@@ -48,7 +47,6 @@ def _field_errors(v: Column, field: str, jtype: str) -> Column:
         raise ValueError(jtype)
     err = F.when(t.isNotNull() & ~ok, F.lit(f"type:{field}"))
     if field == "channel":
-        sval = F.try_variant_get(v, f"$.{field}", "string")
         err = F.coalesce(err, F.when(t.isNotNull() & ok & ~sval.isin(*S.CHANNELS), F.lit(f"enum:{field}")))
     if field == "is_fraud":
         err = F.coalesce(err, F.when(t.isNotNull() & ok & ~num.isin(*[float(x) for x in S.FRAUD_LABELS]),
@@ -56,33 +54,54 @@ def _field_errors(v: Column, field: str, jtype: str) -> Column:
     return err
 
 
-def validation_errors(value: Column) -> Column:
-    """``array<string>`` of rule violations for a binary or string message;
-    empty when valid.  Order: bytes, JSON, object, required, then each field in
-    schema order."""
-    raw = value.cast("string")
-    utf8_ok = F.is_valid_utf8(raw)
-    v = F.try_parse_json(raw)
-    root = F.schema_of_variant(v)
-    is_obj = F.coalesce(root.startswith("OBJECT"), F.lit(False))
-    missing = [F.when(_vtype(v, f).isNull(), F.lit(f"missing_required:{f}")) for f in S.PAYMENT_REQUIRED_FIELDS]
-    field_errs = [_field_errors(v, f, S.PAYMENT_FIELD_TYPES[f]) for f in S.PAYMENT_REQUIRED_FIELDS]
-    return (F.when(~utf8_ok, F.array(F.lit("invalid_utf8")))
-             .when(v.isNull(), F.array(F.lit("not_json")))
-             .when(~is_obj, F.array(F.lit("not_object")))
-             .otherwise(F.array_compact(F.array(*missing, *field_errs))))
+def with_validation(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Add ``errors`` (array<string>, empty when valid) for a binary or string
+    message column.  Order: bytes, JSON, object, required, then each field in
+    schema order.
+
+    Three projections: parse once into a VARIANT, read every field's type name
+    once, then build the error list from those columns (keeps each generated
+    method small and each variant lookup single)."""
+    raw = F.col(value).cast("string")
+    parsed = messages.withColumn("_utf8", F.is_valid_utf8(raw)).withColumn("_v", F.try_parse_json(raw))
+    v = F.col("_v")
+    typed = parsed.withColumn("_t", F.struct(
+        # a document that parsed and starts with "{" is an object (cheaper than typing the root)
+        F.regexp_like(raw, F.lit(r"^[ \t\r\n]*\{")).alias("_is_object"),
+        *[_vtype(v, f).alias(f) for f in S.PAYMENT_REQUIRED_FIELDS],
+        F.try_variant_get(v, "$.is_fraud", "double").alias("_num_is_fraud"),
+        F.try_variant_get(v, "$.channel", "string").alias("_str_channel"),
+    ))
+    t = lambda f: F.col(f"_t.{f}")
+    is_obj = F.coalesce(t("_is_object"), F.lit(False))
+    missing = [F.when(t(f).isNull(), F.lit(f"missing_required:{f}")) for f in S.PAYMENT_REQUIRED_FIELDS]
+    field_errs = [_field_error(t(f), t("_num_is_fraud"), t("_str_channel"), f, S.PAYMENT_FIELD_TYPES[f])
+                  for f in S.PAYMENT_REQUIRED_FIELDS]
+    errors = (F.when(~F.col("_utf8"), F.array(F.lit("invalid_utf8")))
+               .when(v.isNull(), F.array(F.lit("not_json")))
+               .when(~is_obj, F.array(F.lit("not_object")))
+               .otherwise(F.array_compact(F.array(*missing, *field_errs))))
+    return typed.withColumn("errors", errors).drop("_utf8", "_t")
 
 
 def validate_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     """Add ``errors`` (array), ``error`` (first error or null) and ``is_valid``."""
-    return (messages.withColumn("errors", validation_errors(F.col(value)))
-                    .withColumn("error", F.get(F.col("errors"), 0))
-                    .withColumn("is_valid", F.size("errors") == 0))
+    return (with_validation(messages, value)
+            .withColumn("error", F.get(F.col("errors"), 0))
+            .withColumn("is_valid", F.size("errors") == 0))
 
 
-def parse_payment(value: Column) -> Column:
-    """Typed struct of the 19 fields from a (valid) message (PRJ-1)."""
-    return F.from_json(value.cast("string"), S.PAYMENTS_RAW)
+def parse_payment(v: Column) -> Column:
+    """Typed struct of the 19 fields from a valid message's VARIANT (PRJ-1);
+    ``is_fraud`` goes through double so a whole ``1.0`` reads as 1."""
+    fields = []
+    for f in S.PAYMENTS_RAW.fields:
+        if f.name == "is_fraud":
+            c = F.try_variant_get(v, "$.is_fraud", "double").cast("int")
+        else:
+            c = F.try_variant_get(v, f"$.{f.name}", f.dataType.simpleString())
+        fields.append(c.alias(f.name))
+    return F.struct(*fields)
 
 
 def split_valid(messages: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -93,7 +112,7 @@ def split_valid(messages: DataFrame, value: str = "value") -> tuple[DataFrame, D
     """
     checked = validate_messages(messages, value)
     valid = (checked.where(F.col("is_valid"))
-                    .select(parse_payment(F.col(value)).alias("p"))
+                    .select(parse_payment(F.col("_v")).alias("p"))
                     .select("p.*"))
     meta = {c: F.col(c) for c in ("topic", "partition", "offset") if c in messages.columns}
     dlq = checked.where(~F.col("is_valid")).select(

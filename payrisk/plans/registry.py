@@ -326,3 +326,70 @@ def q_psi_amount_halves(spark, sf_dir):
     mid = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     r = psi_op.psi(pay.where(F.col("event_timestamp") < mid), pay.where(F.col("event_timestamp") >= mid), "amount")
     return _round(r, ["psi"])
+
+
+# ---------------------------------------------------------------- validation / ingest
+from payrisk.operators import quality, validate  # noqa: E402
+from payrisk.plans import ingest as ing  # noqa: E402
+from payrisk.session import scratch_path  # noqa: E402
+
+
+def _raw(spark, sf_dir):
+    configure(spark)
+    return fixtures.landed_messages(spark, sf_dir, scratch_path(spark, "raw-messages"))
+
+
+@register("dlq_reasons")
+def q_dlq_reasons(spark, sf_dir):
+    """FLT-5 + AGG-17: strict JSON validation of every raw message; count per outcome (ok or first error)."""
+    return validate.validation_counts(_raw(spark, sf_dir))
+
+
+@register("dlq_records")
+def q_dlq_records(spark, sf_dir):
+    """SNK-3: dead-letter records (offset, error, topic) of the invalid messages."""
+    _, dlq = validate.split_valid(_raw(spark, sf_dir))
+    return dlq.select("offset", "error", "topic")
+
+
+@register("valid_payments")
+def q_valid_payments(spark, sf_dir):
+    """PRJ-1 + PRJ-2: valid messages decoded to typed columns, event time truncated to the second."""
+    valid, _ = validate.split_valid(_raw(spark, sf_dir))
+    et = F.date_trunc("second", F.try_to_timestamp("event_ts")).cast("timestamp_ntz")
+    return _round(valid.select("event_id", "card_id", "amount", "channel", "is_card_present", "is_fraud",
+                               et.alias("event_time")), ["amount"])
+
+
+def _csv(spark, sf_dir):
+    configure(spark)
+    return fixtures.creditcard_csv(spark, sf_dir, scratch_path(spark, "creditcard-csv"))
+
+
+@register("ingest_payments")
+def q_ingest_payments(spark, sf_dir):
+    """SRC-5 + PRJ-3..12 + FLT-1/2: CSV → payments with contiguous index, pseudo ids, UUIDv5, geo."""
+    pay, _ = ing.ingest_csv(spark, _csv(spark, sf_dir))
+    return pay.select("idx", "event_id", "card_id", "merchant_id",
+                      F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
+                      "amount", "channel", "country", "city", "lat", "lon", "is_fraud")
+
+
+@register("ingest_report")
+def q_ingest_report(spark, sf_dir):
+    """AGG-3 + AGG-4: ingest report over the ingested payments."""
+    _, rep = ing.ingest_csv(spark, _csv(spark, sf_dir))
+    return _round(rep.withColumn("validation_errors", F.array_join("validation_errors", "; ")), ["fraud_rate"])
+
+
+@register("quality_rules")
+def q_quality_rules(spark, sf_dir):
+    """AGG-4: quality rules on the raw typed CSV rows (before cleaning)."""
+    raw = ing.read_creditcard_csv(spark, _csv(spark, sf_dir))
+    base = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    typed = raw.select(
+        F.timestamp_add("MICROSECOND", F.round(F.col("Time").try_cast("double") * 1e6).cast("long"), base)
+         .alias("event_timestamp"),
+        F.col("Amount").try_cast("double").alias("amount"),
+        F.col("Class").try_cast("int").alias("is_fraud"))
+    return quality.quality_errors(typed).select(F.array_join("validation_errors", "; ").alias("validation_errors"))

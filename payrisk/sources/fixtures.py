@@ -102,7 +102,8 @@ RAW_FAULTS = {
 
 def raw_payment_messages(pay: DataFrame, topic: str = "payments.v1", partitions: int = 12) -> DataFrame:
     """Kafka-shaped frame (topic, partition, offset, key, value binary) of JSON
-    payment events, with the faults of ``RAW_FAULTS`` injected."""
+    payment events, with the faults of ``RAW_FAULTS`` injected (as edits of the
+    valid document)."""
     eid = F.col("event_id").cast("long")
     ts_iso = F.date_format(F.col("event_timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     fields = {
@@ -116,32 +117,19 @@ def raw_payment_messages(pay: DataFrame, topic: str = "payments.v1", partitions:
         "is_fraud": F.col("is_fraud"),
     }
     k = F.pmod(eid, F.lit(97))
-
-    def json_with(**over) -> Column:
-        cols = []
-        for n, c in fields.items():
-            if n in over:
-                if over[n] is None:
-                    continue
-                c = over[n]
-            cols.append(c.alias(n))
-        for n, c in over.items():
-            if n not in fields and c is not None:
-                cols.append(c.alias(n))
-        return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
-
-    good = json_with()
-    text = (F.when(k == 0, json_with(amount=F.col("amount").cast("string")))
-             .when(k == 1, F.regexp_replace(good, '"is_fraud":([01])', '"is_fraud":$1.0'))
-             .when(k == 2, json_with(is_fraud=F.lit(2)))
-             .when(k == 3, json_with(is_fraud=F.lit(True)))
-             .when(k == 4, json_with(channel=F.lit("atm")))
-             .when(k == 5, json_with(amount=F.lit(None).cast("double")))
-             .when(k == 6, json_with(amount=None))
+    good = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
+    edit = lambda pat, rep: F.regexp_replace(good, F.lit(pat), F.lit(rep))
+    text = (F.when(k == 0, edit('"amount":([^,}]+)', '"amount":"$1"'))
+             .when(k == 1, edit('"is_fraud":([01])', '"is_fraud":$1.0'))
+             .when(k == 2, edit('"is_fraud":[01]', '"is_fraud":2'))
+             .when(k == 3, edit('"is_fraud":[01]', '"is_fraud":true'))
+             .when(k == 4, edit('"channel":"[a-z]*"', '"channel":"atm"'))
+             .when(k == 5, edit('"amount":[^,}]+', '"amount":null'))
+             .when(k == 6, edit('"amount":[^,}]+,', ''))
              .when(k == 7, F.lit("[]"))
              .when(k == 8, F.concat(F.lit("not json "), F.col("event_id")))
-             .when(k == 10, json_with(extra_note=F.lit("ok")))
-             .when(k == 11, json_with(is_card_present=F.lit("yes")))
+             .when(k == 10, edit('}$', ',"extra_note":"ok"}'))
+             .when(k == 11, edit('"is_card_present":(true|false)', '"is_card_present":"yes"'))
              .otherwise(good))
     value = F.when(k == 9, F.concat(F.unhex(F.lit("FF")), F.encode(good, "UTF-8"))).otherwise(F.encode(text, "UTF-8"))
     return pay.select(
@@ -198,3 +186,31 @@ def document_predictions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, D
         F.col("doc_id").cast("string").alias("event_id"), F.col("quality").alias("is_fraud"),
         F.timestamp_add("SECOND", F.col("doc_id") + 3600, base).alias("label_timestamp"))
     return preds, labels
+
+
+def creditcard_csv(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Write a header CSV shaped like the card-transactions file from ``events``
+    (Time = seconds since the first event, V1 = user id, Amount = value,
+    Class = error flag), in event-id order.  Known defects for the ingest
+    rules: ids with id % 101 = 0 have an empty Amount, id % 103 = 0 a negative
+    one, id % 107 = 0 a non-numeric Class.  Returns ``path``."""
+    ev = table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value", "event_type"])
+    t0 = ev.agg(F.min("ts")).scalar()
+    eid = F.col("event_id")
+    secs = F.timestamp_diff("MICROSECOND", t0, F.col("ts")).cast("double") / F.lit(1e6)
+    amount = (F.when(F.pmod(eid, F.lit(101)) == 0, F.lit(None).cast("double"))
+               .when(F.pmod(eid, F.lit(103)) == 0, -F.col("value")).otherwise(F.col("value")))
+    cls = (F.when(F.pmod(eid, F.lit(107)) == 0, F.lit("x"))
+            .otherwise((F.col("event_type") == "error").cast("int").cast("string")))
+    out = (ev.orderBy("event_id")
+             .select(secs.cast("string").alias("Time"), F.col("user_id").cast("string").alias("V1"),
+                     amount.cast("string").alias("Amount"), cls.alias("Class")))
+    out.write.mode("overwrite").option("header", True).csv(path)
+    return path
+
+
+def landed_messages(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """Raw messages landed as a Parquet table (what a topic snapshot looks like),
+    read back, so the validator's plan starts at a scan of bytes."""
+    raw_payment_messages(payments(spark, sf_dir)).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
