@@ -475,3 +475,82 @@ SELECT array_to_string(list_filter([
          CASE WHEN ts_null > 0 THEN 'event_timestamp_has_nulls' END,
          'event_timestamp_not_utc'], lambda x: x IS NOT NULL), '; ') AS validation_errors
 FROM r"""
+
+
+# ---------------------------------------------------------------- monitoring
+_BOUNDS = [0.005, 0.01, 0.02, 0.05, 0.1, 0.25, 0.5, 1.0, 2.0, 5.0]
+_LE = [repr(b) for b in _BOUNDS] + ["+Inf"]
+
+
+def _slide(src: str, cols: str) -> str:
+    """Rows of ``src`` twice, once per 2-minute window (slide 1 minute) they fall in."""
+    return (f"SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start, {cols} FROM {src} UNION ALL "
+            f"SELECT time_bucket(INTERVAL '1 minute', ts) - INTERVAL '1 minute' AS window_start, {cols} FROM {src}")
+
+
+def _cums(lat: str) -> str:
+    return ", ".join([f"CAST(sum(CASE WHEN {lat} <= {b!r} THEN 1 ELSE 0 END) AS BIGINT) AS c{i}"
+                      for i, b in enumerate(_BOUNDS)] + [f"count(*) AS c{len(_BOUNDS)}"])
+
+
+def _hq(q: float) -> str:
+    n = f"c{len(_BOUNDS)}"
+    out = f"{_BOUNDS[-1]!r}"
+    for i in range(len(_BOUNDS) - 1, -1, -1):
+        lo = "0.0" if i == 0 else repr(_BOUNDS[i - 1])
+        prev = "0" if i == 0 else f"c{i - 1}"
+        val = f"({lo} + ({_BOUNDS[i]!r} - {lo}) * (({q} * {n} - {prev}) / (c{i} - {prev})))"
+        out = f"CASE WHEN c{i} >= {q} * {n} THEN {val} ELSE {out} END"
+    return f"CASE WHEN {n} = 0 THEN CAST('nan' AS DOUBLE) ELSE {out} END"
+
+
+SQL["decisions_per_minute"] = BASE_PLOG + """
+SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start, decision, count(*) AS n, round(count(*) / 60.0, 6) AS rate_per_s
+FROM plog WHERE decision IS NOT NULL GROUP BY 1, 2"""
+
+SQL["error_ratio_2m"] = BASE_PLOG + f""", sl AS ({_slide('plog', 'status')}),
+a AS (SELECT window_start, CAST(sum(CASE WHEN status = 'ok' THEN 1 ELSE 0 END) AS BIGINT) AS n_ok,
+             CAST(sum(CASE WHEN status = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS n_error FROM sl GROUP BY 1),
+r AS (SELECT *, (n_error / 120.0) / greatest(n_error / 120.0 + n_ok / 120.0, 0.001) AS error_ratio FROM a)
+SELECT window_start, n_ok, n_error, round(error_ratio, 6) AS error_ratio, error_ratio > 0.05 AS alert FROM r"""
+
+SQL["latency_histogram"] = BASE_PLOG + f""", h AS (
+  SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, {_cums('latency_ms / 1000.0')}
+  FROM plog WHERE status = 'ok' GROUP BY 1)
+""" + " UNION ALL ".join(f"SELECT window_start, '{_LE[i]}' AS le, c{i} AS cum_count FROM h" for i in range(len(_LE)))
+
+SQL["latency_quantiles"] = BASE_PLOG + f""", sl AS ({_slide("(SELECT * FROM plog WHERE status = 'ok')", 'latency_ms')}),
+h AS (SELECT window_start, {_cums('latency_ms / 1000.0')} FROM sl GROUP BY 1),
+q AS (SELECT window_start, c{len(_BOUNDS)} AS n, {_hq(0.5)} AS p50_s, {_hq(0.95)} AS p95_s FROM h)
+SELECT window_start, n, round(p50_s, 6) AS p50_s, round(p95_s, 6) AS p95_s, p95_s > 0.25 AS alert FROM q"""
+
+SQL["missing_rate"] = BASE_PLOG + """
+SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start, feature, count(*) AS n, round(count(*) / 60.0, 6) AS rate_per_s
+FROM (SELECT ts, unnest(missing_features) AS feature FROM plog) GROUP BY 1, 2"""
+
+SQL["missing_alert"] = BASE_PLOG + f""", sl AS ({_slide('plog', 'len(missing_features) AS k')}),
+a AS (SELECT window_start, CAST(sum(k) AS BIGINT) AS n_missing FROM sl GROUP BY 1)
+SELECT window_start, n_missing, round(n_missing / 120.0, 6) AS rate_per_s, n_missing / 120.0 > 1.0 AS alert FROM a"""
+
+_IDLE = BASE_PLOG + """, cnt AS (
+  SELECT date_trunc('minute', ts) AS minute, count(*) AS n FROM plog WHERE decision IS NOT NULL GROUP BY 1),
+sp AS (SELECT unnest(range(min(date_trunc('minute', ts)), max(date_trunc('minute', ts)) + INTERVAL '1 minute',
+                           INTERVAL '1 minute')) AS minute FROM plog),
+s AS (SELECT sp.minute, coalesce(cnt.n, 0) AS n FROM sp LEFT JOIN cnt ON sp.minute = cnt.minute),
+w AS (SELECT minute, n, CAST(sum(n) OVER (ORDER BY minute ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS BIGINT) AS n_last,
+             count(*) OVER (ORDER BY minute ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS k FROM s),
+i AS (SELECT minute, n, n_last, n_last = 0 AND k = 5 AS idle FROM w),
+f AS (SELECT *, min(CAST(idle AS INTEGER)) OVER (ORDER BY minute ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) = 1
+                AND count(*) OVER (ORDER BY minute ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) = 10 AS firing FROM i)"""
+
+SQL["idle_gaps"] = _IDLE + "\nSELECT minute, n, n_last, idle, firing FROM f"
+
+SQL["alert_hold"] = _IDLE + """,
+e AS (SELECT *, firing AND NOT coalesce(lag(firing) OVER (ORDER BY minute), false) AS st FROM f),
+g AS (SELECT *, sum(CAST(st AS INTEGER)) OVER (ORDER BY minute ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ep FROM e)
+SELECT min(minute) AS first_minute, max(minute) AS last_minute, count(*) AS minutes FROM g WHERE firing GROUP BY ep"""
+
+SQL["missing_event_ids"] = with_(PAYMENTS) + """
+SELECT time_bucket(INTERVAL '1 minute', event_timestamp) AS window_start,
+       CAST(sum(CASE WHEN CAST(event_id AS BIGINT) % 199 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_missing, count(*) AS n
+FROM payments GROUP BY 1"""

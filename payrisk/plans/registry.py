@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from payrisk import schemas as S
@@ -393,3 +393,75 @@ def q_quality_rules(spark, sf_dir):
         F.col("Amount").try_cast("double").alias("amount"),
         F.col("Class").try_cast("int").alias("is_fraud"))
     return quality.quality_errors(typed).select(F.array_join("validation_errors", "; ").alias("validation_errors"))
+
+
+# ---------------------------------------------------------------- monitoring
+from payrisk.operators import monitor  # noqa: E402
+from payrisk.operators.score import fill_event_id  # noqa: E402
+
+
+@register("decisions_per_minute")
+def q_decisions_per_minute(spark, sf_dir):
+    """MON-1: predictions per decision per minute and per-second rate."""
+    return _round(monitor.decisions_per_window(_log(spark, sf_dir)), ["rate_per_s"])
+
+
+@register("error_ratio_2m")
+def q_error_ratio_2m(spark, sf_dir):
+    """MON-2: request error ratio over sliding 2-minute windows (slide 1 minute), alert > 5 %."""
+    return _round(monitor.error_ratio(_log(spark, sf_dir)), ["error_ratio"])
+
+
+@register("latency_histogram")
+def q_latency_histogram(spark, sf_dir):
+    """MON-3: cumulative scoring-latency histogram per hour."""
+    return monitor.latency_histogram(_log(spark, sf_dir))
+
+
+@register("latency_quantiles")
+def q_latency_quantiles(spark, sf_dir):
+    """MON-4: p50/p95 latency by histogram interpolation per sliding 2-minute window, alert p95 > 0.25 s."""
+    return _round(monitor.latency_quantiles(_log(spark, sf_dir)), ["p50_s", "p95_s"])
+
+
+@register("missing_rate")
+def q_missing_rate(spark, sf_dir):
+    """MON-5: missing-feature counts and rates by feature per minute."""
+    return _round(monitor.missing_feature_rates(_log(spark, sf_dir)), ["rate_per_s"])
+
+
+@register("missing_alert")
+def q_missing_alert(spark, sf_dir):
+    """MON-5: total missing-feature rate over sliding 2-minute windows, alert > 1/s."""
+    return _round(monitor.missing_feature_alert(_log(spark, sf_dir)), ["rate_per_s"])
+
+
+@register("idle_gaps")
+def q_idle_gaps(spark, sf_dir):
+    """MON-6 + MON-7: per minute of the log, predictions, the 5-minute idle condition and its 10-minute hold."""
+    return monitor.idle_alert(_log(spark, sf_dir))
+
+
+@register("alert_hold")
+def q_alert_hold(spark, sf_dir):
+    """MON-7: firing episodes of the idle alert (gaps and islands over the minute spine)."""
+    s = monitor.idle_alert(_log(spark, sf_dir))
+    w = Window.orderBy("minute")
+    s = s.withColumn("_start", F.col("firing") & ~F.coalesce(F.lag("firing").over(w), F.lit(False)))
+    s = s.withColumn("_ep", F.sum(F.col("_start").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return (s.where("firing").groupBy("_ep")
+             .agg(F.min("minute").alias("first_minute"), F.max("minute").alias("last_minute"),
+                  F.count(F.lit(1)).alias("minutes"))
+             .drop("_ep"))
+
+
+@register("missing_event_ids")
+def q_missing_event_ids(spark, sf_dir):
+    """MON-8 + PRJ-18: requests without an event id (id mod 199 = 0 in the stand-in) get a
+    deterministic generated id; count them per minute."""
+    pay = _pay(spark, sf_dir)
+    eid = F.col("event_id").cast("long")
+    req = pay.select(F.when(F.pmod(eid, F.lit(199)) != 0, F.col("event_id")).alias("event_id"), "card_id", "amount",
+                     F.col("event_timestamp").alias("ts"))
+    filled = fill_event_id(req)
+    return monitor.missing_event_ids(filled)
