@@ -554,3 +554,32 @@ SQL["missing_event_ids"] = with_(PAYMENTS) + """
 SELECT time_bucket(INTERVAL '1 minute', event_timestamp) AS window_start,
        CAST(sum(CASE WHEN CAST(event_id AS BIGINT) % 199 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_missing, count(*) AS n
 FROM payments GROUP BY 1"""
+
+
+# ---------------------------------------------------------------- streams
+SQL["stream_card_velocity_1m"] = with_(PAYMENTS) + """, p AS (
+  SELECT card_id, date_trunc('second', event_timestamp) AS et, amount FROM payments
+  WHERE card_id IS NOT NULL AND event_timestamp IS NOT NULL),
+v AS (SELECT card_id, time_bucket(INTERVAL '1 minute', et) + INTERVAL '1 minute' AS event_timestamp,
+             count(*) AS txn_count_1m, sum(amount) AS amount_sum_1m FROM p GROUP BY 1, 2)
+SELECT card_id, event_timestamp, txn_count_1m, round(amount_sum_1m, 6) AS amount_sum_1m FROM v
+WHERE event_timestamp <= (SELECT max(et) FROM p) - INTERVAL '5 seconds'"""
+
+SQL["stream_validation"] = SQL["dlq_reasons"]
+
+SQL["stream_latest_features"] = SQL["latest_features"]
+
+SQL["stream_scores"] = with_(PAYMENTS, V1M, V5M) + f""",
+l1 AS (SELECT * FROM f1 QUALIFY row_number() OVER (PARTITION BY card_id ORDER BY event_timestamp DESC) = 1),
+l5 AS (SELECT * FROM f5 QUALIFY row_number() OVER (PARTITION BY card_id ORDER BY event_timestamp DESC) = 1),
+j AS (SELECT p.event_id, p.card_id, p.amount, coalesce(l1.txn_count_1m, 0) AS t1, coalesce(l5.txn_count_5m, 0) AS t5
+      FROM payments p LEFT JOIN l1 ON p.card_id = l1.card_id LEFT JOIN l5 ON p.card_id = l5.card_id
+      WHERE p.card_id IS NOT NULL AND p.card_id <> '' AND p.amount IS NOT NULL AND p.amount >= 0),
+s AS (SELECT *, {heuristic('amount', 't1', 't5')} AS fraud_probability FROM j)
+SELECT event_id, card_id, round(amount, 6) AS amount, round(fraud_probability, 6) AS fraud_probability,
+       CASE WHEN fraud_probability >= 0.5 THEN 'fraud' ELSE 'approve' END AS decision, 'fallback' AS model_version FROM s"""
+
+SQL["stream_label_join"] = with_(PAYMENTS, V1M, V5M, PLOG, LABLOG) + """
+SELECT p.event_id, p.ts, round(p.fraud_probability, 6) AS fraud_probability, l.is_fraud, l.label_timestamp
+FROM plog p JOIN lablog l ON p.event_id = l.event_id
+ AND l.label_timestamp >= p.ts AND l.label_timestamp <= p.ts + INTERVAL '60 minutes'"""

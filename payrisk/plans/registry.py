@@ -465,3 +465,109 @@ def q_missing_event_ids(spark, sf_dir):
                      F.col("event_timestamp").alias("ts"))
     filled = fill_event_id(req)
     return monitor.missing_event_ids(filled)
+
+
+# ---------------------------------------------------------------- streams
+from payrisk.streaming import jobs as sjobs  # noqa: E402
+from payrisk.streaming import sources as ssrc  # noqa: E402
+from payrisk.streaming.features import card_velocity_stream  # noqa: E402
+
+
+def _run_available_now(df, path: str, checkpoint: str, fmt: str = "parquet", mode: str = "append"):
+    q = (df.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
+         .outputMode(mode).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
+@register("stream_card_velocity_1m")
+def q_stream_card_velocity_1m(spark, sf_dir):
+    """STR-1..4 + SRC-1 + PRJ-1/2: JSON payment stream → 5 s watermark → 1-minute tumbling
+    count/sum per card, append mode (windows closed by the final watermark)."""
+    root = scratch_path(spark, "stream-velocity")
+    fixtures.payment_json_lines(_pay(spark, sf_dir)).write.mode("overwrite").text(f"{root}/in")
+    stream = ssrc.decode_payments(ssrc.json_lines_source(spark, f"{root}/in"))
+    _run_available_now(card_velocity_stream(stream), f"{root}/out", f"{root}/ckpt")
+    out = spark.read.parquet(f"{root}/out")
+    return _round(out.select("card_id", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
+                             "txn_count_1m", "amount_sum_1m"), ["amount_sum_1m"])
+
+
+@register("stream_validation")
+def q_stream_validation(spark, sf_dir):
+    """STR-5 + SRC-2 + SNK-3: validate-and-route stream (foreachBatch, per-batch idempotent
+    outputs); outcome counts over the valid and dead-letter outputs."""
+    raw_path = scratch_path(spark, "raw-messages")
+    fixtures.landed_messages(spark, sf_dir, raw_path)
+    root = scratch_path(spark, "stream-validation")
+    src = ssrc.file_message_source(spark, raw_path, max_files_per_trigger=1)
+    q = sjobs.start_validation(src, f"{root}/valid", f"{root}/dlq", f"{root}/ckpt", trigger={"availableNow": True})
+    q.awaitTermination()
+    valid = spark.read.parquet(f"{root}/valid/*").select(F.lit("ok").alias("outcome"))
+    dlq = spark.read.parquet(f"{root}/dlq/*").select(F.col("error").alias("outcome"))
+    return valid.unionByName(dlq).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _feature_files(spark, sf_dir, root, view: str):
+    pay = _pay(spark, sf_dir)
+    f = velocity.card_velocity_1m(pay) if view == "1m" else velocity.card_velocity_5m(pay)
+    f = f.withColumn("created_timestamp", F.col("event_timestamp"))
+    # several files → several micro-batches with maxFilesPerTrigger=1
+    f.repartition(4).write.mode("overwrite").parquet(f"{root}/features_{view}")
+    return spark.read.parquet(f"{root}/features_{view}").schema
+
+
+@register("stream_latest_features")
+def q_stream_latest_features(spark, sf_dir):
+    """STR-7 + SNK-6 + WIN-3: feature stream upserted micro-batch by micro-batch into a
+    versioned latest-per-card table; the final committed snapshot."""
+    configure(spark)
+    root = scratch_path(spark, "stream-upsert")
+    schema = _feature_files(spark, sf_dir, root, "1m")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/features_1m")
+    q = sjobs.start_upsert(stream, f"{root}/latest", f"{root}/ckpt", trigger={"availableNow": True})
+    q.awaitTermination()
+    latest = sjobs.read_latest_table(spark, f"{root}/latest")
+    return _round(latest.select("card_id", "event_timestamp", "txn_count_1m", "amount_sum_1m"), ["amount_sum_1m"])
+
+
+@register("stream_scores")
+def q_stream_scores(spark, sf_dir):
+    """STR-6 + JOIN-5 + SNK-4/5 + STR-9: payment stream scored per micro-batch against the
+    latest-per-card tables of both views (heuristic model); the emitted decisions."""
+    configure(spark)
+    root = scratch_path(spark, "stream-score")
+    for view in ("1m", "5m"):
+        _feature_files(spark, sf_dir, root, view)
+        sjobs.upsert_latest(spark.read.parquet(f"{root}/features_{view}"), 0, f"{root}/latest_{view}")
+    fixtures.payment_json_lines(_pay(spark, sf_dir)).write.mode("overwrite").text(f"{root}/in")
+    stream = ssrc.decode_payments(ssrc.json_lines_source(spark, f"{root}/in"))
+    q = (stream.writeStream.option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True)
+         .foreachBatch(lambda df, bid: sjobs.score_batch(df, bid, f"{root}/latest_1m", f"{root}/latest_5m",
+                                                         f"{root}/decisions", f"{root}/log", f"{root}/errors"))
+         .start())
+    q.awaitTermination()
+    dec = spark.read.parquet(f"{root}/decisions/*")
+    return _round(dec.select("event_id", "card_id", "amount", "fraud_probability", "decision", "model_version"),
+                  ["amount", "fraud_probability"])
+
+
+@register("stream_label_join")
+def q_stream_label_join(spark, sf_dir):
+    """JOIN-6: prediction stream ⟕ label stream (watermarks 10 min, label within 60 min of the
+    prediction); the matched pairs."""
+    configure(spark)
+    root = scratch_path(spark, "stream-labels")
+    pay = _pay(spark, sf_dir)
+    (fixtures.prediction_log(pay).select("event_id", F.col("ts").cast("timestamp").alias("ts"), "fraud_probability")
+     .write.mode("overwrite").parquet(f"{root}/preds"))
+    (fixtures.labels_log(pay).select(F.col("event_id").alias("l_event_id"), "is_fraud",
+                                     F.col("label_timestamp").cast("timestamp").alias("label_timestamp"))
+     .write.mode("overwrite").parquet(f"{root}/labels"))
+    p = spark.readStream.schema(spark.read.parquet(f"{root}/preds").schema).parquet(f"{root}/preds")
+    lab = spark.readStream.schema(spark.read.parquet(f"{root}/labels").schema).parquet(f"{root}/labels")
+    _run_available_now(sjobs.label_join_stream(p, lab), f"{root}/out", f"{root}/ckpt")
+    out = spark.read.parquet(f"{root}/out").where(F.col("l_event_id").isNotNull())
+    return _round(out.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "fraud_probability", "is_fraud",
+                             F.col("label_timestamp").cast("timestamp_ntz").alias("label_timestamp")),
+                  ["fraud_probability"])

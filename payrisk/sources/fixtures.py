@@ -100,13 +100,10 @@ RAW_FAULTS = {
 }
 
 
-def raw_payment_messages(pay: DataFrame, topic: str = "payments.v1", partitions: int = 12) -> DataFrame:
-    """Kafka-shaped frame (topic, partition, offset, key, value binary) of JSON
-    payment events, with the faults of ``RAW_FAULTS`` injected (as edits of the
-    valid document)."""
-    eid = F.col("event_id").cast("long")
+def payment_fields(pay: DataFrame) -> dict:
+    """The 19 wire fields of a payment event as columns of ``pay``."""
     ts_iso = F.date_format(F.col("event_timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    fields = {
+    return {
         "event_id": F.col("event_id"), "card_id": F.col("card_id"),
         "user_id": F.regexp_replace("card_id", "^card_", "u_"), "merchant_id": F.col("merchant_id"),
         "device_id": F.concat(F.lit("d_"), F.col("card_id")), "ip": F.lit("10.0.0.1"),
@@ -116,6 +113,19 @@ def raw_payment_messages(pay: DataFrame, topic: str = "payments.v1", partitions:
         "lat": F.col("lat"), "lon": F.col("lon"), "event_ts": ts_iso, "ingest_ts": ts_iso,
         "is_fraud": F.col("is_fraud"),
     }
+
+
+def payment_json_lines(pay: DataFrame) -> DataFrame:
+    """Valid JSON documents of all payments, one ``value`` string per row."""
+    return pay.select(F.to_json(F.struct(*[c.alias(n) for n, c in payment_fields(pay).items()])).alias("value"))
+
+
+def raw_payment_messages(pay: DataFrame, topic: str = "payments.v1", partitions: int = 12) -> DataFrame:
+    """Kafka-shaped frame (topic, partition, offset, key, value binary) of JSON
+    payment events, with the faults of ``RAW_FAULTS`` injected (as edits of the
+    valid document)."""
+    eid = F.col("event_id").cast("long")
+    fields = payment_fields(pay)
     k = F.pmod(eid, F.lit(97))
     good = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
     edit = lambda pat, rep: F.regexp_replace(good, F.lit(pat), F.lit(rep))
