@@ -583,3 +583,21 @@ SQL["stream_label_join"] = with_(PAYMENTS, V1M, V5M, PLOG, LABLOG) + """
 SELECT p.event_id, p.ts, round(p.fraud_probability, 6) AS fraud_probability, l.is_fraud, l.label_timestamp
 FROM plog p JOIN lablog l ON p.event_id = l.event_id
  AND l.label_timestamp >= p.ts AND l.label_timestamp <= p.ts + INTERVAL '60 minutes'"""
+
+
+# ---------------------------------------------------------------- training
+_TRAIN = with_(PAYMENTS, V1M, V5M, pit_two_views(ALIGN_5M)) + """, sp AS (
+  SELECT *, row_number() OVER (PARTITION BY is_fraud ORDER BY md5('42:' || event_id), event_id)
+            <= round(count(*) OVER (PARTITION BY is_fraud) * 0.2) AS is_test FROM pit)"""
+
+SQL["stratified_split"] = _TRAIN + "\nSELECT event_id, is_fraud, is_test FROM sp"
+
+SQL["class_weight"] = _TRAIN + """, c AS (
+  SELECT CAST(sum(CASE WHEN is_fraud = 0 THEN 1 ELSE 0 END) AS BIGINT) AS neg,
+         CAST(sum(CASE WHEN is_fraud = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos FROM sp WHERE NOT is_test)
+SELECT neg, pos, round(neg / greatest(pos, 1), 6) AS scale_pos_weight FROM c"""
+
+SQL["training_frame"] = with_(PAYMENTS, V1M, V5M, pit_two_views(ALIGN_5M)) + """
+SELECT event_id, card_id, event_timestamp, round(amount, 6) AS amount, is_fraud, txn_count_1m,
+       round(amount_sum_1m, 6) AS amount_sum_1m, txn_count_5m, round(avg_transaction_amount_5m, 6) AS avg_transaction_amount_5m
+FROM pit"""

@@ -571,3 +571,68 @@ def q_stream_label_join(spark, sf_dir):
     return _round(out.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "fraud_probability", "is_fraud",
                              F.col("label_timestamp").cast("timestamp_ntz").alias("label_timestamp")),
                   ["fraud_probability"])
+
+
+# ---------------------------------------------------------------- training
+from payrisk.operators.split import stratified_split  # noqa: E402
+from payrisk.plans import train as tr  # noqa: E402
+
+_MODELS: dict[tuple, str] = {}
+
+
+@register("stratified_split")
+def q_stratified_split(spark, sf_dir):
+    """WIN-5: deterministic stratified 80/20 split of the training frame (md5 order per class)."""
+    frame = tr.training_frame(_pay(spark, sf_dir))
+    return stratified_split(frame).select("event_id", "is_fraud", "is_test")
+
+
+@register("class_weight")
+def q_class_weight(spark, sf_dir):
+    """AGG-10: neg, pos and scale_pos_weight of the training split."""
+    frame = stratified_split(tr.training_frame(_pay(spark, sf_dir)))
+    return _round(metrics.class_weight(frame.where(~F.col("is_test"))), ["scale_pos_weight"])
+
+
+@register("training_frame")
+def q_training_frame(spark, sf_dir):
+    """ML-1: labelled payments at the 5-minute window end with both feature views, missing → 0."""
+    return _round(tr.training_frame(_pay(spark, sf_dir)), ["amount", "amount_sum_1m", "avg_transaction_amount_5m"])
+
+
+def _trained(spark, sf_dir):
+    key = (sf_dir, spark.sparkContext.applicationId)
+    if key not in _MODELS:
+        model, met = tr.train(_pay(spark, sf_dir))
+        path = scratch_path(spark, "model")
+        tr.save_model(model, path)
+        met = met.checkpoint(eager=True)
+        tr.log_run(met, f"{checkpoint_root_path(spark)}/payrisk/runs", "train", tr.asdict(tr.TrainParams()))
+        _MODELS[key] = (path, met)
+    return _MODELS[key]
+
+
+def checkpoint_root_path(spark):
+    from payrisk.session import checkpoint_root
+
+    return checkpoint_root(spark).rstrip("/")
+
+
+@register("train_gbt")
+def q_train_gbt(spark, sf_dir):
+    """ML-1/2/5 + AGG-10 + SNK-8: GBT (300 trees, depth 6, step 0.05, subsample 0.9) with class
+    weights on the stratified training split; test-split metrics (also logged to the runs table)."""
+    _, met = _trained(spark, sf_dir)
+    return met
+
+
+@register("gbt_test_scores")
+def q_gbt_test_scores(spark, sf_dir):
+    """ML-4 + ML-6: the saved model reloaded and applied to the test split; P(fraud) and decision."""
+    path, _ = _trained(spark, sf_dir)
+    model = tr.load_model(path)
+    frame = stratified_split(tr.training_frame(_pay(spark, sf_dir)))
+    from payrisk.operators.score import score_model
+
+    s = score_model(frame.where(F.col("is_test")), model, "candidate")
+    return _round(s.select("event_id", "is_fraud", "fraud_probability", "decision"), ["fraud_probability"])
