@@ -601,3 +601,19 @@ SQL["training_frame"] = with_(PAYMENTS, V1M, V5M, pit_two_views(ALIGN_5M)) + """
 SELECT event_id, card_id, event_timestamp, round(amount, 6) AS amount, is_fraud, txn_count_1m,
        round(amount_sum_1m, 6) AS amount_sum_1m, txn_count_5m, round(avg_transaction_amount_5m, 6) AS avg_transaction_amount_5m
 FROM pit"""
+
+
+# ---------------------------------------------------------------- snapshots, logs, enrichment
+SQL["snapshot_payments"] = with_(PAYMENTS) + """
+SELECT card_id, event_timestamp, round(amount, 6) AS amount, channel, country, city, is_fraud FROM payments"""
+
+SQL["snapshot_features"] = with_(PAYMENTS, V1M) + """
+SELECT card_id, event_timestamp, txn_count_1m, round(amount_sum_1m, 6) AS amount_sum_1m FROM f1"""
+
+SQL["eval_event_id_jsonl"] = SQL["eval_event_id"]
+
+SQL["enriched_events"] = with_(PAYMENTS, V1M, V5M, _pit_no_fill()) + """
+SELECT event_id, card_id, event_timestamp, round(amount, 6) AS amount, txn_count_1m, round(amount_sum_1m, 6) AS amount_sum_1m,
+       txn_count_5m, round(avg_transaction_amount_5m, 6) AS avg_transaction_amount_5m FROM s2"""
+
+SQL["stream_dedupe"] = with_(PAYMENTS) + "SELECT event_id, card_id, round(amount, 6) AS amount FROM payments"

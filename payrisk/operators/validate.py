@@ -104,17 +104,18 @@ def parse_payment(v: Column) -> Column:
     return F.struct(*fields)
 
 
-def split_valid(messages: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Route messages: (valid typed payments, dead-letter records).
+def route(checked: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Split an already validated frame (see :func:`validate_messages`) into
+    (valid typed payments, dead-letter records).
 
     Dead-letter schema: error, raw (UTF-8 repaired), topic, partition, offset —
     the Kafka source columns are passed through when present.
     """
-    checked = validate_messages(messages, value)
     valid = (checked.where(F.col("is_valid"))
                     .select(parse_payment(F.col("_v")).alias("p"))
                     .select("p.*"))
-    meta = {c: F.col(c) for c in ("topic", "partition", "offset") if c in messages.columns}
+    cols = checked.columns
+    meta = {c: F.col(c) for c in ("topic", "partition", "offset") if c in cols}
     dlq = checked.where(~F.col("is_valid")).select(
         F.col("error"),
         F.make_valid_utf8(F.col(value).cast("string")).alias("raw"),
@@ -125,6 +126,11 @@ def split_valid(messages: DataFrame, value: str = "value") -> tuple[DataFrame, D
     return valid, dlq
 
 
+def split_valid(messages: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Validate and route messages: (valid typed payments, dead-letter records)."""
+    return route(validate_messages(messages, value), value)
+
+
 def validation_counts(messages: DataFrame, value: str = "value") -> DataFrame:
     """AGG-17 and DLQ reasons: one row per outcome (``ok`` or the first error)."""
     checked = validate_messages(messages, value)

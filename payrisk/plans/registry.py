@@ -636,3 +636,82 @@ def q_gbt_test_scores(spark, sf_dir):
 
     s = score_model(frame.where(F.col("is_test")), model, "candidate")
     return _round(s.select("event_id", "is_fraud", "fraud_probability", "decision"), ["fraud_probability"])
+
+
+# ---------------------------------------------------------------- snapshots, logs, enrichment
+from payrisk.sources import logs  # noqa: E402
+
+_ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+
+
+@register("snapshot_payments")
+def q_snapshot_payments(spark, sf_dir):
+    """SRC-3 + FLT-6 + PRJ-6: bounded snapshot of the payment topic (landed JSON) → payments_v1 rows."""
+    configure(spark)
+    root = scratch_path(spark, "snapshot-payments")
+    fixtures.payment_json_lines(_pay(spark, sf_dir)).write.mode("overwrite").text(root)
+    snap = logs.snapshot_payments(spark.read.text(root))
+    return _round(snap, ["amount"])
+
+
+@register("snapshot_features")
+def q_snapshot_features(spark, sf_dir):
+    """SRC-4: feature-topic snapshot from earliest; unparseable records skipped."""
+    configure(spark)
+    root = scratch_path(spark, "snapshot-features")
+    f1 = velocity.card_velocity_1m(_pay(spark, sf_dir)).withColumn("created_timestamp", F.col("event_timestamp"))
+    good = f1.select(F.to_json(F.struct(
+        "card_id", F.date_format("event_timestamp", _ISO).alias("event_timestamp"),
+        F.date_format("created_timestamp", _ISO).alias("created_timestamp"),
+        "txn_count_1m", "amount_sum_1m")).alias("value"))
+    # a damaged second copy of multi-row windows, and lines that are not JSON
+    bad = f1.where(F.col("txn_count_1m") >= 2).select(F.to_json(F.struct(
+        "card_id", F.date_format("event_timestamp", _ISO).alias("event_timestamp"),
+        F.lit("n/a").alias("amount_sum_1m"))).alias("value"))
+    junk = f1.where(F.col("txn_count_1m") >= 2).select(F.concat(F.lit("{broken "), F.col("card_id")).alias("value"))
+    good.unionByName(bad).unionByName(junk).write.mode("overwrite").text(root)
+    snap = logs.snapshot_features(spark.read.text(root))
+    return _round(snap.select("card_id", "event_timestamp", "txn_count_1m", "amount_sum_1m"), ["amount_sum_1m"])
+
+
+@register("eval_event_id_jsonl")
+def q_eval_event_id_jsonl(spark, sf_dir):
+    """SRC-8 + ML-10: both logs written as JSON lines with blank and broken lines, scanned
+    tolerantly and evaluated; equals the evaluation of the clean logs."""
+    configure(spark)
+    root = scratch_path(spark, "jsonl-logs")
+    pay = _pay(spark, sf_dir)
+    log = fixtures.prediction_log(pay).withColumn("ts", F.date_format("ts", _ISO)) \
+        .withColumn("event_ts", F.date_format("event_ts", _ISO)).withColumn("ingest_ts", F.date_format("ingest_ts", _ISO))
+    lab = fixtures.labels_log(pay).withColumn("label_timestamp", F.date_format("label_timestamp", _ISO))
+    for name, df in (("preds", log), ("labels", lab)):
+        lines = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+        noise = df.limit(0).sparkSession.createDataFrame([("",), ("{not json",), ("   ",)], "value string")
+        lines.unionByName(noise).write.mode("overwrite").text(f"{root}/{name}")
+    s = ev.evaluate_event_id(logs.read_prediction_log(spark, f"{root}/preds"),
+                             logs.read_labels_log(spark, f"{root}/labels"), allow_partial=True)
+    return _round(s, _SUMMARY_D)
+
+
+@register("enriched_events")
+def q_enriched_events(spark, sf_dir):
+    """EXT-4 + JOIN-5: every payment with the 1m and 5m features current at its event time (no scoring)."""
+    pay = _pay(spark, sf_dir)
+    ent = pay.select("event_id", "card_id", "event_timestamp", "amount")
+    return _round(pit.point_in_time_join(ent, velocity_views(pay)), ["amount", "amount_sum_1m", "avg_transaction_amount_5m"])
+
+
+@register("stream_dedupe")
+def q_stream_dedupe(spark, sf_dir):
+    """STR-8: payment stream with repeated deliveries (ids mod 13 = 0 sent twice); duplicates dropped
+    within a 10-minute watermark."""
+    configure(spark)
+    root = scratch_path(spark, "stream-dedupe")
+    pay = _pay(spark, sf_dir)
+    lines = fixtures.payment_json_lines(pay)
+    again = fixtures.payment_json_lines(pay.where(F.pmod(F.col("event_id").cast("long"), F.lit(13)) == 0))
+    lines.unionByName(again).write.mode("overwrite").text(f"{root}/in")
+    stream = ssrc.decode_payments(ssrc.json_lines_source(spark, f"{root}/in"))
+    _run_available_now(sjobs.drop_duplicate_deliveries(stream).select("event_id", "card_id", "amount"),
+                       f"{root}/out", f"{root}/ckpt")
+    return _round(spark.read.parquet(f"{root}/out"), ["amount"])

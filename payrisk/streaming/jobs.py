@@ -18,7 +18,7 @@ from payrisk import schemas as S
 from payrisk.functions.columns import decision, heuristic_probability
 from payrisk.operators.pit import latest_per_key, lookup_latest
 from payrisk.operators.score import with_missing_flags
-from payrisk.operators.validate import split_valid
+from payrisk.operators.validate import route, validate_messages
 
 
 def _batch_dir(root: str, batch_id: int) -> str:
@@ -63,6 +63,9 @@ def upsert_latest(batch: DataFrame, batch_id: int, root: str, keys=("card_id",),
     newest version with a ``_SUCCESS`` marker.
     """
     spark = batch.sparkSession
+    if created and created not in batch.columns:
+        # PRJ-17: rows pushed without a created time get the processing time
+        batch = batch.withColumn(created, F.current_timestamp())
     prev_versions = [v for v in _committed_versions(spark, root) if v < batch_id]
     cols = batch.columns
     merged = batch
@@ -85,11 +88,11 @@ def start_upsert(stream: DataFrame, table_root: str, checkpoint: str, keys=("car
 
 
 def route_batch(batch: DataFrame, batch_id: int, valid_root: str, dlq_root: str) -> None:
-    """STR-5 / SNK-3: validate one micro-batch and write valid rows and
-    dead-letter records, each to its own per-batch directory."""
+    """STR-5 / SNK-3: write a validated micro-batch's valid rows and dead-letter
+    records, each to its own per-batch directory."""
     batch = batch.persist()
     try:
-        valid, dlq = split_valid(batch)
+        valid, dlq = route(batch)
         valid.write.mode("overwrite").parquet(_batch_dir(valid_root, batch_id))
         dlq.write.mode("overwrite").parquet(_batch_dir(dlq_root, batch_id))
     finally:
@@ -98,8 +101,14 @@ def route_batch(batch: DataFrame, batch_id: int, valid_root: str, dlq_root: str)
 
 def start_validation(raw_stream: DataFrame, valid_root: str, dlq_root: str, checkpoint: str,
                      trigger: dict | None = None):
-    """STR-5: stateless validate-and-route stream with a dead-letter output."""
-    return (raw_stream.writeStream.option("checkpointLocation", checkpoint)
+    """STR-5: stateless validate-and-route stream with a dead-letter output.
+
+    AGG-17: the ``validation`` observation (rows, ok, dlq per micro-batch) is
+    reported in the query progress (``lastProgress['observedMetrics']``)."""
+    counted = validate_messages(raw_stream).observe(
+        "validation", F.count(F.lit(1)).alias("rows"),
+        F.sum(F.col("is_valid").cast("int")).alias("ok"), F.sum((~F.col("is_valid")).cast("int")).alias("dlq"))
+    return (counted.writeStream.option("checkpointLocation", checkpoint)
             .foreachBatch(lambda df, bid: route_batch(df, bid, valid_root, dlq_root))
             .trigger(**(trigger or {"processingTime": S.CHECKPOINT_INTERVAL})).start())
 
@@ -114,12 +123,14 @@ def score_batch(batch: DataFrame, batch_id: int, latest_1m_root: str, latest_5m_
     spark = batch.sparkSession
     batch = batch.persist()
     try:
-        ok_req = F.col("card_id").isNotNull() & (F.col("card_id") != "") & F.col("amount").isNotNull() & (
-            F.col("amount") >= 0)
+        # FLT-7 / FLT-2: card id non-empty, event id non-empty when given, amount >= 0
+        ok_req = (F.col("card_id").isNotNull() & (F.col("card_id") != "") & F.col("amount").isNotNull()
+                  & (F.col("amount") >= 0) & (F.col("event_id").isNull() | (F.col("event_id") != "")))
         reqs = batch.where(ok_req)
         rejects = batch.where(~ok_req | ok_req.isNull()).select(
             "event_id", "card_id", "amount",
             F.when(F.col("card_id").isNull() | (F.col("card_id") == ""), F.lit("card_id_empty"))
+             .when(F.col("event_id") == "", F.lit("event_id_empty"))
              .otherwise(F.lit("amount_invalid")).alias("reason"))
         feats = reqs
         for root, fields in ((latest_1m_root, ["txn_count_1m", "amount_sum_1m"]),
