@@ -376,10 +376,11 @@ SQL["psi_report"] = with_(
     psi_sql("pa", "SELECT amount AS x FROM payments", f"SELECT amount AS x FROM ({_RECENT})"),
     psi_sql("pt", "SELECT txn_count_1m AS x FROM f1", f"SELECT txn_count_1m AS x FROM ({_RECENT})"),
     psi_sql("ps", "SELECT amount_sum_1m AS x FROM f1", f"SELECT amount_sum_1m AS x FROM ({_RECENT})"),
-) + """
-SELECT 'psi_amount' AS feature, round(psi, 6) AS psi, n_bins, n_expected, n_actual, 5000::BIGINT AS n_recent FROM pa
-UNION ALL SELECT 'psi_txn_count_1m', round(psi, 6), n_bins, n_expected, n_actual, 5000::BIGINT FROM pt
-UNION ALL SELECT 'psi_amount_sum_1m', round(psi, 6), n_bins, n_expected, n_actual, 5000::BIGINT FROM ps"""
+) + f"""
+, rec AS ({_RECENT})
+SELECT 'psi_amount' AS feature, round(psi, 6) AS psi, n_bins, n_expected, n_actual, (SELECT count(*) FROM rec) AS n_recent FROM pa
+UNION ALL SELECT 'psi_txn_count_1m', round(psi, 6), n_bins, n_expected, n_actual, (SELECT count(*) FROM rec) FROM pt
+UNION ALL SELECT 'psi_amount_sum_1m', round(psi, 6), n_bins, n_expected, n_actual, (SELECT count(*) FROM rec) FROM ps"""
 
 SQL["psi_amount_halves"] = with_(PAYMENTS, psi_sql(
     "ph", "SELECT amount AS x FROM payments WHERE event_timestamp < TIMESTAMP '2024-01-16 00:00:00'",

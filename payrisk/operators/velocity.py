@@ -90,9 +90,9 @@ def geo_change_flag(payments: DataFrame, within_seconds: int = 300, bucket_secon
     through the run with ``last(ignorenulls)`` over a running frame.
 
     A hot card must not land in one task, so the window is partitioned by
-    (card, time bucket).  Rows of a bucket that lie within ``within_seconds`` of
-    its end are replayed into the next bucket as context (they emit nothing
-    there); older rows cannot matter, so the result equals the unbucketed form.
+    (card, time bucket).  Every row is also replayed, as context that emits
+    nothing, into each later bucket that starts within ``within_seconds`` of
+    it; older rows cannot matter, so the result equals the unbucketed form.
     """
     from payrisk.functions.columns import epoch_seconds, seconds_between
 
@@ -101,8 +101,11 @@ def geo_change_flag(payments: DataFrame, within_seconds: int = 300, bucket_secon
     sec = epoch_seconds("event_timestamp")
     bucket = F.floor(sec / F.lit(bucket_seconds))
     own = base.withColumn("_bucket", bucket).withColumn("_ctx", F.lit(False))
-    ctx = (base.where(sec + F.lit(within_seconds) >= (bucket + 1) * F.lit(bucket_seconds))
-               .withColumn("_bucket", bucket + 1).withColumn("_ctx", F.lit(True)))
+    # replay each row into every later bucket it can still reach within `within_seconds`
+    reach = F.floor((sec + F.lit(within_seconds)) / F.lit(bucket_seconds))
+    ctx = (base.where(reach > bucket)
+               .withColumn("_bucket", F.explode(F.sequence(bucket + 1, reach)))
+               .withColumn("_ctx", F.lit(True)))
     ordered = Window.partitionBy("card_id", "_bucket").orderBy("event_timestamp", "event_id")
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     u = (own.unionByName(ctx)
