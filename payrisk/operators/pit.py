@@ -13,10 +13,12 @@ Plan (one shuffle for the join itself, no row blow-up, no range join):
   ``Window.partitionBy(keys, time_bucket).orderBy(ts, kind, created)`` carries
   the newest feature row forward to each entity row;
 * the window is partitioned by a time bucket as well as the key, so one hot key
-  is spread over many tasks.  The newest feature row of each (key, bucket) is
-  pre-aggregated (``max_by``, map-side partial) and replayed into the
-  following buckets it can still reach within its TTL ("carry-in" rows), which
-  makes the bucketed result equal to the unbucketed one.
+  is spread over many tasks.  Each feature row is also replayed ("carry-in")
+  into every later bucket that starts within its TTL, in the same projection
+  (``explode(sequence(bucket, reach))``), which makes the bucketed result equal
+  to the unbucketed one.  With the bucket at least as wide as the TTL (default
+  one day vs 2 h / 4 h) a row is replayed at most once, and only rows within
+  one TTL of a bucket end are (≈ TTL / bucket of them).
 """
 
 from __future__ import annotations
@@ -102,17 +104,13 @@ def point_in_time_join(entities: DataFrame, views: list[FeatureView], entity_ts:
         fts = _ntz(v.ts_col)
         s = vstruct(v)
         fb = F.floor(epoch_seconds(fts) / W)
-        parts.append(f.select(*row(fts, 0, s["_fcreated"], fb, None, i, s, [F.col(k) for k in keys])))
-        # carry-in: newest row of each (key, bucket) replayed into the next buckets within reach of the TTL
-        last_per_bucket = (f.select(*[F.col(k) for k in keys], fb.alias("_b"), s.alias("_s"))
-                           .groupBy(*keys, "_b")
-                           .agg(F.max_by("_s", F.struct(F.col("_s._fts"), F.col("_s._fcreated"))).alias("_s")))
-        reach = F.floor((epoch_seconds(F.col("_s._fts")) + F.lit(int(v.ttl_seconds))) / W)
-        carry = (last_per_bucket
-                 .withColumn("_tb", F.explode(F.sequence(F.col("_b") + 1, F.greatest(reach, F.col("_b") + 1))))
-                 .where(F.col("_tb") <= reach))
-        parts.append(carry.select(*row(F.col("_s._fts"), 0, F.col("_s._fcreated"), F.col("_tb"), None, i, F.col("_s"),
-                                       [F.col(k) for k in keys])))
+        # each feature row goes to its own bucket and, as carry-in, to every
+        # later bucket that starts within its TTL (one pass, no extra shuffle)
+        reach = F.floor((epoch_seconds(fts) + F.lit(int(v.ttl_seconds))) / W)
+        rows_v = f.select(*[F.col(k) for k in keys], fts.alias("_fts_"), s.alias("_s"),
+                          F.explode(F.sequence(fb, F.greatest(reach, fb))).alias("_tb"))
+        parts.append(rows_v.select(*row(F.col("_fts_"), 0, F.col("_s._fcreated"), F.col("_tb"), None, i,
+                                        F.col("_s"), [F.col(k) for k in keys])))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)

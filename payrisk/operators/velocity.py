@@ -100,15 +100,15 @@ def geo_change_flag(payments: DataFrame, within_seconds: int = 300, bucket_secon
             .dropna(subset=["card_id", "event_timestamp"]))
     sec = epoch_seconds("event_timestamp")
     bucket = F.floor(sec / F.lit(bucket_seconds))
-    own = base.withColumn("_bucket", bucket).withColumn("_ctx", F.lit(False))
-    # replay each row into every later bucket it can still reach within `within_seconds`
+    # one pass: each row goes to its own bucket and, as context, to every later
+    # bucket it can still reach within `within_seconds`
     reach = F.floor((sec + F.lit(within_seconds)) / F.lit(bucket_seconds))
-    ctx = (base.where(reach > bucket)
-               .withColumn("_bucket", F.explode(F.sequence(bucket + 1, reach)))
-               .withColumn("_ctx", F.lit(True)))
+    u0 = (base.withColumn("_own", bucket)
+              .withColumn("_bucket", F.explode(F.sequence(bucket, F.greatest(reach, bucket))))
+              .withColumn("_ctx", F.col("_bucket") != F.col("_own")).drop("_own"))
     ordered = Window.partitionBy("card_id", "_bucket").orderBy("event_timestamp", "event_id")
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    u = (own.unionByName(ctx)
+    u = (u0
          .withColumn("_prev_country", F.lag("country").over(ordered))
          .withColumn("_prev_ts", F.lag("event_timestamp").over(ordered))
          .withColumn("_run_start", F.when(F.col("_prev_ts").isNotNull()
