@@ -17,7 +17,7 @@ from payrisk import schemas as S
 from payrisk.functions.columns import round6, window_end
 from payrisk.operators import pit, velocity
 from payrisk.plans.features import velocity_views
-from payrisk.session import configure
+from payrisk.session import configure, scratch_path
 from payrisk.sources import fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,12 +151,26 @@ from payrisk.plans import evaluate as ev  # noqa: E402
 _D6 = ["amount", "amount_sum_1m", "avg_transaction_amount_5m", "fraud_probability"]
 
 
+_LANDED: dict[tuple, str] = {}
+
+
+def _landed(spark, sf_dir, name: str, build) -> DataFrame:
+    """Stand-in logs are landed once per session as Parquet under the shared
+    checkpoint folder (the reference reads them from files) and read back."""
+    key = (name, sf_dir, spark.sparkContext.applicationId)
+    if key not in _LANDED:
+        path = scratch_path(spark, f"landed-{name}")
+        build().write.mode("overwrite").parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(_LANDED[key])
+
+
 def _log(spark, sf_dir):
-    return fixtures.prediction_log(_pay(spark, sf_dir))
+    return _landed(spark, sf_dir, "prediction-log", lambda: fixtures.prediction_log(_pay(spark, sf_dir)))
 
 
 def _labels(spark, sf_dir):
-    return fixtures.labels_log(_pay(spark, sf_dir))
+    return _landed(spark, sf_dir, "labels-log", lambda: fixtures.labels_log(_pay(spark, sf_dir)))
 
 
 @register("heuristic_scores")
