@@ -618,3 +618,15 @@ SELECT event_id, card_id, event_timestamp, round(amount, 6) AS amount, txn_count
        txn_count_5m, round(avg_transaction_amount_5m, 6) AS avg_transaction_amount_5m FROM s2"""
 
 SQL["stream_dedupe"] = with_(PAYMENTS) + "SELECT event_id, card_id, round(amount, 6) AS amount FROM payments"
+
+SQL["decisions_large"] = with_(PAYMENTS_LARGE, V1M, V5M, SCORED) + """
+SELECT decision, count(*) AS n, round(avg(fraud_probability), 6) AS avg_probability,
+       CAST(sum(CASE WHEN len(missing_features) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_with_missing
+FROM scored2 GROUP BY decision"""
+
+SQL["stream_geo_change_5m"] = with_(PAYMENTS) + """, p AS (
+  SELECT card_id, date_trunc('second', event_timestamp) AS et, country FROM payments
+  WHERE card_id IS NOT NULL AND event_timestamp IS NOT NULL),
+v AS (SELECT card_id, time_bucket(INTERVAL '5 minutes', et) + INTERVAL '5 minutes' AS event_timestamp,
+             CASE WHEN count(DISTINCT country) > 1 THEN 1 ELSE 0 END AS geo_change_flag_5m FROM p GROUP BY 1, 2)
+SELECT * FROM v WHERE event_timestamp <= (SELECT max(et) FROM p) - INTERVAL '5 seconds'"""

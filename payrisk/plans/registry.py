@@ -729,3 +729,30 @@ def q_stream_dedupe(spark, sf_dir):
     _run_available_now(sjobs.drop_duplicate_deliveries(stream).select("event_id", "card_id", "amount"),
                        f"{root}/out", f"{root}/ckpt")
     return _round(spark.read.parquet(f"{root}/out"), ["amount"])
+
+
+@register("decisions_large")
+def q_decisions_large(spark, sf_dir):
+    """ML-3 + PRJ-15 over the lineitem ⨝ orders payments (large amounts): decision counts,
+    mean probability and missing-feature events per decision."""
+    from payrisk.plans.score import score_payments
+
+    s = score_payments(_pay(spark, sf_dir, large=True))
+    return _round(s.groupBy("decision").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("fraud_probability").alias("avg_probability"),
+        F.sum((F.size("missing_features") > 0).cast("int")).cast("long").alias("n_with_missing")),
+        ["avg_probability"])
+
+
+@register("stream_geo_change_5m")
+def q_stream_geo_change_5m(spark, sf_dir):
+    """EXT-3 (stream): cards seen in more than one country per 5-minute window, 5 s watermark."""
+    from payrisk.streaming.features import geo_change_stream
+
+    root = scratch_path(spark, "stream-geo")
+    fixtures.payment_json_lines(_pay(spark, sf_dir)).write.mode("overwrite").text(f"{root}/in")
+    stream = ssrc.decode_payments(ssrc.json_lines_source(spark, f"{root}/in"))
+    _run_available_now(geo_change_stream(stream), f"{root}/out", f"{root}/ckpt")
+    out = spark.read.parquet(f"{root}/out")
+    return out.select("card_id", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
+                      "geo_change_flag_5m")
