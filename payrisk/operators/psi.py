@@ -1,10 +1,13 @@
 """Population stability index (AGG-11, AGG-12, AGG-13).
 
 Bins come from the *expected* side: decile edges by exact linear-interpolated
-quantiles, outer edges replaced by ±∞, duplicate edges merged.  Bins are
+quantiles (bounded-memory search for high-cardinality columns, see
+``payrisk.operators.quantiles``), outer edges replaced by ±∞, duplicate edges
+merged.  Bins are
 right-closed ``(e_i, e_{i+1}]``: a value's bin is the number of inner edges
 strictly below it.  Both sides are binned in one pass over their union
-(the edge array arrives as a scalar subquery — never collected to the driver),
+(the nine-number edge array is a literal or a scalar subquery; no data goes
+through the driver),
 counted per bin, joined to the full bin spine so empty bins count 0, then
 smoothed: ``p = (count/n + eps) / Σ(count/n + eps)``;
 ``PSI = Σ (a − e)·ln(a / e)``.  NaN when a side is empty; 0.0 when the
@@ -24,33 +27,51 @@ def _clean(df: DataFrame, col: str) -> DataFrame:
     return df.select(x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
 
 
-def inner_edges(expected: DataFrame, col: str, bins: int = S.PSI_BINS) -> Column:
-    """Sorted distinct inner decile edges of ``expected[col]`` as a scalar-subquery column."""
+def inner_edges(expected: DataFrame, col: str, bins: int = S.PSI_BINS, method: str = "auto") -> Column:
+    """Sorted distinct inner decile edges of ``expected[col]``.
+
+    ``method="subquery"``: one exact ``percentile`` aggregate used as a scalar
+    subquery (lazy, no driver round trip; memory grows with distinct values).
+    Otherwise the edges come from :func:`payrisk.operators.quantiles.exact_quantiles`
+    (``auto`` / ``bounded`` / ``percentile``) — same values, bounded memory
+    when the column has many distinct values — and enter the plan as a
+    literal array of ``bins − 1`` numbers.
+    """
     qs = [i / bins for i in range(1, bins)]
-    e = _clean(expected, col)
-    return e.agg(F.array_sort(F.array_distinct(F.percentile("_x", F.array(*[F.lit(q) for q in qs]))))).scalar()
+    if method == "subquery":
+        e = _clean(expected, col)
+        return e.agg(F.array_sort(F.array_distinct(F.percentile("_x", F.array(*[F.lit(q) for q in qs]))))).scalar()
+    from payrisk.operators.quantiles import exact_quantiles
+
+    vals = exact_quantiles(expected, col, qs, method=method)
+    if vals[0] is None:
+        return F.lit(None).cast("array<double>")
+    return F.array(*[F.lit(float(v)) for v in sorted(set(vals))])
 
 
-def bin_of(x: Column, edges: Column) -> Column:
-    """AGG-11: right-closed bin index = number of edges strictly below x."""
-    return F.size(F.filter(edges, lambda e: e < x))
+def bin_of(x: Column, edges: Column, max_edges: int = S.PSI_BINS - 1) -> Column:
+    """AGG-11: right-closed bin index = number of edges strictly below x
+    (``max_edges`` plain comparisons; a missing edge compares as false)."""
+    return sum((F.coalesce((F.get(edges, i) < x), F.lit(False))).cast("int") for i in range(max_edges))
 
 
 def psi_bins(expected: DataFrame, actual: DataFrame, col: str, actual_col: str | None = None,
-             bins: int = S.PSI_BINS, eps: float = S.PSI_EPS) -> DataFrame:
+             bins: int = S.PSI_BINS, eps: float = S.PSI_EPS, method: str = "auto") -> DataFrame:
     """Per-bin counts and smoothed shares of both sides:
     ``bin, n_expected_bin, n_actual_bin, e_share, a_share`` (one row per bin)."""
     actual_col = actual_col or col
     e = _clean(expected, col)
     a = _clean(actual, actual_col)
-    edges = inner_edges(expected, col, bins)
+    edges = inner_edges(expected, col, bins, method)
     both = (e.select("_x", F.lit(1).alias("_e"), F.lit(0).alias("_a"))
              .unionByName(a.select("_x", F.lit(0).alias("_e"), F.lit(1).alias("_a"))))
-    binned = both.withColumn("_edges", edges).select(bin_of(F.col("_x"), F.col("_edges")).alias("bin"), "_e", "_a")
+    binned = both.withColumn("_edges", edges).select(bin_of(F.col("_x"), F.col("_edges"), bins - 1).alias("bin"),
+                                                     "_e", "_a")
     counts = binned.groupBy("bin").agg(F.sum("_e").cast("long").alias("ne"), F.sum("_a").cast("long").alias("na"))
     # bin spine 0..k-1 with k = #inner edges + 1 (at most `bins` rows)
-    spine = (expected.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-             .withColumn("_k", F.size(edges) + 1).where(F.col("bin") < F.col("_k")).drop("_k"))
+    spine = (expected.sparkSession.range(1)
+             .select(F.explode(F.sequence(F.lit(0), F.size(edges))).alias("_bin"))
+             .select(F.col("_bin").cast("int").alias("bin")))
     t = spine.join(counts, "bin", "left").na.fill(0, ["ne", "na"])
     allw = Window.partitionBy(F.lit(0))  # ≤ bins rows
     t = (t.withColumn("n_expected", F.sum("ne").over(allw)).withColumn("n_actual", F.sum("na").over(allw))
@@ -64,9 +85,9 @@ def psi_bins(expected: DataFrame, actual: DataFrame, col: str, actual_col: str |
 
 
 def psi(expected: DataFrame, actual: DataFrame, col: str, actual_col: str | None = None,
-        bins: int = S.PSI_BINS, eps: float = S.PSI_EPS, name: str | None = None) -> DataFrame:
+        bins: int = S.PSI_BINS, eps: float = S.PSI_EPS, name: str | None = None, method: str = "auto") -> DataFrame:
     """AGG-12: one row ``feature, psi, n_bins, n_expected, n_actual``."""
-    t = psi_bins(expected, actual, col, actual_col, bins, eps)
+    t = psi_bins(expected, actual, col, actual_col, bins, eps, method)
     term = (F.col("a_share") - F.col("e_share")) * F.log(F.col("a_share") / F.col("e_share"))
     agg = t.agg(F.sum(term).alias("_psi"), F.coalesce(F.max("k"), F.lit(0)).alias("n_bins"),
                 F.coalesce(F.max("n_expected"), F.lit(0)).alias("n_expected"),
