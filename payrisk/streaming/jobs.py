@@ -31,49 +31,63 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Versions ``v=<n>`` under ``root`` that finished writing (have _SUCCESS)."""
+def _committed(spark: SparkSession, root: str, prefix: str) -> list[int]:
+    """Ids ``n`` of the sub-directories ``<prefix><n>`` under ``root`` that
+    finished writing (have ``_SUCCESS``)."""
     fs, p = _fs(spark, root)
     if not fs.exists(p):
         return []
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
+        if name.startswith(prefix) and fs.exists(Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name[len(prefix):]))
     return sorted(out)
 
 
-def read_latest_table(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
-    """The newest committed snapshot of a latest-per-key table (readers never
-    see a half-written version)."""
-    vs = _committed_versions(spark, root)
-    if not vs:
+def read_latest_table(spark: SparkSession, root: str, keys=("card_id",), ts: str = "event_timestamp",
+                      created: str | None = "created_timestamp") -> DataFrame | None:
+    """The latest-per-key table: newest committed base version plus every
+    committed delta newer than it, folded with one ``max_by`` aggregate.
+    Readers only see directories whose write finished (``_SUCCESS``)."""
+    bases = _committed(spark, f"{root.rstrip('/')}/base", "v=")
+    base = bases[-1] if bases else -1
+    deltas = [d for d in _committed(spark, f"{root.rstrip('/')}/delta", "batch=") if d > base]
+    paths = ([f"{root.rstrip('/')}/base/v={base}"] if base >= 0 else []) + \
+            [f"{root.rstrip('/')}/delta/batch={d}" for d in deltas]
+    if not paths:
         return None
-    return spark.read.parquet(f"{root.rstrip('/')}/v={vs[-1]}")
+    df = spark.read.option("recursiveFileLookup", "true").parquet(*paths)
+    return latest_per_key(df, list(keys), ts, created).select(*df.columns)
 
 
 def upsert_latest(batch: DataFrame, batch_id: int, root: str, keys=("card_id",), ts: str = "event_timestamp",
-                  created: str | None = "created_timestamp") -> None:
+                  created: str | None = "created_timestamp", compact_every: int = 20) -> None:
     """SNK-6 / STR-7: merge a micro-batch into the latest-per-key table.
 
-    Copy-on-write: snapshot ``v=<batchId>`` = newest row per key of (previous
-    committed snapshot ∪ batch), by (ts, created).  Re-running a batch id
-    rewrites the same version, so the upsert is idempotent; readers pick the
-    newest version with a ``_SUCCESS`` marker.
+    Log-structured: the batch's newest row per key is written as
+    ``delta/batch=<batchId>`` — work proportional to the batch, not the
+    table.  Every ``compact_every`` batches the newest base and all deltas up
+    to this batch are folded into ``base/v=<batchId>``.  Both writes overwrite
+    their own directory, so re-running a batch id is idempotent.
     """
     spark = batch.sparkSession
     if created and created not in batch.columns:
         # PRJ-17: rows pushed without a created time get the processing time
         batch = batch.withColumn(created, F.current_timestamp())
-    prev_versions = [v for v in _committed_versions(spark, root) if v < batch_id]
     cols = batch.columns
-    merged = batch
-    if prev_versions:
-        prev = spark.read.parquet(f"{root.rstrip('/')}/v={prev_versions[-1]}").select(*cols)
-        merged = prev.unionByName(batch)
-    latest = latest_per_key(merged, list(keys), ts, created)
-    latest.select(*cols).write.mode("overwrite").parquet(f"{root.rstrip('/')}/v={batch_id}")
+    latest_per_key(batch, list(keys), ts, created).select(*cols) \
+        .write.mode("overwrite").parquet(f"{root.rstrip('/')}/delta/batch={batch_id}")
+    if compact_every and (batch_id + 1) % compact_every == 0:
+        bases = [v for v in _committed(spark, f"{root.rstrip('/')}/base", "v=") if v < batch_id]
+        base = bases[-1] if bases else -1
+        deltas = [d for d in _committed(spark, f"{root.rstrip('/')}/delta", "batch=") if base < d <= batch_id]
+        paths = ([f"{root.rstrip('/')}/base/v={base}"] if base >= 0 else []) + \
+                [f"{root.rstrip('/')}/delta/batch={d}" for d in deltas]
+        merged = spark.read.option("recursiveFileLookup", "true").parquet(*paths)
+        latest_per_key(merged, list(keys), ts, created).select(*cols) \
+            .write.mode("overwrite").parquet(f"{root.rstrip('/')}/base/v={batch_id}")
 
 
 def start_upsert(stream: DataFrame, table_root: str, checkpoint: str, keys=("card_id",),

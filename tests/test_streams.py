@@ -49,13 +49,14 @@ def test_upsert_idempotent_and_restart(spark, tmp_dir):
                               "card_id string, event_timestamp timestamp_ntz, txn_count_1m long, amount_sum_1m double")
     g = spark.createDataFrame([("a", datetime(2024, 1, 1, 0, 2), 5, 5.0), ("b", datetime(2024, 1, 1, 0, 0), 9, 9.0)],
                               f.schema)
-    root = f"{tmp_dir}/latest"
-    jobs.upsert_latest(f, 0, root)
-    jobs.upsert_latest(g, 1, root)
-    jobs.upsert_latest(g, 1, root)  # re-run of the same batch
-    lat = {r["card_id"]: r["txn_count_1m"] for r in jobs.read_latest_table(spark, root).collect()}
-    assert lat == {"a": 5, "b": 2}
-    assert jobs.read_latest_table(spark, root).count() == 2
+    for every in (0, 1, 2):
+        root = f"{tmp_dir}/latest{every}"
+        jobs.upsert_latest(f, 0, root, compact_every=every)
+        jobs.upsert_latest(g, 1, root, compact_every=every)
+        jobs.upsert_latest(g, 1, root, compact_every=every)  # re-run of the same batch
+        lat = {r["card_id"]: r["txn_count_1m"] for r in jobs.read_latest_table(spark, root).collect()}
+        assert lat == {"a": 5, "b": 2}, every
+        assert jobs.read_latest_table(spark, root).count() == 2
 
 
 def test_stream_equals_batch(spark):
