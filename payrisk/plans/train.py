@@ -109,6 +109,17 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def load_model_or_fallback(path: str | None):
+    """ML-7: the saved model and its version tag, or ``(None, 'fallback')``
+    when no model is present (scoring then uses the heuristic)."""
+    if path:
+        try:
+            return PipelineModel.load(path), path.rstrip("/").rsplit("/", 1)[-1]
+        except Exception:  # noqa: BLE001 - a missing or unreadable model means fallback
+            pass
+    return None, "fallback"
+
+
 def log_run(metrics: DataFrame, runs_path: str, run_name: str, params: dict) -> DataFrame:
     """SNK-8: append one row (run_id, run_name, params map, metrics map,
     logged_at) to the runs table; the metrics map is built from the metrics

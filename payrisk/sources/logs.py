@@ -48,7 +48,9 @@ def snapshot_payments(messages: DataFrame) -> DataFrame:
     ``is_fraud`` defaulted to 0 when missing, rows without card or time
     dropped."""
     doc = F.from_json(F.col("value").cast("string"), S.PAYMENTS_RAW)
-    p = messages.select(doc.alias("p")).where(F.col("p").isNotNull()).select("p.*")
+    from payrisk.streaming.sources import any_not_null
+
+    p = messages.select(doc.alias("p")).select("p.*").where(any_not_null(S.PAYMENTS_RAW.fieldNames()))
     p = p.where(F.col("event_ts").isNotNull() & (F.col("event_ts") != ""))
     out = p.select(
         "card_id",

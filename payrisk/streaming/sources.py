@@ -8,7 +8,7 @@ checkpoint folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,13 +48,21 @@ def json_lines_source(spark: SparkSession, path: str, max_files_per_trigger: int
     return r.load(path)
 
 
+def any_not_null(cols: list[str]) -> Column:
+    """True when at least one of ``cols`` is not null."""
+    out = F.lit(False)
+    for c in cols:
+        out = out | F.col(c).isNotNull()
+    return out
+
+
 def decode_payments(messages: DataFrame, value: str = "value") -> DataFrame:
     """PRJ-1 + PRJ-2: JSON → 19 typed columns (a message that does not parse
     at all is skipped), plus ``event_time`` = event_ts parsed as ISO-8601 and
     truncated to the second (UTC TIMESTAMP, as a watermark needs)."""
-    p = messages.select(F.from_json(F.col(value).cast("string"), S.PAYMENTS_RAW).alias("p")).where(
-        F.col("p").isNotNull())
-    out = p.select("p.*")
+    p = messages.select(F.from_json(F.col(value).cast("string"), S.PAYMENTS_RAW).alias("p"))
+    # PERMISSIVE from_json turns an unparseable document into an all-null struct: drop those
+    out = p.select("p.*").where(any_not_null(S.PAYMENTS_RAW.fieldNames()))
     et = F.date_trunc("second", iso_to_timestamp(F.col("event_ts")).cast("timestamp"))
     return out.withColumn("event_time", et)
 

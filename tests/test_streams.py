@@ -71,3 +71,17 @@ def test_stream_equals_batch(spark):
     wm = pay.agg(F.max("event_timestamp")).first()[0] - timedelta(seconds=5)
     b = b.where(F.col("event_timestamp") <= F.lit(wm))
     assert s.exceptAll(b).count() == 0 and b.exceptAll(s).count() == 0
+
+
+def test_decode_drops_unparseable(spark):
+    df = spark.createDataFrame([("not json",), ('{"card_id": "a", "amount": 1.0, "event_ts": "2024-01-01T00:00:00Z"}',),
+                                ("[]",)], "value string")
+    out = sources.decode_payments(df).collect()
+    assert len(out) == 1 and out[0]["card_id"] == "a" and out[0]["event_time"] is not None
+
+
+def test_model_fallback(spark, tmp_dir):
+    from payrisk.plans.train import load_model_or_fallback
+
+    assert load_model_or_fallback(f"{tmp_dir}/missing") == (None, "fallback")
+    assert load_model_or_fallback(None) == (None, "fallback")
