@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from payrisk.functions.columns import epoch_seconds
 
 DEFAULT_BUCKET_SECONDS = 86400
+HOT_BUCKET_SECONDS = 3600
+HOT_KEY_ROWS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -53,12 +55,21 @@ def _ntz(c) -> Column:
 
 def point_in_time_join(entities: DataFrame, views: list[FeatureView], entity_ts: str = "event_timestamp",
                        keys: tuple[str, ...] | None = None, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                       fill: dict | None = None) -> DataFrame:
+                       fill: dict | None = None, hot_key_rows: int | None = HOT_KEY_ROWS,
+                       hot_bucket_seconds: int = HOT_BUCKET_SECONDS) -> DataFrame:
     """As-of left join of ``entities`` to every view in ``views``.
 
     Output: every entity column (in order) followed by each view's fields.
     ``fill`` maps feature column → value for missing features (PRJ-7); it only
     touches feature columns.
+
+    Hot keys: keys with more than ``hot_key_rows`` entity rows (found by one
+    partial aggregate; that key table has at most rows / ``hot_key_rows``
+    entries, so broadcasting it is safe) use ``hot_bucket_seconds`` buckets
+    instead of ``bucket_seconds``, so one card holding a large share of all rows
+    is split into many small window partitions while ordinary cards keep the
+    coarse bucket (few replayed feature rows).  ``hot_key_rows=None`` turns
+    this off.
     """
     if not views:
         return entities
@@ -71,7 +82,20 @@ def point_in_time_join(entities: DataFrame, views: list[FeatureView], entity_ts:
     if clash:
         raise ValueError(f"feature columns clash with entity columns: {sorted(clash)}")
 
-    W = int(bucket_seconds)
+    W_cold, W_hot = int(bucket_seconds), int(hot_bucket_seconds)
+    hot = None
+    if hot_key_rows is not None:
+        hot = (entities.where(F.col(keys[0]).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                       .where(F.col("_n") > F.lit(int(hot_key_rows))).select(*keys, F.lit(True).alias("_hot")))
+
+    def tag(df: DataFrame) -> DataFrame:
+        """Add ``_W``: the bucket width of each row's key."""
+        if hot is None:
+            return df.withColumn("_W", F.lit(W_cold))
+        # at most (entity rows / hot_key_rows) keys: a bounded broadcast
+        return (df.join(F.broadcast(hot), list(keys), "left")
+                  .withColumn("_W", F.when(F.col("_hot"), F.lit(W_hot)).otherwise(F.lit(W_cold))).drop("_hot"))
+
     vnames = [f"_v{i}" for i in range(len(views))]
     ent_cols = entities.columns
 
@@ -95,12 +119,14 @@ def point_in_time_join(entities: DataFrame, views: list[FeatureView], entity_ts:
         return cols
 
     ets = _ntz(entity_ts)
-    parts = [entities.select(*row(ets, 1, F.lit(None), F.floor(epoch_seconds(ets) / W), F.struct(*[F.col(c) for c in ent_cols]),
-                                  None, None, [F.col(k) for k in keys]))]
+    W = F.col("_W")
+    parts = [tag(entities).select(*row(ets, 1, F.lit(None), F.floor(epoch_seconds(ets) / W),
+                                       F.struct(*[F.col(c) for c in ent_cols]), None, None, [F.col(k) for k in keys]))]
     for i, v in enumerate(views):
         f = v.df.where(F.col(v.ts_col).isNotNull())
         for k in keys:
             f = f.where(F.col(k).isNotNull())
+        f = tag(f)
         fts = _ntz(v.ts_col)
         s = vstruct(v)
         fb = F.floor(epoch_seconds(fts) / W)

@@ -79,7 +79,7 @@ def card_amount_sum_5m(payments: DataFrame, created: Column | None = None) -> Da
                             required=["card_id", "event_timestamp", "amount"])
 
 
-def geo_change_flag(payments: DataFrame, within_seconds: int = 300, bucket_seconds: int = 86400) -> DataFrame:
+def geo_change_flag(payments: DataFrame, within_seconds: int = 300, bucket_seconds: int = 3600) -> DataFrame:
     """EXT-3 (batch): ``geo_change_flag_5m`` = 1 when the same card was seen in a
     different country within the previous ``within_seconds`` (inclusive), else 0.
 

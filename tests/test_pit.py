@@ -93,3 +93,17 @@ def test_latest_and_lookup(spark):
     assert got == {"a": 2, "z": None}
     got = {r["card_id"]: r["f"] for r in lookup_latest(req, lat, ["f"], as_of="as_of", ttl_seconds=7200).collect()}
     assert got == {"a": None, "z": None}
+
+
+def test_hot_keys_same_result(spark):
+    """Keys split into fine buckets (hot) give the same join as coarse buckets."""
+    from payrisk.plans.features import velocity_views
+    from payrisk.sources.fixtures import payments
+
+    pay = payments(spark, "/root/testdata/sf0.01")
+    views = velocity_views(pay)
+    ent = pay.select("event_id", "card_id", "event_timestamp")
+    base = point_in_time_join(ent, views, hot_key_rows=None)
+    for rows, fine in ((1, 60), (60, 600), (70, 3600)):
+        hot = point_in_time_join(ent, views, hot_key_rows=rows, hot_bucket_seconds=fine)
+        assert hot.exceptAll(base).count() == 0 and base.exceptAll(hot).count() == 0, (rows, fine)
