@@ -9,10 +9,15 @@ doubles are rounded to 6 digits on both sides.
 
 from __future__ import annotations
 
-GEO_COUNTRY = "['US', 'US', 'GB', 'IN', 'SG', 'BR']"
-GEO_CITY = "['New_York', 'San_Francisco', 'London', 'Bengaluru', 'Singapore', 'Sao_Paulo']"
-GEO_LAT = "[40.7128, 37.7749, 51.5072, 12.9716, 1.3521, -23.5505]"
-GEO_LON = "[-74.0060, -122.4194, -0.1276, 77.5946, 103.8198, -46.6333]"
+from payrisk import schemas as _S
+
+
+def _sql_list(i: int) -> str:
+    vals = [g[i] for g in _S.GEO_POOL]
+    return "[" + ", ".join(f"'{v}'" if isinstance(v, str) else repr(v) for v in vals) + "]"
+
+
+GEO_COUNTRY, GEO_CITY, GEO_LAT, GEO_LON = (_sql_list(i) for i in range(4))
 
 PAYMENTS = f"""payments AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id,
@@ -479,7 +484,7 @@ FROM r"""
 
 
 # ---------------------------------------------------------------- monitoring
-_BOUNDS = [0.005, 0.01, 0.02, 0.05, 0.1, 0.25, 0.5, 1.0, 2.0, 5.0]
+_BOUNDS = list(_S.LATENCY_BUCKETS)
 _LE = [repr(b) for b in _BOUNDS] + ["+Inf"]
 
 

@@ -132,3 +132,23 @@ def test_eval_matches_pandas_on_driver_table(spark):
     assert got["missing_joins"] == len(j) - len(m)
     assert got["pr_auc"] == pytest.approx(ap_reference(m["is_fraud"].astype(int).tolist(),
                                                        m["fraud_probability"].tolist()), abs=1e-6)
+
+
+def test_split_partition_independent(spark):
+    """WIN-5: same split for 1, 4 and 50 shuffle partitions and input partitionings."""
+    from payrisk.operators.split import stratified_split
+
+    df = spark.range(5000).select(F.col("id").cast("string").alias("event_id"),
+                                  (F.col("id") % 7 == 0).cast("int").alias("is_fraud"))
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for parts in (1, 4, 50):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            s = stratified_split(df.repartition(parts), prefix_hex=2)
+            got.append(sorted(r["event_id"] for r in s.where("is_test").collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
+    assert got[0] == got[1] == got[2]
+    n_pos, n_neg = 715, 4285
+    assert len(got[0]) == round(n_pos * 0.2) + round(n_neg * 0.2)
