@@ -118,7 +118,7 @@ def minute_spine_counts(log: DataFrame, where: Column | None = None) -> DataFram
     """Every minute from the first to the last log minute with its prediction
     count (0 for empty minutes)."""
     src = log if where is None else log.where(where)
-    m = F.date_trunc("minute", F.col("ts"))
+    m = F.date_trunc("minute", F.col("ts")).cast(log.schema["ts"].dataType)  # keep the input's timestamp type
     counts = src.groupBy(m.alias("minute")).agg(F.count(F.lit(1)).alias("n"))
     bounds = log.agg(F.min(m).alias("lo"), F.max(m).alias("hi"))
     spine = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MINUTE"))).alias("minute"))

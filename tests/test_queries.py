@@ -9,6 +9,8 @@ from __spark_entry__ import entry, oracle_sql, queries
 from payrisk.sources.tables import TABLES
 
 SLOW = {"train_gbt", "gbt_test_scores"}
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN",
+         "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "date": "DATE"}
 
 
 def _norm(v):
@@ -54,5 +56,6 @@ def test_query_matches_duckdb(spark, con, name):
     rel = con.sql(oracle_sql()[name])
     drows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
+    assert {c: TYPES.get(t, t) for c, t in df.dtypes} == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     assert len(rows) == len(drows)
     assert _digest(df.columns, rows) == _digest(rel.columns, drows)
