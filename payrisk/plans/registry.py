@@ -15,10 +15,19 @@ from pyspark.sql import functions as F
 
 from payrisk import schemas as S
 from payrisk.functions.columns import round6, window_end
-from payrisk.operators import pit, velocity
+from payrisk.operators import metrics, monitor, pit, quality, topk, validate, velocity
+from payrisk.operators import psi as psi_op
+from payrisk.operators.score import fill_event_id
+from payrisk.operators.split import stratified_split
+from payrisk.plans import evaluate as ev
+from payrisk.plans import ingest as ing
+from payrisk.plans import train as tr
 from payrisk.plans.features import velocity_views
 from payrisk.session import configure, scratch_path
-from payrisk.sources import fixtures
+from payrisk.sources import fixtures, logs
+from payrisk.streaming import jobs as sjobs
+from payrisk.streaming import sources as ssrc
+from payrisk.streaming.features import card_velocity_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -145,8 +154,6 @@ def q_online_lookup(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- scoring
-from payrisk.operators import dedupe, metrics, psi as psi_op, topk  # noqa: E402
-from payrisk.plans import evaluate as ev  # noqa: E402
 
 _D6 = ["amount", "amount_sum_1m", "avg_transaction_amount_5m", "fraud_probability"]
 
@@ -343,9 +350,6 @@ def q_psi_amount_halves(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- validation / ingest
-from payrisk.operators import quality, validate  # noqa: E402
-from payrisk.plans import ingest as ing  # noqa: E402
-from payrisk.session import scratch_path  # noqa: E402
 
 
 def _raw(spark, sf_dir):
@@ -410,8 +414,6 @@ def q_quality_rules(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- monitoring
-from payrisk.operators import monitor  # noqa: E402
-from payrisk.operators.score import fill_event_id  # noqa: E402
 
 
 @register("decisions_per_minute")
@@ -482,9 +484,6 @@ def q_missing_event_ids(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streams
-from payrisk.streaming import jobs as sjobs  # noqa: E402
-from payrisk.streaming import sources as ssrc  # noqa: E402
-from payrisk.streaming.features import card_velocity_stream  # noqa: E402
 
 
 def _run_available_now(df, path: str, checkpoint: str, fmt: str = "parquet", mode: str = "append"):
@@ -588,8 +587,6 @@ def q_stream_label_join(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- training
-from payrisk.operators.split import stratified_split  # noqa: E402
-from payrisk.plans import train as tr  # noqa: E402
 
 _MODELS: dict[tuple, str] = {}
 
@@ -653,7 +650,6 @@ def q_gbt_test_scores(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- snapshots, logs, enrichment
-from payrisk.sources import logs  # noqa: E402
 
 _ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 

@@ -5,7 +5,6 @@ missing-feature flags, defaults, model or fallback, decision."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from payrisk import schemas as S
 from payrisk.operators.pit import point_in_time_join

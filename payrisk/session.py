@@ -8,7 +8,6 @@ one under the system temp dir.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 

@@ -1,7 +1,6 @@
 """Window features: edges, parity with pandas, geo flag."""
 from datetime import datetime
 
-from pyspark.sql import functions as F
 
 from payrisk.operators.velocity import card_velocity_1m, geo_change_flag
 

@@ -1,7 +1,6 @@
 """Streams: stream = batch, late rows, restart idempotence, duplicate drop."""
 import json
 import os
-import time
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F

@@ -2,7 +2,6 @@
 import json
 import uuid
 
-import pytest
 from pyspark.sql import functions as F
 
 from payrisk import schemas as S
