@@ -63,7 +63,8 @@ def latest_predictions(preds: DataFrame) -> DataFrame:
 
 def eligible_predictions(preds_d: DataFrame, labels_d: DataFrame, grace_minutes: int = S.LABEL_GRACE_MINUTES,
                          max_rows: int = S.MAX_EVAL_ROWS) -> DataFrame:
-    """FLT-4 + TOPK-1: predictions with ts <= max(label time) − grace, newest ``max_rows``."""
+    """FLT-4 + TOPK-1: predictions with ts <= max(label time) − grace, newest ``max_rows``.
+    ``labels_d`` may be the deduplicated or just the normalised labels (same max)."""
     cutoff = cutoff_minus(max_value(labels_d, "label_timestamp"), grace_minutes)
     return tail_by_time(preds_d.where(F.col("ts") <= cutoff), max_rows, "ts", ("event_id",))
 
@@ -95,9 +96,12 @@ def evaluate_event_id(preds: DataFrame, labels: DataFrame, grace_minutes: int =
     or (when ``allow_partial`` is false and a label is missing)
     ``missing_joins``; :func:`enforce` turns a non-ok status into an error.
     """
-    labels_d = latest_labels(labels)
-    preds_d = latest_predictions(preds)
-    joined = join_labels(eligible_predictions(preds_d, labels_d, grace_minutes, max_rows), labels_d)
+    labels_n, preds_n = normalize_labels(labels), normalize_predictions(preds)
+    labels_d = keep_latest(labels_n, "event_id", "label_timestamp")
+    preds_d = keep_latest(preds_n, "event_id", "ts")
+    # the cutoff needs no dedupe (the newest label per id keeps the overall max),
+    # so it is a partial aggregate over the normalised labels
+    joined = join_labels(eligible_predictions(preds_d, labels_n, grace_minutes, max_rows), labels_d)
     if materialize:
         joined = _materialize(joined)
     matched = F.col("is_fraud").isNotNull()
@@ -111,8 +115,9 @@ def evaluate_event_id(preds: DataFrame, labels: DataFrame, grace_minutes: int =
         F.percentile(lag, F.array(F.lit(0.5), F.lit(0.95))).alias("_lag"),
     )
     ap = average_precision(joined.where(matched), "is_fraud", "fraud_probability").scalar()
-    n_preds = preds_d.agg(F.count(F.lit(1))).scalar()
-    n_labels = labels_d.agg(F.count(F.lit(1))).scalar()
+    # totals after dedupe = distinct ids; shuffles ids only, not whole log rows
+    n_preds = preds_n.agg(F.count_distinct("event_id")).scalar()
+    n_labels = labels_n.agg(F.count_distinct("event_id")).scalar()
     missing = F.col("_n_joined") - F.col("n_eval")
     status = (F.when(F.col("_n_joined") == 0, F.lit("no_eligible_predictions"))
                .when((missing > 0) & F.lit(not allow_partial), F.lit("missing_joins"))
