@@ -25,7 +25,8 @@ from payrisk.plans.features import velocity_views
 from payrisk.session import checkpoint_root
 
 
-def _ts(df: DataFrame, col: str) -> Column:
+def as_timestamp(df: DataFrame, col: str) -> Column:
+    """``df[col]`` as TIMESTAMP_NTZ: ISO strings are parsed (bad → null), timestamps cast."""
     t = df.schema[col].dataType
     if isinstance(t, T.StringType):
         return iso_to_timestamp(F.col(col))
@@ -36,7 +37,7 @@ def normalize_predictions(preds: DataFrame) -> DataFrame:
     """PRJ-4 / FLT-1: event_id as string, probability coerced, ts parsed; rows
     missing any of them dropped.  Output: event_id, ts, fraud_probability."""
     return (preds.where(F.col("event_id").isNotNull() & F.col("fraud_probability").isNotNull())
-                 .select(F.col("event_id").cast("string").alias("event_id"), _ts(preds, "ts").alias("ts"),
+                 .select(F.col("event_id").cast("string").alias("event_id"), as_timestamp(preds, "ts").alias("ts"),
                          try_double("fraud_probability").alias("fraud_probability"))
                  .where(F.col("fraud_probability").isNotNull() & ~F.isnan("fraud_probability") & F.col("ts").isNotNull()))
 
@@ -46,7 +47,7 @@ def normalize_labels(labels: DataFrame) -> DataFrame:
     id, label or time dropped.  Output: event_id, label_timestamp, is_fraud."""
     return (labels.where(F.col("event_id").isNotNull() & F.col("is_fraud").isNotNull())
                   .select(F.col("event_id").cast("string").alias("event_id"),
-                          _ts(labels, "label_timestamp").alias("label_timestamp"),
+                          as_timestamp(labels, "label_timestamp").alias("label_timestamp"),
                           try_label("is_fraud").alias("is_fraud"))
                   .where(F.col("label_timestamp").isNotNull()))
 
@@ -169,7 +170,11 @@ class EvaluationError(RuntimeError):
 def enforce(summary: DataFrame) -> dict:
     """Collect the one-row summary and raise on a failed status or gate (the
     reference's non-zero exit)."""
-    row = summary.first().asDict()
+    return enforce_row(summary.first().asDict())
+
+
+def enforce_row(row: dict) -> dict:
+    """:func:`enforce` for an already collected summary row."""
     if row.get("status", "ok") != "ok":
         raise EvaluationError(f"{row['status']} missing_joins={row.get('missing_joins')} "
                               f"join_rate={row.get('join_rate')}")
