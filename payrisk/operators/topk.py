@@ -21,17 +21,21 @@ def tail_by_time(df: DataFrame, n: int, ts: str = "ts", tiebreak: tuple[str, ...
     """The ``n`` rows with the greatest (``ts``, *tiebreak*), as a DataFrame.
 
     Rows with a null ``ts`` sort last (never picked while non-null ones remain).
+    The pre-filter is ``ts >= <first time of the oldest bucket still needed>``,
+    a scalar subquery compared directly with the column, so Spark pushes it
+    into the Parquet reader at run time and skips older row groups.
     """
     if n <= 0:
         return df.limit(0)
     b = F.floor(epoch_seconds(ts) / F.lit(bucket_seconds))
-    hist = df.where(F.col(ts).isNotNull()).groupBy(b.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    hist = (df.where(F.col(ts).isNotNull()).groupBy(b.alias("_b"))
+              .agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_first")))
     # cumulative rows from the newest bucket downwards; one row per bucket (small)
     cum = hist.withColumn("_cum", F.sum("_n").over(
         Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    start = cum.where(F.col("_cum") >= F.lit(n)).agg(F.max("_b")).scalar()
-    floor_ = F.lit(-(2 ** 62))
-    keep = df.where(F.coalesce(b, floor_) >= F.coalesce(start, floor_))
+    oldest = F.lit("0001-01-01 00:00:00").cast(df.schema[ts].dataType)
+    start = cum.where(F.col("_cum") >= F.lit(n)).agg(F.coalesce(F.max_by("_first", "_b"), oldest)).scalar()
+    keep = df.where((F.col(ts) >= start) | F.col(ts).isNull())
     order = [F.col(ts).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in tiebreak]
     return keep.orderBy(*order).limit(n)
 
@@ -42,10 +46,17 @@ def max_value(df: DataFrame, col: str) -> Column:
 
 
 def before_cutoff(df: DataFrame, ts: str, cutoff: Column) -> DataFrame:
-    """FLT-3 / FLT-4: rows with ``ts <= cutoff``."""
+    """FLT-3 / FLT-4: rows with ``ts <= cutoff``.  With ``cutoff`` from
+    :func:`max_minus` the comparison is column-vs-subquery, which Spark pushes
+    into the Parquet reader at run time."""
     return df.where(F.col(ts) <= cutoff)
 
 
+def max_minus(df: DataFrame, col: str, minutes: int) -> Column:
+    """``max(col) − minutes`` computed inside one scalar subquery."""
+    return df.agg(F.timestamp_add("MINUTE", F.lit(-int(minutes)), F.max(col))).scalar()
+
+
 def cutoff_minus(ref_max: Column, minutes: int) -> Column:
-    """``max - minutes``."""
+    """``max - minutes`` for an already computed maximum."""
     return F.timestamp_add("MINUTE", F.lit(-int(minutes)), ref_max)

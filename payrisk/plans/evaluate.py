@@ -20,7 +20,7 @@ from payrisk.operators.metrics import average_precision, classification_summary,
 from payrisk.operators.pit import point_in_time_join
 from payrisk.operators.psi import psi
 from payrisk.operators.score import score
-from payrisk.operators.topk import cutoff_minus, max_value, tail_by_time
+from payrisk.operators.topk import max_minus, tail_by_time
 from payrisk.plans.features import velocity_views
 from payrisk.session import checkpoint_root
 
@@ -66,7 +66,7 @@ def eligible_predictions(preds_d: DataFrame, labels_d: DataFrame, grace_minutes:
                          max_rows: int = S.MAX_EVAL_ROWS) -> DataFrame:
     """FLT-4 + TOPK-1: predictions with ts <= max(label time) − grace, newest ``max_rows``.
     ``labels_d`` may be the deduplicated or just the normalised labels (same max)."""
-    cutoff = cutoff_minus(max_value(labels_d, "label_timestamp"), grace_minutes)
+    cutoff = max_minus(labels_d, "label_timestamp", grace_minutes)
     return tail_by_time(preds_d.where(F.col("ts") <= cutoff), max_rows, "ts", ("event_id",))
 
 
@@ -196,7 +196,7 @@ def evaluate_delayed(payments: DataFrame, delay_minutes: int = S.LABEL_DELAY_MIN
     evaluation slices).  One row.
     """
     p = payments.dropna(subset=["card_id", "event_timestamp", "amount", "is_fraud"])
-    cutoff = cutoff_minus(max_value(p, "event_timestamp"), delay_minutes)
+    cutoff = max_minus(p, "event_timestamp", delay_minutes)
     eligible = tail_by_time(p.where(F.col("event_timestamp") <= cutoff), max_rows, "event_timestamp", ("event_id",))
     views = velocity_views(p)
     ent = eligible.select("event_id", "card_id", window_end("event_timestamp", "5 minutes").alias("event_timestamp"),

@@ -315,7 +315,7 @@ def q_recent_top_n(spark, sf_dir):
 def q_label_delay_cutoff(spark, sf_dir):
     """FLT-3 + AGG-16: payments at least 60 minutes older than the newest payment."""
     p = _pay(spark, sf_dir)
-    cut = topk.cutoff_minus(topk.max_value(p, "event_timestamp"), S.LABEL_DELAY_MINUTES)
+    cut = topk.max_minus(p, "event_timestamp", S.LABEL_DELAY_MINUTES)
     return topk.before_cutoff(p, "event_timestamp", cut).select("event_id", "card_id", "event_timestamp", "amount")
 
 
