@@ -172,16 +172,24 @@ def latest_per_key(df: DataFrame, keys=("card_id",), ts: str = "event_timestamp"
 
 
 def lookup_latest(requests: DataFrame, latest: DataFrame, fields: list[str], keys=("card_id",),
-                  ts: str = "event_timestamp", as_of: str | None = None, ttl_seconds: int | None = None) -> DataFrame:
+                  ts: str = "event_timestamp", as_of: str | None = None, ttl_seconds: int | None = None,
+                  bounded_requests: bool = False) -> DataFrame:
     """SNK-9 / JOIN-5: left join requested keys to the latest-per-key table.
 
     With ``as_of`` and ``ttl_seconds``, a latest row older than
     ``as_of - ttl`` counts as missing (TTL applied at read).  Request rows are
     all kept.  The latest table has one row per key, so this is a plain
-    equi-join that Spark broadcasts only when AQE measures it small.
+    equi-join that Spark broadcasts only when AQE measures it small.  With
+    ``bounded_requests`` (a micro-batch of known maximum size) the table is
+    first cut down to the requested keys by a broadcast semi join.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     lat = latest.select(*keys, F.col(ts).alias("_latest_ts"), *fields)
+    if bounded_requests:
+        # a micro-batch has a bounded number of rows (maxOffsetsPerTrigger): broadcast
+        # its distinct keys and semi-join the big table by them — a scan, no shuffle of it
+        wanted = requests.select(*keys).where(F.col(keys[0]).isNotNull()).distinct()
+        lat = lat.join(F.broadcast(wanted), on=keys, how="left_semi")
     j = requests.join(lat, on=keys, how="left")
     if as_of is not None and ttl_seconds is not None:
         fresh = F.col("_latest_ts") >= F.timestamp_add("SECOND", F.lit(-int(ttl_seconds)), _ntz(as_of))

@@ -129,11 +129,12 @@ def start_validation(raw_stream: DataFrame, valid_root: str, dlq_root: str, chec
 
 def score_batch(batch: DataFrame, batch_id: int, latest_1m_root: str, latest_5m_root: str | None,
                 decisions_root: str, log_root: str, errors_root: str,
-                threshold: float = S.DECISION_THRESHOLD, ttl: bool = False) -> None:
+                threshold: float = S.DECISION_THRESHOLD, model=None, version: str | None = None) -> None:
     """STR-6 for one micro-batch: online features (JOIN-5: latest table re-read
     per batch), missing flags, fallback score, decision; writes decisions
     (keyed by card, SNK-4), the prediction log (SNK-5) and rejected requests
-    with a reason (STR-9)."""
+    with a reason (STR-9).  ``model``: a fitted ``PipelineModel`` (ML-4);
+    without one the fallback heuristic scores (ML-7)."""
     spark = batch.sparkSession
     batch = batch.persist()
     try:
@@ -153,12 +154,17 @@ def score_batch(batch: DataFrame, batch_id: int, latest_1m_root: str, latest_5m_
             if lat is None:
                 feats = feats.withColumns({f: F.lit(None).cast("double") for f in fields})
             else:
-                feats = lookup_latest(feats, lat, fields)
+                feats = lookup_latest(feats, lat, fields, bounded_requests=True)
         scored = with_missing_flags(feats)
-        scored = (scored.withColumn("fraud_probability", heuristic_probability())
-                        .withColumn("decision", decision("fraud_probability", threshold))
-                        .withColumn("model_version", F.lit("fallback"))
-                        .withColumn("scored_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")))
+        if model is None:
+            scored = (scored.withColumn("fraud_probability", heuristic_probability())
+                            .withColumn("decision", decision("fraud_probability", threshold))
+                            .withColumn("model_version", F.lit("fallback")))
+        else:
+            from payrisk.operators.score import score_model
+
+            scored = score_model(scored, model, version or "unknown", threshold)
+        scored = scored.withColumn("scored_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
         scored = scored.persist()
         scored.select("event_id", "card_id", "amount", "event_ts", "ingest_ts", "fraud_probability", "decision",
                       "model_version", "scored_at") \
