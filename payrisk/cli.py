@@ -38,10 +38,14 @@ def _env(name: str, default):
     return type(default)(v) if default is not None else v
 
 
-def _session() -> SparkSession:
+def _session(streaming: bool = False) -> SparkSession:
     from payrisk.session import configure
 
     spark = SparkSession.builder.appName("payrisk").getOrCreate()
+    if streaming and not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
+        # windowed state grows with the number of active cards: keep it off-heap in RocksDB
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                       "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     return configure(spark)
 
 
@@ -142,7 +146,7 @@ def cmd_drift(a) -> int:
 def cmd_validate_stream(a) -> int:
     from payrisk.streaming import jobs, sources
 
-    spark = _session()
+    spark = _session(streaming=True)
     src = (sources.kafka_source(spark, a.bootstrap, a.topic, "earliest") if a.bootstrap
            else sources.file_message_source(spark, a.input_path))
     q = jobs.start_validation(src, a.valid_path, a.dlq_path, a.checkpoint)
@@ -154,7 +158,7 @@ def cmd_velocity_stream(a) -> int:
     from payrisk.streaming import sources
     from payrisk.streaming.features import start_card_velocity
 
-    spark = _session()
+    spark = _session(streaming=True)
     src = (sources.kafka_source(spark, a.bootstrap, a.topic, "latest") if a.bootstrap
            else sources.json_lines_source(spark, a.input_path))
     start_card_velocity(sources.decode_payments(src), a.output_path, a.checkpoint).awaitTermination()
@@ -164,7 +168,7 @@ def cmd_velocity_stream(a) -> int:
 def cmd_push_online(a) -> int:
     from payrisk.streaming import jobs
 
-    spark = _session()
+    spark = _session(streaming=True)
     schema = spark.read.parquet(a.input_path).schema
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(a.input_path))
     jobs.start_upsert(stream, a.table_path, a.checkpoint).awaitTermination()

@@ -106,3 +106,35 @@ def test_restart_no_duplicate_upserts(spark, tmp_dir):
     assert deltas == [0, 1]
     lat = {r["card_id"]: r["txn_count_1m"] for r in jobs.read_latest_table(spark, root).collect()}
     assert lat == {"a": 2, "b": 3}
+
+
+def test_score_batch_with_model(spark, tmp_dir):
+    """STR-6 with a trained model (ML-4) and a rejected request (STR-9)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    from payrisk import schemas as S
+
+    train = spark.createDataFrame([(float(i % 3), float(i), float(i % 2), float(i), float(i * 10), i % 2)
+                                   for i in range(40)], "txn_count_1m double, amount_sum_1m double, txn_count_5m double, "
+                                                        "avg_transaction_amount_5m double, amount double, is_fraud int")
+    model = Pipeline(stages=[VectorAssembler(inputCols=S.FEATURE_ORDER, outputCol="features"),
+                             LogisticRegression(labelCol="is_fraud", maxIter=5)]).fit(train)
+    feats = spark.createDataFrame([("a", datetime(2024, 1, 1, 0, 1), datetime(2024, 1, 1, 0, 1), 3, 30.0)],
+                                  "card_id string, event_timestamp timestamp_ntz, created_timestamp timestamp_ntz, "
+                                  "txn_count_1m long, amount_sum_1m double")
+    jobs.upsert_latest(feats, 0, f"{tmp_dir}/l1")
+    batch = spark.createDataFrame([("e1", "a", 12.0, "t", "t"), ("e2", "", 5.0, "t", "t"), ("e3", "z", 7.0, "t", "t")],
+                                  "event_id string, card_id string, amount double, event_ts string, ingest_ts string")
+    jobs.score_batch(batch, 0, f"{tmp_dir}/l1", None, f"{tmp_dir}/dec", f"{tmp_dir}/log", f"{tmp_dir}/err",
+                     model=model, version="7")
+    dec = {r["event_id"]: r for r in spark.read.parquet(f"{tmp_dir}/dec/*").collect()}
+    assert set(dec) == {"e1", "e3"} and dec["e1"]["model_version"] == "7"
+    assert 0.0 <= dec["e1"]["fraud_probability"] <= 1.0
+    err = spark.read.parquet(f"{tmp_dir}/err/*").collect()
+    assert [(r["event_id"], r["reason"]) for r in err] == [("e2", "card_id_empty")]
+    log = spark.read.json(f"{tmp_dir}/log/*").collect()
+    miss = {r["event_id"]: r["missing_features"] for r in log}
+    assert miss["e3"] == ["txn_count_1m", "amount_sum_1m", "txn_count_5m", "avg_transaction_amount_5m"]
+    assert miss["e1"] == ["txn_count_5m", "avg_transaction_amount_5m"]
