@@ -207,10 +207,12 @@ plog AS (
   FROM scored2)"""
 
 LABLOG = """lablog AS (
-  SELECT event_id, is_fraud, event_timestamp + INTERVAL '3600 seconds' AS label_timestamp, 3600.0 AS delay_seconds
+  SELECT event_id, is_fraud,
+         event_timestamp + to_seconds(1800 + (CAST(event_id AS BIGINT) * 37) % 3600) AS label_timestamp
   FROM payments WHERE CAST(event_id AS BIGINT) % 10 <> 0
   UNION ALL
-  SELECT event_id, 1 - is_fraud AS is_fraud, event_timestamp + INTERVAL '7200 seconds' AS label_timestamp, 7200.0 AS delay_seconds
+  SELECT event_id, 1 - is_fraud AS is_fraud,
+         event_timestamp + to_seconds(5400 + (CAST(event_id AS BIGINT) * 37) % 3600) AS label_timestamp
   FROM payments WHERE CAST(event_id AS BIGINT) % 25 = 0)"""
 
 

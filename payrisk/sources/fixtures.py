@@ -16,9 +16,9 @@ Mappings (see SURVEY §7.3):
 * ``payments_large`` ← ``lineitem`` ⨝ ``orders``: card = customer, merchant =
   supplier, amount = extended price, time = order date + a per-line offset in
   the day; is_fraud = (return flag 'R').
-* ``labels_log`` ← ``payments``: label time = event time + 1 h for 9 in 10
-  events (the rest stay unlabeled); events with id % 25 = 0 get a second,
-  later label with the opposite class (a re-label).
+* ``labels_log`` ← ``payments``: label time = event time + 30 to 90 minutes
+  for 9 in 10 events (the rest stay unlabeled); events with id % 25 = 0 get a
+  second label an hour later with the opposite class (a re-label).
 * ``raw_payment_messages`` ← ``payments``: JSON text of the 19-field event;
   when id % 97 = k (k < 12) the message is broken in a known way.
 """
@@ -79,16 +79,21 @@ def payments_large(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labels_log(pay: DataFrame) -> DataFrame:
-    """Late labels (schema ``labels_log`` with a TIMESTAMP_NTZ label time)."""
+    """Late labels (schema ``labels_log`` with a TIMESTAMP_NTZ label time).
+
+    Label delay = 1800 + (id·37 mod 3600) seconds (30 to 90 minutes); ids with
+    id mod 10 = 0 get no label; ids with id mod 25 = 0 get a second label one
+    hour after the first, with the opposite class (a re-label)."""
     eid = F.col("event_id").cast("long")
+    delay = F.lit(1800) + F.pmod(eid * 37, F.lit(3600))
     first = (pay.where(F.pmod(eid, F.lit(10)) != 0)
                 .select("event_id", F.col("is_fraud"),
-                        F.timestamp_add("SECOND", F.lit(3600), F.col("event_timestamp")).alias("label_timestamp"),
-                        F.lit(3600.0).alias("delay_seconds")))
+                        F.timestamp_add("SECOND", delay, F.col("event_timestamp")).alias("label_timestamp"),
+                        delay.cast("double").alias("delay_seconds")))
     relabel = (pay.where(F.pmod(eid, F.lit(25)) == 0)
                   .select("event_id", (F.lit(1) - F.col("is_fraud")).alias("is_fraud"),
-                          F.timestamp_add("SECOND", F.lit(7200), F.col("event_timestamp")).alias("label_timestamp"),
-                          F.lit(7200.0).alias("delay_seconds")))
+                          F.timestamp_add("SECOND", delay + 3600, F.col("event_timestamp")).alias("label_timestamp"),
+                          (delay + 3600).cast("double").alias("delay_seconds")))
     return first.unionByName(relabel)
 
 
