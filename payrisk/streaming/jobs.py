@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payrisk import schemas as S
-from payrisk.functions.columns import decision, heuristic_probability
+from payrisk.functions.columns import decision, heuristic_probability, iso_to_timestamp
 from payrisk.operators.pit import latest_per_key, lookup_latest
-from payrisk.operators.score import with_missing_flags
+from payrisk.operators.score import fill_event_id, with_missing_flags
 from payrisk.operators.validate import route, validate_messages
 
 
@@ -129,32 +129,39 @@ def start_validation(raw_stream: DataFrame, valid_root: str, dlq_root: str, chec
 
 def score_batch(batch: DataFrame, batch_id: int, latest_1m_root: str, latest_5m_root: str | None,
                 decisions_root: str, log_root: str, errors_root: str,
-                threshold: float = S.DECISION_THRESHOLD, model=None, version: str | None = None) -> None:
+                threshold: float = S.DECISION_THRESHOLD, model=None, version: str | None = None,
+                apply_ttl: bool = False) -> None:
     """STR-6 for one micro-batch: online features (JOIN-5: latest table re-read
     per batch), missing flags, fallback score, decision; writes decisions
     (keyed by card, SNK-4), the prediction log (SNK-5) and rejected requests
     with a reason (STR-9).  ``model``: a fitted ``PipelineModel`` (ML-4);
-    without one the fallback heuristic scores (ML-7)."""
+    without one the fallback heuristic scores (ML-7).  ``apply_ttl``: a
+    latest value older than the view's TTL before the event time counts as
+    missing (Q15).  Requests without an event id get a deterministic one
+    (PRJ-18, ``event_id_missing``).  The log's ``latency_ms`` is decision time
+    minus ingest time."""
     spark = batch.sparkSession
     batch = batch.persist()
     try:
         # FLT-7 / FLT-2: card id non-empty, event id non-empty when given, amount >= 0
         ok_req = (F.col("card_id").isNotNull() & (F.col("card_id") != "") & F.col("amount").isNotNull()
                   & (F.col("amount") >= 0) & (F.col("event_id").isNull() | (F.col("event_id") != "")))
-        reqs = batch.where(ok_req)
+        reqs = fill_event_id(batch.where(ok_req), basis=["card_id", "amount", "event_ts", "ingest_ts"])
+        reqs = reqs.withColumn("_as_of", iso_to_timestamp(F.col("event_ts")))
         rejects = batch.where(~ok_req | ok_req.isNull()).select(
             "event_id", "card_id", "amount",
             F.when(F.col("card_id").isNull() | (F.col("card_id") == ""), F.lit("card_id_empty"))
              .when(F.col("event_id") == "", F.lit("event_id_empty"))
              .otherwise(F.lit("amount_invalid")).alias("reason"))
         feats = reqs
-        for root, fields in ((latest_1m_root, ["txn_count_1m", "amount_sum_1m"]),
-                             (latest_5m_root, ["txn_count_5m", "avg_transaction_amount_5m"])):
+        for root, fields, ttl in ((latest_1m_root, ["txn_count_1m", "amount_sum_1m"], S.TTL_1M_MINUTES * 60),
+                                  (latest_5m_root, ["txn_count_5m", "avg_transaction_amount_5m"], S.TTL_5M_MINUTES * 60)):
             lat = read_latest_table(spark, root) if root else None
             if lat is None:
                 feats = feats.withColumns({f: F.lit(None).cast("double") for f in fields})
             else:
-                feats = lookup_latest(feats, lat, fields, bounded_requests=True)
+                feats = lookup_latest(feats, lat, fields, as_of="_as_of" if apply_ttl else None,
+                                      ttl_seconds=ttl if apply_ttl else None, bounded_requests=True)
         scored = with_missing_flags(feats)
         if model is None:
             scored = (scored.withColumn("fraud_probability", heuristic_probability())
@@ -169,9 +176,12 @@ def score_batch(batch: DataFrame, batch_id: int, latest_1m_root: str, latest_5m_
         scored.select("event_id", "card_id", "amount", "event_ts", "ingest_ts", "fraud_probability", "decision",
                       "model_version", "scored_at") \
               .write.mode("overwrite").parquet(_batch_dir(decisions_root, batch_id))
+        latency = F.timestamp_diff("MICROSECOND", iso_to_timestamp(F.col("ingest_ts")),
+                                   F.current_timestamp().cast("timestamp_ntz")) / F.lit(1000.0)
         scored.select(F.col("scored_at").alias("ts"), "event_id", "card_id", "amount", "event_ts", "ingest_ts",
                       "txn_count_1m", "amount_sum_1m", "txn_count_5m", "avg_transaction_amount_5m",
-                      "fraud_probability", "decision", "model_version", "missing_features") \
+                      "fraud_probability", "decision", "model_version", F.round(latency, 3).alias("latency_ms"),
+                      "missing_features", "event_id_missing", F.lit("ok").alias("status")) \
               .write.mode("overwrite").json(_batch_dir(log_root, batch_id))
         rejects.write.mode("overwrite").parquet(_batch_dir(errors_root, batch_id))
         scored.unpersist()

@@ -138,3 +138,21 @@ def test_score_batch_with_model(spark, tmp_dir):
     miss = {r["event_id"]: r["missing_features"] for r in log}
     assert miss["e3"] == ["txn_count_1m", "amount_sum_1m", "txn_count_5m", "avg_transaction_amount_5m"]
     assert miss["e1"] == ["txn_count_5m", "avg_transaction_amount_5m"]
+
+
+def test_score_batch_ttl_and_missing_id(spark, tmp_dir):
+    feats = spark.createDataFrame([("a", datetime(2024, 1, 1, 0, 1), datetime(2024, 1, 1, 0, 1), 3, 30.0)],
+                                  "card_id string, event_timestamp timestamp_ntz, created_timestamp timestamp_ntz, "
+                                  "txn_count_1m long, amount_sum_1m double")
+    jobs.upsert_latest(feats, 0, f"{tmp_dir}/l1")
+    batch = spark.createDataFrame([(None, "a", 1.0, "2024-01-01T01:00:00Z", "2024-01-01T01:00:00Z"),
+                                   ("e2", "a", 1.0, "2024-01-01T05:00:00Z", "2024-01-01T05:00:00Z")],
+                                  "event_id string, card_id string, amount double, event_ts string, ingest_ts string")
+    jobs.score_batch(batch, 0, f"{tmp_dir}/l1", None, f"{tmp_dir}/dec", f"{tmp_dir}/log", f"{tmp_dir}/err",
+                     apply_ttl=True)
+    log = {r["event_id"]: r for r in spark.read.json(f"{tmp_dir}/log/*").collect()}
+    gen = [k for k in log if k != "e2"]
+    assert len(gen) == 1 and gen[0].startswith("gen-") and log[gen[0]]["event_id_missing"] is True
+    assert log[gen[0]]["txn_count_1m"] == 3          # within 120 min of the feature
+    assert log["e2"]["txn_count_1m"] == 0 and "txn_count_1m" in log["e2"]["missing_features"]  # expired
+    assert log["e2"]["status"] == "ok" and log["e2"]["latency_ms"] is not None
