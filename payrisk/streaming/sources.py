@@ -32,6 +32,19 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, starting: str =
     return r.load().select("topic", "partition", "offset", "key", "value")
 
 
+def kafka_snapshot(spark: SparkSession, servers: str, topic: str, starting_ms: int | None = None,
+                   ending_ms: int | None = None) -> DataFrame:
+    """SRC-3 / SRC-4: a bounded batch read of a topic — from ``starting_ms``
+    (epoch ms; earliest when None) to ``ending_ms`` (latest when None) — with
+    the Kafka columns; feed it to ``sources.logs.snapshot_payments`` or
+    ``snapshot_features``."""
+    r = spark.read.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+    r = r.option("startingTimestamp", str(starting_ms)) if starting_ms is not None else r.option(
+        "startingOffsets", "earliest")
+    r = r.option("endingTimestamp", str(ending_ms)) if ending_ms is not None else r.option("endingOffsets", "latest")
+    return r.load().select("topic", "partition", "offset", "key", "value")
+
+
 def file_message_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Test double of the Kafka source: Parquet files with the Kafka columns."""
     r = spark.readStream.schema(RAW_COLUMNS).format("parquet")
