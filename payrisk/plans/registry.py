@@ -495,8 +495,10 @@ def _run_available_now(df, path: str, checkpoint: str, fmt: str = "parquet", mod
 
 @register("stream_card_velocity_1m")
 def q_stream_card_velocity_1m(spark, sf_dir):
-    """STR-1..4 + SRC-1 + PRJ-1/2: JSON payment stream → 5 s watermark → 1-minute tumbling
-    count/sum per card, append mode (windows closed by the final watermark)."""
+    """STR-1..3 + SRC-1 + PRJ-1/2: JSON payment stream → 5 s watermark → 1-minute tumbling
+    count/sum per card, append mode, checkpointed sink (STR-4; run to completion with
+    availableNow here, the 10 s trigger is ``start_card_velocity``); windows closed by the
+    final watermark."""
     root = scratch_path(spark, "stream-velocity")
     fixtures.payment_json_lines(_pay(spark, sf_dir)).write.mode("overwrite").text(f"{root}/in")
     stream = ssrc.decode_payments(ssrc.json_lines_source(spark, f"{root}/in"))
@@ -532,8 +534,9 @@ def _feature_files(spark, sf_dir, root, view: str):
 
 @register("stream_latest_features")
 def q_stream_latest_features(spark, sf_dir):
-    """STR-7 + SNK-6 + WIN-3: feature stream upserted micro-batch by micro-batch into a
-    versioned latest-per-card table; the final committed snapshot."""
+    """STR-7 + SNK-6 + WIN-3: feature stream upserted micro-batch by micro-batch (one
+    newest-per-card delta per batch) into the latest-per-card table; read back as the
+    newest base plus committed deltas."""
     configure(spark)
     root = scratch_path(spark, "stream-upsert")
     schema = _feature_files(spark, sf_dir, root, "1m")
