@@ -20,7 +20,8 @@ Mappings (see SURVEY §7.3):
   for 9 in 10 events (the rest stay unlabeled); events with id % 25 = 0 get a
   second label an hour later with the opposite class (a re-label).
 * ``raw_payment_messages`` ← ``payments``: JSON text of the 19-field event;
-  when id % 97 = k (k < 12) the message is broken in a known way.
+  when id % 97 = k (k < 12) the message is changed in a known way (most
+  changes break a rule; a whole ``1.0`` label and an extra field do not).
 """
 
 from __future__ import annotations
