@@ -5,10 +5,11 @@ precision needs a descending running sum over distinct scores; it is done in
 two levels so no window ever runs unpartitioned over row-level data:
 
 1. distinct scores with their row and positive counts (hash aggregate);
-2. scores are cut into ``buckets`` equal-width ranges of [0, 1] (monotone in
-   the score), bucket totals are prefix-summed over the bucket table (at most
-   ``buckets + 1`` rows — the only unpartitioned window, over a bounded
-   table, broadcast back by that bound);
+2. distinct scores are cut into ``buckets`` ranges by approximate-quantile
+   edges (monotone in the score, balanced however concentrated the scores
+   are), bucket totals are prefix-summed over the bucket table (at most
+   ``buckets`` rows — the only unpartitioned window, over a bounded table,
+   broadcast back by that bound);
 3. inside each bucket a partitioned running sum finishes the prefix.
 """
 
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-AP_BUCKETS = 1 << 16
+AP_BUCKETS = 4096
 
 
 def _c(c) -> Column:
@@ -60,19 +61,29 @@ def average_precision(df: DataFrame, label: str = "is_fraud", score: str = "frau
                       buckets: int = AP_BUCKETS) -> DataFrame:
     """AGG-8: one row ``pr_auc`` = Σ over distinct scores (desc) of
     (ΔRecall × Precision) = Σ tp_s · cum_tp/cum_n ÷ Σ tp.  NaN when the labels
-    hold a single class (AGG-9)."""
+    hold a single class (AGG-9).
+
+    Distinct scores are cut into ``buckets`` ranges by approximate-quantile
+    edges of the distinct scores themselves (a scalar subquery), so ranges
+    hold similar numbers of scores however concentrated the model's output
+    is; a score's range is found by binary search over the edges.  The ranges
+    are monotone in the score, so prefix sums over them are exact."""
+    from payrisk.operators.quantiles import _lower_bound
+
     s = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
            .groupBy(F.col(score).cast("double").alias("_s"))
            .agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("long")).alias("_tp")))
-    bkt = F.least(F.greatest(F.floor(F.col("_s") * F.lit(buckets)), F.lit(0)), F.lit(buckets)).cast("long")
-    s = s.withColumn("_bk", bkt)
+    qs = [i / buckets for i in range(1, buckets)]
+    edges = s.agg(F.percentile_approx("_s", F.array(*[F.lit(q) for q in qs]), 10000)).scalar()
+    s = s.withColumn("_edges", edges).withColumn("_bk", _lower_bound(F.col("_edges"), F.col("_s"), len(qs)))
+    s = s.drop("_edges")
     per_bucket = s.groupBy("_bk").agg(F.sum("_n").alias("_bn"), F.sum("_tp").alias("_btp"))
     desc_buckets = Window.orderBy(F.desc("_bk")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
         "_bk",
         F.coalesce(F.sum("_bn").over(desc_buckets), F.lit(0)).alias("_off_n"),
         F.coalesce(F.sum("_btp").over(desc_buckets), F.lit(0)).alias("_off_tp"))
-    # offsets has at most buckets + 1 rows (a proven bound) → broadcast
+    # offsets has at most `buckets` rows (a proven bound) → broadcast
     j = s.join(F.broadcast(offsets), "_bk")
     inner = Window.partitionBy("_bk").orderBy(F.desc("_s")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     j = (j.withColumn("_cum_n", F.col("_off_n") + F.sum("_n").over(inner))

@@ -640,6 +640,14 @@ def q_train_gbt(spark, sf_dir):
     return met
 
 
+@register("eval_delayed_gbt")
+def q_eval_delayed_gbt(spark, sf_dir):
+    """ML-9 + ML-4: delayed-label evaluation with the trained GBT model (reloaded from disk)."""
+    path, _ = _trained(spark, sf_dir)
+    s = ev.evaluate_delayed(_pay(spark, sf_dir), model=tr.load_model(path), version="candidate")
+    return _round(s, ["precision", "recall", "pr_auc", "psi_amount", "psi_txn_count_1m"])
+
+
 @register("gbt_test_scores")
 def q_gbt_test_scores(spark, sf_dir):
     """ML-4 + ML-6: the saved model reloaded and applied to the test split; P(fraud) and decision."""
