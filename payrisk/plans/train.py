@@ -65,7 +65,7 @@ def weighted(train_df: DataFrame, label: str = "is_fraud") -> DataFrame:
     return train_df.withColumn("weight", F.when(F.col(label) == 1, spw).otherwise(F.lit(1.0)))
 
 
-def pipeline(params: TrainParams) -> Pipeline:
+def build_estimator(params: TrainParams) -> Pipeline:
     """ML-2 + PRJ-14: vector assembly in the fixed feature order, then GBT."""
     gbt = GBTClassifier(labelCol="is_fraud", featuresCol="features", weightCol="weight", lossType="logistic",
                         maxIter=params.n_estimators, maxDepth=params.max_depth, stepSize=params.learning_rate,
@@ -87,7 +87,7 @@ def train(payments: DataFrame, params: TrainParams = TrainParams()) -> tuple[Pip
     frame = frame.checkpoint(eager=True)
     train_df = weighted(frame.where(~F.col("is_test")))
     test_df = frame.where(F.col("is_test"))
-    model = pipeline(params).fit(train_df)
+    model = build_estimator(params).fit(train_df)
     scored = score_model(test_df, model, "candidate", params.threshold)
     summ = classification_summary(scored, "is_fraud", "fraud_probability", params.threshold)
     ap = average_precision(scored, "is_fraud", "fraud_probability").scalar()
@@ -133,5 +133,5 @@ def log_run(metrics: DataFrame, runs_path: str, run_name: str, params: dict) ->
     return row
 
 
-__all__ = ["TrainParams", "training_frame", "weighted", "pipeline", "train", "save_model", "load_model",
+__all__ = ["TrainParams", "training_frame", "weighted", "build_estimator", "train", "save_model", "load_model",
            "log_run", "asdict"]
