@@ -500,7 +500,7 @@ def q_stream_card_velocity_1m(spark, sf_dir):
     availableNow here, the 10 s trigger is ``start_card_velocity``); windows closed by the
     final watermark."""
     root = scratch_path(spark, "stream-velocity")
-    fixtures.payment_json_lines(_pay(spark, sf_dir)).write.mode("overwrite").text(f"{root}/in")
+    fixtures.land_json_lines(fixtures.payment_json_lines(_pay(spark, sf_dir)), f"{root}/in")
     stream = ssrc.decode_payments(ssrc.json_lines_source(spark, f"{root}/in"))
     _run_available_now(card_velocity_stream(stream), f"{root}/out", f"{root}/ckpt")
     out = spark.read.parquet(f"{root}/out")
@@ -556,7 +556,7 @@ def q_stream_scores(spark, sf_dir):
     for view in ("1m", "5m"):
         _feature_files(spark, sf_dir, root, view)
         sjobs.upsert_latest(spark.read.parquet(f"{root}/features_{view}"), 0, f"{root}/latest_{view}")
-    fixtures.payment_json_lines(_pay(spark, sf_dir)).write.mode("overwrite").text(f"{root}/in")
+    fixtures.land_json_lines(fixtures.payment_json_lines(_pay(spark, sf_dir)), f"{root}/in")
     stream = ssrc.decode_payments(ssrc.json_lines_source(spark, f"{root}/in"))
     q = (stream.writeStream.option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True)
          .foreachBatch(lambda df, bid: sjobs.score_batch(df, bid, f"{root}/latest_1m", f"{root}/latest_5m",
@@ -670,7 +670,7 @@ def q_snapshot_payments(spark, sf_dir):
     """SRC-3 + FLT-6 + PRJ-6: bounded snapshot of the payment topic (landed JSON) → payments_v1 rows."""
     configure(spark)
     root = scratch_path(spark, "snapshot-payments")
-    fixtures.payment_json_lines(_pay(spark, sf_dir)).write.mode("overwrite").text(root)
+    fixtures.land_json_lines(fixtures.payment_json_lines(_pay(spark, sf_dir)), root)
     snap = logs.snapshot_payments(spark.read.text(root))
     return _round(snap, ["amount"])
 
@@ -731,7 +731,7 @@ def q_stream_dedupe(spark, sf_dir):
     pay = _pay(spark, sf_dir)
     lines = fixtures.payment_json_lines(pay)
     again = fixtures.payment_json_lines(pay.where(F.pmod(F.col("event_id").cast("long"), F.lit(13)) == 0))
-    lines.unionByName(again).write.mode("overwrite").text(f"{root}/in")
+    fixtures.land_json_lines(lines.unionByName(again), f"{root}/in")
     stream = ssrc.decode_payments(ssrc.json_lines_source(spark, f"{root}/in"))
     _run_available_now(sjobs.drop_duplicate_deliveries(stream).select("event_id", "card_id", "amount"),
                        f"{root}/out", f"{root}/ckpt")
@@ -757,7 +757,7 @@ def q_stream_geo_change_5m(spark, sf_dir):
     from payrisk.streaming.features import geo_change_stream
 
     root = scratch_path(spark, "stream-geo")
-    fixtures.payment_json_lines(_pay(spark, sf_dir)).write.mode("overwrite").text(f"{root}/in")
+    fixtures.land_json_lines(fixtures.payment_json_lines(_pay(spark, sf_dir)), f"{root}/in")
     stream = ssrc.decode_payments(ssrc.json_lines_source(spark, f"{root}/in"))
     _run_available_now(geo_change_stream(stream), f"{root}/out", f"{root}/ckpt")
     out = spark.read.parquet(f"{root}/out")
