@@ -115,7 +115,8 @@ def evaluate_event_id(preds: DataFrame, labels: DataFrame, grace_minutes: int =
         cm["tp"].alias("_tp"), cm["fp"].alias("_fp"), cm["fn"].alias("_fn"),
         F.percentile(lag, F.array(F.lit(0.5), F.lit(0.95))).alias("_lag"),
     )
-    ap = average_precision(joined.where(matched), "is_fraud", "fraud_probability").scalar()
+    # the evaluation set holds at most max_rows rows: equal-width score ranges are bounded
+    ap = average_precision(joined.where(matched), "is_fraud", "fraud_probability", method="fixed").scalar()
     # totals after dedupe = distinct ids; shuffles ids only, not whole log rows
     n_preds = preds_n.agg(F.count_distinct("event_id")).scalar()
     n_labels = labels_n.agg(F.count_distinct("event_id")).scalar()
@@ -206,7 +207,7 @@ def evaluate_delayed(payments: DataFrame, delay_minutes: int = S.LABEL_DELAY_MIN
     if materialize:
         joined = _materialize(joined)
     summ = classification_summary(joined, "is_fraud", "fraud_probability", threshold)
-    ap = average_precision(joined, "is_fraud", "fraud_probability").scalar()
+    ap = average_precision(joined, "is_fraud", "fraud_probability", method="fixed").scalar()  # ≤ max_rows rows
     psi_amount = psi(p, joined, "amount").select("psi").scalar()
     psi_txn = psi(views[0].df, joined, "txn_count_1m").select("psi").scalar()
     return summ.select(

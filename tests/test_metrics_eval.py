@@ -40,9 +40,10 @@ def test_ap_ties_and_partitions(spark):
     y = [int(t) for t in y]
     exp = ap_reference(y, s)
     df = _scores(spark, y, s)
-    for buckets, parts in ((16, 1), (4096, 8), (3, 50), (2, 4)):
-        got = average_precision(df.repartition(parts), buckets=buckets).first()["pr_auc"]
-        assert got == pytest.approx(exp, rel=1e-12), (buckets, parts)
+    for method, buckets, parts in (("fixed", 16, 1), ("fixed", None, 8), ("fixed", 3, 50), ("quantile", None, 8),
+                                   ("quantile", 2, 4), ("quantile", 1000, 50)):
+        got = average_precision(df.repartition(parts), buckets=buckets, method=method).first()["pr_auc"]
+        assert got == pytest.approx(exp, rel=1e-12), (method, buckets, parts)
 
 
 def test_ap_one_class_is_nan(spark):
