@@ -42,8 +42,18 @@ def geo_change_stream(payments: DataFrame, width: str = "5 minutes", lateness: s
 def start_card_velocity(payments: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
                         trigger: dict | None = None, width: str = "1 minute"):
     """STR-2 + STR-4 wired to a sink: append mode, checkpointed, a micro-batch
-    every 10 s by default (the reference's checkpoint interval).  For a Kafka
-    sink pass ``fmt="kafka"`` with a frame from ``sources.to_json_value``."""
+    every 10 s by default (the reference's checkpoint interval).  With
+    ``fmt="kafka"`` the rows go out as card-keyed JSON records to topic
+    ``path`` (the ``kafka.bootstrap.servers`` option must be set on the
+    session's Kafka sink configuration)."""
     out = card_velocity_stream(payments, width)
-    return (out.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
-            .outputMode("append").trigger(**(trigger or {"processingTime": S.CHECKPOINT_INTERVAL})).start())
+    w = out.writeStream
+    if fmt == "kafka":
+        # SNK-2: one JSON record per feature row, keyed by card; `path` is the topic
+        from payrisk.streaming.sources import to_json_value
+
+        w = to_json_value(out, key="card_id").writeStream.option("topic", path)
+    else:
+        w = w.option("path", path)
+    return (w.format(fmt).option("checkpointLocation", checkpoint).outputMode("append")
+             .trigger(**(trigger or {"processingTime": S.CHECKPOINT_INTERVAL})).start())

@@ -189,6 +189,13 @@ def score_batch(batch: DataFrame, batch_id: int, latest_1m_root: str, latest_5m_
         batch.unpersist()
 
 
+def decision_records(decisions: DataFrame) -> DataFrame:
+    """SNK-4: decisions as Kafka records keyed by ``card_id`` with a JSON value."""
+    from payrisk.streaming.sources import to_json_value
+
+    return to_json_value(decisions, key="card_id")
+
+
 def label_join_stream(preds: DataFrame, labels: DataFrame, horizon: str = "60 minutes",
                       pred_delay: str = "10 minutes", label_delay: str = "10 minutes") -> DataFrame:
     """JOIN-6: stream-stream left outer join of predictions (``event_id``,
