@@ -90,6 +90,24 @@ def upsert_latest(batch: DataFrame, batch_id: int, root: str, keys=("card_id",),
             .write.mode("overwrite").parquet(f"{root.rstrip('/')}/base/v={batch_id}")
 
 
+def vacuum_latest(spark: SparkSession, root: str, keep_bases: int = 2) -> list[str]:
+    """Retention for the latest-per-key table: keep the newest ``keep_bases``
+    committed bases and every delta newer than the oldest kept base; delete the
+    rest (they are folded into a kept base, so readers never need them).
+    Returns the deleted paths."""
+    bases = _committed(spark, f"{root.rstrip('/')}/base", "v=")
+    if len(bases) <= keep_bases:
+        return []
+    oldest_kept = bases[-keep_bases]
+    doomed = [f"{root.rstrip('/')}/base/v={v}" for v in bases[:-keep_bases]]
+    doomed += [f"{root.rstrip('/')}/delta/batch={d}"
+               for d in _committed(spark, f"{root.rstrip('/')}/delta", "batch=") if d <= oldest_kept]
+    for path in doomed:
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
+    return doomed
+
+
 def start_upsert(stream: DataFrame, table_root: str, checkpoint: str, keys=("card_id",),
                  trigger: dict | None = None, query_name: str | None = None):
     """STR-7: run the online upsert as a checkpointed stream."""

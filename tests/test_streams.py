@@ -156,3 +156,16 @@ def test_score_batch_ttl_and_missing_id(spark, tmp_dir):
     assert log[gen[0]]["txn_count_1m"] == 3          # within 120 min of the feature
     assert log["e2"]["txn_count_1m"] == 0 and "txn_count_1m" in log["e2"]["missing_features"]  # expired
     assert log["e2"]["status"] == "ok" and log["e2"]["latency_ms"] is not None
+
+
+def test_vacuum_keeps_state(spark, tmp_dir):
+    schema = "card_id string, event_timestamp timestamp_ntz, txn_count_1m long, amount_sum_1m double"
+    root = f"{tmp_dir}/latest"
+    for b in range(6):
+        df = spark.createDataFrame([(f"c{b % 3}", datetime(2024, 1, 1, 0, b), b, float(b))], schema)
+        jobs.upsert_latest(df, b, root, compact_every=2)
+    before = {r["card_id"]: r["txn_count_1m"] for r in jobs.read_latest_table(spark, root).collect()}
+    gone = jobs.vacuum_latest(spark, root, keep_bases=1)
+    assert any("/base/v=1" in g for g in gone) and any("/delta/batch=0" in g for g in gone)
+    after = {r["card_id"]: r["txn_count_1m"] for r in jobs.read_latest_table(spark, root).collect()}
+    assert before == after == {"c0": 3, "c1": 4, "c2": 5}
