@@ -70,3 +70,32 @@ def score(df: DataFrame, model=None, version: str | None = None, threshold: floa
 def latency_ms(c: Column) -> Column:
     """Round a latency to 3 decimals (ms), as logged."""
     return F.round(c, 3)
+
+
+def score_python_model(df: DataFrame, predict_proba, version: str, threshold: float = S.DECISION_THRESHOLD,
+                       features: list[str] = S.FEATURE_ORDER) -> DataFrame:
+    """ML-4 for a foreign Python model (anything with ``predict_proba(X)`` on a
+    float matrix in ``features`` order, e.g. a booster trained elsewhere).
+
+    The only Python on a scoring path, and opt-in: rows go to the model in
+    Arrow batches through ``mapInPandas`` (one model call per batch, never per
+    row); the model object is shipped once with the task closure.  Output:
+    the input columns plus fraud_probability, decision, model_version.
+    """
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    schema = T.StructType(df.schema.fields + [T.StructField("fraud_probability", T.DoubleType(), True)])
+    cols = list(df.columns)
+    feats = list(features)
+
+    def run(batches):
+        for pdf in batches:
+            x = pdf[feats].astype("float64").fillna(0.0).to_numpy()
+            p = np.asarray(predict_proba(x))[:, 1] if len(pdf) else np.empty(0)
+            yield pd.concat([pdf[cols].reset_index(drop=True), pd.Series(p, name="fraud_probability")], axis=1)
+
+    scored = df.mapInPandas(run, schema)
+    return (scored.withColumn("decision", decision("fraud_probability", threshold))
+                  .withColumn("model_version", F.lit(version)))

@@ -153,3 +153,24 @@ def test_split_partition_independent(spark):
     assert got[0] == got[1] == got[2]
     n_pos, n_neg = 715, 4285
     assert len(got[0]) == round(n_pos * 0.2) + round(n_neg * 0.2)
+
+
+def test_python_model_hook_matches_heuristic(spark):
+    """mapInPandas scoring with a numpy model equals the JVM heuristic expression."""
+    import numpy as np
+
+    from payrisk.operators.score import score_heuristic, score_python_model
+
+    def predict_proba(x):  # columns: txn_count_1m, amount_sum_1m, txn_count_5m, avg_5m, amount
+        logit = -6.0 + x[:, 4] / 250.0 + x[:, 0] * 0.35 + x[:, 2] * 0.08
+        p = np.clip(1.0 / (1.0 + np.exp(-logit)), 0.001, 0.999)
+        return np.vstack([1 - p, p]).T
+
+    df = spark.range(500).select(
+        F.col("id").cast("string").alias("event_id"), (F.col("id") % 7).alias("txn_count_1m"),
+        (F.col("id") * 1.5).alias("amount_sum_1m"), (F.col("id") % 11).alias("txn_count_5m"),
+        (F.col("id") * 0.3).alias("avg_transaction_amount_5m"), (F.col("id") * 4.0).alias("amount"))
+    a = {r["event_id"]: r["fraud_probability"] for r in score_python_model(df, predict_proba, "py").collect()}
+    b = {r["event_id"]: r["fraud_probability"] for r in score_heuristic(df).collect()}
+    assert a.keys() == b.keys()
+    assert max(abs(a[k] - b[k]) for k in a) < 1e-12
