@@ -1,10 +1,11 @@
 """Keep-latest dedupe per key (WIN-1, WIN-2, STR-8).
 
-``max_by``-style hash aggregate: the newest row per key is the max of a struct
+One aggregate: the newest row per key is the max of a struct
 whose first field is the order column and whose remaining fields are the row
 itself, so ties have one fixed winner (the row that sorts last), on Spark and
-in the SQL oracle alike.  Partial aggregation runs map-side, so a hot key that
-repeats a million times costs one row per map task in the shuffle.
+in the SQL oracle alike.  Partial aggregation runs map-side (Spark plans a
+sort-based aggregate, the buffer being a struct), so a hot key that repeats a
+million times costs one row per map task in the shuffle.
 """
 
 from __future__ import annotations

@@ -160,8 +160,9 @@ def point_in_time_join(entities: DataFrame, views: list[FeatureView], entity_ts:
 
 def latest_per_key(df: DataFrame, keys=("card_id",), ts: str = "event_timestamp",
                    created: str | None = "created_timestamp", cols: list[str] | None = None) -> DataFrame:
-    """WIN-3: newest row per key by (ts, created) — a hash aggregate with
-    ``max_by`` (partial aggregation map-side), no sort, no window."""
+    """WIN-3: newest row per key by (ts, created) — one ``max_by`` aggregate
+    with map-side partial aggregation (Spark plans it as a sort-based
+    aggregate because the buffer is a struct), no window."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     cols = cols or [c for c in df.columns if c not in keys]
     order = [F.col(ts)] + ([F.col(created)] if created and created in df.columns else [])
