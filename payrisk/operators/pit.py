@@ -6,7 +6,8 @@ newest feature row of the same key with ``ts_feat <= ts_entity`` (ties on
 than ``ts_entity - ttl``.  Entity rows are all kept (duplicates included, null
 keys included); unmatched features are null.
 
-Plan (one shuffle for the join itself, no row blow-up, no range join):
+Plan (one shuffle for the join itself, plus a partial aggregate of entity keys to find
+hot keys; no row blow-up, no range join):
 
 * entity rows and feature rows are tagged and ``unionByName``-ed;
 * a running ``last(struct, ignorenulls)`` per view over
