@@ -169,3 +169,24 @@ def test_vacuum_keeps_state(spark, tmp_dir):
     assert any("/base/v=1" in g for g in gone) and any("/delta/batch=0" in g for g in gone)
     after = {r["card_id"]: r["txn_count_1m"] for r in jobs.read_latest_table(spark, root).collect()}
     assert before == after == {"c0": 3, "c1": 4, "c2": 5}
+
+
+def test_label_join_emits_unmatched_after_watermark(spark, tmp_dir):
+    """JOIN-6: a prediction without a label inside the horizon comes out with
+    nulls once both watermarks pass; a matched one comes out with its label."""
+    t0 = datetime(2024, 1, 1, 0, 0)
+    ps, ls = f"{tmp_dir}/p", f"{tmp_dir}/l"
+    pschema, lschema = "event_id string, ts timestamp", "l_event_id string, is_fraud int, label_timestamp timestamp"
+    spark.createDataFrame([("a", t0), ("b", t0)], pschema).write.parquet(f"{ps}/1")
+    spark.createDataFrame([("a", 1, t0 + timedelta(minutes=30))], lschema).write.parquet(f"{ls}/1")
+    # later rows move both watermarks past t0 + 60 min + 10 min
+    spark.createDataFrame([("z", t0 + timedelta(hours=3))], pschema).write.parquet(f"{ps}/2")
+    spark.createDataFrame([("y", 0, t0 + timedelta(hours=3))], lschema).write.parquet(f"{ls}/2")
+    p = spark.readStream.schema(pschema).option("recursiveFileLookup", "true").parquet(ps)
+    lab = spark.readStream.schema(lschema).option("recursiveFileLookup", "true").parquet(ls)
+    q = (jobs.label_join_stream(p, lab).writeStream.format("memory").queryName("lj").outputMode("append")
+         .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {r["event_id"]: r["is_fraud"] for r in spark.sql("select * from lj").collect()}
+    assert got.get("a") == 1
+    assert "b" in got and got["b"] is None
