@@ -56,13 +56,14 @@ def bin_of(x: Column, edges: Column, max_edges: int = S.PSI_BINS - 1) -> Column:
 
 
 def psi_bins(expected: DataFrame, actual: DataFrame, col: str, actual_col: str | None = None,
-             bins: int = S.PSI_BINS, eps: float = S.PSI_EPS, method: str = "auto") -> DataFrame:
+             bins: int = S.PSI_BINS, eps: float = S.PSI_EPS, method: str = "auto",
+             edges: Column | None = None) -> DataFrame:
     """Per-bin counts and smoothed shares of both sides:
     ``bin, n_expected_bin, n_actual_bin, e_share, a_share`` (one row per bin)."""
     actual_col = actual_col or col
     e = _clean(expected, col)
     a = _clean(actual, actual_col)
-    edges = inner_edges(expected, col, bins, method)
+    edges = edges if edges is not None else inner_edges(expected, col, bins, method)
     both = (e.select("_x", F.lit(1).alias("_e"), F.lit(0).alias("_a"))
              .unionByName(a.select("_x", F.lit(0).alias("_e"), F.lit(1).alias("_a"))))
     binned = both.withColumn("_edges", edges).select(bin_of(F.col("_x"), F.col("_edges"), bins - 1).alias("bin"),
@@ -85,9 +86,11 @@ def psi_bins(expected: DataFrame, actual: DataFrame, col: str, actual_col: str |
 
 
 def psi(expected: DataFrame, actual: DataFrame, col: str, actual_col: str | None = None,
-        bins: int = S.PSI_BINS, eps: float = S.PSI_EPS, name: str | None = None, method: str = "auto") -> DataFrame:
-    """AGG-12: one row ``feature, psi, n_bins, n_expected, n_actual``."""
-    t = psi_bins(expected, actual, col, actual_col, bins, eps, method)
+        bins: int = S.PSI_BINS, eps: float = S.PSI_EPS, name: str | None = None, method: str = "auto",
+        edges: Column | None = None) -> DataFrame:
+    """AGG-12: one row ``feature, psi, n_bins, n_expected, n_actual``
+    (``edges``: precomputed inner edges, e.g. from :func:`inner_edges`)."""
+    t = psi_bins(expected, actual, col, actual_col, bins, eps, method, edges)
     term = (F.col("a_share") - F.col("e_share")) * F.log(F.col("a_share") / F.col("e_share"))
     agg = t.agg(F.sum(term).alias("_psi"), F.coalesce(F.max("k"), F.lit(0)).alias("n_bins"),
                 F.coalesce(F.max("n_expected"), F.lit(0)).alias("n_expected"),
