@@ -520,7 +520,13 @@ SQL["error_ratio_2m"] = BASE_PLOG + f""", sl AS ({_slide('plog', 'status')}),
 a AS (SELECT window_start, CAST(sum(CASE WHEN status = 'ok' THEN 1 ELSE 0 END) AS BIGINT) AS n_ok,
              CAST(sum(CASE WHEN status = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS n_error FROM sl GROUP BY 1),
 r AS (SELECT *, (n_error / 120.0) / greatest(n_error / 120.0 + n_ok / 120.0, 0.001) AS error_ratio FROM a)
-SELECT window_start, n_ok, n_error, round(error_ratio, 6) AS error_ratio, error_ratio > 0.05 AS alert FROM r"""
+, res AS (SELECT window_start, n_ok, n_error, round(error_ratio, 6) AS error_ratio, error_ratio > 0.05 AS alert FROM r),
+sp AS (SELECT unnest(range(min(window_start), max(window_start) + INTERVAL '1 minute', INTERVAL '1 minute')) AS window_start FROM res),
+fl AS (SELECT sp.window_start, coalesce(res.alert, false) AS a FROM sp LEFT JOIN res ON sp.window_start = res.window_start),
+hf AS (SELECT window_start,
+              min(CAST(a AS INTEGER)) OVER (ORDER BY window_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) = 1
+              AND count(*) OVER (ORDER BY window_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) = 3 AS firing FROM fl)
+SELECT res.*, hf.firing FROM res LEFT JOIN hf ON res.window_start = hf.window_start"""
 
 SQL["latency_histogram"] = BASE_PLOG + f""", h AS (
   SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, {_cums('latency_ms / 1000.0')}
@@ -530,7 +536,13 @@ SQL["latency_histogram"] = BASE_PLOG + f""", h AS (
 SQL["latency_quantiles"] = BASE_PLOG + f""", sl AS ({_slide("(SELECT * FROM plog WHERE status = 'ok')", 'latency_ms')}),
 h AS (SELECT window_start, {_cums('latency_ms / 1000.0')} FROM sl GROUP BY 1),
 q AS (SELECT window_start, c{len(_BOUNDS)} AS n, {_hq(0.5)} AS p50_s, {_hq(0.95)} AS p95_s FROM h)
-SELECT window_start, n, round(p50_s, 6) AS p50_s, round(p95_s, 6) AS p95_s, p95_s > 0.25 AS alert FROM q"""
+, res AS (SELECT window_start, n, round(p50_s, 6) AS p50_s, round(p95_s, 6) AS p95_s, p95_s > 0.25 AS alert FROM q),
+sp AS (SELECT unnest(range(min(window_start), max(window_start) + INTERVAL '1 minute', INTERVAL '1 minute')) AS window_start FROM res),
+fl AS (SELECT sp.window_start, coalesce(res.alert, false) AS a FROM sp LEFT JOIN res ON sp.window_start = res.window_start),
+hf AS (SELECT window_start,
+              min(CAST(a AS INTEGER)) OVER (ORDER BY window_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) = 1
+              AND count(*) OVER (ORDER BY window_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) = 3 AS firing FROM fl)
+SELECT res.*, hf.firing FROM res LEFT JOIN hf ON res.window_start = hf.window_start"""
 
 SQL["missing_rate"] = BASE_PLOG + """
 SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start, feature, count(*) AS n, round(count(*) / 60.0, 6) AS rate_per_s
@@ -538,7 +550,13 @@ FROM (SELECT ts, unnest(missing_features) AS feature FROM plog) GROUP BY 1, 2"""
 
 SQL["missing_alert"] = BASE_PLOG + f""", sl AS ({_slide('plog', 'len(missing_features) AS k')}),
 a AS (SELECT window_start, CAST(sum(k) AS BIGINT) AS n_missing FROM sl GROUP BY 1)
-SELECT window_start, n_missing, round(n_missing / 120.0, 6) AS rate_per_s, n_missing / 120.0 > 1.0 AS alert FROM a"""
+, res AS (SELECT window_start, n_missing, round(n_missing / 120.0, 6) AS rate_per_s, n_missing / 120.0 > 1.0 AS alert FROM a),
+sp AS (SELECT unnest(range(min(window_start), max(window_start) + INTERVAL '1 minute', INTERVAL '1 minute')) AS window_start FROM res),
+fl AS (SELECT sp.window_start, coalesce(res.alert, false) AS a FROM sp LEFT JOIN res ON sp.window_start = res.window_start),
+hf AS (SELECT window_start,
+              min(CAST(a AS INTEGER)) OVER (ORDER BY window_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) = 1
+              AND count(*) OVER (ORDER BY window_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) = 3 AS firing FROM fl)
+SELECT res.*, hf.firing FROM res LEFT JOIN hf ON res.window_start = hf.window_start"""
 
 _IDLE = BASE_PLOG + """, cnt AS (
   SELECT date_trunc('minute', ts) AS minute, count(*) AS n FROM plog WHERE decision IS NOT NULL GROUP BY 1),
@@ -548,8 +566,8 @@ s AS (SELECT sp.minute, coalesce(cnt.n, 0) AS n FROM sp LEFT JOIN cnt ON sp.minu
 w AS (SELECT minute, n, CAST(sum(n) OVER (ORDER BY minute ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS BIGINT) AS n_last,
              count(*) OVER (ORDER BY minute ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS k FROM s),
 i AS (SELECT minute, n, n_last, n_last = 0 AND k = 5 AS idle FROM w),
-f AS (SELECT *, min(CAST(idle AS INTEGER)) OVER (ORDER BY minute ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) = 1
-                AND count(*) OVER (ORDER BY minute ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) = 10 AS firing FROM i)"""
+f AS (SELECT *, min(CAST(idle AS INTEGER)) OVER (ORDER BY minute ROWS BETWEEN 10 PRECEDING AND CURRENT ROW) = 1
+                AND count(*) OVER (ORDER BY minute ROWS BETWEEN 10 PRECEDING AND CURRENT ROW) = 11 AS firing FROM i)"""
 
 SQL["idle_gaps"] = _IDLE + "\nSELECT minute, n, n_last, idle, firing FROM f"
 

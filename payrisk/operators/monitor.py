@@ -125,18 +125,34 @@ def minute_spine_counts(log: DataFrame, where: Column | None = None) -> DataFram
     return spine.join(counts, "minute", "left").na.fill(0, ["n"])
 
 
-def hold(flag: Column, order: str, evaluations: int, partition: list[str] | None = None) -> Column:
-    """MON-7: the condition has held for the last ``evaluations`` consecutive
-    evaluations (rows ordered by ``order``, one row per evaluation)."""
+def hold(flag: Column, order: str, held_minutes: int, partition: list[str] | None = None) -> Column:
+    """MON-7: an alert with ``for: <held_minutes>m`` evaluated once a minute
+    fires when its condition was true at the current evaluation and at each of
+    the ``held_minutes`` before it (rows ordered by ``order``, one row per
+    minute, no gaps)."""
     w = Window.orderBy(order) if not partition else Window.partitionBy(*partition).orderBy(order)
-    w = w.rowsBetween(-(evaluations - 1), Window.currentRow)
+    w = w.rowsBetween(-held_minutes, Window.currentRow)
     held = F.min(flag.cast("int")).over(w) == 1
-    return held & (F.count(F.lit(1)).over(w) == evaluations)
+    return held & (F.count(F.lit(1)).over(w) == held_minutes + 1)
+
+
+def with_firing(df: DataFrame, time_col: str = "window_start", flag_col: str = "alert",
+                held_minutes: int = 2) -> DataFrame:
+    """Add ``firing`` to per-minute alert rows: the condition evaluated on a
+    gap-free minute spine (a minute without rows has a false condition), held
+    for ``held_minutes`` (MON-7).  The spine has one row per minute of the
+    time span (bounded by time, not by rows)."""
+    bounds = df.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi"))
+    spine = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MINUTE"))).alias(time_col))
+    flags = (spine.join(df.select(time_col, F.col(flag_col).alias("_f")), time_col, "left")
+                  .withColumn("_f", F.coalesce(F.col("_f"), F.lit(False))))
+    fired = flags.select(time_col, hold(F.col("_f"), time_col, held_minutes).alias("firing"))
+    return df.join(fired, time_col, "left")
 
 
 def idle_alert(log: DataFrame, idle_minutes: int = 5, hold_minutes: int = 10) -> DataFrame:
     """MON-6 + MON-7: minutes with no predictions in the last ``idle_minutes``
-    (``idle``), and the alert that fires once that held ``hold_minutes``."""
+    (``idle``), and the alert that fires once that held for ``hold_minutes``."""
     s = minute_spine_counts(log, F.col("decision").isNotNull())
     last = Window.orderBy("minute").rowsBetween(-(idle_minutes - 1), Window.currentRow)
     s = s.withColumn("n_last", F.sum("n").over(last).cast("long"))

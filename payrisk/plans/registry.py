@@ -424,8 +424,9 @@ def q_decisions_per_minute(spark, sf_dir):
 
 @register("error_ratio_2m")
 def q_error_ratio_2m(spark, sf_dir):
-    """MON-2: request error ratio over sliding 2-minute windows (slide 1 minute), alert > 5 %."""
-    return _round(monitor.error_ratio(_log(spark, sf_dir)), ["error_ratio"])
+    """MON-2 + MON-7: request error ratio over sliding 2-minute windows (slide 1 minute), alert > 5 %,
+    firing once held for 2 minutes."""
+    return _round(monitor.with_firing(monitor.error_ratio(_log(spark, sf_dir))), ["error_ratio"])
 
 
 @register("latency_histogram")
@@ -436,8 +437,9 @@ def q_latency_histogram(spark, sf_dir):
 
 @register("latency_quantiles")
 def q_latency_quantiles(spark, sf_dir):
-    """MON-4: p50/p95 latency by histogram interpolation per sliding 2-minute window, alert p95 > 0.25 s."""
-    return _round(monitor.latency_quantiles(_log(spark, sf_dir)), ["p50_s", "p95_s"])
+    """MON-4 + MON-7: p50/p95 latency by histogram interpolation per sliding 2-minute window,
+    alert p95 > 0.25 s, firing once held for 2 minutes."""
+    return _round(monitor.with_firing(monitor.latency_quantiles(_log(spark, sf_dir))), ["p50_s", "p95_s"])
 
 
 @register("missing_rate")
@@ -448,8 +450,9 @@ def q_missing_rate(spark, sf_dir):
 
 @register("missing_alert")
 def q_missing_alert(spark, sf_dir):
-    """MON-5: total missing-feature rate over sliding 2-minute windows, alert > 1/s."""
-    return _round(monitor.missing_feature_alert(_log(spark, sf_dir)), ["rate_per_s"])
+    """MON-5 + MON-7: total missing-feature rate over sliding 2-minute windows, alert > 1/s,
+    firing once held for 2 minutes."""
+    return _round(monitor.with_firing(monitor.missing_feature_alert(_log(spark, sf_dir))), ["rate_per_s"])
 
 
 @register("idle_gaps")
