@@ -95,3 +95,19 @@ def test_index_multi_file(spark, tmp_dir):
     x = with_file_position(scan, ["id", "k"]).where(F.col("k") != "3")
     got = contiguous_index(x).select(F.col("id").cast("long"), "idx").orderBy("id").collect()
     assert [r["idx"] for r in got] == list(range(len(got)))
+
+
+def test_quality_rules_p999_and_labels(spark):
+    from datetime import datetime
+
+    from payrisk.operators.quality import quality_errors
+
+    rows = [("c", "m", datetime(2024, 1, 1), float(a), y) for a, y in
+            [(1.0, 0)] * 990 + [(12345678.9, 1)] * 10 + [(-1.0, 2)]]
+    df = spark.createDataFrame(rows, "card_id string, merchant_id string, event_timestamp timestamp_ntz, "
+                                     "amount double, is_fraud int")
+    errs = quality_errors(df).first()["validation_errors"]
+    assert errs[0] == "amount_has_negative_values"
+    assert errs[1] == "amount_p999_too_high p999=12345678.9"
+    assert errs[2] == "is_fraud_has_invalid_values count=1"
+    assert errs[3] == "event_timestamp_not_utc"
