@@ -10,7 +10,9 @@ fields are required; ``number`` accepts integers and decimals, ``integer``
 accepts whole numbers (``1.0`` too), booleans are neither; JSON ``null`` fails
 every type; ``channel`` ∈ {pos, ecom}, ``is_fraud`` ∈ {0, 1}; extra fields
 are allowed.  Bytes that are not valid UTF-8 are an error (strict decode); the
-dead-letter ``raw`` text is the repaired string (bad bytes → U+FFFD).
+dead-letter ``raw`` text is the repaired string (bad bytes → U+FFFD).  A
+document with duplicate keys or a bare ``NaN`` does not parse as VARIANT and is
+routed as ``not_json`` (a lenient Python parser would have accepted it).
 """
 
 from __future__ import annotations

@@ -42,6 +42,8 @@ CASES = [
     (_with(extra=1), None),
     (_with(lat=5), None),
     (_with(is_fraud=1.5), "type:is_fraud"),
+    (_with()[:-1] + b', "amount": 3}', "not_json"),   # duplicate key
+    (_with().replace(b'"amount": 12.5', b'"amount": NaN'), "not_json"),
 ]
 
 
