@@ -9,6 +9,8 @@ folder so the summary's aggregates do not recompute the log dedupes.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +20,7 @@ from payrisk.functions.columns import iso_to_timestamp, seconds_between, try_dou
 from payrisk.operators.dedupe import keep_latest
 from payrisk.operators.metrics import average_precision, classification_summary, confusion_columns, safe_ratio
 from payrisk.operators.pit import point_in_time_join
-from payrisk.operators.psi import psi
+from payrisk.operators.psi import inner_edges, psi
 from payrisk.operators.score import score
 from payrisk.operators.topk import max_minus, tail_by_time
 from payrisk.plans.features import velocity_views
@@ -208,8 +210,11 @@ def evaluate_delayed(payments: DataFrame, delay_minutes: int = S.LABEL_DELAY_MIN
         joined = _materialize(joined)
     summ = classification_summary(joined, "is_fraud", "fraud_probability", threshold)
     ap = average_precision(joined, "is_fraud", "fraud_probability", method="fixed").scalar()  # ≤ max_rows rows
-    psi_amount = psi(p, joined, "amount").select("psi").scalar()
-    psi_txn = psi(views[0].df, joined, "txn_count_1m").select("psi").scalar()
+    # the two expected-side edge computations are independent jobs: submit them together
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        e_amount, e_txn = pool.map(lambda a: inner_edges(*a), [(p, "amount"), (views[0].df, "txn_count_1m")])
+    psi_amount = psi(p, joined, "amount", edges=e_amount).select("psi").scalar()
+    psi_txn = psi(views[0].df, joined, "txn_count_1m", edges=e_txn).select("psi").scalar()
     return summ.select(
         F.col("n").alias("n_eval"), "tn", "fp", "fn", "tp", "precision", "recall",
         ap.alias("pr_auc"), psi_amount.alias("psi_amount"), psi_txn.alias("psi_txn_count_1m"),
