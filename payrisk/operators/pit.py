@@ -108,11 +108,11 @@ def point_in_time_join(entities: DataFrame, views: list[FeatureView], entity_ts:
     vtypes = [views[i].df.select(vstruct(views[i]).alias("s")).schema["s"].dataType for i in range(len(views))]
     etype = entities.select(F.struct(*[F.col(c) for c in ent_cols]).alias("e")).schema["e"].dataType
 
-    def row(ts: Column, kind: int, created: Column, bucket: Column, e: Column | None, vi: int | None,
+    def row(ts: Column, kind: int, created: Column, ttl: int, e: Column | None, vi: int | None,
             vs: Column | None, key_cols: list[Column]) -> list[Column]:
         cols = list(key_cols) + [
             ts.alias("_ts"), F.lit(kind).alias("_kind"), created.cast("timestamp").alias("_ord"),
-            bucket.cast("long").alias("_bucket"),
+            F.lit(int(ttl)).cast("long").alias("_ttl"),
             (e if e is not None else F.lit(None).cast(etype)).alias("_e"),
         ]
         for j, n in enumerate(vnames):
@@ -120,27 +120,25 @@ def point_in_time_join(entities: DataFrame, views: list[FeatureView], entity_ts:
         return cols
 
     ets = _ntz(entity_ts)
-    W = F.col("_W")
-    parts = [tag(entities).select(*row(ets, 1, F.lit(None), F.floor(epoch_seconds(ets) / W),
-                                       F.struct(*[F.col(c) for c in ent_cols]), None, None, [F.col(k) for k in keys]))]
+    parts = [entities.select(*row(ets, 1, F.lit(None), 0, F.struct(*[F.col(c) for c in ent_cols]), None, None,
+                                  [F.col(k) for k in keys]))]
     for i, v in enumerate(views):
         f = v.df.where(F.col(v.ts_col).isNotNull())
         for k in keys:
             f = f.where(F.col(k).isNotNull())
-        f = tag(f)
-        fts = _ntz(v.ts_col)
-        s = vstruct(v)
-        fb = F.floor(epoch_seconds(fts) / W)
-        # each feature row goes to its own bucket and, as carry-in, to every
-        # later bucket that starts within its TTL (one pass, no extra shuffle)
-        reach = F.floor((epoch_seconds(fts) + F.lit(int(v.ttl_seconds))) / W)
-        rows_v = f.select(*[F.col(k) for k in keys], fts.alias("_fts_"), s.alias("_s"),
-                          F.explode(F.sequence(fb, F.greatest(reach, fb))).alias("_tb"))
-        parts.append(rows_v.select(*row(F.col("_fts_"), 0, F.col("_s._fcreated"), F.col("_tb"), None, i,
-                                        F.col("_s"), [F.col(k) for k in keys])))
+        parts.append(f.select(*row(_ntz(v.ts_col), 0, vstruct(v)["_fcreated"], v.ttl_seconds, None, i, vstruct(v),
+                                   [F.col(k) for k in keys])))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
+    # one tag join for all rows, then one projection assigns buckets: every row
+    # goes to its own bucket and, as carry-in, to each later bucket that starts
+    # within its TTL (entity rows have TTL 0; a null time keeps its row)
+    u = tag(u)
+    sec = epoch_seconds(F.col("_ts"))
+    own = F.floor(sec / F.col("_W"))
+    reach = F.floor((sec + F.col("_ttl")) / F.col("_W"))
+    u = u.withColumn("_bucket", F.explode_outer(F.sequence(own, F.greatest(reach, own)))).drop("_W", "_ttl")
 
     w = (Window.partitionBy(*keys, "_bucket").orderBy("_ts", "_kind", "_ord")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
