@@ -4,13 +4,31 @@ from __future__ import annotations
 
 from payrisk.llm.common import table
 from payrisk.llm.langid import language_query
+from payrisk.llm.quality import quality_query
+from payrisk.llm.rules import rules_query
+from payrisk.llm.toxicity import toxicity_query
+
+
+def op4_quality(spark, sf_dir):
+    return quality_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op5_language(spark, sf_dir):
     return language_query(table(spark, sf_dir, "documents"))
 
 
+def op7_rules(spark, sf_dir):
+    return rules_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_toxicity(spark, sf_dir):
+    return toxicity_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op4_quality": op4_quality,
     "op5_language": op5_language,
+    "op7_rules": op7_rules,
+    "op10_toxicity": op10_toxicity,
 }
 SQL: dict[str, str] = {}
