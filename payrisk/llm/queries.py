@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from payrisk.llm import chat, mixing
 from payrisk.llm.common import table
 from payrisk.llm.langid import language_query
+from payrisk.llm.licenses import license_query
 from payrisk.llm.quality import quality_query
 from payrisk.llm.rules import rules_query
 from payrisk.llm.toxicity import toxicity_query
 
 
+def op2_chat(spark, sf_dir):
+    return chat.chat_query(table(spark, sf_dir, "conversations"))
+
+
 def op4_quality(spark, sf_dir):
     return quality_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -17,18 +23,29 @@ def op5_language(spark, sf_dir):
     return language_query(table(spark, sf_dir, "documents"))
 
 
+def op6_licenses(spark, sf_dir):
+    return license_query(table(spark, sf_dir, "documents"))
+
+
 def op7_rules(spark, sf_dir):
     return rules_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_mixing(spark, sf_dir):
+    return mixing.mixing_query(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark, sf_dir):
     return toxicity_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {
+    "op2_chat": op2_chat,
     "op4_quality": op4_quality,
     "op5_language": op5_language,
+    "op6_licenses": op6_licenses,
     "op7_rules": op7_rules,
+    "op8_mixing": op8_mixing,
     "op10_toxicity": op10_toxicity,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_chat": chat.SQL, "op8_mixing": mixing.SQL}

@@ -54,12 +54,12 @@ def _margin(of: np.ndarray, col: np.ndarray, n: int, model: dict) -> tuple[np.nd
     return out + 0.5 * ((s * s).sum(axis=1) - q), s
 
 
-def train(of: np.ndarray, term: np.ndarray, y: np.ndarray, columns: int = 2048, factors: int = 4, rounds: int = 300,
-          l1: float = 3e-4, l2: float = 1e-3, rate: float = 0.03, least_gain: float = 6.0, seed: int = 10) -> dict:
+def train(of: np.ndarray, term: np.ndarray, y: np.ndarray, columns: int = 1024, factors: int = 4, rounds: int = 400,
+          l1: float = 1e-4, l2: float = 1e-2, rate: float = 0.05, least_gain: float = 6.0, balance: float = 4.0, seed: int = 10) -> dict:
     """Machine on the ``columns`` terms that tell the classes apart best, by Adam on logistic loss.
 
     A term counts if its log-likelihood ratio is at least ``least_gain``.  Weights shrink towards 0 by ``l1`` (few terms stay) and factors
-    by ``l2``, so chance companions of an insult get nothing.
+    by ``l2``, so chance companions of an insult get nothing.  Toxic rows weigh ``balance`` times as much.
     """
     n, pos = len(y), y.sum()
     if not len(of) or not pos or pos == n:
@@ -86,7 +86,7 @@ def train(of: np.ndarray, term: np.ndarray, y: np.ndarray, columns: int = 2048,
     u = {k: np.zeros_like(np.asarray(model[k], float)) for k in ("w", "v", "b")}
     for t in range(1, rounds + 1):
         raw, s = _margin(of, col, n, model)
-        g = (1 / (1 + np.exp(-np.clip(raw, -40, 40))) - y) / n
+        g = (1 / (1 + np.exp(-np.clip(raw, -40, 40))) - y) * np.where(y > 0, balance, 1.0) / n
         gc = g[of]
         gv = np.stack([np.bincount(col, weights=gc * (s[of, f] - model["v"][col, f]), minlength=len(keep)) for f in range(factors)], axis=1)
         grads = {"w": np.bincount(col, weights=gc, minlength=len(keep)), "v": gv + l2 * model["v"], "b": g.sum()}
