@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from payrisk.llm.common import attach, codes, id_hash, runs, slices, word_hashes
+from payrisk.llm.common import attach, codes, id_hash, land, runs, slices, word_hashes
 from payrisk.llm.langid import _tables
 
 SPACE = 1 << 24
@@ -54,90 +54,108 @@ def _margin(of: np.ndarray, col: np.ndarray, n: int, model: dict) -> tuple[np.nd
     return out + 0.5 * ((s * s).sum(axis=1) - q), s
 
 
-def train(of: np.ndarray, term: np.ndarray, y: np.ndarray, columns: int = 1024, factors: int = 4, rounds: int = 400,
-          l1: float = 1e-4, l2: float = 1e-2, rate: float = 0.05, least_gain: float = 6.0, balance: float = 4.0, seed: int = 10) -> dict:
-    """Machine on the ``columns`` terms that tell the classes apart best, by Adam on logistic loss.
+def train(of: np.ndarray, col: np.ndarray, y: np.ndarray, terms_of: np.ndarray, factors: int = 4, rounds: int = 400,
+          l1: float = 1e-4, l2: float = 1e-2, rate: float = 0.05, balance: float = 4.0, seed: int = 10) -> dict:
+    """Machine over the (text, column) pairs by Adam on logistic loss; ``terms_of`` has the term of each column, sorted.
 
-    A term counts if its log-likelihood ratio is at least ``least_gain``.  Weights shrink towards 0 by ``l1`` (few terms stay) and factors
-    by ``l2``, so chance companions of an insult get nothing.  Toxic rows weigh ``balance`` times as much.
+    Weights shrink towards 0 by ``l1`` (few terms stay) and factors by ``l2``, so chance companions of an insult get nothing.
+    Toxic rows weigh ``balance`` times as much.
     """
-    n, pos = len(y), y.sum()
-    if not len(of) or not pos or pos == n:
+    n, pos, k = len(y), y.sum(), len(terms_of)
+    if not k or not pos or pos == n:
         return {"terms": np.zeros(0, np.int64), "w": np.zeros(0), "v": np.zeros((0, factors)), "b": -50.0}
-    places, col = np.unique(term, return_inverse=True)
-    df = np.bincount(col)
-    hit = np.bincount(col, weights=y[of])
-
-    def part(a, p):  # a * log(a / (a expected))
-        return np.where(a > 0, a * np.log(np.maximum(a, 1e-12) / np.maximum(p, 1e-12)), 0)
-
-    gain = (part(hit, df * pos / n) + part(df - hit, df * (n - pos) / n) + part(pos - hit, (n - df) * pos / n)
-            + part(n - df - pos + hit, (n - df) * (n - pos) / n))
-    gain[(df < 3)] = 0
-    keep = np.sort(np.argsort(-gain, kind="stable")[:columns])
-    keep = keep[gain[keep] >= least_gain]
-    new = np.full(len(places), -1)
-    new[keep] = np.arange(len(keep))
-    on = new[col] >= 0
-    of, col = of[on], new[col[on]]
     rng = np.random.default_rng(seed)
-    model = {"terms": places[keep], "w": np.zeros(len(keep)), "v": rng.normal(0, 0.01, (len(keep), factors)), "b": float(np.log(pos / (n - pos)))}
-    m = {k: np.zeros_like(np.asarray(model[k], float)) for k in ("w", "v", "b")}
-    u = {k: np.zeros_like(np.asarray(model[k], float)) for k in ("w", "v", "b")}
+    model = {"terms": terms_of, "w": np.zeros(k), "v": rng.normal(0, 0.01, (k, factors)), "b": float(np.log(pos / (n - pos)))}
+    m = {x: np.zeros_like(np.asarray(model[x], float)) for x in ("w", "v", "b")}
+    u = {x: np.zeros_like(np.asarray(model[x], float)) for x in ("w", "v", "b")}
     for t in range(1, rounds + 1):
         raw, s = _margin(of, col, n, model)
         g = (1 / (1 + np.exp(-np.clip(raw, -40, 40))) - y) * np.where(y > 0, balance, 1.0) / n
         gc = g[of]
-        gv = np.stack([np.bincount(col, weights=gc * (s[of, f] - model["v"][col, f]), minlength=len(keep)) for f in range(factors)], axis=1)
-        grads = {"w": np.bincount(col, weights=gc, minlength=len(keep)), "v": gv + l2 * model["v"], "b": g.sum()}
-        for k, x in grads.items():
-            m[k] = 0.9 * m[k] + 0.1 * x
-            u[k] = 0.99 * u[k] + 0.01 * x * x
-            step = rate / (np.sqrt(u[k] / (1 - 0.99**t)) + 1e-6)
-            model[k] = model[k] - step * (m[k] / (1 - 0.9**t))
-            if k == "w":
-                model[k] = np.sign(model[k]) * np.maximum(np.abs(model[k]) - step * l1, 0)
+        gv = np.stack([np.bincount(col, weights=gc * (s[of, f] - model["v"][col, f]), minlength=k) for f in range(factors)], axis=1)
+        grads = {"w": np.bincount(col, weights=gc, minlength=k), "v": gv + l2 * model["v"], "b": g.sum()}
+        for x, d in grads.items():
+            m[x] = 0.9 * m[x] + 0.1 * d
+            u[x] = 0.99 * u[x] + 0.01 * d * d
+            step = rate / (np.sqrt(u[x] / (1 - 0.99**t)) + 1e-6)
+            model[x] = model[x] - step * (m[x] / (1 - 0.9**t))
+            if x == "w":
+                model[x] = np.sign(model[x]) * np.maximum(np.abs(model[x]) - step * l1, 0)
     model["b"] = float(model["b"])
     return model
 
 
-def probabilities(texts: list, model: dict) -> np.ndarray:
+def _columns(texts: list, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, column) pairs of the chosen terms."""
     of, term = terms(texts)
-    if not len(model["terms"]):
-        return np.zeros(len(texts))
-    at = np.minimum(np.searchsorted(model["terms"], term), len(model["terms"]) - 1)
-    on = model["terms"][at] == term
-    raw, _ = _margin(of[on], at[on], len(texts), model)
+    if not len(chosen):
+        return of[:0], term[:0]
+    at = np.minimum(np.searchsorted(chosen, term), len(chosen) - 1)
+    on = chosen[at] == term
+    return of[on], at[on]
+
+
+def probabilities(texts: list, model: dict) -> np.ndarray:
+    raw, _ = _margin(*_columns(texts, model["terms"]), len(texts), model)
     return 1 / (1 + np.exp(-np.clip(raw, -40, 40)))
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = 20_000) -> dict:
+def informative(counts: DataFrame, n: int, pos: int, columns: int, least_gain: float) -> np.ndarray:
+    """The ``columns`` terms of ``counts(term, n, pos)`` with the largest log-likelihood ratio, at least ``least_gain``, sorted."""
+    a, d = F.col("pos").cast("double"), F.col("n").cast("double")
+
+    def part(x, share):  # x * log(x / expected)
+        return F.when(x > 0, x * F.log(x / share)).otherwise(F.lit(0.0))
+
+    gain = (part(a, d * pos / n) + part(d - a, d * (n - pos) / n) + part(pos - a, (n - d) * pos / n)
+            + part(n - d - pos + a, (n - d) * (n - pos) / n))
+    best = counts.filter("n >= 3").withColumn("gain", gain).filter(F.col("gain") >= least_gain).orderBy(F.desc("gain"), "term").limit(columns)
+    return np.array(sorted(r["term"] for r in best.select("term").collect()), np.int64)
+
+
+def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = 20_000, columns: int = 1024, least_gain: float = 6.0) -> dict:
     """Machine from at most about ``max_rows`` labelled documents (documented bound; those with the least id hashes).
 
-    Only the hashed terms of these rows reach the driver.
+    Terms are counted and chosen in Spark; the driver gets the chosen terms of the sample's rows.  The broadcast side is the
+    sample's ids, bounded by ``max_rows``.
     """
     one = labels.filter(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     n = one.count()
     if n > max_rows:
         one = one.filter(F.pmod(F.xxhash64(F.lit(10), "doc_id"), F.lit(1 << 30)) < int((1 << 30) * max_rows / n))
-    rows = docs.select("doc_id", "text").join(one, "doc_id").select("doc_id", "text", "y")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(one), "doc_id").select("doc_id", "text", "y")
 
-    def hashed(batches):
+    def count(batches):
         for b in batches:
-            ids, texts, ys = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()
+            texts, y = b.column(1).to_pylist(), b.column(2).to_numpy()
             for lo, hi in slices(texts):
                 of, term = terms(texts[lo:hi])
+                of, term = np.concatenate([of, np.arange(hi - lo)]), np.concatenate([term, np.full(hi - lo, -1)])  # -1: every text
+                places, at = np.unique(term, return_inverse=True)
+                yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(np.bincount(at)), pa.array(np.bincount(at, weights=y[lo:hi][of]).astype(np.int64))],
+                                                 names=["term", "n", "pos"])
+
+    counts = land(rows.mapInArrow(count, "term long, n long, pos long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).filter("n >= 3 or term = -1"), "terms")
+    total = counts.filter("term = -1").first()
+    if total is None:
+        return train(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
+    chosen = informative(counts.filter("term >= 0"), total["n"], total["pos"], columns, least_gain)
+
+    def pick(batches):
+        for b in batches:
+            texts = b.column(1).to_pylist()
+            for lo, hi in slices(texts):
+                of, col = _columns(texts[lo:hi], chosen)
                 cut = np.searchsorted(of, np.arange(hi - lo + 1))
-                blobs = [term[cut[i] : cut[i + 1]].astype("<i4").tobytes() for i in range(hi - lo)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi], b.schema.field(0).type), pa.array(blobs, pa.binary()),
-                                                  pa.array(ys[lo:hi], pa.int32())], names=["doc_id", "terms", "y"])
-
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("terms", T.BinaryType()), T.StructField("y", T.IntegerType())])
-    got = rows.mapInArrow(hashed, schema).collect()
-    got.sort(key=lambda r: (r["doc_id"], bytes(r["terms"])))
-    lists = [np.frombuffer(bytes(r["terms"]), "<i4").astype(np.int64) for r in got]
+                blobs = [col[cut[i] : cut[i + 1]].astype("<i4").tobytes() for i in range(hi - lo)]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(blobs, pa.binary()), b.column(2).slice(lo, hi - lo)],
+                                                 names=["doc_id", "cols", "y"])
+
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("cols", T.BinaryType()), T.StructField("y", T.IntegerType())])
+    got = sorted(rows.mapInArrow(pick, schema).collect(), key=lambda r: (r["doc_id"], bytes(r["cols"])))
+    lists = [np.frombuffer(bytes(r["cols"]), "<i4").astype(np.int64) for r in got]
     of = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    return train(of, np.concatenate(lists) if lists else np.zeros(0, np.int64), np.array([float(r["y"]) for r in got]))
+    return train(of, np.concatenate([*lists, np.zeros(0, np.int64)]), np.array([float(r["y"]) for r in got]), chosen)
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
