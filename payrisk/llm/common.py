@@ -132,7 +132,7 @@ def words_of(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, component): the smallest node reachable over ``edges(a, b)`` of longs, for all nodes with an edge.
+    """(node, component): the smallest node reachable over ``edges(a, b)``, for all nodes with an edge.
 
     Alternating large-star and small-star steps; each round is landed, so lineage stays short and a lost executor
     costs at most one round.  Stars are kept as (node, least neighbour) pairs: minima are pre-aggregated before the
@@ -142,7 +142,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         return (df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                 .filter("a <> b").distinct())
 
-    e = land(canon(edges.select(F.col("a").cast("long"), F.col("b").cast("long"))), "cc")
+    e = land(canon(edges.select("a", "b")), "cc")
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))

@@ -6,6 +6,7 @@ from payrisk.llm import chat, mixing
 from payrisk.llm.common import table
 from payrisk.llm.langid import language_query
 from payrisk.llm.licenses import license_query
+from payrisk.llm.minhash import dedup_query
 from payrisk.llm.quality import quality_query
 from payrisk.llm.rules import rules_query
 from payrisk.llm.toxicity import toxicity_query
@@ -35,6 +36,10 @@ def op8_mixing(spark, sf_dir):
     return mixing.mixing_query(table(spark, sf_dir, "documents"))
 
 
+def op9_minhash(spark, sf_dir):
+    return dedup_query(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark, sf_dir):
     return toxicity_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,6 +51,7 @@ QUERIES = {
     "op6_licenses": op6_licenses,
     "op7_rules": op7_rules,
     "op8_mixing": op8_mixing,
+    "op9_minhash": op9_minhash,
     "op10_toxicity": op10_toxicity,
 }
 SQL: dict[str, str] = {"op2_chat": chat.SQL, "op8_mixing": mixing.SQL}
