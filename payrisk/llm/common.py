@@ -131,6 +131,18 @@ def words_of(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return c, starts, ends, np.searchsorted(first, starts, side="right") - 1, first
 
 
+def block_pairs(rows: DataFrame, keys: list[str], by: str, n: str, most: int, columns: list[str]) -> DataFrame:
+    """Deals each group (``keys``, of ``n`` rows) as pairs of blocks of about ``most`` rows: (keys, i, j, side, columns).
+
+    Two rows of a group meet in just one (i, j): on side 0 and 1, or both on side 0 where i = j.
+    """
+    blocks = (F.col(n) / most + 1).cast("int")
+    dealt = rows.withColumn("_blocks", blocks).withColumn("_block", F.pmod(F.xxhash64(by), F.col("_blocks")).cast("int"))
+    spread = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"))
+    return spread.select(*keys, F.least("_block", "_other").alias("i"), F.greatest("_block", "_other").alias("j"),
+                         F.when(F.col("_block") <= F.col("_other"), 0).otherwise(1).alias("side"), *columns)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable over ``edges(a, b)``, for all nodes with an edge.
 

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payrisk.llm.common import components, land, mix64, slices, word_hashes, words_of
+from payrisk.llm.common import block_pairs, components, land, mix64, slices, word_hashes, words_of
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -216,11 +216,7 @@ def _across(rows: DataFrame) -> DataFrame:
             out_b.append(np.minimum(cid[r], cid[x]))
         return pa.table({"a": np.concatenate([*out_a, np.zeros(0, np.int64)]), "b": np.concatenate([*out_b, np.zeros(0, np.int64)])})
 
-    blocks = (F.col("n") / BLOCK + 1).cast("int")
-    dealt = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    spread = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cid", "comp", "sig",
-        F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"))
+    spread = block_pairs(rows, ["bucket"], "cid", "n", BLOCK, ["cid", "comp", "sig"])
     return spread.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 

@@ -10,12 +10,17 @@ from payrisk.llm.minhash import dedup_query
 from payrisk.llm.quality import quality_query
 from payrisk.llm.rules import rules_query
 from payrisk.llm.toxicity import toxicity_query
+from payrisk.llm.vecdup import near_vectors
 
 
 def op2_chat(spark, sf_dir):
     return chat.chat_query(table(spark, sf_dir, "conversations"))
 
 
+def op3_vectors(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_quality(spark, sf_dir):
     return quality_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,6 +51,7 @@ def op10_toxicity(spark, sf_dir):
 
 QUERIES = {
     "op2_chat": op2_chat,
+    "op3_vectors": op3_vectors,
     "op4_quality": op4_quality,
     "op5_language": op5_language,
     "op6_licenses": op6_licenses,
