@@ -7,12 +7,17 @@ from payrisk.llm.common import table
 from payrisk.llm.langid import language_query
 from payrisk.llm.licenses import license_query
 from payrisk.llm.minhash import dedup_query
+from payrisk.llm.packing import packing_query
 from payrisk.llm.quality import quality_query
 from payrisk.llm.rules import rules_query
 from payrisk.llm.toxicity import toxicity_query
 from payrisk.llm.vecdup import near_vectors
 
 
+def op1_packing(spark, sf_dir):
+    return packing_query(table(spark, sf_dir, "documents"))
+
+
 def op2_chat(spark, sf_dir):
     return chat.chat_query(table(spark, sf_dir, "conversations"))
 
@@ -50,6 +55,7 @@ def op10_toxicity(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op2_chat": op2_chat,
     "op3_vectors": op3_vectors,
     "op4_quality": op4_quality,
