@@ -117,7 +117,7 @@ def word_hashes(c: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
         return np.zeros(0, np.uint64)
     length = ends - starts
     if (most := int(length.max())) > len(_POWERS):
-        _POWERS = np.cumprod(np.concatenate([[1], np.full(2 * most, 0x9E3779B97F4A7C15, np.uint64)]).astype(np.uint64))
+        _POWERS = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(2 * most, 0x9E3779B97F4A7C15, np.uint64)]))
     first = np.repeat(starts, length)
     at = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
     terms = (c[first + at].astype(np.uint64) + np.uint64(1)) * _POWERS[at]
