@@ -84,7 +84,7 @@ def signatures(doc: np.ndarray, key: np.ndarray, count: np.ndarray, n: int, slot
         at = np.flatnonzero(open_[d0])
         time, j = np.zeros(len(at)), 0
         while len(at):
-            s = seed[at] + np.uint64(3 * j + 1) * _G
+            s = seed[at] + np.uint64((3 * j + 1) * int(_G) % 2**64)
             time = time - np.log(_uniform(s)) / (slots * width[at])
             live = time <= reach[d0[at]]
             at, time, s = at[live], time[live], s[live]
