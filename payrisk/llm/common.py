@@ -151,25 +151,26 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     shuffle, and a hub's rows are spread by AQE's skew join, never gathered.
     """
     def canon(df):
-        return (df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                .filter("a <> b").distinct())
+        return df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
 
-    e = land(canon(edges.select("a", "b")), "cc")
+    def stars(df):
+        """Every node points to one node at most, and none that points is pointed to."""
+        ends = df.select(F.col("a").alias("n"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+            df.select(F.col("b").alias("n"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+        sums = ends.groupBy("n").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+        return sums.filter("out > 1 or (out > 0 and into > 0)").isEmpty()
+
+    e = land(canon(edges.select("a", "b")).distinct(), "cc")
     for _ in range(max_rounds):
+        if stars(e):
+            break
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .unionByName(low.filter("m < a").select("a", F.col("m").alias("b"))))
-        big = canon(large)
+        big = canon(both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                    .unionByName(low.filter("m < a").select("a", F.col("m").alias("b"))))
         low2 = big.groupBy("a").agg(F.min("b").alias("m"))
-        nxt = land(canon(big.join(low2, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                         .unionByName(low2.select("a", F.col("m").alias("b")))), "cc")
-        # a forest of stars: no node stands on both sides
-        if nxt.select(F.col("b").alias("n")).join(nxt.select(F.col("a").alias("n")), "n", "left_semi").isEmpty():
-            e = nxt
-            if nxt.groupBy("a").count().filter("count > 1").isEmpty():
-                break
-        e = nxt
+        e = land(canon(big.join(low2, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                       .unionByName(low2.select("a", F.col("m").alias("b")))).distinct(), "cc")
     else:
         raise RuntimeError(f"components: no fixed point after {max_rounds} rounds")
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(

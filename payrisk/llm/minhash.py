@@ -8,9 +8,9 @@ before a bound that fills all slots are drawn; a text with a slot left empty is
 
 Equal texts form one class.  Classes that agree in a band are candidates, and a pair counts after its bags' exact similarity is
 0.8 or more.  First every class is compared with its bucket's least one; then, in buckets that still hold several
-components, with the member nearest to all others; then every pair of different components in such a bucket whose
-signatures agree in 0.65 of the slots or more.  So no bucket's pairs are emitted as a whole, and none that could join
-two components is left out.
+components, with the member nearest to all others; then all members of such a bucket that have a partner in another
+component with 0.65 or more of the slots in common, block by block where they stand.  So no bucket's pairs are
+emitted, and none that could join two components is left out.
 
 Cases: null texts and texts without a word are near nothing, each stays alone; a text under five words is one shingle; repeated rows
 are copies (of rows equal in id and text, one is kept); an empty table gives an empty result; very long texts are
@@ -185,10 +185,13 @@ def _nearest_to_all(rows: DataFrame) -> DataFrame:
     def run(group: pa.Table) -> pa.Table:
         cid, comp = group.column("cid").to_numpy(), group.column("comp").to_numpy()
         sig = np.frombuffer(b"".join(x.as_py() for x in group.column("sig")), np.uint32).reshape(-1, SLOTS)
-        agree = np.zeros(len(cid), np.int64)
-        for s in range(SLOTS):
-            _, at, n = np.unique(sig[:, s], return_inverse=True, return_counts=True)
-            agree += at == n.argmax()
+        if len(cid) <= 32:  # agreements with all others, summed
+            agree = (sig[:, None] == sig[None]).sum(axis=(1, 2))
+        else:  # slots that hold the commonest value
+            agree = np.zeros(len(cid), np.int64)
+            for s in range(SLOTS):
+                _, at, n = np.unique(sig[:, s], return_inverse=True, return_counts=True)
+                agree += at == n.argmax()
         m = int(np.lexsort((cid, -agree))[0])
         ok = (comp != comp[m]) & ((sig == sig[m]).mean(axis=1) >= PLAUSIBLE)
         return pa.table({"a": cid[ok], "b": np.full(int(ok.sum()), cid[m])})
@@ -197,8 +200,11 @@ def _nearest_to_all(rows: DataFrame) -> DataFrame:
     return dealt.groupBy("bucket", "block").applyInArrow(run, "a long, b long").distinct()
 
 
-def _across(rows: DataFrame) -> DataFrame:
-    """All plausible pairs of different components in a bucket, by pairs of blocks; a pair is emitted in its first common band only."""
+def _still_plausible(rows: DataFrame) -> DataFrame:
+    """(bucket, cid, comp) of members with a plausible partner of another component, by pairs of blocks.
+
+    A pair counts in its first common band only.  Members come out, not pairs.
+    """
     def run(group: pa.Table) -> pa.Table:
         cid, comp = group.column("cid").to_numpy(), group.column("comp").to_numpy()
         side, bucket = group.column("side").to_numpy(), group.column("bucket")[0].as_py()
@@ -207,17 +213,65 @@ def _across(rows: DataFrame) -> DataFrame:
         keys = band_keys(sig)
         band = int(np.flatnonzero(keys[0] == bucket)[0])
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if same else 1))
-        out_a, out_b = [], []
+        hit = np.zeros(len(cid), bool)
         for x in left:
-            r = right[(comp[right] != comp[x]) & ((cid[right] > cid[x]) if same else True)]
+            r = right[comp[right] != comp[x]]
             r = r[(sig[r] == sig[x]).mean(axis=1) >= PLAUSIBLE]
             r = r[~(keys[r, :band] == keys[x, :band]).any(axis=1)]
-            out_a.append(np.maximum(cid[r], cid[x]))
-            out_b.append(np.minimum(cid[r], cid[x]))
-        return pa.table({"a": np.concatenate([*out_a, np.zeros(0, np.int64)]), "b": np.concatenate([*out_b, np.zeros(0, np.int64)])})
+            hit[r] = True
+            hit[x] |= len(r) > 0
+        return pa.table({"bucket": np.full(int(hit.sum()), bucket), "cid": cid[hit], "comp": comp[hit]})
 
     spread = block_pairs(rows, ["bucket"], "cid", "n", BLOCK, ["cid", "comp", "sig"])
-    return spread.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    return spread.groupBy("bucket", "i", "j").applyInArrow(run, "bucket long, cid long, comp long").distinct()
+
+
+def overlaps(texts: list, columns: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """([n, n] shared shingles counted with their multiplicity, [n] bag sizes)."""
+    n = len(texts)
+    parts = [bags(texts[lo:hi]) for lo, hi in slices(texts)]
+    doc = np.concatenate([d + lo for (d, _, _), (lo, _) in zip(parts, slices(texts))])
+    key, count = (np.concatenate([p[i] for p in parts]) for i in (1, 2))
+    size = np.bincount(doc, weights=count, minlength=n)
+    # the k-th occurrence of a shingle is an element of its own: shared elements are the minima of the counts
+    row = np.repeat(np.arange(len(doc)), count)
+    kth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    _, element, held = np.unique(mix64(key[row] + kth.astype(np.uint64) * _G), return_inverse=True, return_counts=True)
+    doc, keep = doc[row], held[element] > 1
+    doc, element = doc[keep], np.unique(element[keep], return_inverse=True)[1]
+    order = np.argsort(element, kind="stable")
+    doc, element = doc[order], element[order]
+    shared = np.zeros((n, n), np.float32)
+    for lo in range(0, int(element[-1]) + 1 if len(element) else 0, columns):
+        a, b = np.searchsorted(element, [lo, lo + columns])
+        z = np.zeros((n, columns), np.float32)
+        z[doc[a:b], element[a:b] - lo] = 1
+        shared += z @ z.T
+    return shared, size
+
+
+def _links_across(members: DataFrame, texts: DataFrame, most: int = 128) -> DataFrame:
+    """Landed links (a, b) between different components: bags of all members of a bucket are compared, block by block, where they
+    stand; a block emits each member's least partner reachable in it, never its pairs."""
+    members = land(members, "bag-members")
+    held = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("held"))
+    rows = members.join(held, "bucket").join(texts, "cid")
+
+    def run(group: pa.Table) -> pa.Table:
+        cid, comp, side = (group.column(c).to_numpy() for c in ("cid", "comp", "side"))
+        shared, size = overlaps(group.column("text").to_pylist())
+        near = shared >= SIMILAR * (size[:, None] + size[None] - shared)
+        near &= comp[:, None] != comp[None]
+        if group.column("i")[0].as_py() != group.column("j")[0].as_py():
+            near &= side[:, None] != side[None]
+        root, before = cid.copy(), None
+        while before is None or (root != before).any():
+            before = root
+            root = np.minimum(before, np.where(near, before[None], np.iinfo(np.int64).max).min(axis=1))
+        return pa.table({"a": cid[root != cid], "b": root[root != cid]})
+
+    spread = block_pairs(rows, ["bucket"], "cid", "held", most, ["cid", "comp", "text"])
+    return land(spread.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long").distinct(), "bag-across")
 
 
 def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -232,13 +286,12 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sigs = wanted.select("cid", "sig")
     links = verify(buckets.filter("cid <> least").select(F.col("cid").alias("a"), F.col("least").alias("b")).distinct(), texts)
     comp = components(links)
-    for step in (_nearest_to_all, _across):
+    for step in (lambda rows: verify(_nearest_to_all(rows), texts), lambda rows: _links_across(_still_plausible(rows), texts)):
         rows = land(_mixed(buckets, comp).join(sigs, "cid"), "bag-mixed")
         if rows.isEmpty():
             break
-        more = verify(step(rows), texts)
-        links = links.unionByName(more)
-        comp = components(links)
+        known = comp.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        comp = components(known.unionByName(step(rows)))
     member = classes.join(comp, classes.cid == comp.node, "left").select("key", F.coalesce("component", "cid").alias("component"))
     rows = signed.select("uid", "doc_id", "key", F.col("sig").isNull().alias("alone"))
     rows = rows.join(member, "key", "left").select("uid", "doc_id", "key", F.when(F.col("alone"), F.col("uid")).otherwise(F.col("component")).alias("component"))

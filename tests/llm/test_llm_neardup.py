@@ -107,12 +107,32 @@ def test_later_steps_join_what_the_first_leaves(spark):
     rows = spark.createDataFrame([(bucket, i, n, i % 2, bytearray(s.tobytes())) for n in (6,) for i, s in enumerate(sigs)], "bucket long, cid long, n long, comp long, sig binary")
     star = {tuple(r) for r in minhash._nearest_to_all(rows).collect()}
     assert star and all(a % 2 != b % 2 for a, b in star)
-    first = {i: {j for j in range(6)} for i in range(6)}
     for n in (6, 5000):  # 5,000 claimed rows make several blocks
-        pairs = [tuple(r) for r in minhash._across(rows.withColumn("n", rows.n * 0 + n)).collect()]
-        want = {(a, b) for a in range(6) for b in range(a) if a % 2 != b % 2 and not (keys[a, :band] == keys[b, :band]).any()}
-        assert set(pairs) == want and len(pairs) == len(want)
-    assert first
+        found = [tuple(r) for r in minhash._still_plausible(rows.withColumn("n", rows.n * 0 + n)).collect()]
+        want = {x for a in range(6) for b in range(a) if a % 2 != b % 2 and not (keys[a, :band] == keys[b, :band]).any() for x in (a, b)}
+        assert {r[1] for r in found} == want and len(found) == len(want)
+
+
+def test_overlaps_are_exact():
+    texts = make(random.Random(9), 12)
+    shared, size = minhash.overlaps(texts, columns=7)
+    for i, a in enumerate(map(bag, texts)):
+        assert size[i] == sum(a.values())
+        for j, b in enumerate(map(bag, texts)):
+            if i != j:
+                assert shared[i, j] == sum((a & b).values())
+
+
+def test_links_across_blocks(spark):
+    """Members that only the last step can link: every one in a component of its own, several blocks a bucket."""
+    texts = [t for t in make(random.Random(11), 25) if bag(t)]
+    rows = spark.createDataFrame([(7, i, i) for i in range(len(texts))], "bucket long, cid long, comp long")
+    held = spark.createDataFrame(list(enumerate(texts)), "cid long, text string")
+    bags = [bag(t) for t in texts]
+    root = brute(len(texts), lambda a, b: sum((bags[a] & bags[b]).values()) >= 0.8 * sum((bags[a] | bags[b]).values()))
+    for most in (8, 1000):
+        got = {r["node"]: r["component"] for r in components(minhash._links_across(rows, held, most)).collect()}
+        assert [got.get(i, i) for i in range(len(texts))] == root
 
 
 def test_odd_rows(odd, docs):
