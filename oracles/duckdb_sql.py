@@ -216,7 +216,7 @@ LABLOG = """lablog AS (
   FROM payments WHERE CAST(event_id AS BIGINT) % 25 = 0)"""
 
 
-def dedup(preds: str = "plog", labels: str = "lablog", grace: int = 5, max_rows: int = 200000) -> str:
+def dedup(preds: str = "plog", labels: str = "lablog", grace: int = 5) -> str:
     return f"""pl AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id, ts, CAST(fraud_probability AS DOUBLE) AS fraud_probability FROM {preds}
   WHERE event_id IS NOT NULL AND fraud_probability IS NOT NULL AND ts IS NOT NULL AND NOT isnan(fraud_probability)),
@@ -226,8 +226,7 @@ ll AS (
   WHERE event_id IS NOT NULL AND is_fraud IS NOT NULL AND label_timestamp IS NOT NULL),
 ld AS (SELECT * FROM ll QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY label_timestamp DESC, is_fraud DESC) = 1),
 el AS (
-  SELECT * FROM pd WHERE ts <= (SELECT max(label_timestamp) FROM ld) - INTERVAL '{grace} minutes'
-  ORDER BY ts DESC, event_id DESC LIMIT {max_rows}),
+  SELECT * FROM pd WHERE ts <= (SELECT max(label_timestamp) FROM ld) - INTERVAL '{grace} minutes'),
 j AS (SELECT el.event_id, el.ts, el.fraud_probability, ld.is_fraud, ld.label_timestamp FROM el LEFT JOIN ld ON el.event_id = ld.event_id),
 m AS (SELECT * FROM j WHERE is_fraud IS NOT NULL)"""
 
@@ -389,6 +388,12 @@ SELECT 'psi_amount' AS feature, round(psi, 6) AS psi, n_bins, n_expected, n_actu
 UNION ALL SELECT 'psi_txn_count_1m', round(psi, 6), n_bins, n_expected, n_actual, (SELECT count(*) FROM rec) FROM pt
 UNION ALL SELECT 'psi_amount_sum_1m', round(psi, 6), n_bins, n_expected, n_actual, (SELECT count(*) FROM rec) FROM ps"""
 
+SQL["newest_n"] = _EVAL + """
+SELECT event_id, ts, round(fraud_probability, 6) AS fraud_probability FROM pd ORDER BY ts DESC, event_id DESC LIMIT 500"""
+
+SQL["psi_bins_amount_all"] = SQL["psi_bins_amount"].replace(_RECENT, "SELECT * FROM plog")
+SQL["psi_report_all"] = SQL["psi_report"].replace(_RECENT, "SELECT * FROM plog")
+
 SQL["psi_amount_halves"] = with_(PAYMENTS, psi_sql(
     "ph", "SELECT amount AS x FROM payments WHERE event_timestamp < TIMESTAMP '2024-01-16 00:00:00'",
     "SELECT amount AS x FROM payments WHERE event_timestamp >= TIMESTAMP '2024-01-16 00:00:00'")) + """
@@ -608,7 +613,7 @@ SELECT event_id, card_id, round(amount, 6) AS amount, round(fraud_probability, 6
 SQL["stream_label_join"] = with_(PAYMENTS, V1M, V5M, PLOG, LABLOG) + """
 SELECT p.event_id, p.ts, round(p.fraud_probability, 6) AS fraud_probability, l.is_fraud, l.label_timestamp
 FROM plog p JOIN lablog l ON p.event_id = l.event_id
- AND l.label_timestamp >= p.ts AND l.label_timestamp <= p.ts + INTERVAL '60 minutes'"""
+ AND l.label_timestamp >= p.ts AND l.label_timestamp <= p.ts + INTERVAL '150 minutes'"""
 
 
 # ---------------------------------------------------------------- training

@@ -94,13 +94,18 @@ def cmd_train(a) -> int:
     return 0
 
 
+def _count(x) -> int | None:
+    """A row count from the command line or the environment; none means all rows."""
+    return int(x) if x not in (None, "") else None
+
+
 def cmd_evaluate_delayed(a) -> int:
     from payrisk.plans.evaluate import evaluate_delayed
     from payrisk.plans.train import load_model_or_fallback
 
     spark = _session()
     model, version = load_model_or_fallback(a.model_path)
-    out = evaluate_delayed(spark.read.parquet(a.payments_real_path), a.label_delay_minutes, a.threshold, a.max_rows,
+    out = evaluate_delayed(spark.read.parquet(a.payments_real_path), a.label_delay_minutes, a.threshold, _count(a.max_rows),
                            model=model, version=version)
     _print(dict(out.first().asDict(), model_version=version))
     return 0
@@ -113,7 +118,7 @@ def cmd_evaluate_eventid(a) -> int:
     spark = _session()
     preds = read_prediction_log(spark, a.prediction_log_path)
     labels = read_labels_log(spark, a.labels_log_path)
-    summary = evaluate_event_id(preds, labels, a.label_grace_minutes, a.threshold, a.allow_partial, a.max_rows)
+    summary = evaluate_event_id(preds, labels, a.label_grace_minutes, a.threshold, a.allow_partial, _count(a.max_rows))
     gated = quality_gate(summary, a.min_join_rate, a.min_precision, a.min_recall, a.min_pr_auc)
     row = gated.first().asDict()
     _print(row)
@@ -199,10 +204,10 @@ def parser() -> argparse.ArgumentParser:
                              ("threshold", S.DECISION_THRESHOLD)])
     add("evaluate-delayed", cmd_evaluate_delayed, [("payments_real_path", None), ("model_path", None),
                                                    ("label_delay_minutes", S.LABEL_DELAY_MINUTES),
-                                                   ("threshold", S.DECISION_THRESHOLD), ("max_rows", S.MAX_EVAL_ROWS)])
+                                                   ("threshold", S.DECISION_THRESHOLD), ("max_rows", None)])
     add("evaluate-eventid", cmd_evaluate_eventid, [
         ("prediction_log_path", None), ("labels_log_path", None), ("threshold", S.DECISION_THRESHOLD),
-        ("label_grace_minutes", S.LABEL_GRACE_MINUTES), ("allow_partial", False), ("max_rows", S.MAX_EVAL_ROWS),
+        ("label_grace_minutes", S.LABEL_GRACE_MINUTES), ("allow_partial", False), ("max_rows", None),
         ("min_join_rate", -1.0), ("min_precision", -1.0), ("min_recall", -1.0), ("min_pr_auc", -1.0)])
     add("drift", cmd_drift, [("payments_path", None), ("offline_features_path", None),
                              ("prediction_log_path", None), ("recent_rows", S.RECENT_ROWS)])

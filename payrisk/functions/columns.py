@@ -50,14 +50,20 @@ def iso_to_timestamp(s) -> Column:
 
 
 def try_double(c) -> Column:
-    """Numeric coercion, bad values → null (pandas ``to_numeric(errors='coerce')``)."""
-    return _c(c).try_cast("double")
+    """Numeric coercion, bad values and NaN → null."""
+    x = _c(c).try_cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def json_number(c) -> Column:
+    """A number read as JSON text: ``12.5``, ``"12.5"``, ``true`` (1) or ``false`` (0); anything else → null."""
+    s = _c(c)
+    return F.when(s == "true", F.lit(1.0)).when(s == "false", F.lit(0.0)).otherwise(try_double(s))
 
 
 def try_label(c) -> Column:
-    """Label coercion: numeric parse through double, null → 0, then int
-    (``pd.to_numeric(...).fillna(0).astype(int)`` truncates)."""
-    return F.coalesce(_c(c).try_cast("double"), F.lit(0.0)).cast("int")
+    """Label coercion: numeric parse through double, truncated to int; null, NaN and values beyond int → 0."""
+    return F.coalesce(try_double(c).try_cast("int"), F.lit(0))
 
 
 def default_if_falsy(c, default) -> Column:

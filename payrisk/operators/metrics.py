@@ -1,26 +1,17 @@
 """Binary-classification metrics as DataFrame aggregates (AGG-5..10, WIN-4).
 
 All metrics of one input come out of one ``agg`` where possible.  Average
-precision needs a descending running sum over distinct scores; it is done in
-two levels so no window ever runs unpartitioned over row-level data:
-
-1. distinct scores with their row and positive counts (hash aggregate);
-2. distinct scores are cut into ranges monotone in the score (approximate
-   quantile edges, or equal-width ranges for bounded inputs), bucket totals
-   are prefix-summed over the bucket table (at most ``buckets`` + 1 rows —
-   the only unpartitioned window, over a bounded table, broadcast back by
-   that bound);
-3. inside each bucket a partitioned running sum finishes the prefix.
+precision needs a descending running sum over distinct scores, which
+:func:`payrisk.operators.quantiles.running_sums` gives range by range, so no
+window ever runs unpartitioned over row-level data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-AP_BUCKETS = 1 << 16
-AP_QUANTILE_BUCKETS = 256
-
+from payrisk.operators.quantiles import running_sums
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -58,63 +49,21 @@ def classification_summary(df: DataFrame, label: str = "is_fraud", prob: str = "
     )
 
 
-def average_precision(df: DataFrame, label: str = "is_fraud", score: str = "fraud_probability",
-                      buckets: int | None = None, method: str = "quantile") -> DataFrame:
+def average_precision(df: DataFrame, label: str = "is_fraud", score: str = "fraud_probability") -> DataFrame:
     """AGG-8: one row ``pr_auc`` = Σ over distinct scores (desc) of
     (ΔRecall × Precision) = Σ tp_s · cum_tp/cum_n ÷ Σ tp.  NaN when the labels
-    hold a single class (AGG-9).
-
-    Distinct scores are cut into ranges that are monotone in the score, so
-    prefix sums over the ranges are exact:
-
-    * ``method="quantile"`` (default, ``buckets`` = 256): approximate-quantile
-      edges of the distinct scores (one small aggregate; ≤ 256 numbers reach
-      the driver) and Spark ML's ``Bucketizer`` (binary search in the JVM) —
-      ranges stay balanced however concentrated a model's scores are;
-    * ``method="fixed"`` (``buckets`` = 65,536): equal-width ranges of [0, 1],
-      no extra job — used where the input is already bounded (the evaluation
-      sets hold at most ``max_rows`` rows)."""
+    hold a single class (AGG-9).  One path for every size: see :mod:`payrisk.operators.quantiles`."""
     s = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
            .groupBy(F.col(score).cast("double").alias("_s"))
-           .agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("long")).alias("_tp")))
-    if method == "fixed":
-        k = buckets or AP_BUCKETS
-        s = s.withColumn("_bk", F.least(F.greatest(F.floor(F.col("_s") * F.lit(k)), F.lit(0)), F.lit(k)).cast("long"))
-    elif method == "quantile":
-        from pyspark.ml.feature import Bucketizer
-
-        k = buckets or AP_QUANTILE_BUCKETS
-        qs = [i / k for i in range(1, k)]
-        row = s.agg(F.percentile_approx("_s", F.array(*[F.lit(q) for q in qs]), 10000).alias("e")).first()
-        edges = sorted(set(row["e"] or []))
-        splits = [-float("inf")] + edges + [float("inf")]
-        s = (Bucketizer(splits=splits, inputCol="_s", outputCol="_bkd", handleInvalid="keep").transform(s)
-             .withColumn("_bk", F.col("_bkd").cast("long")).drop("_bkd"))
-    else:
-        raise ValueError(method)
-    per_bucket = s.groupBy("_bk").agg(F.sum("_n").alias("_bn"), F.sum("_tp").alias("_btp"))
-    desc_buckets = Window.orderBy(F.desc("_bk")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(
-        "_bk",
-        F.coalesce(F.sum("_bn").over(desc_buckets), F.lit(0)).alias("_off_n"),
-        F.coalesce(F.sum("_btp").over(desc_buckets), F.lit(0)).alias("_off_tp"))
-    # offsets has at most `buckets` + 1 rows (a proven bound) → broadcast
-    j = s.join(F.broadcast(offsets), "_bk")
-    inner = Window.partitionBy("_bk").orderBy(F.desc("_s")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    j = (j.withColumn("_cum_n", F.col("_off_n") + F.sum("_n").over(inner))
-          .withColumn("_cum_tp", F.col("_off_tp") + F.sum("_tp").over(inner)))
-    agg = j.agg(F.sum(F.col("_tp") * F.col("_cum_tp") / F.col("_cum_n")).alias("_num"),
-                F.sum("_tp").alias("_pos"), F.sum("_n").alias("_all"))
+           .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("tp")))
+    j = running_sums(s.withColumn("g", F.lit(0)), "g", "_s", ["n", "tp"], descending=True)
+    agg = j.agg(F.sum(F.col("tp") * F.col("cum_tp") / F.col("cum_n")).alias("_num"),
+                F.sum("tp").alias("_pos"), F.sum("n").alias("_all"))
     return agg.select(
         F.when((F.col("_pos") > 0) & (F.col("_pos") < F.col("_all")), F.col("_num") / F.col("_pos"))
          .otherwise(F.lit(float("nan"))).alias("pr_auc"))
 
 
-def quantiles(col: str | Column, probs: list[float]) -> Column:
-    """AGG-5: exact quantiles with linear interpolation (``percentile``), as an array."""
-    return F.percentile(_c(col), F.array(*[F.lit(float(p)) for p in probs]))
-
-
 def class_weight(df: DataFrame, label: str = "is_fraud") -> DataFrame:
     """AGG-10: neg, pos and ``scale_pos_weight = neg / max(pos, 1)``."""
     agg = df.agg(F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("long").alias("pos"),

@@ -114,14 +114,26 @@ def missing_feature_alert(log: DataFrame, width: str = "2 minutes", slide: str =
                .withColumn("alert", F.col("rate_per_s") > F.lit(limit_per_s)))
 
 
+def minutes_of(df: DataFrame, minute: str) -> DataFrame:
+    """Every minute, between the first and the last of ``df[minute]``, of the days that have a row and of the day
+    after each: a minute that is left out lies in a gap of a whole day or more, whose first day shows it.  A stray
+    timestamp far away adds two days, not millennia."""
+    kind = df.schema[minute].dataType
+    day = F.explode(F.array(F.to_date(minute), F.date_add(F.to_date(minute), 1))).alias("_day")
+    days = df.where(F.col(minute).isNotNull()).select(day).distinct()
+    every = F.explode(F.sequence(F.col("_day").cast(kind), (F.col("_day").cast("timestamp_ntz") + F.expr("INTERVAL 1439 MINUTE")).cast(kind),
+                                 F.expr("INTERVAL 1 MINUTE"))).alias(minute)
+    bounds = df.agg(F.min(minute).alias("_lo"), F.max(minute).alias("_hi"))
+    # one row of bounds: the broadcast side is a single row
+    return days.select(every).join(F.broadcast(bounds), F.col(minute).between(F.col("_lo"), F.col("_hi"))).select(minute)
+
+
 def minute_spine_counts(log: DataFrame, where: Column | None = None) -> DataFrame:
-    """Every minute from the first to the last log minute with its prediction
-    count (0 for empty minutes)."""
+    """Every minute of the log with its prediction count (0 for empty minutes); see :func:`minutes_of`."""
     src = log if where is None else log.where(where)
     m = F.date_trunc("minute", F.col("ts")).cast(log.schema["ts"].dataType)  # keep the input's timestamp type
     counts = src.groupBy(m.alias("minute")).agg(F.count(F.lit(1)).alias("n"))
-    bounds = log.agg(F.min(m).alias("lo"), F.max(m).alias("hi"))
-    spine = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MINUTE"))).alias("minute"))
+    spine = minutes_of(log.select(m.alias("minute")), "minute")
     return spine.join(counts, "minute", "left").na.fill(0, ["n"])
 
 
@@ -139,11 +151,10 @@ def hold(flag: Column, order: str, held_minutes: int, partition: list[str] | Non
 def with_firing(df: DataFrame, time_col: str = "window_start", flag_col: str = "alert",
                 held_minutes: int = 2) -> DataFrame:
     """Add ``firing`` to per-minute alert rows: the condition evaluated on a
-    gap-free minute spine (a minute without rows has a false condition), held
-    for ``held_minutes`` (MON-7).  The spine has one row per minute of the
-    time span (bounded by time, not by rows)."""
-    bounds = df.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi"))
-    spine = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MINUTE"))).alias(time_col))
+    minute spine (a minute without rows has a false condition), held
+    for ``held_minutes`` (MON-7).  The spine has one row per minute of the days
+    with rows (bounded by time, not by rows)."""
+    spine = minutes_of(df.select(time_col), time_col)
     flags = (spine.join(df.select(time_col, F.col(flag_col).alias("_f")), time_col, "left")
                   .withColumn("_f", F.coalesce(F.col("_f"), F.lit(False))))
     fired = flags.select(time_col, hold(F.col("_f"), time_col, held_minutes).alias("firing"))

@@ -6,8 +6,7 @@ newest feature row of the same key with ``ts_feat <= ts_entity`` (ties on
 than ``ts_entity - ttl``.  Entity rows are all kept (duplicates included, null
 keys included); unmatched features are null.
 
-Plan (one shuffle for the join itself, plus a partial aggregate of entity keys to find
-hot keys; no row blow-up, no range join):
+Plan (one shuffle; no row blow-up, no range join):
 
 * entity rows and feature rows are tagged and ``unionByName``-ed;
 * a running ``last(struct, ignorenulls)`` per view over
@@ -18,7 +17,7 @@ hot keys; no row blow-up, no range join):
   into every later bucket that starts within its TTL, in the same projection
   (``explode(sequence(bucket, reach))``), which makes the bucketed result equal
   to the unbucketed one.  With the bucket at least as wide as the TTL (default
-  one day vs 2 h / 4 h) a row is replayed at most once, and only rows within
+  6 h vs 2 h / 4 h) a row is replayed at most once, and only rows within
   one TTL of a bucket end are (≈ TTL / bucket of them).
 """
 
@@ -31,9 +30,7 @@ from pyspark.sql import functions as F
 
 from payrisk.functions.columns import epoch_seconds
 
-DEFAULT_BUCKET_SECONDS = 86400
-HOT_BUCKET_SECONDS = 3600
-HOT_KEY_ROWS = 2_000_000
+DEFAULT_BUCKET_SECONDS = 6 * 3600
 
 
 @dataclass(frozen=True)
@@ -56,21 +53,15 @@ def _ntz(c) -> Column:
 
 def point_in_time_join(entities: DataFrame, views: list[FeatureView], entity_ts: str = "event_timestamp",
                        keys: tuple[str, ...] | None = None, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                       fill: dict | None = None, hot_key_rows: int | None = HOT_KEY_ROWS,
-                       hot_bucket_seconds: int = HOT_BUCKET_SECONDS) -> DataFrame:
+                       fill: dict | None = None) -> DataFrame:
     """As-of left join of ``entities`` to every view in ``views``.
 
     Output: every entity column (in order) followed by each view's fields.
     ``fill`` maps feature column → value for missing features (PRJ-7); it only
     touches feature columns.
 
-    Hot keys: keys with more than ``hot_key_rows`` entity rows (found by one
-    partial aggregate; that key table has at most rows / ``hot_key_rows``
-    entries, so broadcasting it is safe) use ``hot_bucket_seconds`` buckets
-    instead of ``bucket_seconds``, so one card holding a large share of all rows
-    is split into many small window partitions while ordinary cards keep the
-    coarse bucket (few replayed feature rows).  ``hot_key_rows=None`` turns
-    this off.
+    A key's rows are spread over its time buckets, and entity rows without a key, which
+    match nothing, by a hash of the row: neither meets in one task.
     """
     if not views:
         return entities
@@ -83,20 +74,7 @@ def point_in_time_join(entities: DataFrame, views: list[FeatureView], entity_ts:
     if clash:
         raise ValueError(f"feature columns clash with entity columns: {sorted(clash)}")
 
-    W_cold, W_hot = int(bucket_seconds), int(hot_bucket_seconds)
-    hot = None
-    if hot_key_rows is not None:
-        hot = (entities.where(F.col(keys[0]).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                       .where(F.col("_n") > F.lit(int(hot_key_rows))).select(*keys, F.lit(True).alias("_hot")))
-
-    def tag(df: DataFrame) -> DataFrame:
-        """Add ``_W``: the bucket width of each row's key."""
-        if hot is None:
-            return df.withColumn("_W", F.lit(W_cold))
-        # at most (entity rows / hot_key_rows) keys: a bounded broadcast
-        return (df.join(F.broadcast(hot), list(keys), "left")
-                  .withColumn("_W", F.when(F.col("_hot"), F.lit(W_hot)).otherwise(F.lit(W_cold))).drop("_hot"))
-
+    W = int(bucket_seconds)
     vnames = [f"_v{i}" for i in range(len(views))]
     ent_cols = entities.columns
 
@@ -131,14 +109,16 @@ def point_in_time_join(entities: DataFrame, views: list[FeatureView], entity_ts:
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    # one tag join for all rows, then one projection assigns buckets: every row
-    # goes to its own bucket and, as carry-in, to each later bucket that starts
-    # within its TTL (entity rows have TTL 0; a null time keeps its row)
-    u = tag(u)
+    # one projection assigns buckets: every row goes to its own bucket and, as carry-in, to each later bucket that
+    # starts within its TTL (entity rows have TTL 0; a null time keeps its row; a row without a key goes anywhere)
     sec = epoch_seconds(F.col("_ts"))
-    own = F.floor(sec / F.col("_W"))
-    reach = F.floor((sec + F.col("_ttl")) / F.col("_W"))
-    u = u.withColumn("_bucket", F.explode_outer(F.sequence(own, F.greatest(reach, own)))).drop("_W", "_ttl")
+    own = F.floor(sec / F.lit(W))
+    reach = F.floor((sec + F.col("_ttl")) / F.lit(W))
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    buckets = F.when(no_key, F.array(F.xxhash64("_e", "_ts"))).otherwise(F.sequence(own, F.greatest(reach, own)))
+    u = u.withColumn("_bucket", F.explode_outer(buckets)).drop("_ttl")
 
     w = (Window.partitionBy(*keys, "_bucket").orderBy("_ts", "_kind", "_ord")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -20,33 +20,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from payrisk import schemas as S
+from payrisk.operators.quantiles import quantiles_of, value_counts
 
 
-def _clean(df: DataFrame, col: str) -> DataFrame:
+def _clean(df: DataFrame, col: str, weight: str | None = None) -> DataFrame:
     x = F.col(col).try_cast("double")
-    return df.select(x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    n = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    return df.select(x.alias("_x"), n.alias("_n")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
 
 
-def inner_edges(expected: DataFrame, col: str, bins: int = S.PSI_BINS, method: str = "auto") -> Column:
-    """Sorted distinct inner decile edges of ``expected[col]``.
+def edge_columns(counts: DataFrame, cols: list[str], bins: int = S.PSI_BINS) -> dict[str, Column]:
+    """Sorted distinct inner decile edges of every column in ``counts`` (:func:`value_counts`), as literal arrays of at
+    most ``bins − 1`` numbers; null for a column without values."""
+    got = quantiles_of(counts, [i / bins for i in range(1, bins)])
+    return {c: F.array(*[F.lit(float(v)) for v in sorted(set(got[c]))]) if c in got else F.lit(None).cast("array<double>")
+            for c in cols}
 
-    ``method="subquery"``: one exact ``percentile`` aggregate used as a scalar
-    subquery (lazy, no driver round trip; memory grows with distinct values).
-    Otherwise the edges come from :func:`payrisk.operators.quantiles.exact_quantiles`
-    (``auto`` / ``bounded`` / ``percentile``) — same values, bounded memory
-    when the column has many distinct values — and enter the plan as a
-    literal array of ``bins − 1`` numbers.
-    """
-    qs = [i / bins for i in range(1, bins)]
-    if method == "subquery":
-        e = _clean(expected, col)
-        return e.agg(F.array_sort(F.array_distinct(F.percentile("_x", F.array(*[F.lit(q) for q in qs]))))).scalar()
-    from payrisk.operators.quantiles import exact_quantiles
 
-    vals = exact_quantiles(expected, col, qs, method=method)
-    if vals[0] is None:
-        return F.lit(None).cast("array<double>")
-    return F.array(*[F.lit(float(v)) for v in sorted(set(vals))])
+def inner_edges(expected: DataFrame, col: str, bins: int = S.PSI_BINS) -> Column:
+    """:func:`edge_columns` of one column."""
+    return edge_columns(value_counts(expected, [col]), [col], bins)[col]
 
 
 def bin_of(x: Column, edges: Column, max_edges: int = S.PSI_BINS - 1) -> Column:
@@ -56,16 +49,16 @@ def bin_of(x: Column, edges: Column, max_edges: int = S.PSI_BINS - 1) -> Column:
 
 
 def psi_bins(expected: DataFrame, actual: DataFrame, col: str, actual_col: str | None = None,
-             bins: int = S.PSI_BINS, eps: float = S.PSI_EPS, method: str = "auto",
-             edges: Column | None = None) -> DataFrame:
+             bins: int = S.PSI_BINS, eps: float = S.PSI_EPS, edges: Column | None = None,
+             weight: str | None = None) -> DataFrame:
     """Per-bin counts and smoothed shares of both sides:
     ``bin, n_expected_bin, n_actual_bin, e_share, a_share`` (one row per bin)."""
     actual_col = actual_col or col
-    e = _clean(expected, col)
-    a = _clean(actual, actual_col)
-    edges = edges if edges is not None else inner_edges(expected, col, bins, method)
-    both = (e.select("_x", F.lit(1).alias("_e"), F.lit(0).alias("_a"))
-             .unionByName(a.select("_x", F.lit(0).alias("_e"), F.lit(1).alias("_a"))))
+    e = _clean(expected, col, weight)
+    a = _clean(actual, actual_col, weight)
+    edges = edges if edges is not None else inner_edges(expected, col, bins)
+    both = (e.select("_x", F.col("_n").alias("_e"), F.lit(0).cast("long").alias("_a"))
+             .unionByName(a.select("_x", F.lit(0).cast("long").alias("_e"), F.col("_n").alias("_a"))))
     binned = both.withColumn("_edges", edges).select(bin_of(F.col("_x"), F.col("_edges"), bins - 1).alias("bin"),
                                                      "_e", "_a")
     counts = binned.groupBy("bin").agg(F.sum("_e").cast("long").alias("ne"), F.sum("_a").cast("long").alias("na"))
@@ -86,11 +79,12 @@ def psi_bins(expected: DataFrame, actual: DataFrame, col: str, actual_col: str |
 
 
 def psi(expected: DataFrame, actual: DataFrame, col: str, actual_col: str | None = None,
-        bins: int = S.PSI_BINS, eps: float = S.PSI_EPS, name: str | None = None, method: str = "auto",
-        edges: Column | None = None) -> DataFrame:
+        bins: int = S.PSI_BINS, eps: float = S.PSI_EPS, name: str | None = None, edges: Column | None = None,
+        weight: str | None = None) -> DataFrame:
     """AGG-12: one row ``feature, psi, n_bins, n_expected, n_actual``
-    (``edges``: precomputed inner edges, e.g. from :func:`inner_edges`)."""
-    t = psi_bins(expected, actual, col, actual_col, bins, eps, method, edges)
+    (``edges``: precomputed inner edges, e.g. from :func:`inner_edges`; ``weight``: a
+    column with the number of rows that each input row stands for)."""
+    t = psi_bins(expected, actual, col, actual_col, bins, eps, edges, weight)
     term = (F.col("a_share") - F.col("e_share")) * F.log(F.col("a_share") / F.col("e_share"))
     agg = t.agg(F.sum(term).alias("_psi"), F.coalesce(F.max("k"), F.lit(0)).alias("n_bins"),
                 F.coalesce(F.max("n_expected"), F.lit(0)).alias("n_expected"),

@@ -17,7 +17,7 @@ from payrisk import schemas as S
 REQUIRED_COLUMNS = ["card_id", "merchant_id", "event_timestamp", "amount", "is_fraud"]
 
 
-def quality_errors(df: DataFrame, p999_limit: float = S.AMOUNT_P999_LIMIT, quantile_method: str = "auto") -> DataFrame:
+def quality_errors(df: DataFrame, p999_limit: float = S.AMOUNT_P999_LIMIT) -> DataFrame:
     """One row ``validation_errors`` (array<string>, empty when clean), in rule order:
     missing columns, amount nulls / negatives / p99.9, labels outside {0,1}
     (with count), timestamp nulls / dtype / zone."""
@@ -28,7 +28,7 @@ def quality_errors(df: DataFrame, p999_limit: float = S.AMOUNT_P999_LIMIT, quant
         a = F.col("amount")
         from payrisk.operators.quantiles import exact_quantiles
 
-        p999 = exact_quantiles(df, "amount", [0.999], method=quantile_method)[0]
+        p999 = exact_quantiles(df, "amount", [0.999])[0]
         aggs += [F.sum(F.when(a.isNull(), 1).otherwise(0)).alias("_a_null"),
                  F.sum(F.when(a < 0, 1).otherwise(0)).alias("_a_neg")]
     if "is_fraud" in cols:

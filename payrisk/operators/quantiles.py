@@ -1,173 +1,69 @@
-"""Exact quantiles with bounded memory (AGG-5 at scale).
+"""Exact quantiles and running sums over values, for any number of rows (AGG-5, AGG-8, AGG-12).
 
-Spark's exact ``percentile`` keeps a value → count map; for a global
-quantile all distinct values meet in one task, so memory grows with the
-number of distinct values.  ``exact_quantiles`` gives the same numbers
-(linear interpolation between the values at ranks ⌊q(n−1)⌋ and ⌈q(n−1)⌉)
-with memory bounded by ``fanout`` and ``final_rows``:
-
-1. count n; the target ranks follow from n and the probabilities;
-2. a slice of the value line (at first: all of it) that is still too large is
-   cut by ``fanout`` approximate quantile edges (``percentile_approx``), a
-   row's bucket is found by binary search over the edges (``aggregate``
-   lambda, log₂ fanout steps), and one aggregate counts rows per
-   (slice, bucket); the bucket holding each target rank becomes that target's
-   next slice — all open slices are handled by one job per level;
-3. a slice of at most ``final_rows`` rows is resolved exactly: distinct
-   values with counts, a running count partitioned by slice, and the value
-   whose running count covers the rank.
-
-Only bounded summaries reach the driver (n, ≤ fanout edges and counts per
-open slice, one value per target).  ``method="auto"`` first estimates the
-number of distinct values (HyperLogLog) and keeps the single-pass
-``percentile`` when that is at most ``percentile_max_distinct``.
+Equal values are counted first (a partial aggregate), the distinct values are range-partitioned by Spark and landed
+with their range's number; ranges are in value order, so a value's running sum is the total of the earlier ranges
+(one row per range) plus a window inside its range.  Several columns go through one pass, and one path serves every
+size: no value map in one task, no loop on the driver.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-FANOUT = 1024
-FINAL_ROWS = 2_000_000
-PERCENTILE_MAX_DISTINCT = 2_000_000
-
-
-def _clean(df: DataFrame, col: str) -> DataFrame:
-    x = F.col(col).cast("double")
-    return df.select(x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-
-
-def _in_slice(lo, hi) -> Column:
-    """Open interval ``lo < x < hi`` (None = unbounded)."""
-    c = F.lit(True)
-    if lo is not None:
-        c = c & (F.col("_x") > F.lit(float(lo)))
-    if hi is not None:
-        c = c & (F.col("_x") < F.lit(float(hi)))
-    return c
-
-
-def _slice_id(slices: list[tuple]) -> Column:
-    sid = F.lit(None).cast("int")
-    for i, (lo, hi) in reversed(list(enumerate(slices))):
-        sid = F.when(_in_slice(lo, hi), F.lit(i)).otherwise(sid)
-    return sid
-
-
-def _lower_bound(edges: Column, x: Column, size: int) -> Column:
-    """Number of elements of the sorted array ``edges`` strictly below ``x``
-    (binary search, ⌈log₂(size+1)⌉ steps)."""
-    steps = max(1, math.ceil(math.log2(size + 1)))
-    init = F.struct(F.lit(0).alias("lo"), F.lit(size).alias("hi"))
-
-    def step(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = F.floor((lo + hi) / 2).cast("int")
-        go_right = (lo < hi) & (F.get(edges, mid) < x)
-        go_left = (lo < hi) & ~(F.get(edges, mid) < x)
-        return F.struct(F.when(go_right, mid + 1).otherwise(lo).alias("lo"),
-                        F.when(go_left, mid).otherwise(hi).alias("hi"))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
-
+from payrisk.session import scratch_path
+
+
+def running_sums(df: DataFrame, group: str, order: str, values: list[str], descending: bool = False) -> DataFrame:
+    """``df`` (one row per ``group`` and ``order``) with ``cum_<v>``: the sum of v over rows up to and with this one."""
+    spark = df.sparkSession
+    key = F.col(order).desc() if descending else F.col(order)
+    path = scratch_path(spark, "ranges")
+    df.repartitionByRange(group, key).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    landed = spark.read.parquet(path)
+    totals = landed.groupBy(group, "_range").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(group, "_range", *[F.coalesce(F.sum(f"_t_{v}").over(earlier), F.lit(0)).alias(f"_o_{v}") for v in values])
+    inside = Window.partitionBy(group, "_range").orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = landed.withColumns({f"_w_{v}": F.sum(v).over(inside) for v in values}).join(offsets, [group, "_range"])
+    return (sums.withColumns({f"cum_{v}": F.col(f"_o_{v}") + F.col(f"_w_{v}") for v in values})
+            .drop("_range", *[f"_{k}_{v}" for k in "ow" for v in values]))
+
+
+def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(c, x, n): how often each value stands in each column; nulls and NaN are left out."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).try_cast("double").alias("x")) for c in cols]))
+    flat = df.select(pairs.alias("p")).select("p.*").where(F.col("x").isNotNull() & ~F.isnan("x"))
+    return flat.groupBy("c", "x").agg(F.count(F.lit(1)).alias("n"))
+
+
+def quantiles_of(counts: DataFrame, probs: list[float]) -> dict[str, list[float]]:
+    """Linearly interpolated quantiles of every column in ``counts(c, x, n)``; the driver gets two values per probability."""
+    ranked = running_sums(counts, "c", "x", ["n"])
+    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)]))
+    total = counts.groupBy("c").agg(F.sum("n").alias("rows")).select("c", "rows", wanted.alias("w")).select(
+        "c", "rows", "w.i", (F.col("w.p") * (F.col("rows") - 1)).alias("place"))
+    # targets: a row per column and probability, named by the caller
+    hit = ranked.join(F.broadcast(total), "c").where(
+        (F.col("cum_n") > F.floor("place")) & (F.col("cum_n") - F.col("n") <= F.ceil("place")))
+    out: dict[str, list] = {}
+    for (c, i), rows in _grouped(hit.select("c", "i", "place", "x", "n", "cum_n").collect()).items():
+        place = rows[0]["place"]
+        at = {k: next(r["x"] for r in rows if r["cum_n"] - r["n"] <= k < r["cum_n"]) for k in {math.floor(place), math.ceil(place)}}
+        lo, hi = at[math.floor(place)], at[math.ceil(place)]
+        out.setdefault(c, [None] * len(probs))[i] = lo if lo == hi else lo + (place - math.floor(place)) * (hi - lo)
+    return out
 
-def _resolve(x: DataFrame, slices: list[tuple], wanted: dict[int, list[int]]) -> dict[tuple[int, int], float]:
-    """Exact values at in-slice ranks: ``wanted[sid] = [rank, …]`` (0-based)."""
-    spark = x.sparkSession
-    tagged = x.withColumn("_sid", _slice_id(slices)).where(F.col("_sid").isin(list(wanted)))
-    vals = tagged.groupBy("_sid", "_x").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy("_sid").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    vals = vals.withColumn("_cum", F.sum("_c").over(w))
-    targets = spark.createDataFrame([(s, r) for s, rs in wanted.items() for r in rs], "_sid int, _r long")
-    hit = (vals.join(F.broadcast(targets), "_sid")  # targets: ≤ 2 per probability
-               .where((F.col("_cum") - F.col("_c") <= F.col("_r")) & (F.col("_r") < F.col("_cum"))))
-    return {(r["_sid"], r["_r"]): r["_x"] for r in hit.select("_sid", "_r", "_x").collect()}
 
+def _grouped(rows: list) -> dict[tuple, list]:
+    out: dict[tuple, list] = {}
+    for r in rows:
+        out.setdefault((r["c"], r["i"]), []).append(r)
+    return out
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], method: str = "auto",
-                    fanout: int = FANOUT, final_rows: int = FINAL_ROWS,
-                    percentile_max_distinct: int = PERCENTILE_MAX_DISTINCT) -> list[float | None]:
-    """Exact linear-interpolated quantiles of ``df[col]`` (nulls and NaN
-    ignored); ``None`` for each probability when there are no values.
 
-    ``method``: ``"percentile"`` (one pass, map of distinct values),
-    ``"bounded"`` (multi-level, bounded memory) or ``"auto"``.
-    """
-    x = _clean(df, col)
-    if method == "percentile" or method == "auto":
-        stats = x.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("_x").alias("d")).first()
-        if stats["n"] == 0:
-            return [None] * len(probs)
-        if method == "percentile" or stats["d"] <= percentile_max_distinct:
-            row = x.agg(F.percentile("_x", F.array(*[F.lit(float(p)) for p in probs])).alias("q")).first()
-            return list(row["q"])
-        n = stats["n"]
-    else:
-        n = x.count()
-        if n == 0:
-            return [None] * len(probs)
-    ranks = sorted({int(math.floor(p * (n - 1))) for p in probs} | {int(math.ceil(p * (n - 1))) for p in probs})
-    # per target rank: open slice (lo, hi), rows before the slice, rows in the slice
-    state = {r: (None, None, 0, n) for r in ranks}
-    values: dict[int, float] = {}
-    qs = [j / fanout for j in range(1, fanout)]
-    while len(values) < len(ranks):
-        open_ = {r: s for r, s in state.items() if r not in values}
-        slices = sorted({(s[0], s[1]) for s in open_.values()}, key=lambda t: (t[0] is not None, t[0] or 0.0))
-        sid_of = {sl: i for i, sl in enumerate(slices)}
-        small = {sid_of[(s[0], s[1])] for s in open_.values() if s[3] <= final_rows}
-        if small:
-            wanted: dict[int, list[int]] = {}
-            for r, s in open_.items():
-                if sid_of[(s[0], s[1])] in small:
-                    wanted.setdefault(sid_of[(s[0], s[1])], []).append(r - s[2])
-            got = _resolve(x, slices, wanted)
-            for r, s in open_.items():
-                i = sid_of[(s[0], s[1])]
-                if i in small:
-                    values[r] = got[(i, r - s[2])]
-        big = sorted({sid_of[(s[0], s[1])] for r, s in open_.items() if r not in values})
-        if not big:
-            break
-        tagged = x.withColumn("_sid", _slice_id(slices)).where(F.col("_sid").isin(big))
-        edge_rows = (tagged.groupBy("_sid")
-                           .agg(F.percentile_approx("_x", F.array(*[F.lit(q) for q in qs]), 10000).alias("_e"))
-                           .collect())
-        edges = {row["_sid"]: sorted(set(row["_e"])) for row in edge_rows}
-        emap = F.create_map(*[c for i in big for c in (F.lit(i), F.array(*[F.lit(float(e)) for e in edges[i]]))])
-        size = max(len(e) for e in edges.values())
-        # bucket code along the value line: 2·k = open interval below edge k, 2·k+1 = the edge value itself
-        lb = _lower_bound(F.col("_e"), F.col("_x"), size)
-        code = lb * 2 + F.when(F.get(F.col("_e"), lb) == F.col("_x"), 1).otherwise(0)
-        counts = (tagged.withColumn("_e", F.element_at(emap, F.col("_sid")))
-                        .withColumn("_b", code)
-                        .groupBy("_sid", "_b").agg(F.count(F.lit(1)).alias("_c")).collect())
-        per: dict[int, dict[int, int]] = {}
-        for row in counts:
-            per.setdefault(row["_sid"], {})[row["_b"]] = row["_c"]
-        for r, s in open_.items():
-            if r in values:
-                continue
-            i = sid_of[(s[0], s[1])]
-            e = edges[i]
-            before = s[2]
-            for b in sorted(per[i]):
-                c = per[i][b]
-                if before + c > r:
-                    k = b // 2
-                    if b % 2 == 1:
-                        values[r] = e[k]
-                    else:
-                        state[r] = (e[k - 1] if k > 0 else s[0], e[k] if k < len(e) else s[1], before, c)
-                    break
-                before += c
-    out = []
-    for p in probs:
-        pos = p * (n - 1)
-        lo, hi = int(math.floor(pos)), int(math.ceil(pos))
-        a, b = values[lo], values[hi]
-        out.append(a if lo == hi else a + (pos - lo) * (b - a))
-    return out
+def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float | None]:
+    """Exact linearly interpolated quantiles of ``df[col]``; ``None`` for each probability when there are no values."""
+    return quantiles_of(value_counts(df, [col]), probs).get(col, [None] * len(probs))

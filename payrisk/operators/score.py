@@ -8,7 +8,7 @@ the probability vector with ``vector_to_array`` — no Python UDF either way.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from payrisk import schemas as S
@@ -27,13 +27,25 @@ def with_missing_flags(df: DataFrame, features=tuple(S.ONLINE_FEATURES)) -> Data
     return out
 
 
-def fill_event_id(df: DataFrame, event_id: str = "event_id", basis: list[str] | None = None) -> DataFrame:
+def fill_event_id(df: DataFrame, event_id: str = "event_id", basis: list[str] | None = None,
+                  number_equal: bool = False) -> DataFrame:
     """PRJ-18: a missing/empty event id is replaced by a deterministic id (sha2 of
     the row's other fields), so a retried batch gets the same id; flag kept in
-    ``event_id_missing``."""
+    ``event_id_missing``.  With ``number_equal``, rows equal in all these fields get an id each
+    (numbered among themselves; only rows without an id share a group)."""
     basis = basis or [c for c in df.columns if c != event_id]
     raw = F.to_json(F.struct(*[F.col(c) for c in basis]))
     missing = F.col(event_id).isNull() | (F.col(event_id) == "")
+    if number_equal:
+        group = F.coalesce(F.when(missing, raw), F.concat(F.lit("id:"), F.col(event_id)))
+        nth = F.row_number().over(Window.partitionBy(group).orderBy(F.lit(0)))
+        df = df.withColumn("_nth", nth)
+        raw = F.when(F.col("_nth") == 1, raw).otherwise(F.concat(raw, F.lit("#"), F.col("_nth")))
+        return fill_with(df, event_id, missing, raw).drop("_nth")
+    return fill_with(df, event_id, missing, raw)
+
+
+def fill_with(df: DataFrame, event_id: str, missing: Column, raw: Column) -> DataFrame:
     return (df.withColumn("event_id_missing", missing)
               .withColumn(event_id, F.when(missing, F.concat(F.lit("gen-"), F.sha2(raw, 256).substr(1, 32)))
                           .otherwise(F.col(event_id))))

@@ -3,13 +3,13 @@ between the offline data (expected) and the recent prediction log (actual)."""
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from payrisk import schemas as S
-from payrisk.operators.psi import inner_edges, psi
+from payrisk.operators.psi import edge_columns, psi
+from payrisk.operators.quantiles import value_counts
+from payrisk.session import scratch_path
 
 
 def drift_report(payments: DataFrame, features_1m: DataFrame, recent_log: DataFrame,
@@ -17,14 +17,18 @@ def drift_report(payments: DataFrame, features_1m: DataFrame, recent_log: DataFr
     """Long form: one row per feature (psi_amount, psi_txn_count_1m,
     psi_amount_sum_1m) with psi, n_bins, n_expected, n_actual, n_recent.
 
-    The three expected-side edge computations are independent Spark jobs and
-    are submitted together from a small thread pool; the binning is lazy."""
-    specs = [(payments, "amount", "psi_amount"), (features_1m, "txn_count_1m", "psi_txn_count_1m"),
-             (features_1m, "amount_sum_1m", "psi_amount_sum_1m")]
-    with ThreadPoolExecutor(max_workers=len(specs)) as pool:
-        edges = list(pool.map(lambda sp: inner_edges(sp[0], sp[1], bins), specs))
-    parts = [psi(df, recent_log, col, bins=bins, eps=eps, name=name, edges=e)
-             for (df, col, name), e in zip(specs, edges)]
+    The value counts of both sides are landed once; the edges of all three
+    features come from one pass over them, and the bins count the values."""
+    spark, cols = payments.sparkSession, ["amount", "txn_count_1m", "amount_sum_1m"]
+    path = scratch_path(spark, "drift-values")
+    expected = value_counts(payments, cols[:1]).unionByName(value_counts(features_1m, cols[1:]))
+    (expected.withColumn("side", F.lit("expected"))
+     .unionByName(value_counts(recent_log, cols).withColumn("side", F.lit("actual"))).write.parquet(path))
+    counts = spark.read.parquet(path)
+    expected, actual = (counts.where(F.col("side") == s).select("c", "x", "n") for s in ("expected", "actual"))
+    edges = edge_columns(expected, cols, bins)
+    parts = [psi(expected.where(F.col("c") == c), actual.where(F.col("c") == c), "x", bins=bins, eps=eps,
+                 name=f"psi_{c}", edges=edges[c], weight="n") for c in cols]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

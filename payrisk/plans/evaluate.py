@@ -9,7 +9,6 @@ folder so the summary's aggregates do not recompute the log dedupes.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +19,8 @@ from payrisk.functions.columns import iso_to_timestamp, seconds_between, try_dou
 from payrisk.operators.dedupe import keep_latest
 from payrisk.operators.metrics import average_precision, classification_summary, confusion_columns, safe_ratio
 from payrisk.operators.pit import point_in_time_join
-from payrisk.operators.psi import inner_edges, psi
+from payrisk.operators.psi import edge_columns, psi
+from payrisk.operators.quantiles import exact_quantiles, value_counts
 from payrisk.operators.score import score
 from payrisk.operators.topk import max_minus, tail_by_time
 from payrisk.plans.features import velocity_views
@@ -65,11 +65,12 @@ def latest_predictions(preds: DataFrame) -> DataFrame:
 
 
 def eligible_predictions(preds_d: DataFrame, labels_d: DataFrame, grace_minutes: int = S.LABEL_GRACE_MINUTES,
-                         max_rows: int = S.MAX_EVAL_ROWS) -> DataFrame:
-    """FLT-4 + TOPK-1: predictions with ts <= max(label time) − grace, newest ``max_rows``.
+                         max_rows: int | None = None) -> DataFrame:
+    """FLT-4: predictions with ts <= max(label time) − grace; only with ``max_rows`` the newest so many (TOPK-1).
     ``labels_d`` may be the deduplicated or just the normalised labels (same max)."""
     cutoff = max_minus(labels_d, "label_timestamp", grace_minutes)
-    return tail_by_time(preds_d.where(F.col("ts") <= cutoff), max_rows, "ts", ("event_id",))
+    eligible = preds_d.where(F.col("ts") <= cutoff)
+    return eligible if max_rows is None else tail_by_time(eligible, max_rows, "ts", ("event_id",))
 
 
 def join_labels(eligible: DataFrame, labels_d: DataFrame) -> DataFrame:
@@ -90,7 +91,7 @@ def _materialize(df: DataFrame) -> DataFrame:
 
 def evaluate_event_id(preds: DataFrame, labels: DataFrame, grace_minutes: int = S.LABEL_GRACE_MINUTES,
                       threshold: float = S.DECISION_THRESHOLD, allow_partial: bool = False,
-                      max_rows: int = S.MAX_EVAL_ROWS, materialize: bool = True) -> DataFrame:
+                      max_rows: int | None = None, materialize: bool = True) -> DataFrame:
     """ML-10 / AGG-14: one summary row.
 
     Columns: n_predictions_total, n_labels_total, n_eval, join_rate,
@@ -115,10 +116,9 @@ def evaluate_event_id(preds: DataFrame, labels: DataFrame, grace_minutes: int =
         F.count(F.lit(1)).alias("_n_joined"),
         F.count("is_fraud").alias("n_eval"),
         cm["tp"].alias("_tp"), cm["fp"].alias("_fp"), cm["fn"].alias("_fn"),
-        F.percentile(lag, F.array(F.lit(0.5), F.lit(0.95))).alias("_lag"),
     )
-    # the evaluation set holds at most max_rows rows: equal-width score ranges are bounded
-    ap = average_precision(joined.where(matched), "is_fraud", "fraud_probability", method="fixed").scalar()
+    lag_p50, lag_p95 = exact_quantiles(joined.select(lag.alias("lag")), "lag", [0.5, 0.95])
+    ap = average_precision(joined.where(matched), "is_fraud", "fraud_probability").scalar()
     # totals after dedupe = distinct ids; shuffles ids only, not whole log rows
     n_preds = preds_n.agg(F.count_distinct("event_id")).scalar()
     n_labels = labels_n.agg(F.count_distinct("event_id")).scalar()
@@ -134,8 +134,8 @@ def evaluate_event_id(preds: DataFrame, labels: DataFrame, grace_minutes: int =
         safe_ratio(F.col("_tp"), F.col("_tp") + F.col("_fp")).alias("precision"),
         safe_ratio(F.col("_tp"), F.col("_tp") + F.col("_fn")).alias("recall"),
         ap.alias("pr_auc"),
-        F.get(F.col("_lag"), 0).alias("label_lag_p50_s"),
-        F.get(F.col("_lag"), 1).alias("label_lag_p95_s"),
+        F.lit(lag_p50).cast("double").alias("label_lag_p50_s"),
+        F.lit(lag_p95).cast("double").alias("label_lag_p95_s"),
         status.alias("status"),
     )
 
@@ -187,11 +187,11 @@ def enforce_row(row: dict) -> dict:
 
 
 def evaluate_delayed(payments: DataFrame, delay_minutes: int = S.LABEL_DELAY_MINUTES,
-                     threshold: float = S.DECISION_THRESHOLD, max_rows: int = S.MAX_EVAL_ROWS,
+                     threshold: float = S.DECISION_THRESHOLD, max_rows: int | None = None,
                      model=None, version: str | None = None, materialize: bool = True) -> DataFrame:
     """ML-9: offline evaluation of a model (or the fallback) on labelled payments.
 
-    Rows older than ``max(ts) − delay`` (FLT-3), newest ``max_rows`` (TOPK-1),
+    Rows older than ``max(ts) − delay`` (FLT-3; with ``max_rows`` the newest so many, TOPK-1),
     joined to both feature views at the 5-minute window end (JOIN-2, PRJ-13),
     missing features → 0 (PRJ-7), scored, then metrics (AGG-6/7/8) and drift
     of amount and txn_count_1m against the full offline data (AGG-12; the
@@ -200,7 +200,9 @@ def evaluate_delayed(payments: DataFrame, delay_minutes: int = S.LABEL_DELAY_MIN
     """
     p = payments.dropna(subset=["card_id", "event_timestamp", "amount", "is_fraud"])
     cutoff = max_minus(p, "event_timestamp", delay_minutes)
-    eligible = tail_by_time(p.where(F.col("event_timestamp") <= cutoff), max_rows, "event_timestamp", ("event_id",))
+    eligible = p.where(F.col("event_timestamp") <= cutoff)
+    if max_rows is not None:
+        eligible = tail_by_time(eligible, max_rows, "event_timestamp", ("event_id",))
     views = velocity_views(p)
     ent = eligible.select("event_id", "card_id", window_end("event_timestamp", "5 minutes").alias("event_timestamp"),
                           "amount", "is_fraud")
@@ -209,12 +211,11 @@ def evaluate_delayed(payments: DataFrame, delay_minutes: int = S.LABEL_DELAY_MIN
     if materialize:
         joined = _materialize(joined)
     summ = classification_summary(joined, "is_fraud", "fraud_probability", threshold)
-    ap = average_precision(joined, "is_fraud", "fraud_probability", method="fixed").scalar()  # ≤ max_rows rows
-    # the two expected-side edge computations are independent jobs: submit them together
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        e_amount, e_txn = pool.map(lambda a: inner_edges(*a), [(p, "amount"), (views[0].df, "txn_count_1m")])
-    psi_amount = psi(p, joined, "amount", edges=e_amount).select("psi").scalar()
-    psi_txn = psi(views[0].df, joined, "txn_count_1m", edges=e_txn).select("psi").scalar()
+    ap = average_precision(joined, "is_fraud", "fraud_probability").scalar()
+    both = value_counts(p, ["amount"]).unionByName(value_counts(views[0].df, ["txn_count_1m"]))
+    edges = edge_columns(both, ["amount", "txn_count_1m"])
+    psi_amount = psi(p, joined, "amount", edges=edges["amount"]).select("psi").scalar()
+    psi_txn = psi(views[0].df, joined, "txn_count_1m", edges=edges["txn_count_1m"]).select("psi").scalar()
     return summ.select(
         F.col("n").alias("n_eval"), "tn", "fp", "fn", "tp", "precision", "recall",
         ap.alias("pr_auc"), psi_amount.alias("psi_amount"), psi_txn.alias("psi_txn_count_1m"),

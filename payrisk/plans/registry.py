@@ -17,6 +17,7 @@ from payrisk import schemas as S
 from payrisk.functions.columns import round6, window_end
 from payrisk.operators import metrics, monitor, pit, quality, topk, validate, velocity
 from payrisk.operators import psi as psi_op
+from payrisk.operators.quantiles import exact_quantiles
 from payrisk.operators.score import fill_event_id
 from payrisk.operators.split import stratified_split
 from payrisk.plans import evaluate as ev
@@ -224,7 +225,7 @@ def _eligible(spark, sf_dir):
 
 @register("prediction_label_join")
 def q_prediction_label_join(spark, sf_dir):
-    """FLT-4 + TOPK-1 + JOIN-3: eligible predictions left-joined to their newest label."""
+    """FLT-4 + JOIN-3: eligible predictions left-joined to their newest label."""
     el, labels_d = _eligible(spark, sf_dir)
     return _round(ev.join_labels(el, labels_d), ["fraud_probability"])
 
@@ -266,8 +267,9 @@ def q_label_lag_quantiles(spark, sf_dir):
     from payrisk.functions.columns import seconds_between
 
     m = _matched(spark, sf_dir).select(seconds_between("label_timestamp", "ts").alias("lag"))
-    q = m.agg(metrics.quantiles("lag", [0.5, 0.95]).alias("q"))
-    return q.select(round6(F.get("q", 0)).alias("label_lag_p50_s"), round6(F.get("q", 1)).alias("label_lag_p95_s"))
+    p50, p95 = exact_quantiles(m, "lag", [0.5, 0.95])
+    return spark.range(1).select(round6(F.lit(p50).cast("double")).alias("label_lag_p50_s"),
+                                 round6(F.lit(p95).cast("double")).alias("label_lag_p95_s"))
 
 
 _SUMMARY_D = ["join_rate", "precision", "recall", "pr_auc", "label_lag_p50_s", "label_lag_p95_s"]
@@ -311,6 +313,12 @@ def q_recent_top_n(spark, sf_dir):
     return _round(topk.tail_by_time(log, S.RECENT_ROWS, "ts", ("event_id",)), ["amount", "fraud_probability"])
 
 
+@register("newest_n")
+def q_newest_n(spark, sf_dir):
+    """TOPK-1: the newest 500 predictions of the whole log, one per event (ts, then event_id, descending)."""
+    return _round(topk.tail_by_time(ev.latest_predictions(_log(spark, sf_dir)), 500, "ts", ("event_id",)), ["fraud_probability"])
+
+
 @register("label_delay_cutoff")
 def q_label_delay_cutoff(spark, sf_dir):
     """FLT-3 + AGG-16: payments at least 60 minutes older than the newest payment."""
@@ -340,6 +348,22 @@ def q_psi_report(spark, sf_dir):
     return _round(drift_report(pay, velocity.card_velocity_1m(pay), _recent(spark, sf_dir)), ["psi"])
 
 
+@register("psi_bins_amount_all")
+def q_psi_bins_amount_all(spark, sf_dir):
+    """AGG-11: decile bins of payment amounts (expected) vs the whole log (actual)."""
+    t = psi_op.psi_bins(_pay(spark, sf_dir), _log(spark, sf_dir), "amount")
+    return _round(t.select("bin", "n_expected_bin", "n_actual_bin", "e_share", "a_share"), ["e_share", "a_share"])
+
+
+@register("psi_report_all")
+def q_psi_report_all(spark, sf_dir):
+    """AGG-12 + AGG-13: the drift report against the whole log."""
+    from payrisk.plans.drift import drift_report
+
+    pay = _pay(spark, sf_dir)
+    return _round(drift_report(pay, velocity.card_velocity_1m(pay), _log(spark, sf_dir)), ["psi"])
+
+
 @register("psi_amount_halves")
 def q_psi_amount_halves(spark, sf_dir):
     """AGG-12: PSI of payment amounts, first half of the month (expected) vs the rest."""
@@ -530,8 +554,8 @@ def _feature_files(spark, sf_dir, root, view: str):
     pay = _pay(spark, sf_dir)
     f = velocity.card_velocity_1m(pay) if view == "1m" else velocity.card_velocity_5m(pay)
     f = f.withColumn("created_timestamp", F.col("event_timestamp"))
-    # several files → several micro-batches with maxFilesPerTrigger=1
-    f.repartition(4).write.mode("overwrite").parquet(f"{root}/features_{view}")
+    # one file a micro-batch (maxFilesPerTrigger=1)
+    f.write.mode("overwrite").parquet(f"{root}/features_{view}")
     return spark.read.parquet(f"{root}/features_{view}").schema
 
 
@@ -573,8 +597,8 @@ def q_stream_scores(spark, sf_dir):
 
 @register("stream_label_join")
 def q_stream_label_join(spark, sf_dir):
-    """JOIN-6: prediction stream ⟕ label stream (watermarks 10 min, label within 60 min of the
-    prediction); the matched pairs."""
+    """JOIN-6: prediction stream ⟕ label stream (watermarks 10 min, label within 150 min of the
+    prediction, as late as any comes here); the matched pairs."""
     configure(spark)
     root = scratch_path(spark, "stream-labels")
     pay = _pay(spark, sf_dir)

@@ -20,7 +20,7 @@ from dataclasses import asdict, dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payrisk import schemas as S
@@ -109,17 +109,23 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def load_model_or_fallback(path: str | None):
+def load_model_or_fallback(path: str | None, allow_fallback: bool = True):
     """ML-7: the saved model and its version tag, or ``(None, 'fallback')``
-    when no model is present (scoring then uses the heuristic)."""
-    if path:
-        try:
-            return PipelineModel.load(path), path.rstrip("/").rsplit("/", 1)[-1]
-        except Exception:  # noqa: BLE001 - a missing or unreadable model means fallback
-            pass
+    when no model lies at ``path`` and ``allow_fallback`` is on (scoring then uses
+    the heuristic).  A model that is there but cannot be read is an error."""
+    if path and _there(path):
+        return PipelineModel.load(path), path.rstrip("/").rsplit("/", 1)[-1]
+    if not allow_fallback:
+        raise FileNotFoundError(f"no model at {path}")
     return None, "fallback"
 
 
+def _there(path: str) -> bool:
+    spark = SparkSession.active()
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def log_run(metrics: DataFrame, runs_path: str, run_name: str, params: dict) -> DataFrame:
     """SNK-8: append one row (run_id, run_name, params map, metrics map,
     logged_at) to the runs table; the metrics map is built from the metrics

@@ -74,7 +74,6 @@ AMOUNT_P999_LIMIT = 100000.0
 DECISION_THRESHOLD = 0.5
 LABEL_GRACE_MINUTES = 5
 LABEL_DELAY_MINUTES = 60
-MAX_EVAL_ROWS = 200000
 RECENT_ROWS = 5000
 PSI_BINS = 10
 PSI_EPS = 1e-6
@@ -107,6 +106,9 @@ PAYMENTS_RAW = _st(
     ("event_ts", S), ("ingest_ts", S), ("is_fraud", I),
 )
 
+# Events are decoded as text first: a number sent as a string keeps its value.
+PAYMENTS_TEXT = _st(*[(f.name, S) for f in PAYMENTS_RAW.fields])
+
 PAYMENTS_DLQ = _st(("error", S), ("raw", S), ("topic", S), ("partition", I), ("offset", L))
 
 PAYMENTS_REAL = _st(

@@ -57,14 +57,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster names a shared
-    folder there).  Falls back to a fresh temp dir only when the setting is
-    absent, which is the local test case.
+    folder there).  Without it, local mode gets a fresh temp folder and a cluster
+    an error: executors do not see each other's disks.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
         if not d:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             d = tempfile.mkdtemp(prefix="payrisk-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d

@@ -47,10 +47,9 @@ def snapshot_payments(messages: DataFrame) -> DataFrame:
     ``payments_v1`` table: events without ``event_ts`` skipped, ``amount`` and
     ``is_fraud`` defaulted to 0 when missing, rows without card or time
     dropped."""
-    doc = F.from_json(F.col("value").cast("string"), S.PAYMENTS_RAW)
-    from payrisk.streaming.sources import any_not_null
+    from payrisk.streaming.sources import any_not_null, decoded
 
-    p = messages.select(doc.alias("p")).select("p.*").where(any_not_null(S.PAYMENTS_RAW.fieldNames()))
+    p = messages.select(decoded("value").alias("p")).select("p.*").where(any_not_null(S.PAYMENTS_RAW.fieldNames()))
     p = p.where(F.col("event_ts").isNotNull() & (F.col("event_ts") != ""))
     out = p.select(
         "card_id",

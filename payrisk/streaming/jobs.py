@@ -161,15 +161,14 @@ def score_batch(batch: DataFrame, batch_id: int, latest_1m_root: str, latest_5m_
     spark = batch.sparkSession
     batch = batch.persist()
     try:
-        # FLT-7 / FLT-2: card id non-empty, event id non-empty when given, amount >= 0
+        # FLT-7 / FLT-2: card id non-empty, amount >= 0 (a missing or empty event id is filled)
         ok_req = (F.col("card_id").isNotNull() & (F.col("card_id") != "") & F.col("amount").isNotNull()
-                  & (F.col("amount") >= 0) & (F.col("event_id").isNull() | (F.col("event_id") != "")))
-        reqs = fill_event_id(batch.where(ok_req), basis=["card_id", "amount", "event_ts", "ingest_ts"])
+                  & (F.col("amount") >= 0))
+        reqs = fill_event_id(batch.where(ok_req), basis=["card_id", "amount", "event_ts", "ingest_ts"], number_equal=True)
         reqs = reqs.withColumn("_as_of", iso_to_timestamp(F.col("event_ts")))
         rejects = batch.where(~ok_req | ok_req.isNull()).select(
             "event_id", "card_id", "amount",
             F.when(F.col("card_id").isNull() | (F.col("card_id") == ""), F.lit("card_id_empty"))
-             .when(F.col("event_id") == "", F.lit("event_id_empty"))
              .otherwise(F.lit("amount_invalid")).alias("reason"))
         feats = reqs
         for root, fields, ttl in ((latest_1m_root, ["txn_count_1m", "amount_sum_1m"], S.TTL_1M_MINUTES * 60),
@@ -214,7 +213,7 @@ def decision_records(decisions: DataFrame) -> DataFrame:
     return to_json_value(decisions, key="card_id")
 
 
-def label_join_stream(preds: DataFrame, labels: DataFrame, horizon: str = "60 minutes",
+def label_join_stream(preds: DataFrame, labels: DataFrame, horizon: str = "150 minutes",
                       pred_delay: str = "10 minutes", label_delay: str = "10 minutes") -> DataFrame:
     """JOIN-6: stream-stream left outer join of predictions (``event_id``,
     ``ts``) to labels (``l_event_id``, ``label_timestamp``) with watermarks on
@@ -231,5 +230,7 @@ def label_join_stream(preds: DataFrame, labels: DataFrame, horizon: str = "60 mi
 
 def drop_duplicate_deliveries(stream: DataFrame, key: str = "event_id", ts: str = "event_time",
                               delay: str = "10 minutes") -> DataFrame:
-    """STR-8: drop repeated deliveries of one event id within the watermark."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    """STR-8: drop repeated deliveries of one event id within the watermark; events without an id all pass."""
+    marked = stream.withWatermark(ts, delay)
+    missing = F.col(key).isNull() | (F.col(key) == "")
+    return marked.where(~missing).dropDuplicatesWithinWatermark([key]).unionByName(marked.where(missing))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from payrisk import schemas as S
-from payrisk.functions.columns import iso_to_timestamp
+from payrisk.functions.columns import iso_to_timestamp, json_number
 
 RAW_COLUMNS = T.StructType([
     T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()),
@@ -23,10 +23,12 @@ RAW_COLUMNS = T.StructType([
 
 
 def kafka_source(spark: SparkSession, servers: str, topic: str, starting: str = "latest",
-                 max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """SRC-1 / SRC-2: Kafka topic as a stream of (topic, partition, offset, key, value)."""
+                 max_offsets_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> DataFrame:
+    """SRC-1 / SRC-2: Kafka topic as a stream of (topic, partition, offset, key, value).  Offsets lost
+    before they were read end the stream, unless ``fail_on_data_loss`` is off."""
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-         .option("subscribe", topic).option("startingOffsets", starting).option("failOnDataLoss", "false"))
+         .option("subscribe", topic).option("startingOffsets", starting)
+         .option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     return r.load().select("topic", "partition", "offset", "key", "value")
@@ -69,11 +71,28 @@ def any_not_null(cols: list[str]) -> Column:
     return out
 
 
+def decoded(value) -> Column:
+    """A payment event as a struct of its declared types, each number accepted as a number or as text."""
+    text = F.from_json((F.col(value) if isinstance(value, str) else value).cast("string"), S.PAYMENTS_TEXT)
+
+    def typed(f: T.StructField) -> Column:
+        raw = text[f.name]
+        if isinstance(f.dataType, T.DoubleType):
+            raw = json_number(raw)
+        elif isinstance(f.dataType, T.IntegerType):
+            raw = json_number(raw).try_cast("int")
+        elif isinstance(f.dataType, T.BooleanType):
+            raw = raw.try_cast("boolean")
+        return raw.alias(f.name)
+
+    return F.struct(*map(typed, S.PAYMENTS_RAW.fields))
+
+
 def decode_payments(messages: DataFrame, value: str = "value") -> DataFrame:
     """PRJ-1 + PRJ-2: JSON → 19 typed columns (a message that does not parse
     at all is skipped), plus ``event_time`` = event_ts parsed as ISO-8601 and
     truncated to the second (UTC TIMESTAMP, as a watermark needs)."""
-    p = messages.select(F.from_json(F.col(value).cast("string"), S.PAYMENTS_RAW).alias("p"))
+    p = messages.select(decoded(value).alias("p"))
     # PERMISSIVE from_json turns an unparseable document into an all-null struct: drop those
     out = p.select("p.*").where(any_not_null(S.PAYMENTS_RAW.fieldNames()))
     et = F.date_trunc("second", iso_to_timestamp(F.col("event_ts")).cast("timestamp"))

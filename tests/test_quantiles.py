@@ -1,8 +1,8 @@
-"""Bounded-memory exact quantiles equal numpy's linear quantiles."""
+"""Exact quantiles equal numpy's linear quantiles."""
 import numpy as np
 import pytest
 
-from payrisk.operators.quantiles import exact_quantiles
+from payrisk.operators.quantiles import exact_quantiles, quantiles_of, running_sums, value_counts
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.9, 0.95, 0.999, 1.0]
 
@@ -14,14 +14,35 @@ def data(spark):
     return vals, spark.createDataFrame([(float(v),) for v in vals] + [(None,), (float("nan"),)], "x double").repartition(4)
 
 
-@pytest.mark.parametrize("method,kw", [("percentile", {}), ("bounded", {"fanout": 8, "final_rows": 500}),
-                                       ("bounded", {"fanout": 64, "final_rows": 100}), ("auto", {})])
-def test_matches_numpy(data, method, kw):
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_matches_numpy(spark, data, parts):
     vals, df = data
-    got = exact_quantiles(df, "x", PROBS, method=method, **kw)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = exact_quantiles(df, "x", PROBS)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     assert np.allclose(got, np.quantile(vals, PROBS), rtol=0, atol=1e-9)
 
 
+def test_columns_in_one_pass(spark, data):
+    vals, df = data
+    both = df.selectExpr("x", "-x as y", "cast(null as double) as z")
+    got = quantiles_of(value_counts(both, ["x", "y", "z"]), PROBS)
+    assert set(got) == {"x", "y"}
+    assert np.allclose(got["y"], np.quantile(-vals, PROBS), atol=1e-9)
+
+
+def test_running_sums(spark):
+    rows = [(g, float(x), (x * 7) % 5) for g in ("a", "b") for x in range(50)]
+    df = spark.createDataFrame(rows, "g string, x double, n long").repartition(6)
+    for down in (False, True):
+        got = {(r["g"], r["x"]): r["cum_n"] for r in running_sums(df, "g", "x", ["n"], descending=down).collect()}
+        for g, x, _ in rows:
+            assert got[(g, x)] == sum(n for h, y, n in rows if h == g and (y >= x if down else y <= x))
+
+
 def test_empty(spark):
     df = spark.createDataFrame([(None,)], "x double")
-    assert exact_quantiles(df, "x", [0.5], method="bounded") == [None]
+    assert exact_quantiles(df, "x", [0.5]) == [None]

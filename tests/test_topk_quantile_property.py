@@ -24,9 +24,9 @@ def test_tail_matches_sorted(spark, secs, n, bucket):
 
 @SETTINGS
 @given(st.lists(st.one_of(st.integers(-5, 5).map(float), st.floats(-1e6, 1e6, allow_nan=False)), min_size=1,
-                max_size=120), st.sampled_from([2, 4, 16]))
-def test_bounded_quantiles_match_numpy(spark, vals, fanout):
+                max_size=120))
+def test_quantiles_match_numpy(spark, vals):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     probs = [0.0, 0.13, 0.5, 0.95, 1.0]
-    got = exact_quantiles(df, "x", probs, method="bounded", fanout=fanout, final_rows=3)
+    got = exact_quantiles(df, "x", probs)
     assert np.allclose(got, np.quantile(np.array(vals), probs), rtol=1e-12, atol=1e-9)
