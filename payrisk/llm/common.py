@@ -100,6 +100,12 @@ def segment_sum(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return total[ends] - total[starts]
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values (by sorting: keys come nearly in order here)."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """SplitMix64 finaliser on uint64."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

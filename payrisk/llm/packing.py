@@ -13,7 +13,9 @@ score go to the earlier document; an empty table gives an empty result; very lon
 
 from __future__ import annotations
 
+import json
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payrisk.llm.common import land, mix64, slices
+from payrisk.llm.common import distinct, land, mix64, slices
 
 WINDOW = 2048
 SEPARATOR = 1
@@ -31,14 +33,34 @@ K1, B = 1.2, 0.75
 QUERY_TERMS = 24
 SHARD_DOCS, SHARD_IDS = 2_048, 1_500_000
 TASK_IDS = 8_000_000
-CACHED_WORDS = 300_000
-
-
-class WordTokenizer:
-    """Ids of whole texts by a ``tokenizers`` file, word by word with a bounded cache.
-
-    The file's byte-level splitting never joins characters across a single blank that follows a non-blank, so a
-    text without two blanks in a row is encoded blank by blank; any other text is encoded whole.
+#: Fixed value: how byte-level BPE files split a text before merging.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def byte_ranks(spec: dict) -> dict[bytes, int] | None:
+    """Ranks of a byte-level BPE file whose ids follow its merges, so that the least id among the possible merges is the next
+    merge; None for any other kind of file."""
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = (model.get("type") == "BPE" and not spec.get("normalizer") and not model.get("dropout") and not model.get("ignore_merges")
+             and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix") and not model.get("byte_fallback")
+             and split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True))
+    if not plain:
+        return None
+    # byte-level files write printable bytes as themselves and the others, in order, as the characters from U+0100 on
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    char = {chr(x): x for x in shown} | {chr(256 + i): x for i, x in enumerate(x for x in range(256) if x not in set(shown))}
+    special = {t["content"] for t in spec.get("added_tokens", [])}
+    merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    if any(x >= y for x, y in zip(merged, merged[1:])):
+        return None
+    return {bytes(char[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
+
+
+class FileTokenizer:
+    """Ids of whole texts by a ``tokenizers`` file.
+
+    A byte-level BPE file is run by ``tiktoken`` with the file's own ranks (equal ids, a fraction of the time); texts that name one of
+    the file's special tokens, and files of another kind, go through ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
@@ -46,34 +68,32 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[str, bytes] = {}
+        self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.special = [t["content"] for t in spec.get("added_tokens", [])]
+        self.fast = None
+        if (ranks := byte_ranks(spec)) is not None:
+            import tiktoken
+
+            self.fast = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def ids(self, text: str) -> list[int]:
+        if self.fast is None or any(s in text for s in self.special):
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.fast(text)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        known, heads, tails = self.known, [], []
-        for t in texts:
-            head, *tail = (t,) if "  " in t else t.split(" ")
-            heads.append(head)
-            tails.append(tail)
-        new = {w for tail in tails for w in tail if w not in known}
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = {w for tail in tails for w in tail}
-        new = list(new)
-        known.update(zip(new, self._encode([f" {w}" for w in new])))
-        return [np.frombuffer(head + b"".join(map(known.__getitem__, tail)), self.kind) for head, tail in zip(self._encode(heads), tails)]
+        return [np.frombuffer(array(self.kind, self.ids(t)), self.kind) for t in texts]
 
 
-_TOKENIZERS: dict[str, WordTokenizer] = {}
+_TOKENIZERS: dict[str, FileTokenizer] = {}
 
 
-def tokenizer(path: str) -> WordTokenizer:
+def tokenizer(path: str) -> FileTokenizer:
     """One per worker process."""
     if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordTokenizer(path)
+        _TOKENIZERS[path] = FileTokenizer(path)
     return _TOKENIZERS[path]
 
 
@@ -132,7 +152,7 @@ def term_weights(tokens: DataFrame) -> tuple[np.ndarray, float, int]:
                 ids = _ids(blobs[lo : lo + 500], n[lo : lo + 500])
                 lengths = np.array([len(x) for x in ids])
                 doc, term = term_pairs(np.concatenate(ids), lengths)
-                total += np.bincount(np.unique(doc * TERMS + term) % TERMS, minlength=TERMS)
+                total += np.bincount(distinct(doc * TERMS + term) % TERMS, minlength=TERMS)
                 docs, pairs, ids_ = docs + len(ids), pairs + len(term), ids_ + int(lengths.sum())
         at = np.flatnonzero(total)
         places = np.concatenate([at, [-1, -2, -3]])

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from payrisk.llm.common import attach, codes, id_hash, land, runs, slices, word_hashes
+from payrisk.llm.common import attach, codes, distinct, id_hash, land, runs, slices, word_hashes
 from payrisk.llm.langid import _tables
 
 SPACE = 1 << 24
@@ -38,7 +38,7 @@ def terms(texts: list) -> tuple[np.ndarray, np.ndarray]:
         long = ends - starts > k
         head = (word_hashes(low, starts[long], starts[long] + k) ^ np.uint64(0x5BD1)) % np.uint64(SPACE)
         keys.append(of[long].astype(np.uint64) * np.uint64(SPACE) + head)
-    key = np.unique(np.concatenate(keys))
+    key = distinct(np.concatenate(keys))
     return (key // np.uint64(SPACE)).astype(np.int64), (key % np.uint64(SPACE)).astype(np.int64)
 
 
