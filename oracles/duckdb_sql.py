@@ -610,6 +610,8 @@ s AS (SELECT *, {heuristic('amount', 't1', 't5')} AS fraud_probability FROM j)
 SELECT event_id, card_id, round(amount, 6) AS amount, round(fraud_probability, 6) AS fraud_probability,
        CASE WHEN fraud_probability >= 0.5 THEN 'fraud' ELSE 'approve' END AS decision, 'fallback' AS model_version FROM s"""
 
+SQL["decision_records"] = SQL["stream_scores"].replace("SELECT event_id, card_id, round", "SELECT card_id AS key, event_id, card_id, round")
+
 SQL["stream_label_join"] = with_(PAYMENTS, V1M, V5M, PLOG, LABLOG) + """
 SELECT p.event_id, p.ts, round(p.fraud_probability, 6) AS fraud_probability, l.is_fraud, l.label_timestamp
 FROM plog p JOIN lablog l ON p.event_id = l.event_id

@@ -166,7 +166,64 @@ def cmd_velocity_stream(a) -> int:
     spark = _session(streaming=True)
     src = (sources.kafka_source(spark, a.bootstrap, a.topic, "latest") if a.bootstrap
            else sources.json_lines_source(spark, a.input_path))
-    start_card_velocity(sources.decode_payments(src), a.output_path, a.checkpoint).awaitTermination()
+    if a.bootstrap and a.output_topic:
+        q = start_card_velocity(sources.decode_payments(src), a.output_topic, a.checkpoint, fmt="kafka",
+                                options={"kafka.bootstrap.servers": a.bootstrap})
+    else:
+        q = start_card_velocity(sources.decode_payments(src), a.output_path, a.checkpoint)
+    q.awaitTermination()
+    return 0
+
+
+def cmd_score_stream(a) -> int:
+    from payrisk.plans.train import load_model_or_fallback
+    from payrisk.streaming import jobs, sources
+
+    spark = _session(streaming=True)
+    limit = _count(a.max_offsets)
+    src = (sources.kafka_source(spark, a.bootstrap, a.topic, "latest", limit) if a.bootstrap
+           else sources.json_lines_source(spark, a.input_path))
+    model, version = load_model_or_fallback(a.model_path, a.allow_fallback_model)
+    out = {"kafka.bootstrap.servers": a.bootstrap, "topic": a.output_topic} if a.bootstrap and a.output_topic else None
+    q = jobs.start_scoring(sources.decode_payments(src), a.latest_1m_path, a.latest_5m_path, a.decisions_path, a.log_path,
+                           a.errors_path, a.checkpoint, {"availableNow": True} if a.once else None, threshold=a.threshold,
+                           model=model, version=version, apply_ttl=a.apply_ttl, bounded_requests=limit is not None, decisions_topic=out)
+    q.awaitTermination()
+    return 0
+
+
+def _snapshot(a, spark):
+    from payrisk.streaming import sources
+
+    if a.bootstrap:
+        return sources.kafka_snapshot(spark, a.bootstrap, a.topic, _count(a.starting_ms), _count(a.ending_ms))
+    return spark.read.text(a.input_path)
+
+
+def cmd_snapshot_payments(a) -> int:
+    from payrisk.sources.logs import snapshot_payments
+
+    snapshot_payments(_snapshot(a, _session())).write.mode("overwrite").parquet(a.output_path)
+    return 0
+
+
+def cmd_snapshot_features(a) -> int:
+    from payrisk.sources.logs import snapshot_features
+
+    snapshot_features(_snapshot(a, _session())).write.mode("overwrite").parquet(a.output_path)
+    return 0
+
+
+def cmd_online_read(a) -> int:
+    from payrisk.streaming.jobs import read_latest_table
+
+    spark = _session()
+    table = read_latest_table(spark, a.table_path)
+    if table is None:
+        print("online_table_empty")
+        return 1
+    for row in table.where(table.card_id == a.card_id).toJSON().collect():  # one row per card
+        print(row)
     return 0
 
 
@@ -214,7 +271,15 @@ def parser() -> argparse.ArgumentParser:
     add("validate-stream", cmd_validate_stream, [("bootstrap", None), ("topic", "payments.v1"), ("input_path", None),
                                                  ("valid_path", None), ("dlq_path", None), ("checkpoint", None)])
     add("velocity-stream", cmd_velocity_stream, [("bootstrap", None), ("topic", "payments.v1"), ("input_path", None),
-                                                 ("output_path", None), ("checkpoint", None)])
+                                                 ("output_path", None), ("output_topic", None), ("checkpoint", None)])
+    add("score-stream", cmd_score_stream, [
+        ("bootstrap", None), ("topic", "payments.v1"), ("input_path", None), ("latest_1m_path", None), ("latest_5m_path", None),
+        ("decisions_path", None), ("log_path", None), ("errors_path", None), ("checkpoint", None), ("output_topic", None),
+        ("model_path", None), ("allow_fallback_model", True), ("threshold", S.DECISION_THRESHOLD), ("apply_ttl", False),
+        ("max_offsets", None), ("once", False)])
+    for name, fn, topic in (("snapshot-payments", cmd_snapshot_payments, "payments.v1"), ("snapshot-features", cmd_snapshot_features, "features.card.v1")):
+        add(name, fn, [("bootstrap", None), ("topic", topic), ("input_path", None), ("starting_ms", None), ("ending_ms", None), ("output_path", None)])
+    add("online-read", cmd_online_read, [("table_path", None), ("card_id", None)])
     add("push-online", cmd_push_online, [("input_path", None), ("table_path", None), ("checkpoint", None)])
     return p
 

@@ -157,7 +157,7 @@ def lookup_latest(requests: DataFrame, latest: DataFrame, fields: list[str], key
     """SNK-9 / JOIN-5: left join requested keys to the latest-per-key table.
 
     With ``as_of`` and ``ttl_seconds``, a latest row older than
-    ``as_of - ttl`` counts as missing (TTL applied at read).  Request rows are
+    ``as_of - ttl`` or newer than ``as_of`` counts as missing (TTL applied at read).  Request rows are
     all kept.  The latest table has one row per key, so this is a plain
     equi-join that Spark broadcasts only when AQE measures it small.  With
     ``bounded_requests`` (a micro-batch of known maximum size) the table is
@@ -172,7 +172,7 @@ def lookup_latest(requests: DataFrame, latest: DataFrame, fields: list[str], key
         lat = lat.join(F.broadcast(wanted), on=keys, how="left_semi")
     j = requests.join(lat, on=keys, how="left")
     if as_of is not None and ttl_seconds is not None:
-        fresh = F.col("_latest_ts") >= F.timestamp_add("SECOND", F.lit(-int(ttl_seconds)), _ntz(as_of))
+        fresh = F.col("_latest_ts").between(F.timestamp_add("SECOND", F.lit(-int(ttl_seconds)), _ntz(as_of)), _ntz(as_of))
         for f in fields:
             j = j.withColumn(f, F.when(fresh, F.col(f)))
     return j.drop("_latest_ts")

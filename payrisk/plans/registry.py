@@ -574,10 +574,8 @@ def q_stream_latest_features(spark, sf_dir):
     return _round(latest.select("card_id", "event_timestamp", "txn_count_1m", "amount_sum_1m"), ["amount_sum_1m"])
 
 
-@register("stream_scores")
-def q_stream_scores(spark, sf_dir):
-    """STR-6 + JOIN-5 + SNK-4/5 + STR-9: payment stream scored per micro-batch against the
-    latest-per-card tables of both views (heuristic model); the emitted decisions."""
+def _scored(spark, sf_dir) -> str:
+    """Root of a scoring stream run over all payments: decisions, log and errors of its micro-batches."""
     configure(spark)
     root = scratch_path(spark, "stream-score")
     for view in ("1m", "5m"):
@@ -585,16 +583,31 @@ def q_stream_scores(spark, sf_dir):
         sjobs.upsert_latest(spark.read.parquet(f"{root}/features_{view}"), 0, f"{root}/latest_{view}")
     fixtures.land_json_lines(fixtures.payment_json_lines(_pay(spark, sf_dir)), f"{root}/in")
     stream = ssrc.decode_payments(ssrc.json_lines_source(spark, f"{root}/in"))
-    q = (stream.writeStream.option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True)
-         .foreachBatch(lambda df, bid: sjobs.score_batch(df, bid, f"{root}/latest_1m", f"{root}/latest_5m",
-                                                         f"{root}/decisions", f"{root}/log", f"{root}/errors"))
-         .start())
-    q.awaitTermination()
-    dec = spark.read.parquet(f"{root}/decisions/*")
+    sjobs.start_scoring(stream, f"{root}/latest_1m", f"{root}/latest_5m", f"{root}/decisions", f"{root}/log", f"{root}/errors",
+                        f"{root}/ckpt", {"availableNow": True}).awaitTermination()
+    return root
+
+
+@register("stream_scores")
+def q_stream_scores(spark, sf_dir):
+    """STR-6 + JOIN-5 + SNK-4/5 + STR-9: payment stream scored per micro-batch against the
+    latest-per-card tables of both views (heuristic model); the emitted decisions."""
+    dec = spark.read.parquet(f"{_scored(spark, sf_dir)}/decisions/*")
     return _round(dec.select("event_id", "card_id", "amount", "fraud_probability", "decision", "model_version"),
                   ["amount", "fraud_probability"])
 
 
+@register("decision_records")
+def q_decision_records(spark, sf_dir):
+    """SNK-4 + STR-6: the scoring stream's decisions as topic records, keyed by card with a JSON value; the
+    value's fields read back (without the scoring time)."""
+    dec = spark.read.parquet(f"{_scored(spark, sf_dir)}/decisions/*")
+    value = F.from_json("value", S.DECISIONS)
+    rec = sjobs.decision_records(dec).select("key", value.alias("v"))
+    return _round(rec.select("key", "v.event_id", "v.card_id", "v.amount", "v.fraud_probability", "v.decision", "v.model_version"),
+                  ["amount", "fraud_probability"])
+
+
 @register("stream_label_join")
 def q_stream_label_join(spark, sf_dir):
     """JOIN-6: prediction stream ⟕ label stream (watermarks 10 min, label within 150 min of the

@@ -40,12 +40,11 @@ def geo_change_stream(payments: DataFrame, width: str = "5 minutes", lateness: s
 
 
 def start_card_velocity(payments: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-                        trigger: dict | None = None, width: str = "1 minute"):
+                        trigger: dict | None = None, width: str = "1 minute", options: dict | None = None):
     """STR-2 + STR-4 wired to a sink: append mode, checkpointed, a micro-batch
     every 10 s by default (the reference's checkpoint interval).  With
     ``fmt="kafka"`` the rows go out as card-keyed JSON records to topic
-    ``path`` (the ``kafka.bootstrap.servers`` option must be set on the
-    session's Kafka sink configuration)."""
+    ``path``; ``options`` go to the sink (for Kafka: ``kafka.bootstrap.servers``)."""
     out = card_velocity_stream(payments, width)
     w = out.writeStream
     if fmt == "kafka":
@@ -55,5 +54,5 @@ def start_card_velocity(payments: DataFrame, path: str, checkpoint: str, fmt: st
         w = to_json_value(out, key="card_id").writeStream.option("topic", path)
     else:
         w = w.option("path", path)
-    return (w.format(fmt).option("checkpointLocation", checkpoint).outputMode("append")
+    return (w.format(fmt).options(**(options or {})).option("checkpointLocation", checkpoint).outputMode("append")
              .trigger(**(trigger or {"processingTime": S.CHECKPOINT_INTERVAL})).start())

@@ -88,6 +88,7 @@ def upsert_latest(batch: DataFrame, batch_id: int, root: str, keys=("card_id",),
         merged = spark.read.option("recursiveFileLookup", "true").parquet(*paths)
         latest_per_key(merged, list(keys), ts, created).select(*cols) \
             .write.mode("overwrite").parquet(f"{root.rstrip('/')}/base/v={batch_id}")
+        vacuum_latest(spark, root)  # keeps what a batch or a reader lists to about two rounds of deltas
 
 
 def vacuum_latest(spark: SparkSession, root: str, keep_bases: int = 2) -> list[str]:
@@ -148,7 +149,7 @@ def start_validation(raw_stream: DataFrame, valid_root: str, dlq_root: str, chec
 def score_batch(batch: DataFrame, batch_id: int, latest_1m_root: str, latest_5m_root: str | None,
                 decisions_root: str, log_root: str, errors_root: str,
                 threshold: float = S.DECISION_THRESHOLD, model=None, version: str | None = None,
-                apply_ttl: bool = False) -> None:
+                apply_ttl: bool = False, bounded_requests: bool = False, decisions_topic: dict | None = None) -> None:
     """STR-6 for one micro-batch: online features (JOIN-5: latest table re-read
     per batch), missing flags, fallback score, decision; writes decisions
     (keyed by card, SNK-4), the prediction log (SNK-5) and rejected requests
@@ -156,7 +157,11 @@ def score_batch(batch: DataFrame, batch_id: int, latest_1m_root: str, latest_5m_
     without one the fallback heuristic scores (ML-7).  ``apply_ttl``: a
     latest value older than the view's TTL before the event time counts as
     missing (Q15).  Requests without an event id get a deterministic one
-    (PRJ-18, ``event_id_missing``).  The log's ``latency_ms`` is decision time
+    (PRJ-18, ``event_id_missing``).  Rejected requests also stand in the log,
+    with status ``error`` (MON-2).  ``bounded_requests``: the caller has limited the
+    rows of a micro-batch (``maxOffsetsPerTrigger``), so its keys may be broadcast.
+    ``decisions_topic``: options of a Kafka writer; decisions then also go out
+    as records keyed by card.  The log's ``latency_ms`` is decision time
     minus ingest time."""
     spark = batch.sparkSession
     batch = batch.persist()
@@ -167,7 +172,7 @@ def score_batch(batch: DataFrame, batch_id: int, latest_1m_root: str, latest_5m_
         reqs = fill_event_id(batch.where(ok_req), basis=["card_id", "amount", "event_ts", "ingest_ts"], number_equal=True)
         reqs = reqs.withColumn("_as_of", iso_to_timestamp(F.col("event_ts")))
         rejects = batch.where(~ok_req | ok_req.isNull()).select(
-            "event_id", "card_id", "amount",
+            "event_id", "card_id", "amount", "event_ts", "ingest_ts",
             F.when(F.col("card_id").isNull() | (F.col("card_id") == ""), F.lit("card_id_empty"))
              .otherwise(F.lit("amount_invalid")).alias("reason"))
         feats = reqs
@@ -178,7 +183,7 @@ def score_batch(batch: DataFrame, batch_id: int, latest_1m_root: str, latest_5m_
                 feats = feats.withColumns({f: F.lit(None).cast("double") for f in fields})
             else:
                 feats = lookup_latest(feats, lat, fields, as_of="_as_of" if apply_ttl else None,
-                                      ttl_seconds=ttl if apply_ttl else None, bounded_requests=True)
+                                      ttl_seconds=ttl if apply_ttl else None, bounded_requests=bounded_requests)
         scored = with_missing_flags(feats)
         if model is None:
             scored = (scored.withColumn("fraud_probability", heuristic_probability())
@@ -190,22 +195,35 @@ def score_batch(batch: DataFrame, batch_id: int, latest_1m_root: str, latest_5m_
             scored = score_model(scored, model, version or "unknown", threshold)
         scored = scored.withColumn("scored_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
         scored = scored.persist()
-        scored.select("event_id", "card_id", "amount", "event_ts", "ingest_ts", "fraud_probability", "decision",
-                      "model_version", "scored_at") \
-              .write.mode("overwrite").parquet(_batch_dir(decisions_root, batch_id))
+        decisions = scored.select("event_id", "card_id", "amount", "event_ts", "ingest_ts", "fraud_probability", "decision",
+                                  "model_version", "scored_at")
+        decisions.write.mode("overwrite").parquet(_batch_dir(decisions_root, batch_id))
+        if decisions_topic:
+            decision_records(decisions).write.format("kafka").options(**decisions_topic).save()
         latency = F.timestamp_diff("MICROSECOND", iso_to_timestamp(F.col("ingest_ts")),
                                    F.current_timestamp().cast("timestamp_ntz")) / F.lit(1000.0)
-        scored.select(F.col("scored_at").alias("ts"), "event_id", "card_id", "amount", "event_ts", "ingest_ts",
+        log = scored.select(F.col("scored_at").alias("ts"), "event_id", "card_id", "amount", "event_ts", "ingest_ts",
                       "txn_count_1m", "amount_sum_1m", "txn_count_5m", "avg_transaction_amount_5m",
                       "fraud_probability", "decision", "model_version", F.round(latency, 3).alias("latency_ms"),
-                      "missing_features", "event_id_missing", F.lit("ok").alias("status")) \
-              .write.mode("overwrite").json(_batch_dir(log_root, batch_id))
+                      "missing_features", "event_id_missing", F.lit("ok").alias("status"))
+        now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ts")
+        failed = rejects.select(now, "event_id", "card_id", "amount", "event_ts", "ingest_ts", F.lit("error").alias("status"))
+        log.unionByName(failed, allowMissingColumns=True).write.mode("overwrite").json(_batch_dir(log_root, batch_id))
         rejects.write.mode("overwrite").parquet(_batch_dir(errors_root, batch_id))
         scored.unpersist()
     finally:
         batch.unpersist()
 
 
+def start_scoring(payments: DataFrame, latest_1m_root: str, latest_5m_root: str | None, decisions_root: str, log_root: str,
+                  errors_root: str, checkpoint: str, trigger: dict | None = None, **options):
+    """STR-6 as a stream: decoded ``payments`` scored micro-batch by micro-batch by :func:`score_batch`
+    (``options`` go to it), checkpointed; a batch that is run again rewrites its own output."""
+    return (payments.writeStream.option("checkpointLocation", checkpoint)
+            .foreachBatch(lambda df, bid: score_batch(df, bid, latest_1m_root, latest_5m_root, decisions_root, log_root, errors_root, **options))
+            .trigger(**(trigger or {"processingTime": S.CHECKPOINT_INTERVAL})).start())
+
+
 def decision_records(decisions: DataFrame) -> DataFrame:
     """SNK-4: decisions as Kafka records keyed by ``card_id`` with a JSON value."""
     from payrisk.streaming.sources import to_json_value

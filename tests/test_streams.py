@@ -161,12 +161,14 @@ def test_score_batch_ttl_and_missing_id(spark, tmp_dir):
 def test_vacuum_keeps_state(spark, tmp_dir):
     schema = "card_id string, event_timestamp timestamp_ntz, txn_count_1m long, amount_sum_1m double"
     root = f"{tmp_dir}/latest"
-    for b in range(6):
-        df = spark.createDataFrame([(f"c{b % 3}", datetime(2024, 1, 1, 0, b), b, float(b))], schema)
+    for b in range(8):
+        df = spark.createDataFrame([(f"c{b % 3}", datetime(2024, 1, 1, 0, b % 6), b % 6, float(b))], schema)
         jobs.upsert_latest(df, b, root, compact_every=2)
     before = {r["card_id"]: r["txn_count_1m"] for r in jobs.read_latest_table(spark, root).collect()}
+    # however many batches came before, two bases and their later deltas are all there is to list
+    assert len(jobs._committed(spark, f"{root}/base", "v=")) == 2 and len(jobs._committed(spark, f"{root}/delta", "batch=")) <= 2
     gone = jobs.vacuum_latest(spark, root, keep_bases=1)
-    assert any("/base/v=1" in g for g in gone) and any("/delta/batch=0" in g for g in gone)
+    assert any("/base/v=5" in g for g in gone)
     after = {r["card_id"]: r["txn_count_1m"] for r in jobs.read_latest_table(spark, root).collect()}
     assert before == after == {"c0": 3, "c1": 4, "c2": 5}
 
