@@ -240,7 +240,7 @@ def language_query(docs: DataFrame) -> DataFrame:
         "held_out", id_hash("doc_id", 4) == 2).select("doc_id", "held_out", "lang_pred", "score")
 
 
-def language_stage(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
-    """Pipeline: documents without a language, or whose language is less than half certain, go."""
+def language_stage(docs: DataFrame, min_score: float = 0.25) -> DataFrame:
+    """Pipeline: documents without a language, or in so many that none has a quarter of the evidence, go."""
     model = learn(learnable(docs), sample_key=F.col("doc_id"))
     return detect(docs, model).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("row.*")

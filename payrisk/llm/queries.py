@@ -15,42 +15,52 @@ from payrisk.llm.vecdup import near_vectors
 
 
 def op1_packing(spark, sf_dir):
+    """All documents packed into sequences of 2048 tokens: one row per piece."""
     return packing_query(table(spark, sf_dir, "documents"))
 
 
 def op2_chat(spark, sf_dir):
+    """All conversations as preference pairs: prompt once, two masked completions."""
     return chat.chat_query(table(spark, sf_dir, "conversations"))
 
 
 def op3_vectors(spark, sf_dir):
+    """Links and components of all embeddings with equal labels and cosine 0.93 or more."""
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
 def op4_quality(spark, sf_dir):
+    """Quality score of every document; learnt outside the held-out fold."""
     return quality_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op5_language(spark, sf_dir):
+    """Language of every document; learnt outside the held-out fold."""
     return language_query(table(spark, sf_dir, "documents"))
 
 
 def op6_licenses(spark, sf_dir):
+    """Licence phrases and notices in every document."""
     return license_query(table(spark, sf_dir, "documents"))
 
 
 def op7_rules(spark, sf_dir):
+    """Base counts and the learned decision list over every document."""
     return rules_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op8_mixing(spark, sf_dir):
+    """Words of every document that the mix to target weights takes."""
     return mixing.mixing_query(table(spark, sf_dir, "documents"))
 
 
 def op9_minhash(spark, sf_dir):
+    """Near-duplicate group of every document."""
     return dedup_query(table(spark, sf_dir, "documents"))
 
 
 def op10_toxicity(spark, sf_dir):
+    """Toxicity of every document; learnt outside the held-out fold."""
     return toxicity_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
