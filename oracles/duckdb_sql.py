@@ -414,7 +414,8 @@ SELECT n AS n_eval, tn, fp, fn, tp,
        round(CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END, 6) AS precision,
        round(CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END, 6) AS recall,
        round((SELECT pr_auc FROM ap), 6) AS pr_auc,
-       round((SELECT psi FROM pa), 6) AS psi_amount, round((SELECT psi FROM pt), 6) AS psi_txn_count_1m
+       round((SELECT psi FROM pa), 6) AS psi_amount, round((SELECT psi FROM pt), 6) AS psi_txn_count_1m,
+       CASE WHEN n = 0 THEN 'no_eligible_rows' ELSE 'ok' END AS status
 FROM cm"""
 
 

@@ -107,8 +107,20 @@ def cmd_evaluate_delayed(a) -> int:
     model, version = load_model_or_fallback(a.model_path)
     out = evaluate_delayed(spark.read.parquet(a.payments_real_path), a.label_delay_minutes, a.threshold, _count(a.max_rows),
                            model=model, version=version)
-    _print(dict(out.first().asDict(), model_version=version))
-    return 0
+    row = dict(out.first().asDict(), model_version=version)
+    _print(row)
+    _log_evaluation(spark, a, "evaluate_delayed", row)
+    return 0 if row["status"] == "ok" else 1
+
+
+def _log_evaluation(spark, a, name: str, row: dict) -> None:
+    """SNK-8: one row of the runs table, when ``--runs_path`` is given."""
+    from payrisk.plans.train import log_run
+
+    if a.runs_path:
+        numbers = {k: float(v) for k, v in row.items() if isinstance(v, (int, float)) and not isinstance(v, bool)}
+        options = {k: v for k, v in vars(a).items() if k not in ("fn", "job")}
+        log_run(spark.createDataFrame([tuple(numbers.values())], ", ".join(f"{k} double" for k in numbers)), a.runs_path, name, options)
 
 
 def cmd_evaluate_eventid(a) -> int:
@@ -122,6 +134,7 @@ def cmd_evaluate_eventid(a) -> int:
     gated = quality_gate(summary, a.min_join_rate, a.min_precision, a.min_recall, a.min_pr_auc)
     row = gated.first().asDict()
     _print(row)
+    _log_evaluation(spark, a, "evaluate_eventid", row)
     try:
         enforce_row(row)
     except EvaluationError as e:
@@ -261,10 +274,10 @@ def parser() -> argparse.ArgumentParser:
                              ("threshold", S.DECISION_THRESHOLD)])
     add("evaluate-delayed", cmd_evaluate_delayed, [("payments_real_path", None), ("model_path", None),
                                                    ("label_delay_minutes", S.LABEL_DELAY_MINUTES),
-                                                   ("threshold", S.DECISION_THRESHOLD), ("max_rows", None)])
+                                                   ("threshold", S.DECISION_THRESHOLD), ("max_rows", None), ("runs_path", None)])
     add("evaluate-eventid", cmd_evaluate_eventid, [
         ("prediction_log_path", None), ("labels_log_path", None), ("threshold", S.DECISION_THRESHOLD),
-        ("label_grace_minutes", S.LABEL_GRACE_MINUTES), ("allow_partial", False), ("max_rows", None),
+        ("label_grace_minutes", S.LABEL_GRACE_MINUTES), ("allow_partial", False), ("max_rows", None), ("runs_path", None),
         ("min_join_rate", -1.0), ("min_precision", -1.0), ("min_recall", -1.0), ("min_pr_auc", -1.0)])
     add("drift", cmd_drift, [("payments_path", None), ("offline_features_path", None),
                              ("prediction_log_path", None), ("recent_rows", S.RECENT_ROWS)])

@@ -96,8 +96,8 @@ def evaluate_event_id(preds: DataFrame, labels: DataFrame, grace_minutes: int =
 
     Columns: n_predictions_total, n_labels_total, n_eval, join_rate,
     missing_joins, precision, recall, pr_auc, label_lag_p50_s,
-    label_lag_p95_s, status.  ``status`` is ``ok``, ``no_eligible_predictions``
-    or (when ``allow_partial`` is false and a label is missing)
+    label_lag_p95_s, status.  ``status`` is ``ok``, ``no_predictions_found`` or ``no_labels_found`` (an empty
+    log), ``no_eligible_predictions`` or (when ``allow_partial`` is false and a label is missing)
     ``missing_joins``; :func:`enforce` turns a non-ok status into an error.
     """
     labels_n, preds_n = normalize_labels(labels), normalize_predictions(preds)
@@ -123,7 +123,10 @@ def evaluate_event_id(preds: DataFrame, labels: DataFrame, grace_minutes: int =
     n_preds = preds_n.agg(F.count_distinct("event_id")).scalar()
     n_labels = labels_n.agg(F.count_distinct("event_id")).scalar()
     missing = F.col("_n_joined") - F.col("n_eval")
-    status = (F.when(F.col("_n_joined") == 0, F.lit("no_eligible_predictions"))
+    any_pred, any_label = (df.limit(1).agg(F.count(F.lit(1))).scalar() for df in (preds, labels))
+    status = (F.when(any_pred == 0, F.lit("no_predictions_found"))
+               .when(any_label == 0, F.lit("no_labels_found"))
+               .when(F.col("_n_joined") == 0, F.lit("no_eligible_predictions"))
                .when((missing > 0) & F.lit(not allow_partial), F.lit("missing_joins"))
                .otherwise(F.lit("ok")))
     return main.select(
@@ -196,7 +199,7 @@ def evaluate_delayed(payments: DataFrame, delay_minutes: int = S.LABEL_DELAY_MIN
     missing features → 0 (PRJ-7), scored, then metrics (AGG-6/7/8) and drift
     of amount and txn_count_1m against the full offline data (AGG-12; the
     reference's self-comparison of txn_count_1m is replaced by training vs
-    evaluation slices).  One row.
+    evaluation slices).  One row; ``status`` is ``ok`` or ``no_eligible_rows``.
     """
     p = payments.dropna(subset=["card_id", "event_timestamp", "amount", "is_fraud"])
     cutoff = max_minus(p, "event_timestamp", delay_minutes)
@@ -219,4 +222,5 @@ def evaluate_delayed(payments: DataFrame, delay_minutes: int = S.LABEL_DELAY_MIN
     return summ.select(
         F.col("n").alias("n_eval"), "tn", "fp", "fn", "tp", "precision", "recall",
         ap.alias("pr_auc"), psi_amount.alias("psi_amount"), psi_txn.alias("psi_txn_count_1m"),
+        F.when(F.col("n") == 0, F.lit("no_eligible_rows")).otherwise(F.lit("ok")).alias("status"),
     )

@@ -7,8 +7,8 @@ Model: Spark ML gradient-boosted trees (logistic loss) with positive rows
 weighted by neg/pos of the training split.  Parameter mapping from the
 reference's booster: trees → maxIter, depth → maxDepth, learning rate →
 stepSize, row subsample → subsamplingRate, column subsample →
-featureSubsetStrategy, histogram bins → maxBins (L2 and min-child-weight have
-no counterpart).  Scores will not equal the reference's booster; tests check
+featureSubsetStrategy, histogram bins → maxBins, min-child-weight → minInstancesPerNode
+(rows instead of their weight; L2 has no counterpart).  Scores will not equal the reference's booster; tests check
 orderings and invariants.
 """
 
@@ -47,6 +47,7 @@ class TrainParams:
     subsample: float = 0.9
     colsample_bytree: float = 0.9
     max_bins: int = 256
+    min_child_weight: float = 1.0
     threshold: float = S.DECISION_THRESHOLD
 
 
@@ -70,7 +71,8 @@ def build_estimator(params: TrainParams) -> Pipeline:
     gbt = GBTClassifier(labelCol="is_fraud", featuresCol="features", weightCol="weight", lossType="logistic",
                         maxIter=params.n_estimators, maxDepth=params.max_depth, stepSize=params.learning_rate,
                         subsamplingRate=params.subsample, featureSubsetStrategy=str(params.colsample_bytree),
-                        maxBins=params.max_bins, seed=params.seed)
+                        maxBins=params.max_bins, seed=params.seed,
+                        minInstancesPerNode=max(1, round(params.min_child_weight)))
     return Pipeline(stages=[VectorAssembler(inputCols=S.FEATURE_ORDER, outputCol="features"), gbt])
 
 

@@ -134,5 +134,5 @@ PREDICTION_LOG = T.StructType(
 LABELS_LOG = _st(("event_id", S), ("is_fraud", I), ("label_timestamp", S), ("delay_seconds", D))
 
 # Logs are scanned as all-string first (tolerant), then coerced with try_cast.
-PREDICTION_LOG_STRINGS = _st(*[(f.name, S) for f in PREDICTION_LOG.fields if f.name != "missing_features"])
+PREDICTION_LOG_STRINGS = _st(*[(f.name, S) for f in PREDICTION_LOG.fields])
 LABELS_LOG_STRINGS = _st(*[(f.name, S) for f in LABELS_LOG.fields])

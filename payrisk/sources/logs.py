@@ -33,8 +33,9 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def read_prediction_log(spark: SparkSession, path: str) -> DataFrame:
-    """Prediction log as strings (typed later by the evaluation's normalisation)."""
-    return read_jsonl(spark, path, S.PREDICTION_LOG_STRINGS)
+    """Prediction log as strings (typed later by the evaluation's normalisation); ``missing_features`` as an array."""
+    log = read_jsonl(spark, path, S.PREDICTION_LOG_STRINGS)
+    return log.withColumn("missing_features", F.from_json("missing_features", "array<string>"))
 
 
 def read_labels_log(spark: SparkSession, path: str) -> DataFrame:

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from payrisk.functions.columns import try_double, try_label
 from payrisk.operators import monitor
-from payrisk.plans.ingest import ingest_csv, parse_start_time
-from payrisk.sources.logs import snapshot_payments
+from payrisk.plans.evaluate import evaluate_delayed, evaluate_event_id
+from payrisk.plans.ingest import ingest_csv, parse_start_time, write_ingest
+from payrisk.sources import fixtures
+from payrisk.sources.logs import read_prediction_log, snapshot_payments
 from payrisk.streaming import jobs
 from payrisk.streaming.features import geo_change_stream
 from payrisk.streaming.sources import decode_payments, json_lines_source
@@ -90,3 +92,33 @@ def test_far_timestamp(spark):
     assert len(rows) < 6000 and rows[datetime(2024, 1, 1, 0, 10)]["idle"] and not rows[datetime(2024, 1, 1, 0, 31)]["idle"]
     alerts = log.groupBy(F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("window_start")).agg((F.count("*") > 0).alias("alert"))
     assert monitor.with_firing(alerts).count() == 4
+
+
+def test_empty_logs_are_named(spark):
+    preds = spark.createDataFrame([("a", datetime(2024, 1, 1), 0.5)], "event_id string, ts timestamp_ntz, fraud_probability double")
+    labels = spark.createDataFrame([("a", datetime(2024, 1, 1, 2), 1)], "event_id string, label_timestamp timestamp_ntz, is_fraud int")
+
+    def status(p, lab, **kw):
+        return evaluate_event_id(p, lab, materialize=False, **kw).first()["status"]
+
+    assert status(preds, labels) == "ok"
+    assert status(preds.limit(0), labels) == "no_predictions_found"
+    assert status(preds, labels.limit(0)) == "no_labels_found"
+    assert status(preds, labels, grace_minutes=600) == "no_eligible_predictions"
+    pay = fixtures.payments(spark, "/root/testdata/sf0.001")
+    assert evaluate_delayed(pay, delay_minutes=10**7, materialize=False).first()["status"] == "no_eligible_rows"
+
+
+def test_ingest_report_file(spark, tmp_dir):
+    with open(f"{tmp_dir}/x.csv", "w") as f:
+        f.write("Time,Amount,Class\nx,1,0\n")
+    pay, rep = ingest_csv(spark, f"{tmp_dir}/x.csv")
+    write_ingest(pay, rep, f"{tmp_dir}/p", f"{tmp_dir}/r", fail_on_errors=False)
+    row = json.loads(spark.read.text(f"{tmp_dir}/r").first()[0])
+    assert list(row) == sorted(row) and row["amount_min"] is None and row["rows"] == 0 and row["generated_at_utc"].endswith("Z")
+
+
+def test_prediction_log_keeps_missing_features(spark, tmp_dir):
+    spark.createDataFrame([('{"event_id": "a", "missing_features": ["txn_count_1m"]}',), ('{"event_id": "b"}',)], "value string").write.text(f"{tmp_dir}/log")
+    got = {r["event_id"]: r["missing_features"] for r in read_prediction_log(spark, f"{tmp_dir}/log").collect()}
+    assert got == {"a": ["txn_count_1m"], "b": None}
