@@ -50,22 +50,32 @@ def unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt((v * v).sum(axis=-1, keepdims=True))
 
 
+def _direction(seed: int, tree: int, node: int, dim: int) -> np.ndarray:
+    d = np.random.default_rng([seed, tree, node]).normal(size=dim)
+    return d / np.sqrt((d * d).sum())
+
+
 def plant(sample: np.ndarray, rows: int, trees: int = TREES, leaf_rows: int = LEAF_ROWS, similar: float = SIMILAR, seed: int = 3) -> list[dict]:
-    """Trees for vectors of one length, fitted on unit vectors: nodes {number: (direction, split)}, children 2k+1 and 2k+2."""
+    """Trees for vectors of one length, fitted on unit vectors: splits {number: threshold}, children 2k+1 and 2k+2.
+
+    Where the sample runs out before the expected rows of a node are few enough, "deep" holds the sample's mean there and the levels still
+    to split: those splits lie at the mean, so the trees grow with the rows, not with the sample.
+    """
     dim, out = sample.shape[1], []
     for t in range(trees):
-        nodes, stack = {}, [(0, np.arange(len(sample)))]
+        splits, deep, stack = {}, {}, [(0, np.arange(len(sample)))]
         while stack:
             k, at = stack.pop()
-            if len(at) * rows / len(sample) <= leaf_rows or len(at) < 32 or k >= LEAF // 4:
+            expected = len(at) * rows / len(sample)
+            if expected <= leaf_rows or k >= LEAF // 4:
                 continue
-            d = np.random.default_rng([seed, t, k]).normal(size=dim)
-            d /= np.sqrt((d * d).sum())
-            p = sample[at] @ d
-            split = float(np.median(p))
-            nodes[k] = (d, split)
-            stack += [(2 * k + 1, at[p <= split]), (2 * k + 2, at[p > split])]
-        out.append({"nodes": nodes, "margin": 0.5 * float(np.sqrt((2 - 2 * similar) / dim))})
+            if len(at) < 32:
+                deep[k] = (sample[at].mean(axis=0) if len(at) else np.zeros(dim), int(np.ceil(np.log2(expected / leaf_rows))))
+                continue
+            p = sample[at] @ _direction(seed, t, k, dim)
+            splits[k] = float(np.median(p))
+            stack += [(2 * k + 1, at[p <= splits[k]]), (2 * k + 2, at[p > splits[k]])]
+        out.append({"splits": splits, "deep": deep, "seed": seed, "margin": 0.5 * float(np.sqrt((2 - 2 * similar) / dim))})
     return out
 
 
@@ -73,18 +83,21 @@ def leaves(x: np.ndarray, forest: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     """(row, leaf code) of unit vectors, a code being tree * LEAF + node, sorted by row and code."""
     rows, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for t, tree in enumerate(forest):
-        stack = [(0, np.arange(len(x)))]
+        stack = [(0, np.arange(len(x)), None, 0)]
         while stack:
-            k, at = stack.pop()
+            k, at, mean, left = stack.pop()
             if not len(at):
                 continue
-            if k not in tree["nodes"]:
+            if k in tree["deep"]:
+                mean, left = tree["deep"][k]
+            if k not in tree["splits"] and (left == 0 or k >= LEAF // 4):
                 rows.append(at)
                 codes.append(np.full(len(at), t * LEAF + k))
                 continue
-            d, split = tree["nodes"][k]
-            p = x[at] @ d
-            stack += [(2 * k + 1, at[p <= split + tree["margin"]]), (2 * k + 2, at[p > split - tree["margin"]])]
+            d = _direction(tree["seed"], t, k, x.shape[1])
+            split = tree["splits"][k] if k in tree["splits"] else float(mean @ d)
+            p, below = x[at] @ d, max(left - 1, 0)
+            stack += [(2 * k + 1, at[p <= split + tree["margin"]], mean, below), (2 * k + 2, at[p > split - tree["margin"]], mean, below)]
     row, code = np.concatenate(rows), np.concatenate(codes)
     order = np.lexsort((code, row))
     return row[order], code[order]
@@ -150,7 +163,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     forests = {}
     for size, n in sizes.items():
         x = [np.frombuffer(bytes(r["v"])) for r in sample if len(r["v"]) == size]
-        forests[size] = plant(np.stack(x), n, similar=similar) if x else [{"nodes": {}, "margin": 0.0}]
+        forests[size] = plant(np.stack(x), n, similar=similar) if x else [{"splits": {}, "deep": {}, "seed": 3, "margin": 0.0}]
 
     def place(batches):
         for b in batches:

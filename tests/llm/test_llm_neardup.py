@@ -187,3 +187,16 @@ def test_forest_recall_and_counting_once(monkeypatch):
     np.fill_diagonal(s, False)
     met = np.array([[len(np.intersect1d(of[i], of[j])) > 0 for j in np.flatnonzero(s[i])] for i in range(0, 200)], dtype=object)
     assert all(total[i] == sum(met[i]) for i in range(200)) and (total <= s.sum(axis=1)).all()
+
+
+def test_trees_grow_beyond_the_sample():
+    rng = np.random.default_rng(6)
+    x = vecdup.unit(rng.normal(size=(6000, 16)))
+    near = vecdup.unit(x + rng.normal(size=x.shape) * 0.1 / 4)
+    forest = vecdup.plant(x[:200], 6000, leaf_rows=100)
+    assert forest[0]["deep"]
+    row, code = vecdup.leaves(np.concatenate([x, near]), forest)
+    _, held = np.unique(code, return_counts=True)
+    assert np.median(held) < 600 and held.max() < 4000
+    of = np.split(code, np.searchsorted(row, np.arange(1, 12000)))
+    assert np.mean([len(np.intersect1d(of[i], of[6000 + i])) > 0 for i in range(0, 6000, 10)]) > 0.98
