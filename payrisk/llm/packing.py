@@ -1,9 +1,9 @@
 """Packing (operator 1): retrieval packing with a sharded BM25 index.
 
-Documents are tokenised whole, each followed by a separator id.  Terms are pairs of neighbouring ids, hashed to a fixed number of
-places; their document frequencies count all documents.  A document's two least term hashes (MinHash) order the table, so texts
-that share words stand together; a range of that order is a task, cut into shards of bounded size.  Each shard builds a BM25
-inverted index of its documents.  The first unused document is the seed; the index returns its unused neighbours, best first, and
+Documents are tokenised whole, each followed by a separator id.  Terms are pairs of neighbouring ids, keyed by the 64-bit pair
+itself; their document frequencies count all documents and are joined in Spark.  A document's two least hashes of pairs (MinHash)
+order the table, so texts that share words stand together; a range of that order is a task, cut into shards of bounded size.  Each
+shard builds a BM25 inverted index of its documents, and all terms of a seed vote; documents of other shards are no candidates.  The first unused document is the seed; the index returns its unused neighbours, best first, and
 they fill the window one after the other; without one the next unused document is the seed.  A document that doesn't fit is cut
 and goes on in the next window, and an open window goes on in the next shard, so only a task's last window is padded.
 
@@ -16,7 +16,7 @@ from __future__ import annotations
 import json
 import os
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +30,14 @@ WINDOW = 2048
 SEPARATOR = 1
 TERMS = 1 << 18
 K1, B = 1.2, 0.75
-QUERY_TERMS = 24
+#: None: all terms of a seed vote, no query is cut.
+QUERY_TERMS = None
 SHARD_DOCS, SHARD_IDS = 2_048, 1_500_000
 TASK_IDS = 8_000_000
+#: Ids whose pairs are counted together.
+BUCKET_IDS = 2_000_000
+SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()),
+                    ("sequence_id", pa.int64()), ("offset", pa.int64())])
 #: Fixed value: how byte-level BPE files split a text before merging.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -142,57 +147,120 @@ def _ids(blobs: list[bytes], n: list[int]) -> list[np.ndarray]:
     return [np.frombuffer(x, np.dtype(f"<u{len(x) // k}")) for x, k in zip(blobs, n)]
 
 
-def term_weights(tokens: DataFrame) -> tuple[np.ndarray, float, int]:
-    """(idf of every place, mean number of pairs, ids in all) over all documents; the driver gets one number per place."""
-    def count(batches):
-        total, docs, pairs, ids_ = np.zeros(TERMS, np.int64), 0, 0, 0
+def pair_keys(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(document, 64-bit key) of each pair of neighbouring ids within a document; different pairs have different keys."""
+    doc = np.repeat(np.arange(len(lengths)), lengths)
+    if len(flat) < 2:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    inside = doc[1:] == doc[:-1]
+    return doc[1:][inside], (flat[:-1].astype(np.uint64) << np.uint64(32) | flat[1:].astype(np.uint64))[inside]
+
+
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the sums of their counts."""
+    key, at = np.unique(np.concatenate(keys), return_inverse=True)
+    return key, np.bincount(at, weights=np.concatenate(counts), minlength=len(key)).astype(np.int64)
+
+
+def term_weights(ordered: DataFrame, docs: int, total: int) -> DataFrame:
+    """(task, keys, idf): the pairs that more than one document of a task has, with their IDF over all documents.
+
+    Each pair is counted where its documents stand; the counts meet by hash of the pair, and what a task asks for goes back to it.
+    """
+    buckets = np.uint64(total // BUCKET_IDS + 1)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out():
+            key, n = _summed(keys, counts)
+            bucket = (mix64(key) % buckets).astype(np.int64)
+            by = np.argsort(bucket, kind="stable")
+            first = np.flatnonzero(np.concatenate([[True], np.diff(bucket[by]) > 0])) if len(by) else np.zeros(0, np.int64)
+            cuts = [by[a:b] for a, b in zip(first, [*first[1:], len(by)])]
+            return pa.RecordBatch.from_arrays([pa.array(bucket[by[first]]), pa.array(np.full(len(first), task)), pa.array([key[c].tobytes() for c in cuts], pa.binary()),
+                                               pa.array([n[c].astype("<u4").tobytes() for c in cuts], pa.binary())], names=["bucket", "task", "keys", "counts"])
+
+        task, keys, counts = -1, [], []
         for b in batches:
-            blobs, n = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for lo in range(0, len(n), 500):
-                ids = _ids(blobs[lo : lo + 500], n[lo : lo + 500])
-                lengths = np.array([len(x) for x in ids])
-                doc, term = term_pairs(np.concatenate(ids), lengths)
-                total += np.bincount(distinct(doc * TERMS + term) % TERMS, minlength=TERMS)
-                docs, pairs, ids_ = docs + len(ids), pairs + len(term), ids_ + int(lengths.sum())
-        at = np.flatnonzero(total)
-        places = np.concatenate([at, [-1, -2, -3]])
-        yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(np.concatenate([total[at], [docs, pairs, ids_]]))], names=["term", "n"])
-
-    rows = tokens.select("ids", "n").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    got = {r["term"]: r["n"] for r in rows}
-    df = np.zeros(TERMS)
-    at = np.array([t for t in got if t >= 0], dtype=np.int64)
-    df[at] = [got[t] for t in at]
-    docs = got.get(-1, 0)
-    return np.log1p((docs - df + 0.5) / (df + 0.5)).astype(np.float32), got.get(-2, 0) / max(docs, 1), got.get(-3, 0)
+            tasks, n, blobs = b.column(0).to_numpy(), b.column(1).to_pylist(), b.column(2).to_pylist()
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(tasks)) + 1, [len(tasks)]])
+            for lo, hi in zip(edges[:-1], edges[1:]):
+                if hi > lo and tasks[lo] != task:
+                    if keys:
+                        yield out()
+                    task, keys, counts = tasks[lo], [], []
+                for at in range(lo, hi, 500):
+                    end = min(at + 500, hi)
+                    ids = _ids(blobs[at:end], n[at:end])
+                    doc, pair = pair_keys(np.concatenate(ids), np.array([len(x) for x in ids]))
+                    key, place = np.unique(pair, return_inverse=True)
+                    keys.append(key)
+                    counts.append(np.bincount(distinct(place * 500 + doc) // 500, minlength=len(key)))
+        if keys:
+            yield out()
+
+    def weigh(rows: pa.Table) -> pa.Table:
+        keys = [np.frombuffer(x, "<u8") for x in rows["keys"].to_pylist()]
+        counts = np.concatenate([np.frombuffer(x, "<u4") for x in rows["counts"].to_pylist()])
+        key, at = np.unique(np.concatenate(keys), return_inverse=True)
+        df = np.bincount(at, weights=counts)
+        idf = np.log1p((docs - df + 0.5) / (df + 0.5))
+        tasks, rank = np.unique(rows["task"].to_numpy(), return_inverse=True)
+        both, place = np.unique(np.repeat(rank, [len(x) for x in keys]) * len(key) + at, return_inverse=True)
+        both = both[np.bincount(place, weights=counts) > 1]
+        edges = np.searchsorted(both, np.arange(len(tasks) + 1) * len(key))
+        cuts = [both[a:b] % len(key) for a, b in zip(edges[:-1], edges[1:])]
+        return pa.table({"task": pa.array(tasks, pa.int64()), "keys": pa.array([key[c].tobytes() for c in cuts], pa.binary()),
+                         "idf": pa.array([idf[c].astype("<f8").tobytes() for c in cuts], pa.binary())})
+
+    rows = ordered.select("task", "n", "ids").mapInArrow(count, "bucket long, task long, keys binary, counts binary")
+    return rows.groupBy("bucket").applyInArrow(weigh, "task long, keys binary, idf binary")
+
+
+class Vocabulary:
+    """Numbers the pairs of sorted ``keys``; other pairs, which one document of the task has at most, are left out."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+
+    def __call__(self, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        doc, pair = pair_keys(flat, lengths)
+        if not len(self.keys):
+            return doc[:0], np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        known = self.keys[at] == pair
+        return doc[known], at[known]
 
 
 class Shard:
-    """BM25 inverted index of some documents."""
+    """BM25 inverted index of some documents; ``terms`` gives (document, term) of their ids, ``idf`` is by term."""
 
-    def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean: float):
+    def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean: float, terms: Callable = term_pairs):
         n = np.array([len(x) for x in ids])
-        doc, term = term_pairs(np.concatenate(ids), n)
+        doc, term = terms(np.concatenate(ids), n)
         key, tf = np.unique(term * len(ids) + doc, return_counts=True)  # by term, then document
-        term, self.doc = key // len(ids), key % len(ids)
+        term, doc = key // len(ids), key % len(ids)
         norm = K1 * (1 - B + B * (n - 1) / max(mean, 1e-9))
-        self.weight = idf[term] * tf * (K1 + 1) / (tf + norm[self.doc])
-        self.start = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]])) if len(term) else np.zeros(0, np.int64)
-        self.end = np.append(self.start[1:], len(term))
-        # each document's query: its highest-IDF terms that another document of the shard has too
-        place = np.repeat(np.arange(len(self.start)), self.end - self.start)
-        both = (self.end - self.start)[place] > 1
-        at = np.flatnonzero(both)
-        at = at[np.lexsort((place[at], -idf[term[at]], self.doc[at]))]
+        weight = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
+        new = np.concatenate([[True], term[1:] != term[:-1]]) if len(term) else np.zeros(0, bool)
+        place = np.cumsum(new) - 1
+        both = np.bincount(place)[place] > 1 if len(term) else new  # a term that no other document of the shard has finds none
+        self.doc, self.weight = doc[both], weight[both]
+        new = np.concatenate([[True], np.diff(place[both]) > 0]) if both.any() else np.zeros(0, bool)
+        self.start = np.flatnonzero(new)
+        self.end = np.append(self.start[1:], len(new)) if len(new) else self.start
+        # each document's query: all its terms that another document of the shard has too
+        place = np.cumsum(new) - 1
+        at = np.argsort(self.doc, kind="stable")
         first = np.searchsorted(self.doc[at], np.arange(len(ids) + 1))
-        self.query = [place[at[a : min(b, a + QUERY_TERMS)]] for a, b in zip(first[:-1], first[1:])]
+        self.query = [place[at[a:b]][:QUERY_TERMS] for a, b in zip(first[:-1], first[1:])]
 
     def scores(self, k: int) -> np.ndarray:
         """BM25 of all documents for document k's query."""
         if not len(self.query[k]):
             return np.zeros(len(self.query))
-        cuts = [slice(self.start[q], self.end[q]) for q in self.query[k]]
-        return np.bincount(np.concatenate([self.doc[c] for c in cuts]), weights=np.concatenate([self.weight[c] for c in cuts]), minlength=len(self.query))
+        start, n = self.start[self.query[k]], (self.end - self.start)[self.query[k]]
+        at = np.arange(int(n.sum())) + np.repeat(start - np.cumsum(n) + n, n)
+        return np.bincount(self.doc[at], weights=self.weight[at], minlength=len(self.query))
 
 
 class Packer:
@@ -211,8 +279,8 @@ class Packer:
             start, self.used = start + take, self.used + take
         return out
 
-    def fill(self, ids: list[np.ndarray], idf: np.ndarray, mean: float) -> list[tuple[int, int, int, int, int]]:
-        shard, free, pieces = Shard(ids, idf, mean), np.ones(len(ids), bool), []
+    def fill(self, ids: list[np.ndarray], idf: np.ndarray, mean: float, terms: Callable = term_pairs) -> list[tuple[int, int, int, int, int]]:
+        shard, free, pieces = Shard(ids, idf, mean, terms), np.ones(len(ids), bool), []
         for seed in range(len(ids)):
             if not free[seed]:
                 continue
@@ -229,35 +297,42 @@ class Packer:
 def pack(docs: DataFrame, path: str, window: int = WINDOW, separator: int = SEPARATOR) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids (32-bit little-endian), doc_tokens, sequence_id, offset."""
     tokens = tokenize(docs, path, separator)
-    idf, mean, total = term_weights(tokens)
-    idf_ = docs.sparkSession.sparkContext.broadcast(idf)  # a fixed number of places, 1 MB
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(window, TaskContext.get().partitionId() << 33)
+    rows, total = tokens.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    mean = (total - rows) / max(rows, 1)  # a document of n ids has n - 1 pairs
+    ordered = tokens.repartitionByRange(total // TASK_IDS + 1, "o1", "o2", "uid").sortWithinPartitions("o1", "o2", "uid")
+    ordered = land(ordered.select(F.monotonically_increasing_id().alias("place"), "doc_id", "n", "ids"), "pack-order")
+    ordered = ordered.withColumn("task", F.shiftright("place", 33))
+
+    def run(mine: pa.Table, weights: pa.Table) -> pa.Table:
+        parts = [SCHEMA.empty_table()]
+        if not mine.num_rows:
+            return parts[0]
+        mine = mine.sort_by("place")
+        packer = Packer(window, mine["task"][0].as_py() << 33)
+        keys = np.frombuffer(b"".join(weights["keys"].to_pylist()), "<u8")
+        by = np.argsort(keys)
+        terms, idf = Vocabulary(keys[by]), np.frombuffer(b"".join(weights["idf"].to_pylist()), "<f8")[by]
         doc_id, ids, held = [], [], 0
 
         def out():
-            got = packer.fill(ids, idf_.value, mean)
+            got = packer.fill(ids, idf, mean, terms)
             k, start, length, sequence, offset = (np.array(c, np.int64) for c in zip(*got))
-            parts = [ids[d][s : s + n].astype("<u4").tobytes() for d, s, n, _, _ in got]
-            return pa.RecordBatch.from_arrays([pa.array([doc_id[i] for i in k], pa.int64()), pa.array(start), pa.array(length), pa.array(parts, pa.binary()),
-                                               pa.array([len(ids[i]) for i in k], pa.int64()), pa.array(sequence), pa.array(offset)],
-                                              names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
-
-        for b in batches:
-            for d, n, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                if ids and (len(ids) >= SHARD_DOCS or held + n > SHARD_IDS):
-                    yield out()
-                    doc_id, ids, held = [], [], 0
-                doc_id.append(d)
-                ids += _ids([x.as_py()], [n])
-                held += n
-        if ids:
-            yield out()
-
-    parts = total // TASK_IDS + 1
-    ordered = tokens.repartitionByRange(parts, "o1", "o2", "uid").sortWithinPartitions("o1", "o2", "uid")
-    return ordered.select("doc_id", "n", "ids").mapInArrow(
+            blobs = [ids[d][s : s + n].astype("<u4").tobytes() for d, s, n, _, _ in got]
+            return pa.Table.from_arrays([pa.array([doc_id[i] for i in k], pa.int64()), pa.array(start), pa.array(length), pa.array(blobs, pa.binary()),
+                                         pa.array([len(ids[i]) for i in k], pa.int64()), pa.array(sequence), pa.array(offset)], schema=SCHEMA)
+
+        for d, n, x in zip(mine["doc_id"].to_pylist(), mine["n"].to_pylist(), mine["ids"]):
+            if ids and (len(ids) >= SHARD_DOCS or held + n > SHARD_IDS):
+                parts.append(out())
+                doc_id, ids, held = [], [], 0
+            doc_id.append(d)
+            ids += _ids([x.as_py()], [n])
+            held += n
+        parts.append(out())
+        return pa.concat_tables(parts)
+
+    weights = term_weights(ordered, rows, total)
+    return ordered.groupBy("task").cogroup(weights.groupBy("task")).applyInArrow(
         run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 

@@ -87,3 +87,27 @@ def test_neighbours_share_a_window():
     ids = [seed, *other, seed.copy()]
     pieces = packing.Packer(600, 0).fill(ids, np.ones(packing.TERMS), 300.0)
     assert [p[0] for p in pieces if p[3] == 0] == [0, 21]
+
+
+def test_all_terms_vote():
+    """A long seed's many common pairs outweigh a few rare ones."""
+    rare, common = np.arange(100, 130), np.arange(1000, 1400)
+    seed = np.concatenate([rare, common]).astype("<u2")
+    ids = [seed, rare.astype("<u2"), common.astype("<u2")]
+    idf = np.ones(packing.TERMS)
+    idf[packing.term_pairs(rare, np.array([len(rare)]))[1]] = 3.0
+    scores = packing.Shard(ids, idf, 400.0).scores(0)
+    assert scores[2] > scores[1] > 0
+
+
+def test_weights_by_pair(spark, docs):
+    """Document frequencies belong to pairs, not to places that pairs share."""
+    flat = np.random.default_rng(2).integers(0, 50_000, 4000)
+    lengths = np.array([len(flat)])
+    keys, places = packing.pair_keys(flat, lengths)[1], packing.term_pairs(flat, lengths)[1]
+    assert len(np.unique(places)) < len(np.unique(keys)) == len({(a, b) for a, b in zip(flat[:-1].tolist(), flat[1:].tolist())})
+    texts = [[10, 11, 12, 13], [10, 11, 12], [10, 11, 10, 11], [50, 51]]
+    rows = [(0, len(x), np.array(x, "<u2").tobytes()) for x in texts]
+    got = packing.term_weights(spark.createDataFrame(rows, "task long, n long, ids binary"), 4, 13).collect()
+    idf = dict(zip(np.frombuffer(b"".join(r["keys"] for r in got), "<u8").tolist(), np.frombuffer(b"".join(r["idf"] for r in got), "<f8")))
+    assert idf == {10 << 32 | 11: pytest.approx(np.log1p(1.5 / 3.5)), 11 << 32 | 12: pytest.approx(np.log1p(2.5 / 2.5))}
