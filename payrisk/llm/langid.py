@@ -155,8 +155,9 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarr
 def best_path(scores: np.ndarray, words: np.ndarray, of: np.ndarray, penalty: float) -> np.ndarray:
     """Viterbi's path for every text.
 
-    A text in which no run of words gains the penalty or more by another language than the text's best one keeps that
-    language throughout: each switch costs the penalty, so no other path can be better.  Only the rest is stepped.
+    A text in which no run of words gains half the penalty or more by another language than the text's best one keeps that
+    language throughout: k runs of other languages cost k - 1 switches at least, and one alone is the whole text, which gains
+    nothing, so no other path can be better.  Only the rest is stepped.
     """
     some = np.flatnonzero(words)
     first = (np.cumsum(words) - words)[some]
@@ -169,7 +170,7 @@ def best_path(scores: np.ndarray, words: np.ndarray, of: np.ndarray, penalty: fl
     before = np.minimum.accumulate(low - gain, axis=0)
     most = np.maximum.reduceat((low - before).max(axis=1), first)
     mixed = np.zeros(len(words), bool)
-    mixed[some] = most >= penalty
+    mixed[some] = most >= penalty / 2
     path = main[of]
     at = mixed[of]
     if at.any():

@@ -31,6 +31,13 @@ def test_path_is_optimal():
             assert np.isclose(path_value(s, path[of == d], penalty), brute_viterbi(s, penalty), atol=1e-3)
 
 
+def test_path_without_the_main_language():
+    """Two runs, neither of which gains the penalty alone, together beat the language between them."""
+    scores = np.array([[0, 7, -20], [0, -20, 7]], np.float32)
+    path = langid.best_path(scores, np.array([2]), np.zeros(2, np.int64), 12.0)
+    assert path.tolist() == [1, 2] and path_value(scores, path, 12.0) == brute_viterbi(scores, 12.0) == 2
+
+
 def test_spans_and_scripts(docs, prose):
     train = docs([(i, prose(lang, 200, i), lang, "s") for i, lang in enumerate(["en", "de", "ru"] * 6)])
     model = langid.learn(train)
