@@ -16,7 +16,7 @@ from payrisk.llm.toxicity import toxicity_stage
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or whose language is less than half certain, go."""
+    """Documents without a letter, or whose language is less than a quarter certain, go."""
     return language_stage(docs)
 
 

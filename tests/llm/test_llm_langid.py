@@ -1,6 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from payrisk.llm import langid
 
 
@@ -67,3 +68,21 @@ def test_held_out_accuracy(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = langid.language_query(d).join(d.select("doc_id", "lang"), "doc_id").filter("held_out")
     assert got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.97
+
+
+def test_stage_threshold(docs):
+    """A quarter of the evidence is enough: three languages in equal parts stay, six go."""
+    parts = {"a": "ba be bi", "b": "do du da", "c": "fi fo fu", "d": "gra gre gro", "e": "klu kla kle", "f": "mist most mast"}
+
+    def text(lang, n, seed):
+        rng = np.random.default_rng([seed, ord(lang)])
+        return " ".join("".join(rng.choice(parts[lang].split(), rng.integers(2, 5))) for _ in range(n))
+
+    train = [(i, text("abcdef"[i % 6], 120, i), "abcdef"[i % 6], "s") for i in range(72)]
+    mixed = [(1001, " ".join(text(x, 60, 500) for x in "abc"), None, "s"), (1002, " ".join(text(x, 60, 501) for x in "abcdef"), None, "s")]
+    df = docs(train + mixed)
+    got = langid.detect(df, langid.learn(langid.learnable(df), sample_key=F.col("doc_id")))
+    score = {r["row"]["doc_id"]: r["score"] for r in got.collect()}
+    assert 0.25 <= score[1001] < 0.5 and 0 < score[1002] < 0.25
+    assert {r["doc_id"] for r in langid.language_stage(df).collect()} == {i for i, s in score.items() if s >= 0.25}
+    assert "quarter" in corpus_pipeline.language.__doc__ and "quarter" in langid.language_stage.__doc__
