@@ -71,13 +71,22 @@ def running_total(df: DataFrame, by: list[str], part: str, order: list[str], val
 
 
 def mix(sizes: DataFrame, weights: tuple = WEIGHTS, repeats: int = REPEATS, seed: str = "mix", rows_per_range: int = 50_000) -> DataFrame:
-    """One row per row of ``sizes(doc_id, source, size)``: source_size, target, taken, copies (epochs in which words are taken)."""
-    sizes = land(sizes.withColumn("key", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))), "mix-sizes")
+    """One row per row of ``sizes(doc_id, source, size)``: source_size, target, taken, copies (epochs in which words are taken).
+
+    A column ``number``, different in every row, is carried through; rows with a null or repeated id are then shuffled by it too.
+    """
+    numbered = "number" in sizes.columns
+    text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    if numbered:
+        many = sizes.groupBy("doc_id").count().filter("doc_id is null or count > 1").select(F.col("doc_id").alias("_id"), F.lit(True).alias("_many"))
+        sizes = sizes.join(many, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+        text = F.when(F.col("_many"), F.concat(text, F.lit(":"), F.col("number").cast("string"))).otherwise(text)
+    sizes = land(sizes.withColumn("key", F.md5(F.concat(F.lit(f"{seed}:"), text).cast("binary"))).drop("_id", "_many"), "mix-sizes")
     ranges = max(8, sizes.count() // rows_per_range + 1)
     targets = land(source_targets(sizes, weights, repeats), "mix-targets")
     docs = sizes.join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     docs = docs.withColumn("slot", _range_of(F.col("key"), ranges))
-    order = ["key", "doc_id", "size"]
+    order = ["key", "doc_id", "size", *(["number"] if numbered else [])]
     docs = docs.withColumn("nth", F.row_number().over(Window.partitionBy("source_rank", "slot").orderBy(*order)))
     docs = land(running_total(docs, ["source_rank"], "slot", ["nth"], "size", "position"), "mix-queue")
     queue = docs.filter("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
@@ -88,7 +97,7 @@ def mix(sizes: DataFrame, weights: tuple = WEIGHTS, repeats: int = REPEATS, seed
     got = (queue.withColumn("taken", taken).groupBy("source_rank", "slot", "nth")
            .agg(F.sum("taken").alias("taken"), F.sum((F.col("taken") > 0).cast("long")).alias("copies")))
     return (docs.join(got, ["source_rank", "slot", "nth"], "left")
-            .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+            .select(*(["number"] if numbered else []), "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
                     F.coalesce("copies", F.lit(0)).cast("long").alias("copies")))
 
 
@@ -105,16 +114,12 @@ def mixing_query(docs: DataFrame) -> DataFrame:
 def mixing_stage(docs: DataFrame) -> DataFrame:
     """Pipeline: every document once for each epoch in which the mix takes words of it.
 
-    Rows that agree in id, source and size are alike to the mix; their copies are shared evenly among them, rounded.
+    Rows are numbered and landed, so rows that agree in id, source and size each keep their own copies.
     """
-    got = mix(docs.select("doc_id", F.col("source").cast("string").alias("source"), words().alias("size")))
-    plan = got.groupBy("doc_id", "source", "size").agg(F.round(F.avg("copies")).cast("int").alias("copies")).filter("copies > 0")
-    plan = plan.select(*[F.col(c).alias(f"_{c}") for c in plan.columns])
-    rows = docs.select(F.struct("*").alias("row"))
-    sized = rows.withColumn("size", words("row.text"))
-    on = (F.col("row.doc_id").eqNullSafe(F.col("_doc_id")) & F.col("row.source").cast("string").eqNullSafe(F.col("_source"))
-          & (F.col("size") == F.col("_size")))
-    return sized.join(plan, on).select("row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("row.*")
+    rows = land(docs.select(F.monotonically_increasing_id().alias("number"), F.struct("*").alias("row")), "mix-rows")
+    got = mix(rows.select("number", "row.doc_id", F.col("row.source").cast("string").alias("source"), words("row.text").alias("size")))
+    plan = got.filter("copies > 0").select("number", F.col("copies").cast("int").alias("copies"))
+    return rows.join(plan, "number").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 SQL = r"""

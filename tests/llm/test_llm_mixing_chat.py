@@ -2,6 +2,7 @@ import hashlib
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from payrisk.llm import chat, mixing
 
@@ -69,6 +70,22 @@ def test_mix_odd_rows(odd, docs):
 CHAT = "pair_id long, side string, turn long, role string, text string, prompt string"
 
 
+def test_stage_keeps_the_copies_of_rows_alike(docs):
+    """Different texts without id, or with one id, and of one size: each has its own copies, and they are dealt apart."""
+    rows = [(None if i % 2 else 7, f"text number w{i} here", "en", "s") for i in range(40)] + [(100 + i, "a b c d", "en", "r") for i in range(40)]
+    df = docs(rows + [(500 + i, "x y z u", "en", "q") for i in range(200)])
+    sizes = df.select("doc_id", "source", mixing.words().alias("size"), F.monotonically_increasing_id().alias("number"))
+    out = [r["text"] for r in mixing.mixing_stage(df).collect()]
+    plain = mixing.mix(sizes.drop("number")).filter("source = 's'").agg(F.sum("copies")).first()[0]
+    assert plain % 40 and sum(t.startswith("text") for t in out) == plain
+    got = mixing.mix(sizes).collect()
+    assert len({r["number"] for r in got}) == len(got) == 280
+    copies = [r["copies"] for r in got if r["source"] == "s"]
+    assert len(copies) == 40
+    assert sum(copies) == plain
+    assert len(out) == sum(r["copies"] for r in got)
+
+
 def test_pairs(spark):
     rows = [(1, "chosen", 0, "user", "hi", "p"), (1, "rejected", 0, "user", "hi", "p"), (1, "chosen", 1, "assistant", "yes", "p"), (1, "rejected", 1, "assistant", "nope", "p"),
             (1, "chosen", 1, "assistant", "yes", "p"), (2, "chosen", 0, "user", "same", "p"), (2, "rejected", 0, "user", "same", "p"),
