@@ -618,6 +618,13 @@ SELECT p.event_id, p.ts, round(p.fraud_probability, 6) AS fraud_probability, l.i
 FROM plog p JOIN lablog l ON p.event_id = l.event_id
  AND l.label_timestamp >= p.ts AND l.label_timestamp <= p.ts + INTERVAL '150 minutes'"""
 
+SQL["stream_label_outcomes"] = with_(PAYMENTS, V1M, V5M, PLOG, LABLOG) + """,
+w AS (SELECT least((SELECT max(ts) FROM plog), (SELECT max(label_timestamp) FROM lablog)) - INTERVAL '10 minutes' AS mark)
+SELECT p.event_id, p.ts, round(p.fraud_probability, 6) AS fraud_probability, l.is_fraud, l.label_timestamp
+FROM plog p CROSS JOIN w LEFT JOIN lablog l ON p.event_id = l.event_id
+ AND l.label_timestamp >= p.ts AND l.label_timestamp <= p.ts + INTERVAL '60 minutes'
+WHERE l.event_id IS NOT NULL OR p.ts + INTERVAL '60 minutes' < w.mark"""
+
 
 # ---------------------------------------------------------------- training
 _TRAIN = with_(PAYMENTS, V1M, V5M, pit_two_views(ALIGN_5M)) + """, sp AS (

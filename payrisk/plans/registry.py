@@ -608,10 +608,7 @@ def q_decision_records(spark, sf_dir):
                   ["amount", "fraud_probability"])
 
 
-@register("stream_label_join")
-def q_stream_label_join(spark, sf_dir):
-    """JOIN-6: prediction stream ⟕ label stream (watermarks 10 min, label within 150 min of the
-    prediction, as late as any comes here); the matched pairs."""
+def _label_join(spark, sf_dir, horizon):
     configure(spark)
     root = scratch_path(spark, "stream-labels")
     pay = _pay(spark, sf_dir)
@@ -622,13 +619,30 @@ def q_stream_label_join(spark, sf_dir):
      .write.mode("overwrite").parquet(f"{root}/labels"))
     p = spark.readStream.schema(spark.read.parquet(f"{root}/preds").schema).parquet(f"{root}/preds")
     lab = spark.readStream.schema(spark.read.parquet(f"{root}/labels").schema).parquet(f"{root}/labels")
-    _run_available_now(sjobs.label_join_stream(p, lab), f"{root}/out", f"{root}/ckpt")
-    out = spark.read.parquet(f"{root}/out").where(F.col("l_event_id").isNotNull())
+    _run_available_now(sjobs.label_join_stream(p, lab, horizon), f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")
+
+
+def _label_rows(out):
     return _round(out.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "fraud_probability", "is_fraud",
                              F.col("label_timestamp").cast("timestamp_ntz").alias("label_timestamp")),
                   ["fraud_probability"])
 
 
+@register("stream_label_join")
+def q_stream_label_join(spark, sf_dir):
+    """JOIN-6: prediction stream ⟕ label stream (watermarks 10 min, label within 150 min of the
+    prediction, as late as any comes here); the matched pairs."""
+    return _label_rows(_label_join(spark, sf_dir, "150 minutes").where(F.col("l_event_id").isNotNull()))
+
+
+@register("stream_label_outcomes")
+def q_stream_label_outcomes(spark, sf_dir):
+    """JOIN-6: the same join within the evaluation's label delay (60 min, LABEL_DELAY_MINUTES; half of the labels
+    here come later): matched pairs, and with nulls each prediction whose horizon the watermark has passed."""
+    return _label_rows(_label_join(spark, sf_dir, "60 minutes"))
+
+
 # ---------------------------------------------------------------- training
 
 _MODELS: dict[tuple, str] = {}

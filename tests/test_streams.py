@@ -192,3 +192,18 @@ def test_label_join_emits_unmatched_after_watermark(spark, tmp_dir):
     got = {r["event_id"]: r["is_fraud"] for r in spark.sql("select * from lj").collect()}
     assert got.get("a") == 1
     assert "b" in got and got["b"] is None
+
+
+def test_label_outcomes_have_null_rows(spark):
+    """JOIN-6: predictions whose label is missing or late come out with nulls, once each; late labels are in the input."""
+    from payrisk.plans import registry
+    from payrisk.sources import fixtures
+
+    sf = "/root/testdata/sf0.001"
+    rows = registry.QUERIES["stream_label_outcomes"](spark, sf).collect()
+    null = [r["event_id"] for r in rows if r["label_timestamp"] is None]
+    matched = {r["event_id"] for r in rows} - set(null)
+    late = fixtures.labels_log(registry._pay(spark, sf)).where("delay_seconds > 3600").select("event_id").distinct()
+    assert null and len(null) == len(set(null)) and matched
+    assert {r["event_id"] for r in late.collect()} & set(null)
+    assert any(int(i) % 10 == 0 for i in null)  # these never get a label
