@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from payrisk.llm import chat, merkle, mixing
+from payrisk.llm import chat, merkle, mixing, trie
 from payrisk.llm.common import table
 from payrisk.llm.langid import language_query
 from payrisk.llm.licenses import license_query
@@ -64,6 +64,11 @@ def op10_toxicity(spark, sf_dir):
     return toxicity_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_trie(spark, sf_dir):
+    """Every prefix of the rebuilt conversations, with its members, children, leaves and saved bytes."""
+    return trie.trie_query(table(spark, sf_dir, "conversations"))
+
+
 def op13_merkle(spark, sf_dir):
     """Leaf, subroot, root and proof of every document; one in five is tampered with and must be found out."""
     return merkle.manifest_query(table(spark, sf_dir, "documents"))
@@ -80,6 +85,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_minhash": op9_minhash,
     "op10_toxicity": op10_toxicity,
+    "op11_trie": op11_trie,
     "op13_merkle": op13_merkle,
 }
-SQL: dict[str, str] = {"op2_chat": chat.SQL, "op8_mixing": mixing.SQL, "op13_merkle": merkle.SQL}
+SQL: dict[str, str] = {"op2_chat": chat.SQL, "op8_mixing": mixing.SQL, "op11_trie": trie.SQL, "op13_merkle": merkle.SQL}
