@@ -98,7 +98,7 @@ def nodes_of(edges: DataFrame) -> DataFrame:
 
 def locate(pending: DataFrame, trie: DataFrame, steps: int) -> DataFrame:
     """``pending`` (.., m, keys, l) with l raised to the deepest extent that is a prefix, by fat binary search."""
-    files = trie.select("handle", F.col("hi").alias("_hi"), F.col("key").alias("_key"))
+    files = trie.select("handle", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("key").alias("_key"))
     at = pending.withColumn("r", F.col("m"))
     for _ in range(steps):
         probe = F.when(F.col("l") < F.col("r"), two_fattest(F.col("l"), F.col("r")))
@@ -106,8 +106,8 @@ def locate(pending: DataFrame, trie: DataFrame, steps: int) -> DataFrame:
         at = at.join(files, F.col("probe") == F.col("handle"), "left")
         inside = F.coalesce((F.col("_hi") <= F.col("m")) & (key_at("keys", F.col("_hi")) == F.col("_key")), F.lit(False))
         # handle met: either its extent is a prefix too, or the way leaves this very edge and the search is over
-        left = F.when(inside, F.col("_hi")).otherwise(F.col("l"))
-        right = F.when(F.col("f").isNull() | inside, F.col("r")).when(F.col("_hi").isNotNull(), F.col("l")).otherwise(F.col("f") - 1)
+        left = F.when(inside, F.col("_hi")).otherwise(F.coalesce("_lo", "l"))
+        right = F.when(F.col("f").isNull() | inside, F.col("r")).otherwise(F.coalesce(F.col("_lo"), F.col("f") - 1))
         at = at.select(*pending.columns[:-1], left.alias("l"), right.alias("r"))
     return at.drop("r")
 
