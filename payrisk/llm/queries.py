@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from payrisk.llm import chat, merkle, mixing, trie
 from payrisk.llm.common import table
+from payrisk.llm.hnsw import neighbours_query
 from payrisk.llm.langid import language_query
 from payrisk.llm.licenses import license_query
 from payrisk.llm.minhash import dedup_query
@@ -69,6 +70,11 @@ def op11_trie(spark, sf_dir):
     return trie.trie_query(table(spark, sf_dir, "conversations"))
 
 
+def op12_neighbours(spark, sf_dir):
+    """The 20 nearest rows, by inner product, of every 20th embedding."""
+    return neighbours_query(table(spark, sf_dir, "embeddings"))
+
+
 def op13_merkle(spark, sf_dir):
     """Leaf, subroot, root and proof of every document; one in five is tampered with and must be found out."""
     return merkle.manifest_query(table(spark, sf_dir, "documents"))
@@ -86,6 +92,7 @@ QUERIES = {
     "op9_minhash": op9_minhash,
     "op10_toxicity": op10_toxicity,
     "op11_trie": op11_trie,
+    "op12_neighbours": op12_neighbours,
     "op13_merkle": op13_merkle,
 }
 SQL: dict[str, str] = {"op2_chat": chat.SQL, "op8_mixing": mixing.SQL, "op11_trie": trie.SQL, "op13_merkle": merkle.SQL}
