@@ -2,7 +2,7 @@
 
 Equal vectors are one class, which keeps the K + 1 smallest of its rows: no other row of it can be among K neighbours.  Classes are dealt to
 shards by hash.  A shard's graph has layers: all its classes, a sixteenth, a sixteenth of these and so on (in the order of their
-hashes); a layer begins as a copy of the one above and takes in the remaining nodes in batches, each linked to diverse near nodes that a beam
+hashes, but much longer vectors first); a layer begins as a copy of the one above and takes in the remaining nodes in batches, each linked to diverse near nodes that a beam
 search from the layers above finds.  Layers are flat arrays of neighbour numbers, landed as rows of parts; a search task streams in a
 shard's parts, then blocks of queries, so it holds one graph and one block.
 
@@ -31,7 +31,7 @@ from payrisk.llm.common import land
 K = 20
 EVERY = 20
 #: Links of a node in the lowest layer (half of it above), beam widths while building and searching, ratio of layers.
-LINKS, BUILD_BEAM, BEAM, RATIO = 32, 64, 128, 16
+LINKS, BUILD_BEAM, BEAM, RATIO = 32, 64, 192, 16
 #: Most bytes of one shard's vectors, nodes taken in at once, bytes of "seen" marks, queries a block, bytes of a landed part.
 SHARD_BYTES, BATCH, SEEN_BYTES, BLOCK, PART_BYTES = 256 << 20, 512, 32 << 20, 256, 1 << 14
 #: Queries that one search task of a shard gets at most, about.
@@ -49,6 +49,13 @@ def sphere(v: np.ndarray) -> np.ndarray:
     return np.hstack([v, np.sqrt(np.maximum(square.max() - square, 0))[:, None]]).astype(np.float32) / np.float32(np.sqrt(square.max()))
 
 
+def by_length(v: np.ndarray) -> np.ndarray:
+    """Order of nodes: by halving length, else as they come.  Long vectors have the largest products, so the upper layers hold them."""
+    most = np.abs(v).max(axis=1).astype(np.float64)
+    length = most * np.sqrt(((v / most[:, None].astype(v.dtype)).astype(np.float64) ** 2).sum(axis=1))
+    return np.argsort(-np.floor(np.log2(length)), kind="stable")
+
+
 def beam(x: np.ndarray, links: np.ndarray, q: np.ndarray, width: int, entry: np.ndarray, opened: int = 4) -> tuple[np.ndarray, np.ndarray]:
     """(nodes, scores), best first and -1 padded, that a best-first search with that width finds from ``entry`` for every query."""
     b, rows = len(q), np.arange(len(q))
@@ -271,6 +278,8 @@ def neighbours(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str =
     def grow(keys: tuple, rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("key")
         v = np.frombuffer(b"".join(rows["v"].to_pylist()), dtype).reshape(rows.num_rows, -1)
+        order = by_length(v)
+        v, rows = v[order], rows.take(pa.array(order))
         members = rows["members"].combine_chunks()
         flat = members.flatten()
         ids = flat.field("id")

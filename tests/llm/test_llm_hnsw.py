@@ -77,9 +77,9 @@ def test_shards_parts_and_groups(spark, monkeypatch, groups):
 
 
 def test_graph_has_layers_and_reaches_every_node():
-    x = hnsw.sphere(np.random.default_rng(4).normal(size=(4000, 16)).astype(np.float32))
+    x = hnsw.sphere(np.random.default_rng(4).normal(size=(5000, 16)).astype(np.float32))
     layers = hnsw.build(x)
-    assert [len(links) for links in layers] == [16, 250, 4000]
+    assert [len(links) for links in layers] == [20, 313, 5000]
     for links in layers:
         assert hnsw._reach(links).all() and (links < len(links)).all() and not (links == np.arange(len(links))[:, None]).any()
         for row in links[:50]:
