@@ -9,7 +9,7 @@ shard's parts, then blocks of queries, so it holds one graph and one block.
 Largest inner product becomes nearness by one more dimension that gives all of a shard's vectors one length; queries have zero there.
 Scores returned are inner products of the original vectors in double precision.
 
-Shards have 32 times the square root of the rows (up to a memory bound), so searches are rows^1.5, not rows^2.  Each query asks every shard.
+Shards have 64 times the square root of the rows (up to a memory bound), so searches are rows^1.5, not rows^2.  Each query asks every shard.
 
 Cases: null or zero vectors, and those with null or non-finite components, take no part; vectors meet those of equal length only; a null id is
 no query but can be found, after others of its score; repeated rows and ids are rows of their own; ties go to the smaller id; with
@@ -31,7 +31,7 @@ from payrisk.llm.common import land
 K = 20
 EVERY = 20
 #: Links of a node in the lowest layer (half of it above), beam widths while building and searching, ratio of layers.
-LINKS, BUILD_BEAM, BEAM, RATIO = 32, 64, 192, 16
+LINKS, BUILD_BEAM, BEAM, RATIO = 32, 64, 128, 16
 #: Most bytes of one shard's vectors, nodes taken in at once, bytes of "seen" marks, queries a block, bytes of a landed part.
 SHARD_BYTES, BATCH, SEEN_BYTES, BLOCK, PART_BYTES = 256 << 20, 512, 32 << 20, 256, 1 << 14
 #: Queries that one search task of a shard gets at most, about.
@@ -39,7 +39,7 @@ TASK_QUERIES = 1_000_000
 
 
 def shard_rows(rows: int, row_bytes: int) -> int:
-    return max(1, min(max(1_024, int(32 * rows**0.5)), SHARD_BYTES // max(row_bytes, 1)))
+    return max(1, min(max(1_024, int(64 * rows**0.5)), SHARD_BYTES // max(row_bytes, 1)))
 
 
 def sphere(v: np.ndarray) -> np.ndarray:
@@ -59,14 +59,14 @@ def by_length(v: np.ndarray) -> np.ndarray:
 def beam(x: np.ndarray, links: np.ndarray, q: np.ndarray, width: int, entry: np.ndarray, opened: int = 4) -> tuple[np.ndarray, np.ndarray]:
     """(nodes, scores), best first and -1 padded, that a best-first search with that width finds from ``entry`` for every query."""
     b, rows = len(q), np.arange(len(q))
-    seen = np.zeros((b, len(links)), bool)
+    seen = np.zeros((b, len(links)), np.int32)
     ids = np.full((b, width), -1, np.int32)
     score = np.full((b, width), -np.inf, np.float32)
     done = np.ones((b, width), bool)
     e = entry.shape[1]
     ids[:, :e], done[:, :e] = entry, entry < 0
     score[:, :e] = np.where(entry >= 0, np.einsum("bd,bed->be", q, x[entry]), -np.inf)
-    seen[np.repeat(rows, e)[(entry >= 0).ravel()], entry[entry >= 0]] = True
+    seen[np.repeat(rows, e)[(entry >= 0).ravel()], entry[entry >= 0]] = 1
     act = rows
     while len(act):
         ready = ~done[act]
@@ -79,17 +79,19 @@ def beam(x: np.ndarray, links: np.ndarray, q: np.ndarray, width: int, entry: np.
         done[act[r], c] = True
         near = links[ids[act[r], c]]
         own, node = np.repeat(act[r], links.shape[1]), near.ravel()
-        fresh = (node >= 0) & ~seen[own, node]
+        fresh = (node >= 0) & (seen[own, node] == 0)
         own, node = own[fresh], node[fresh]
-        key = np.unique(own.astype(np.int64) * len(links) + node)  # two opened nodes may share a neighbour
-        own, node = key // len(links), key % len(links)
-        seen[own, node] = True
+        stamp = np.arange(1, len(own) + 1, dtype=np.int32)
+        seen[own, node] = stamp
+        once = seen[own, node] == stamp  # two opened nodes may share a neighbour
+        own, node = own[once], node[once]
         found = np.einsum("ij,ij->i", x[node], q[own])
         better = found > score[own, -1]
         own, node, found = own[better], node[better], found[better]
         if not len(own):
             continue
-        who, first, count = np.unique(own, return_index=True, return_counts=True)
+        first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))  # queries stand in order
+        who, count = own[first], np.diff(np.append(first, len(own)))
         most = int(count.max())
         place = np.arange(len(own)) - np.repeat(first, count)
         at = np.repeat(np.arange(len(who)), count)
@@ -179,7 +181,7 @@ def build(x: np.ndarray) -> list[np.ndarray]:
             done = len(layers[-1])
             links[:done, : layers[-1].shape[1]] = layers[-1]
         while done < size:
-            step = min(BATCH, max(done, 64), max(16, SEEN_BYTES // size), size - done)
+            step = min(BATCH, max(done, 64), max(16, SEEN_BYTES // (4 * size)), size - done)
             new = np.arange(done, done + step)
             same = x[new] @ x[new].T
             np.fill_diagonal(same, -np.inf)
@@ -230,7 +232,7 @@ class Graph:
     def search(self, uid: np.ndarray, vec_id: np.ndarray, q: np.ndarray, k: int, width: int) -> dict[str, np.ndarray]:
         long = q.astype(np.float64)
         flat = np.hstack([long / np.abs(long).max(axis=1, keepdims=True), np.zeros((len(q), 1))]).astype(np.float32)
-        step = max(16, SEEN_BYTES // len(self.v))
+        step = max(16, SEEN_BYTES // (4 * len(self.v)))
         nodes = np.vstack([beam(self.x, self.layers[-1], flat[lo : lo + step], max(width, k + 1), descend(self.x, self.layers[:-1], flat[lo : lo + step]))[0] for lo in range(0, len(q), step)])
         out: list[tuple] = []
         for i, found in enumerate(nodes):
