@@ -9,7 +9,8 @@ shard's parts, then blocks of queries, so it holds one graph and one block.
 Largest inner product becomes nearness by one more dimension that gives all of a shard's vectors one length; queries have zero there.
 Scores returned are inner products of the original vectors in double precision.
 
-Shards have 64 times the square root of the rows (up to a memory bound), so searches are rows^1.5, not rows^2.  Each query asks every shard.
+Shards have 64 times the square root of the rows (up to a memory bound), so searches are rows^1.5, not rows^2.  Each query asks every shard;
+one of up to four beams of classes is searched whole.
 
 Cases: null or zero vectors, and those with null or non-finite components, take no part; vectors meet those of equal length only; a null id is
 no query but can be found, after others of its score; repeated rows and ids are rows of their own; ties go to the smaller id; with
@@ -233,6 +234,7 @@ class Graph:
         long = q.astype(np.float64)
         flat = np.hstack([long / np.abs(long).max(axis=1, keepdims=True), np.zeros((len(q), 1))]).astype(np.float32)
         step = max(16, SEEN_BYTES // (4 * len(self.v)))
+        width = len(self.v) if len(self.v) <= 4 * width else width
         nodes = np.vstack([beam(self.x, self.layers[-1], flat[lo : lo + step], max(width, k + 1), descend(self.x, self.layers[:-1], flat[lo : lo + step]))[0] for lo in range(0, len(q), step)])
         out: list[tuple] = []
         for i, found in enumerate(nodes):
