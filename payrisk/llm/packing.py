@@ -33,7 +33,9 @@ K1, B = 1.2, 0.75
 #: None: all terms of a seed vote, no query is cut.
 QUERY_TERMS = None
 SHARD_DOCS, SHARD_IDS = 2_048, 1_500_000
-TASK_IDS = 8_000_000
+TASK_IDS = 3_000_000
+#: Counts that a task holds before it sums those of equal pairs.
+HELD_COUNTS = 1_000_000
 #: Ids whose pairs are counted together.
 BUCKET_IDS = 2_000_000
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()),
@@ -179,7 +181,7 @@ def term_weights(ordered: DataFrame, docs: int, total: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(bucket[by[first]]), pa.array(np.full(len(first), task)), pa.array([key[c].tobytes() for c in cuts], pa.binary()),
                                                pa.array([n[c].astype("<u4").tobytes() for c in cuts], pa.binary())], names=["bucket", "task", "keys", "counts"])
 
-        task, keys, counts = -1, [], []
+        task, keys, counts, held, kept = -1, [], [], 0, 0
         for b in batches:
             tasks, n, blobs = b.column(0).to_numpy(), b.column(1).to_pylist(), b.column(2).to_pylist()
             edges = np.concatenate([[0], np.flatnonzero(np.diff(tasks)) + 1, [len(tasks)]])
@@ -187,14 +189,18 @@ def term_weights(ordered: DataFrame, docs: int, total: int) -> DataFrame:
                 if hi > lo and tasks[lo] != task:
                     if keys:
                         yield out()
-                    task, keys, counts = tasks[lo], [], []
+                    task, keys, counts, held, kept = tasks[lo], [], [], 0, 0
                 for at in range(lo, hi, 500):
                     end = min(at + 500, hi)
                     ids = _ids(blobs[at:end], n[at:end])
                     doc, pair = pair_keys(np.concatenate(ids), np.array([len(x) for x in ids]))
                     key, place = np.unique(pair, return_inverse=True)
                     keys.append(key)
-                    counts.append(np.bincount(distinct(place * 500 + doc) // 500, minlength=len(key)))
+                    counts.append(np.bincount(distinct(place * 500 + doc) // 500, minlength=len(key)).astype(np.uint32))
+                    held += len(key)
+                    if held > 2 * kept + HELD_COUNTS:
+                        key, n_held = _summed(keys, counts)
+                        keys, counts, held, kept = [key], [n_held.astype(np.uint32)], len(key), len(key)
         if keys:
             yield out()
 
