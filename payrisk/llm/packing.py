@@ -158,6 +158,21 @@ def pair_keys(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.nda
     return doc[1:][inside], (flat[:-1].astype(np.uint64) << np.uint64(32) | flat[1:].astype(np.uint64))[inside]
 
 
+def packed(key: np.ndarray) -> bytes:
+    """Keys of pairs; in half the bytes where both ids of all pairs have 16 bits."""
+    if (key & np.uint64(0xFFFF0000FFFF0000)).any():
+        return key.astype("<u8").tobytes()
+    return (key >> np.uint64(16) | key & np.uint64(0xFFFF)).astype("<u4").tobytes()
+
+
+def unpacked(blob: bytes, n: int) -> np.ndarray:
+    """The ``n`` keys of a blob."""
+    if len(blob) == 8 * n:
+        return np.frombuffer(blob, "<u8")
+    key = np.frombuffer(blob, "<u4").astype(np.uint64)
+    return key >> np.uint64(16) << np.uint64(32) | key & np.uint64(0xFFFF)
+
+
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, and the sums of their counts."""
     key, at = np.unique(np.concatenate(keys), return_inverse=True)
@@ -178,7 +193,7 @@ def term_weights(ordered: DataFrame, docs: int, total: int) -> DataFrame:
             by = np.argsort(bucket, kind="stable")
             first = np.flatnonzero(np.concatenate([[True], np.diff(bucket[by]) > 0])) if len(by) else np.zeros(0, np.int64)
             cuts = [by[a:b] for a, b in zip(first, [*first[1:], len(by)])]
-            return pa.RecordBatch.from_arrays([pa.array(bucket[by[first]]), pa.array(np.full(len(first), task)), pa.array([key[c].tobytes() for c in cuts], pa.binary()),
+            return pa.RecordBatch.from_arrays([pa.array(bucket[by[first]]), pa.array(np.full(len(first), task)), pa.array([packed(key[c]) for c in cuts], pa.binary()),
                                                pa.array([n[c].astype("<u4").tobytes() for c in cuts], pa.binary())], names=["bucket", "task", "keys", "counts"])
 
         task, keys, counts, held, kept = -1, [], [], 0, 0
@@ -205,7 +220,7 @@ def term_weights(ordered: DataFrame, docs: int, total: int) -> DataFrame:
             yield out()
 
     def weigh(rows: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x, "<u8") for x in rows["keys"].to_pylist()]
+        keys = [unpacked(x, len(n) // 4) for x, n in zip(rows["keys"].to_pylist(), rows["counts"].to_pylist())]
         counts = np.concatenate([np.frombuffer(x, "<u4") for x in rows["counts"].to_pylist()])
         key, at = np.unique(np.concatenate(keys), return_inverse=True)
         df = np.bincount(at, weights=counts)

@@ -111,3 +111,12 @@ def test_weights_by_pair(spark, docs):
     got = packing.term_weights(spark.createDataFrame(rows, "task long, n long, ids binary"), 4, 13).collect()
     idf = dict(zip(np.frombuffer(b"".join(r["keys"] for r in got), "<u8").tolist(), np.frombuffer(b"".join(r["idf"] for r in got), "<f8")))
     assert idf == {10 << 32 | 11: pytest.approx(np.log1p(1.5 / 3.5)), 11 << 32 | 12: pytest.approx(np.log1p(2.5 / 2.5))}
+
+
+def test_keys_of_pairs_are_packed_and_unpacked():
+    for top in (1 << 16, 1 << 20):
+        ids = np.random.default_rng(1).integers(0, top, size=(1000, 2)).astype(np.uint64)
+        key = np.sort(ids[:, 0] << np.uint64(32) | ids[:, 1])
+        blob = packing.packed(key)
+        assert len(blob) == (4 if top == 1 << 16 else 8) * len(key) and (packing.unpacked(blob, len(key)) == key).all()
+    assert len(packing.unpacked(packing.packed(np.zeros(0, np.uint64)), 0)) == 0
