@@ -24,10 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def land(df: DataFrame, name: str) -> DataFrame:
+def land(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write to the shared scratch folder and read back: lineage is cut, a lost executor loses nothing."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

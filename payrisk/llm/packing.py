@@ -142,7 +142,7 @@ def tokenize(docs: DataFrame, path: str, separator: int = SEPARATOR) -> DataFram
                 uid += hi - lo
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return land(src.mapInArrow(run, "uid long, doc_id long, n long, ids binary, o1 long, o2 long"), "pack-ids")
+    return land(src.mapInArrow(run, "uid long, doc_id long, n long, ids binary, o1 long, o2 long"), "pack-ids", "zstd")
 
 
 def _ids(blobs: list[bytes], n: list[int]) -> list[np.ndarray]:
@@ -321,7 +321,7 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, separator: int = SEPA
     rows, total = tokens.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     mean = (total - rows) / max(rows, 1)  # a document of n ids has n - 1 pairs
     ordered = tokens.repartitionByRange(total // TASK_IDS + 1, "o1", "o2", "uid").sortWithinPartitions("o1", "o2", "uid")
-    ordered = land(ordered.select(F.monotonically_increasing_id().alias("place"), "doc_id", "n", "ids"), "pack-order")
+    ordered = land(ordered.select(F.monotonically_increasing_id().alias("place"), "doc_id", "n", "ids"), "pack-order", "zstd")
     ordered = ordered.withColumn("task", F.shiftright("place", 33))
 
     def run(mine: pa.Table, weights: pa.Table) -> pa.Table:
