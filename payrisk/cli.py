@@ -200,7 +200,7 @@ def cmd_score_stream(a) -> int:
     out = {"kafka.bootstrap.servers": a.bootstrap, "topic": a.output_topic} if a.bootstrap and a.output_topic else None
     q = jobs.start_scoring(sources.decode_payments(src), a.latest_1m_path, a.latest_5m_path, a.decisions_path, a.log_path,
                            a.errors_path, a.checkpoint, {"availableNow": True} if a.once else None, threshold=a.threshold,
-                           model=model, version=version, apply_ttl=a.apply_ttl, bounded_requests=limit is not None, decisions_topic=out)
+                           model=model, version=version, apply_ttl=a.apply_ttl, bounded_requests=bool(a.bootstrap) and limit is not None, decisions_topic=out)
     q.awaitTermination()
     return 0
 
@@ -221,17 +221,17 @@ def cmd_snapshot_payments(a) -> int:
 
 
 def cmd_snapshot_features(a) -> int:
-    from payrisk.sources.logs import snapshot_features
+    from payrisk.sources.logs import FEATURE_VIEWS, snapshot_features
 
-    snapshot_features(_snapshot(a, _session())).write.mode("overwrite").parquet(a.output_path)
+    snapshot_features(_snapshot(a, _session()), FEATURE_VIEWS[a.view]).write.mode("overwrite").parquet(a.output_path)
     return 0
 
 
 def cmd_online_read(a) -> int:
-    from payrisk.streaming.jobs import read_latest_table
+    from payrisk.streaming.online import read_online
 
-    spark = _session()
-    table = read_latest_table(spark, a.table_path)
+    spark = _session(streaming=True)
+    table = read_online(spark, a.table_path)
     if table is None:
         print("online_table_empty")
         return 1
@@ -241,12 +241,19 @@ def cmd_online_read(a) -> int:
 
 
 def cmd_push_online(a) -> int:
-    from payrisk.streaming import jobs
+    """Feature records of a topic (at most ONLINE_PUSH_MAX_ROWS a micro-batch) or landed feature files, kept as the newest row per card."""
+    from payrisk.sources.logs import FEATURE_VIEWS, snapshot_features
+    from payrisk.streaming import online, sources
 
     spark = _session(streaming=True)
-    schema = spark.read.parquet(a.input_path).schema
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(a.input_path))
-    jobs.start_upsert(stream, a.table_path, a.checkpoint).awaitTermination()
+    if a.bootstrap:
+        messages = sources.kafka_source(spark, a.bootstrap, a.topic, "earliest", S.ONLINE_PUSH_MAX_ROWS)
+        features = snapshot_features(messages, FEATURE_VIEWS[a.view])
+    else:
+        schema = spark.read.parquet(a.input_path).schema
+        features = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(a.input_path)
+    out = {"kafka.bootstrap.servers": a.bootstrap, "topic": a.output_topic} if a.bootstrap and a.output_topic else None
+    online.start_online(features, a.table_path, {"availableNow": True} if a.once else None, topic=out).awaitTermination()
     return 0
 
 
@@ -291,9 +298,11 @@ def parser() -> argparse.ArgumentParser:
         ("model_path", None), ("allow_fallback_model", True), ("threshold", S.DECISION_THRESHOLD), ("apply_ttl", False),
         ("max_offsets", None), ("once", False)])
     for name, fn, topic in (("snapshot-payments", cmd_snapshot_payments, "payments.v1"), ("snapshot-features", cmd_snapshot_features, "features.card.v1")):
-        add(name, fn, [("bootstrap", None), ("topic", topic), ("input_path", None), ("starting_ms", None), ("ending_ms", None), ("output_path", None)])
+        add(name, fn, [("bootstrap", None), ("topic", topic), ("input_path", None), ("starting_ms", None), ("ending_ms", None), ("output_path", None)]
+            + [("view", "1m")] * (name == "snapshot-features"))
     add("online-read", cmd_online_read, [("table_path", None), ("card_id", None)])
-    add("push-online", cmd_push_online, [("input_path", None), ("table_path", None), ("checkpoint", None)])
+    add("push-online", cmd_push_online, [("bootstrap", None), ("topic", "features.card_velocity_1m.v2"), ("view", "1m"), ("input_path", None), ("table_path", None),
+                                         ("output_topic", None), ("once", False)])
     return p
 
 

@@ -27,6 +27,7 @@ from payrisk.plans.features import velocity_views
 from payrisk.session import configure, scratch_path
 from payrisk.sources import fixtures, logs
 from payrisk.streaming import jobs as sjobs
+from payrisk.streaming import online
 from payrisk.streaming import sources as ssrc
 from payrisk.streaming.features import card_velocity_stream
 
@@ -554,23 +555,26 @@ def _feature_files(spark, sf_dir, root, view: str):
     pay = _pay(spark, sf_dir)
     f = velocity.card_velocity_1m(pay) if view == "1m" else velocity.card_velocity_5m(pay)
     f = f.withColumn("created_timestamp", F.col("event_timestamp"))
-    # one file a micro-batch (maxFilesPerTrigger=1)
     f.write.mode("overwrite").parquet(f"{root}/features_{view}")
     return spark.read.parquet(f"{root}/features_{view}").schema
 
 
+def _online(spark, sf_dir, root, view: str, files: int | None = None) -> str:
+    """Checkpoint of a finished run of the stream that keeps the newest feature row per card."""
+    schema = _feature_files(spark, sf_dir, root, view)
+    source = spark.readStream.schema(schema)
+    source = source.option("maxFilesPerTrigger", str(files)) if files else source
+    checkpoint = f"{root}/online_{view}"
+    online.start_online(source.parquet(f"{root}/features_{view}"), checkpoint, {"availableNow": True}).awaitTermination()
+    return checkpoint
+
+
 @register("stream_latest_features")
 def q_stream_latest_features(spark, sf_dir):
-    """STR-7 + SNK-6 + WIN-3: feature stream upserted micro-batch by micro-batch (one
-    newest-per-card delta per batch) into the latest-per-card table; read back as the
-    newest base plus committed deltas."""
+    """STR-7 + SNK-6 + WIN-3: feature stream, one file a micro-batch, aggregated to the newest row per card in
+    update mode; the table is the stream's state, read back through the state data source."""
     configure(spark)
-    root = scratch_path(spark, "stream-upsert")
-    schema = _feature_files(spark, sf_dir, root, "1m")
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/features_1m")
-    q = sjobs.start_upsert(stream, f"{root}/latest", f"{root}/ckpt", trigger={"availableNow": True})
-    q.awaitTermination()
-    latest = sjobs.read_latest_table(spark, f"{root}/latest")
+    latest = online.read_online(spark, _online(spark, sf_dir, scratch_path(spark, "stream-online"), "1m", 1))
     return _round(latest.select("card_id", "event_timestamp", "txn_count_1m", "amount_sum_1m"), ["amount_sum_1m"])
 
 
@@ -578,13 +582,10 @@ def _scored(spark, sf_dir) -> str:
     """Root of a scoring stream run over all payments: decisions, log and errors of its micro-batches."""
     configure(spark)
     root = scratch_path(spark, "stream-score")
-    for view in ("1m", "5m"):
-        _feature_files(spark, sf_dir, root, view)
-        sjobs.upsert_latest(spark.read.parquet(f"{root}/features_{view}"), 0, f"{root}/latest_{view}")
+    latest = [_online(spark, sf_dir, root, view) for view in ("1m", "5m")]
     fixtures.land_json_lines(fixtures.payment_json_lines(_pay(spark, sf_dir)), f"{root}/in")
     stream = ssrc.decode_payments(ssrc.json_lines_source(spark, f"{root}/in"))
-    sjobs.start_scoring(stream, f"{root}/latest_1m", f"{root}/latest_5m", f"{root}/decisions", f"{root}/log", f"{root}/errors",
-                        f"{root}/ckpt", {"availableNow": True}).awaitTermination()
+    sjobs.start_scoring(stream, *latest, f"{root}/decisions", f"{root}/log", f"{root}/errors", f"{root}/ckpt", {"availableNow": True}).awaitTermination()
     return root
 
 

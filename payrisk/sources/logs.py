@@ -61,23 +61,20 @@ def snapshot_payments(messages: DataFrame) -> DataFrame:
     return out.dropna(subset=["card_id", "event_timestamp"])
 
 
-FEATURE_1M = T.StructType([
-    T.StructField("card_id", T.StringType()), T.StructField("event_timestamp", T.StringType()),
-    T.StructField("created_timestamp", T.StringType()), T.StructField("txn_count_1m", T.StringType()),
-    T.StructField("amount_sum_1m", T.StringType()),
-])
-
-
-def snapshot_features(messages: DataFrame, schema: T.StructType = FEATURE_1M) -> DataFrame:
-    """SRC-4: feature records from a topic snapshot (read from earliest): every
-    column parsed leniently (``try_cast``), rows with any unparseable or
-    missing value skipped."""
-    doc = F.from_json(F.col("value").cast("string"), schema)
+#: Columns of the feature records by view, besides card and times.
+FEATURE_VIEWS = {"1m": {"txn_count_1m": "long", "amount_sum_1m": "double"},
+                 "5m": {"txn_count_5m": "long", "avg_transaction_amount_5m": "double"}}
+
+
+def snapshot_features(messages: DataFrame, fields: dict[str, str] = FEATURE_VIEWS["1m"]) -> DataFrame:
+    """SRC-4: feature records from a topic snapshot (read from earliest), or a topic as a stream: every
+    column parsed leniently (``try_cast``), rows with any unparseable or missing value skipped."""
+    names = ["card_id", "event_timestamp", "created_timestamp", *fields]
+    doc = F.from_json(F.col("value").cast("string"), T.StructType([T.StructField(n, T.StringType()) for n in names]))
     p = messages.select(doc.alias("p")).select("p.*")
     typed = p.select(
         F.col("card_id"),
         iso_to_timestamp(F.col("event_timestamp")).alias("event_timestamp"),
         iso_to_timestamp(F.col("created_timestamp")).alias("created_timestamp"),
-        F.col("txn_count_1m").try_cast("double").try_cast("long").alias("txn_count_1m"),
-        F.col("amount_sum_1m").try_cast("double").alias("amount_sum_1m"))
+        *[F.col(n).try_cast("double").try_cast(kind).alias(n) for n, kind in fields.items()])
     return typed.dropna()

@@ -1,6 +1,6 @@
 """Streaming jobs wired to sinks: validate-and-route (STR-5, SNK-3),
-micro-batched online upsert (STR-7, SNK-6), score-and-emit (STR-6, SNK-4,
-SNK-5, STR-9), late-label join (JOIN-6), duplicate drop (STR-8).
+score-and-emit (STR-6, SNK-4, SNK-5, STR-9), late-label join (JOIN-6),
+duplicate drop (STR-8).
 
 Every job is checkpointed (``checkpointLocation`` under the shared
 checkpoint folder) and every ``foreachBatch`` sink is idempotent per
@@ -11,115 +11,21 @@ lost executor or a driver restart.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from payrisk import schemas as S
 from payrisk.functions.columns import decision, heuristic_probability, iso_to_timestamp
-from payrisk.operators.pit import latest_per_key, lookup_latest
+from payrisk.operators.pit import lookup_latest
 from payrisk.operators.score import fill_event_id, with_missing_flags
 from payrisk.operators.validate import route, validate_messages
+from payrisk.streaming.online import read_online
 
 
 def _batch_dir(root: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/batch={batch_id}"
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _committed(spark: SparkSession, root: str, prefix: str) -> list[int]:
-    """Ids ``n`` of the sub-directories ``<prefix><n>`` under ``root`` that
-    finished writing (have ``_SUCCESS``)."""
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith(prefix) and fs.exists(Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[len(prefix):]))
-    return sorted(out)
-
-
-def read_latest_table(spark: SparkSession, root: str, keys=("card_id",), ts: str = "event_timestamp",
-                      created: str | None = "created_timestamp") -> DataFrame | None:
-    """The latest-per-key table: newest committed base version plus every
-    committed delta newer than it, folded with one ``max_by`` aggregate.
-    Readers only see directories whose write finished (``_SUCCESS``)."""
-    bases = _committed(spark, f"{root.rstrip('/')}/base", "v=")
-    base = bases[-1] if bases else -1
-    deltas = [d for d in _committed(spark, f"{root.rstrip('/')}/delta", "batch=") if d > base]
-    paths = ([f"{root.rstrip('/')}/base/v={base}"] if base >= 0 else []) + \
-            [f"{root.rstrip('/')}/delta/batch={d}" for d in deltas]
-    if not paths:
-        return None
-    df = spark.read.option("recursiveFileLookup", "true").parquet(*paths)
-    return latest_per_key(df, list(keys), ts, created).select(*df.columns)
-
-
-def upsert_latest(batch: DataFrame, batch_id: int, root: str, keys=("card_id",), ts: str = "event_timestamp",
-                  created: str | None = "created_timestamp", compact_every: int = 20) -> None:
-    """SNK-6 / STR-7: merge a micro-batch into the latest-per-key table.
-
-    Log-structured: the batch's newest row per key is written as
-    ``delta/batch=<batchId>`` — work proportional to the batch, not the
-    table.  Every ``compact_every`` batches the newest base and all deltas up
-    to this batch are folded into ``base/v=<batchId>``.  Both writes overwrite
-    their own directory, so re-running a batch id is idempotent.
-    """
-    spark = batch.sparkSession
-    if created and created not in batch.columns:
-        # PRJ-17: rows pushed without a created time get the processing time
-        batch = batch.withColumn(created, F.current_timestamp())
-    cols = batch.columns
-    latest_per_key(batch, list(keys), ts, created).select(*cols) \
-        .write.mode("overwrite").parquet(f"{root.rstrip('/')}/delta/batch={batch_id}")
-    if compact_every and (batch_id + 1) % compact_every == 0:
-        bases = [v for v in _committed(spark, f"{root.rstrip('/')}/base", "v=") if v < batch_id]
-        base = bases[-1] if bases else -1
-        deltas = [d for d in _committed(spark, f"{root.rstrip('/')}/delta", "batch=") if base < d <= batch_id]
-        paths = ([f"{root.rstrip('/')}/base/v={base}"] if base >= 0 else []) + \
-                [f"{root.rstrip('/')}/delta/batch={d}" for d in deltas]
-        merged = spark.read.option("recursiveFileLookup", "true").parquet(*paths)
-        latest_per_key(merged, list(keys), ts, created).select(*cols) \
-            .write.mode("overwrite").parquet(f"{root.rstrip('/')}/base/v={batch_id}")
-        vacuum_latest(spark, root)  # keeps what a batch or a reader lists to about two rounds of deltas
-
-
-def vacuum_latest(spark: SparkSession, root: str, keep_bases: int = 2) -> list[str]:
-    """Retention for the latest-per-key table: keep the newest ``keep_bases``
-    committed bases and every delta newer than the oldest kept base; delete the
-    rest (they are folded into a kept base, so readers never need them).
-    Returns the deleted paths."""
-    bases = _committed(spark, f"{root.rstrip('/')}/base", "v=")
-    if len(bases) <= keep_bases:
-        return []
-    oldest_kept = bases[-keep_bases]
-    doomed = [f"{root.rstrip('/')}/base/v={v}" for v in bases[:-keep_bases]]
-    doomed += [f"{root.rstrip('/')}/delta/batch={d}"
-               for d in _committed(spark, f"{root.rstrip('/')}/delta", "batch=") if d <= oldest_kept]
-    for path in doomed:
-        fs, p = _fs(spark, path)
-        fs.delete(p, True)
-    return doomed
-
-
-def start_upsert(stream: DataFrame, table_root: str, checkpoint: str, keys=("card_id",),
-                 trigger: dict | None = None, query_name: str | None = None):
-    """STR-7: run the online upsert as a checkpointed stream."""
-    w = (stream.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, bid: upsert_latest(df, bid, table_root, keys)))
-    if query_name:
-        w = w.queryName(query_name)
-    w = w.trigger(**(trigger or {"processingTime": S.ONLINE_PUSH_INTERVAL}))
-    return w.start()
-
-
 def route_batch(batch: DataFrame, batch_id: int, valid_root: str, dlq_root: str) -> None:
     """STR-5 / SNK-3: write a validated micro-batch's valid rows and dead-letter
     records, each to its own per-batch directory."""
@@ -146,12 +52,12 @@ def start_validation(raw_stream: DataFrame, valid_root: str, dlq_root: str, chec
             .trigger(**(trigger or {"processingTime": S.CHECKPOINT_INTERVAL})).start())
 
 
-def score_batch(batch: DataFrame, batch_id: int, latest_1m_root: str, latest_5m_root: str | None,
+def score_batch(batch: DataFrame, batch_id: int, latest_1m_root: str | None, latest_5m_root: str | None,
                 decisions_root: str, log_root: str, errors_root: str,
                 threshold: float = S.DECISION_THRESHOLD, model=None, version: str | None = None,
                 apply_ttl: bool = False, bounded_requests: bool = False, decisions_topic: dict | None = None) -> None:
-    """STR-6 for one micro-batch: online features (JOIN-5: latest table re-read
-    per batch), missing flags, fallback score, decision; writes decisions
+    """STR-6 for one micro-batch: online features (JOIN-5: the state of the streams
+    that keep the latest rows, named by their checkpoints, as of the batch), missing flags, fallback score, decision; writes decisions
     (keyed by card, SNK-4), the prediction log (SNK-5) and rejected requests
     with a reason (STR-9).  ``model``: a fitted ``PipelineModel`` (ML-4);
     without one the fallback heuristic scores (ML-7).  ``apply_ttl``: a
@@ -178,7 +84,7 @@ def score_batch(batch: DataFrame, batch_id: int, latest_1m_root: str, latest_5m_
         feats = reqs
         for root, fields, ttl in ((latest_1m_root, ["txn_count_1m", "amount_sum_1m"], S.TTL_1M_MINUTES * 60),
                                   (latest_5m_root, ["txn_count_5m", "avg_transaction_amount_5m"], S.TTL_5M_MINUTES * 60)):
-            lat = read_latest_table(spark, root) if root else None
+            lat = read_online(spark, root) if root else None
             if lat is None:
                 feats = feats.withColumns({f: F.lit(None).cast("double") for f in fields})
             else:
@@ -215,7 +121,7 @@ def score_batch(batch: DataFrame, batch_id: int, latest_1m_root: str, latest_5m_
         batch.unpersist()
 
 
-def start_scoring(payments: DataFrame, latest_1m_root: str, latest_5m_root: str | None, decisions_root: str, log_root: str,
+def start_scoring(payments: DataFrame, latest_1m_root: str | None, latest_5m_root: str | None, decisions_root: str, log_root: str,
                   errors_root: str, checkpoint: str, trigger: dict | None = None, **options):
     """STR-6 as a stream: decoded ``payments`` scored micro-batch by micro-batch by :func:`score_batch`
     (``options`` go to it), checkpointed; a batch that is run again rewrites its own output."""

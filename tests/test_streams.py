@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from payrisk.streaming import jobs, sources
+from payrisk.streaming import jobs, online, sources
 from payrisk.streaming.features import card_velocity_stream
 
 
@@ -43,19 +43,54 @@ def test_late_rows(spark, tmp_dir):
     assert dropped >= 1
 
 
-def test_upsert_idempotent_and_restart(spark, tmp_dir):
-    f = spark.createDataFrame([("a", datetime(2024, 1, 1, 0, 1), 1, 1.0), ("b", datetime(2024, 1, 1, 0, 1), 2, 2.0)],
-                              "card_id string, event_timestamp timestamp_ntz, txn_count_1m long, amount_sum_1m double")
-    g = spark.createDataFrame([("a", datetime(2024, 1, 1, 0, 2), 5, 5.0), ("b", datetime(2024, 1, 1, 0, 0), 9, 9.0)],
-                              f.schema)
-    for every in (0, 1, 2):
-        root = f"{tmp_dir}/latest{every}"
-        jobs.upsert_latest(f, 0, root, compact_every=every)
-        jobs.upsert_latest(g, 1, root, compact_every=every)
-        jobs.upsert_latest(g, 1, root, compact_every=every)  # re-run of the same batch
-        lat = {r["card_id"]: r["txn_count_1m"] for r in jobs.read_latest_table(spark, root).collect()}
-        assert lat == {"a": 5, "b": 2}, every
-        assert jobs.read_latest_table(spark, root).count() == 2
+FEATURES = "card_id string, event_timestamp timestamp_ntz, txn_count_1m long, amount_sum_1m double"
+
+
+def _push(spark, root, schema=FEATURES):
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", "1").parquet(f"{root}/in")
+    online.start_online(stream, f"{root}/ck", {"availableNow": True}).awaitTermination()
+    return online.read_online(spark, f"{root}/ck")
+
+
+def _counts(table):
+    return {r["card_id"]: r["txn_count_1m"] for r in table.collect()}
+
+
+def test_online_table_is_the_state(spark, tmp_dir):
+    """Older rows that come later change nothing; a run again without input changes nothing; before a batch there is no table."""
+    assert online.read_online(spark, f"{tmp_dir}/ck") is None
+    spark.createDataFrame([("a", datetime(2024, 1, 1, 0, 1), 1, 1.0), ("b", datetime(2024, 1, 1, 0, 1), 2, 2.0), ("a", datetime(2024, 1, 1, 0, 1), 0, 9.0)],
+                          FEATURES).coalesce(1).write.parquet(f"{tmp_dir}/in/p1")
+    assert _counts(_push(spark, tmp_dir)) == {"a": 1, "b": 2}
+    spark.createDataFrame([("a", datetime(2024, 1, 1, 0, 2), 5, 5.0), ("b", datetime(2024, 1, 1, 0, 0), 9, 9.0)], FEATURES).coalesce(1).write.parquet(f"{tmp_dir}/in/p2")
+    table = _push(spark, tmp_dir)
+    assert _counts(table) == {"a": 5, "b": 2} == _counts(_push(spark, tmp_dir))
+    assert table.columns == ["card_id", "event_timestamp", "created_timestamp", "txn_count_1m", "amount_sum_1m"]
+    assert all(r["created_timestamp"] is not None for r in table.collect())
+
+
+def test_online_batches_cost_their_own_cards(spark, tmp_dir):
+    """Sixteen batches: each updates the rows of its own cards only, however many the table holds."""
+    for b in range(16):
+        rows = [(f"c{i}", datetime(2024, 1, 1, 0, b), b, 1.0) for i in (range(400) if b == 0 else (b, b + 1))]
+        spark.createDataFrame(rows, FEATURES).coalesce(1).write.parquet(f"{tmp_dir}/in/p{b:02d}")
+        os.utime(f"{tmp_dir}/in/p{b:02d}", (1_700_000_000 + b, 1_700_000_000 + b))
+    stream = spark.readStream.schema(FEATURES).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", "1").parquet(f"{tmp_dir}/in")
+    q = online.start_online(stream, f"{tmp_dir}/ck", {"availableNow": True})
+    q.awaitTermination()
+    updated = [p["stateOperators"][0]["numRowsUpdated"] for p in q.recentProgress if p["numInputRows"]]
+    assert sorted(updated) == [2] * 15 + [400] and q.lastProgress["stateOperators"][0]["numRowsTotal"] == 400
+    want = {f"c{i}": 0 for i in range(400)} | {f"c{b}": b for b in range(1, 16)} | {"c16": 15}
+    assert _counts(online.read_online(spark, f"{tmp_dir}/ck")) == want
+
+
+def test_feature_records_of_both_views(spark):
+    from payrisk.sources.logs import FEATURE_VIEWS, snapshot_features
+
+    good = {"card_id": "a", "event_timestamp": "2024-01-01T00:05:00Z", "created_timestamp": "2024-01-01T00:05:01Z", "txn_count_5m": "3", "avg_transaction_amount_5m": 1.5}
+    df = spark.createDataFrame([(json.dumps(good),), (json.dumps(good | {"txn_count_5m": "x"}),), ("{",)], "value string")
+    (r,) = snapshot_features(df, FEATURE_VIEWS["5m"]).collect()
+    assert (r["card_id"], r["txn_count_5m"], r["avg_transaction_amount_5m"]) == ("a", 3, 1.5)
 
 
 def test_stream_equals_batch(spark):
@@ -86,28 +121,6 @@ def test_model_fallback(spark, tmp_dir):
     assert load_model_or_fallback(None) == (None, "fallback")
 
 
-def test_restart_no_duplicate_upserts(spark, tmp_dir):
-    """Stop between batches, restart from the checkpoint with new input: earlier
-    batches are not re-applied and the latest table is right."""
-    schema = "card_id string, event_timestamp timestamp_ntz, txn_count_1m long, amount_sum_1m double"
-    src = f"{tmp_dir}/feat"
-    spark.createDataFrame([("a", datetime(2024, 1, 1, 0, 1), 1, 1.0)], schema).write.parquet(f"{src}/p1")
-    root, ck = f"{tmp_dir}/latest", f"{tmp_dir}/ck"
-
-    def run():
-        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
-        jobs.start_upsert(stream, root, ck, trigger={"availableNow": True}).awaitTermination()
-
-    run()
-    spark.createDataFrame([("a", datetime(2024, 1, 1, 0, 2), 2, 2.0), ("b", datetime(2024, 1, 1, 0, 2), 3, 3.0)],
-                          schema).write.parquet(f"{src}/p2")
-    run()
-    deltas = jobs._committed(spark, f"{root}/delta", "batch=")
-    assert deltas == [0, 1]
-    lat = {r["card_id"]: r["txn_count_1m"] for r in jobs.read_latest_table(spark, root).collect()}
-    assert lat == {"a": 2, "b": 3}
-
-
 def test_score_batch_with_model(spark, tmp_dir):
     """STR-6 with a trained model (ML-4) and a rejected request (STR-9)."""
     from pyspark.ml import Pipeline
@@ -124,10 +137,11 @@ def test_score_batch_with_model(spark, tmp_dir):
     feats = spark.createDataFrame([("a", datetime(2024, 1, 1, 0, 1), datetime(2024, 1, 1, 0, 1), 3, 30.0)],
                                   "card_id string, event_timestamp timestamp_ntz, created_timestamp timestamp_ntz, "
                                   "txn_count_1m long, amount_sum_1m double")
-    jobs.upsert_latest(feats, 0, f"{tmp_dir}/l1")
+    feats.write.parquet(f"{tmp_dir}/in")
+    _push(spark, tmp_dir, feats.schema)
     batch = spark.createDataFrame([("e1", "a", 12.0, "t", "t"), ("e2", "", 5.0, "t", "t"), ("e3", "z", 7.0, "t", "t")],
                                   "event_id string, card_id string, amount double, event_ts string, ingest_ts string")
-    jobs.score_batch(batch, 0, f"{tmp_dir}/l1", None, f"{tmp_dir}/dec", f"{tmp_dir}/log", f"{tmp_dir}/err",
+    jobs.score_batch(batch, 0, f"{tmp_dir}/ck", None, f"{tmp_dir}/dec", f"{tmp_dir}/log", f"{tmp_dir}/err",
                      model=model, version="7")
     dec = {r["event_id"]: r for r in spark.read.parquet(f"{tmp_dir}/dec/*").collect()}
     assert set(dec) == {"e1", "e3"} and dec["e1"]["model_version"] == "7"
@@ -144,11 +158,12 @@ def test_score_batch_ttl_and_missing_id(spark, tmp_dir):
     feats = spark.createDataFrame([("a", datetime(2024, 1, 1, 0, 1), datetime(2024, 1, 1, 0, 1), 3, 30.0)],
                                   "card_id string, event_timestamp timestamp_ntz, created_timestamp timestamp_ntz, "
                                   "txn_count_1m long, amount_sum_1m double")
-    jobs.upsert_latest(feats, 0, f"{tmp_dir}/l1")
+    feats.write.parquet(f"{tmp_dir}/in")
+    _push(spark, tmp_dir, feats.schema)
     batch = spark.createDataFrame([(None, "a", 1.0, "2024-01-01T01:00:00Z", "2024-01-01T01:00:00Z"),
                                    ("e2", "a", 1.0, "2024-01-01T05:00:00Z", "2024-01-01T05:00:00Z")],
                                   "event_id string, card_id string, amount double, event_ts string, ingest_ts string")
-    jobs.score_batch(batch, 0, f"{tmp_dir}/l1", None, f"{tmp_dir}/dec", f"{tmp_dir}/log", f"{tmp_dir}/err",
+    jobs.score_batch(batch, 0, f"{tmp_dir}/ck", None, f"{tmp_dir}/dec", f"{tmp_dir}/log", f"{tmp_dir}/err",
                      apply_ttl=True)
     log = {r["event_id"]: r for r in spark.read.json(f"{tmp_dir}/log/*").collect()}
     gen = [k for k in log if k != "e2"]
@@ -158,21 +173,6 @@ def test_score_batch_ttl_and_missing_id(spark, tmp_dir):
     assert log["e2"]["status"] == "ok" and log["e2"]["latency_ms"] is not None
 
 
-def test_vacuum_keeps_state(spark, tmp_dir):
-    schema = "card_id string, event_timestamp timestamp_ntz, txn_count_1m long, amount_sum_1m double"
-    root = f"{tmp_dir}/latest"
-    for b in range(8):
-        df = spark.createDataFrame([(f"c{b % 3}", datetime(2024, 1, 1, 0, b % 6), b % 6, float(b))], schema)
-        jobs.upsert_latest(df, b, root, compact_every=2)
-    before = {r["card_id"]: r["txn_count_1m"] for r in jobs.read_latest_table(spark, root).collect()}
-    # however many batches came before, two bases and their later deltas are all there is to list
-    assert len(jobs._committed(spark, f"{root}/base", "v=")) == 2 and len(jobs._committed(spark, f"{root}/delta", "batch=")) <= 2
-    gone = jobs.vacuum_latest(spark, root, keep_bases=1)
-    assert any("/base/v=5" in g for g in gone)
-    after = {r["card_id"]: r["txn_count_1m"] for r in jobs.read_latest_table(spark, root).collect()}
-    assert before == after == {"c0": 3, "c1": 4, "c2": 5}
-
-
 def test_label_join_emits_unmatched_after_watermark(spark, tmp_dir):
     """JOIN-6: a prediction without a label inside the horizon comes out with
     nulls once both watermarks pass; a matched one comes out with its label."""
