@@ -522,6 +522,10 @@ SQL["decisions_per_minute"] = BASE_PLOG + """
 SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start, decision, count(*) AS n, round(count(*) / 60.0, 6) AS rate_per_s
 FROM plog WHERE decision IS NOT NULL GROUP BY 1, 2"""
 
+SQL["requests_per_minute"] = BASE_PLOG + """
+SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start, status, count(*) AS n, round(count(*) / 60.0, 6) AS rate_per_s
+FROM plog GROUP BY 1, 2"""
+
 SQL["error_ratio_2m"] = BASE_PLOG + f""", sl AS ({_slide('plog', 'status')}),
 a AS (SELECT window_start, CAST(sum(CASE WHEN status = 'ok' THEN 1 ELSE 0 END) AS BIGINT) AS n_ok,
              CAST(sum(CASE WHEN status = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS n_error FROM sl GROUP BY 1),
@@ -564,10 +568,12 @@ hf AS (SELECT window_start,
               AND count(*) OVER (ORDER BY window_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) = 3 AS firing FROM fl)
 SELECT res.*, hf.firing FROM res LEFT JOIN hf ON res.window_start = hf.window_start"""
 
-_IDLE = BASE_PLOG + """, cnt AS (
-  SELECT date_trunc('minute', ts) AS minute, count(*) AS n FROM plog WHERE decision IS NOT NULL GROUP BY 1),
+_IDLE = BASE_PLOG + """, olog AS (
+  SELECT * REPLACE (CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN ts + INTERVAL '5 days' ELSE ts END AS ts) FROM plog),
+cnt AS (
+  SELECT date_trunc('minute', ts) AS minute, count(*) AS n FROM olog WHERE decision IS NOT NULL GROUP BY 1),
 sp AS (SELECT unnest(range(min(date_trunc('minute', ts)), max(date_trunc('minute', ts)) + INTERVAL '1 minute',
-                           INTERVAL '1 minute')) AS minute FROM plog),
+                           INTERVAL '1 minute')) AS minute FROM olog),
 s AS (SELECT sp.minute, coalesce(cnt.n, 0) AS n FROM sp LEFT JOIN cnt ON sp.minute = cnt.minute),
 w AS (SELECT minute, n, CAST(sum(n) OVER (ORDER BY minute ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS BIGINT) AS n_last,
              count(*) OVER (ORDER BY minute ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS k FROM s),
@@ -575,7 +581,11 @@ i AS (SELECT minute, n, n_last, n_last = 0 AND k = 5 AS idle FROM w),
 f AS (SELECT *, min(CAST(idle AS INTEGER)) OVER (ORDER BY minute ROWS BETWEEN 10 PRECEDING AND CURRENT ROW) = 1
                 AND count(*) OVER (ORDER BY minute ROWS BETWEEN 10 PRECEDING AND CURRENT ROW) = 11 AS firing FROM i)"""
 
-SQL["idle_gaps"] = _IDLE + "\nSELECT minute, n, n_last, idle, firing FROM f"
+SQL["idle_gaps"] = _IDLE + """,
+e AS (SELECT *, idle AND NOT coalesce(lag(idle) OVER (ORDER BY minute), false) AS st FROM f),
+g AS (SELECT *, sum(CAST(st AS INTEGER)) OVER (ORDER BY minute ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ep FROM e)
+SELECT min(minute) AS first_idle, max(minute) AS last_idle, count(*) AS idle_minutes, min(CASE WHEN firing THEN minute END) AS firing_from,
+       count(CASE WHEN firing THEN 1 END) AS firing_minutes FROM g WHERE idle GROUP BY ep"""
 
 SQL["alert_hold"] = _IDLE + """,
 e AS (SELECT *, firing AND NOT coalesce(lag(firing) OVER (ORDER BY minute), false) AS st FROM f),

@@ -3,8 +3,10 @@
 The reference keeps these as service counters scraped by a metrics server; a
 Spark user asks the same questions of the prediction log.  A counter rate
 ``rate(c[w])`` becomes count-in-window / w seconds.  All are group-bys on
-(event-time window, label); the only unpartitioned windows run over the
-minute spine (one row per minute of the log's time span, not per event).
+(event-time window, label).  Sliding windows are sums of neighbouring panes,
+one pane a slide, so events are aggregated once; held alerts are counts over
+the panes before; idle times are the gaps between minutes that have predictions.
+No window is unpartitioned, and no minute without rows is made.
 """
 
 from __future__ import annotations
@@ -31,15 +33,28 @@ def decisions_per_window(log: DataFrame, width: str = "1 minute") -> DataFrame:
                .withColumn("rate_per_s", F.col("n") / F.lit(float(_seconds(width)))))
 
 
+def request_rates(log: DataFrame, width: str = "1 minute") -> DataFrame:
+    """MON-2: requests by status per window and the per-second rate."""
+    return (log.groupBy(F.window("ts", width).start.alias("window_start"), "status")
+               .agg(F.count(F.lit(1)).alias("n"))
+               .withColumn("rate_per_s", F.col("n") / F.lit(float(_seconds(width)))))
+
+
+def sliding(log: DataFrame, sums: dict[str, Column], width: str = "2 minutes", slide: str = "1 minute") -> DataFrame:
+    """(window_start, sums..) per sliding window: every event goes into one pane as long as the slide, and a window is
+    the sum of its panes.  ``sums`` are aggregates that add up (counts and sums)."""
+    panes = log.where(F.col("ts").isNotNull()).groupBy(F.window("ts", slide).start.alias("_pane")).agg(*[c.alias(n) for n, c in sums.items()])
+    back = F.explode(F.sequence(F.lit(0), F.lit(_seconds(width) // _seconds(slide) - 1))).alias("_k")
+    start = F.col("_pane") - F.make_dt_interval(secs=F.col("_k") * _seconds(slide))
+    return panes.select("*", back).groupBy(start.alias("window_start")).agg(*[F.sum(n).cast("long").alias(n) for n in sums])
+
+
 def error_ratio(log: DataFrame, width: str = "2 minutes", slide: str = "1 minute", floor: float = 0.001,
                 limit: float = 0.05) -> DataFrame:
     """MON-2: per sliding window, ok and error request rates, error ratio
     ``e / max(e + o, floor)`` and the alert condition ratio > limit."""
     secs = float(_seconds(width))
-    w = F.window("ts", width, slide)
-    agg = log.groupBy(w.start.alias("window_start")).agg(
-        F.sum(F.when(F.col("status") == "ok", 1).otherwise(0)).cast("long").alias("n_ok"),
-        F.sum(F.when(F.col("status") == "error", 1).otherwise(0)).cast("long").alias("n_error"))
+    agg = sliding(log, {f"n_{s}": F.sum(F.when(F.col("status") == s, 1).otherwise(0)) for s in ("ok", "error")}, width, slide)
     e, o = F.col("n_error") / F.lit(secs), F.col("n_ok") / F.lit(secs)
     ratio = e / F.greatest(e + o, F.lit(floor))
     return agg.withColumn("error_ratio", ratio).withColumn("alert", F.col("error_ratio") > F.lit(limit))
@@ -84,11 +99,8 @@ def latency_quantiles(log: DataFrame, width: str = "2 minutes", slide: str = "1
                       limit_s: float = 0.25) -> DataFrame:
     """MON-4: p50 and p95 latency (seconds) per sliding window from the
     histogram, and the alert condition p95 > limit."""
-    lat = F.col("latency_ms") / F.lit(1000.0)
-    w = F.window("ts", width, slide)
-    cums = _cum_counts(lat)
-    agg = (log.where(F.col("status") == "ok").groupBy(w.start.alias("window_start"))
-              .agg(*[c.alias(f"c{i}") for i, c in enumerate(cums)]))
+    cums = _cum_counts(F.col("latency_ms") / F.lit(1000.0))
+    agg = sliding(log.where(F.col("status") == "ok"), {f"c{i}": c for i, c in enumerate(cums)}, width, slide)
     cc = [F.col(f"c{i}") for i in range(len(cums))]
     return agg.select("window_start", F.col(f"c{len(cums) - 1}").alias("n"),
                       histogram_quantile(0.5, cc).alias("p50_s"), histogram_quantile(0.95, cc).alias("p95_s")) \
@@ -107,68 +119,61 @@ def missing_feature_rates(log: DataFrame, width: str = "1 minute") -> DataFrame:
 def missing_feature_alert(log: DataFrame, width: str = "2 minutes", slide: str = "1 minute",
                           limit_per_s: float = 1.0) -> DataFrame:
     """MON-5 alert: total missing features per sliding window, rate > limit."""
-    w = F.window("ts", width, slide)
-    return (log.select("ts", F.size("missing_features").alias("k"))
-               .groupBy(w.start.alias("window_start")).agg(F.sum("k").cast("long").alias("n_missing"))
-               .withColumn("rate_per_s", F.col("n_missing") / F.lit(float(_seconds(width))))
+    agg = sliding(log, {"n_missing": F.sum(F.coalesce(F.size("missing_features"), F.lit(0)))}, width, slide)
+    return (agg.withColumn("rate_per_s", F.col("n_missing") / F.lit(float(_seconds(width))))
                .withColumn("alert", F.col("rate_per_s") > F.lit(limit_per_s)))
 
 
-def minutes_of(df: DataFrame, minute: str) -> DataFrame:
-    """Every minute, between the first and the last of ``df[minute]``, of the days that have a row and of the day
-    after each: a minute that is left out lies in a gap of a whole day or more, whose first day shows it.  A stray
-    timestamp far away adds two days, not millennia."""
-    kind = df.schema[minute].dataType
-    day = F.explode(F.array(F.to_date(minute), F.date_add(F.to_date(minute), 1))).alias("_day")
-    days = df.where(F.col(minute).isNotNull()).select(day).distinct()
-    every = F.explode(F.sequence(F.col("_day").cast(kind), (F.col("_day").cast("timestamp_ntz") + F.expr("INTERVAL 1439 MINUTE")).cast(kind),
-                                 F.expr("INTERVAL 1 MINUTE"))).alias(minute)
-    bounds = df.agg(F.min(minute).alias("_lo"), F.max(minute).alias("_hi"))
-    # one row of bounds: the broadcast side is a single row
-    return days.select(every).join(F.broadcast(bounds), F.col(minute).between(F.col("_lo"), F.col("_hi"))).select(minute)
-
-
-def minute_spine_counts(log: DataFrame, where: Column | None = None) -> DataFrame:
-    """Every minute of the log with its prediction count (0 for empty minutes); see :func:`minutes_of`."""
-    src = log if where is None else log.where(where)
-    m = F.date_trunc("minute", F.col("ts")).cast(log.schema["ts"].dataType)  # keep the input's timestamp type
-    counts = src.groupBy(m.alias("minute")).agg(F.count(F.lit(1)).alias("n"))
-    spine = minutes_of(log.select(m.alias("minute")), "minute")
-    return spine.join(counts, "minute", "left").na.fill(0, ["n"])
-
-
-def hold(flag: Column, order: str, held_minutes: int, partition: list[str] | None = None) -> Column:
-    """MON-7: an alert with ``for: <held_minutes>m`` evaluated once a minute
-    fires when its condition was true at the current evaluation and at each of
-    the ``held_minutes`` before it (rows ordered by ``order``, one row per
-    minute, no gaps)."""
-    w = Window.orderBy(order) if not partition else Window.partitionBy(*partition).orderBy(order)
-    w = w.rowsBetween(-held_minutes, Window.currentRow)
-    held = F.min(flag.cast("int")).over(w) == 1
-    return held & (F.count(F.lit(1)).over(w) == held_minutes + 1)
-
-
 def with_firing(df: DataFrame, time_col: str = "window_start", flag_col: str = "alert",
                 held_minutes: int = 2) -> DataFrame:
-    """Add ``firing`` to per-minute alert rows: the condition evaluated on a
-    minute spine (a minute without rows has a false condition), held
-    for ``held_minutes`` (MON-7).  The spine has one row per minute of the days
-    with rows (bounded by time, not by rows)."""
-    spine = minutes_of(df.select(time_col), time_col)
-    flags = (spine.join(df.select(time_col, F.col(flag_col).alias("_f")), time_col, "left")
-                  .withColumn("_f", F.coalesce(F.col("_f"), F.lit(False))))
-    fired = flags.select(time_col, hold(F.col("_f"), time_col, held_minutes).alias("firing"))
-    return df.join(fired, time_col, "left")
-
-
-def idle_alert(log: DataFrame, idle_minutes: int = 5, hold_minutes: int = 10) -> DataFrame:
-    """MON-6 + MON-7: minutes with no predictions in the last ``idle_minutes``
-    (``idle``), and the alert that fires once that held for ``hold_minutes``."""
-    s = minute_spine_counts(log, F.col("decision").isNotNull())
-    last = Window.orderBy("minute").rowsBetween(-(idle_minutes - 1), Window.currentRow)
-    s = s.withColumn("n_last", F.sum("n").over(last).cast("long"))
-    s = s.withColumn("idle", (F.col("n_last") == 0) & (F.count(F.lit(1)).over(last) == idle_minutes))
-    return s.withColumn("firing", hold(F.col("idle"), "minute", hold_minutes))
+    """Adds ``firing`` to per-minute alert rows (MON-7): an alert with ``for: <held_minutes>m``, evaluated once a minute, fires
+    when its condition was true now and at each of the ``held_minutes`` evaluations before (a minute without a row has a false one).
+
+    Each true row counts for itself and the next ``held_minutes`` minutes; a minute that counts them all fires."""
+    on = F.coalesce(F.col(flag_col), F.lit(False))
+    ahead = F.explode(F.sequence(F.lit(0), F.when(on, held_minutes).otherwise(0))).alias("_k")
+    spread = df.select(F.struct(*df.columns).alias("_row"), on.alias("_on"), ahead)
+    at = F.col(f"_row.{time_col}") + F.make_dt_interval(mins=F.col("_k"))
+    met = spread.groupBy(at.alias("_at")).agg(F.first(F.when(F.col("_k") == 0, F.col("_row")), ignorenulls=True).alias("_row"),
+                                              F.sum(F.col("_on").cast("int")).alias("_held"))
+    return met.where(F.col("_row").isNotNull()).select("_row.*", (F.col("_held") == held_minutes + 1).alias("firing"))
+
+
+def idle_gaps(log: DataFrame, idle_minutes: int = 5, hold_minutes: int = 10) -> DataFrame:
+    """MON-6 + MON-7: one row per time without predictions: first_idle and last_idle (minutes that have none in their last
+    ``idle_minutes``), idle_minutes, and where that held for ``hold_minutes``, firing_from and firing_minutes (else null and 0).
+
+    A gap lies between one minute with predictions and the next, however far; the log's ends (its first and last minute with any
+    row) bound the first and the last gap.  The next minute is found within its day; the days' first and last ones make one
+    array, one entry a day, whose neighbours are the gaps across days."""
+    kind = log.schema["ts"].dataType
+    minute = F.date_trunc("minute", F.col("ts")).cast(kind)
+    per = log.where(F.col("ts").isNotNull()).groupBy(minute.alias("minute")).agg(F.max(F.col("decision").isNotNull()).alias("seen"))
+    per = per.withColumn("day", F.to_date("minute"))
+    nxt = F.lead("minute").over(Window.partitionBy("day").orderBy("minute"))
+    inside = per.where("seen").select(F.col("minute").alias("a"), nxt.alias("b"))
+    seen = F.when(F.col("seen"), F.col("minute"))
+    days = per.groupBy("day").agg(F.min("minute").alias("lo"), F.max("minute").alias("hi"), F.min(seen).alias("first"), F.max(seen).alias("last"))
+    one = days.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sort_array(F.collect_list(F.when(F.col("first").isNotNull(), F.struct("first", "last")))).alias("d")).where("lo is not null")
+    step = F.expr("INTERVAL 1 MINUTE")
+    ends = F.concat(F.array((F.col("lo") - step).cast(kind)), F.col("d.last")).alias("a")
+    starts = F.concat(F.col("d.first"), F.array((F.col("hi") + step).cast(kind))).alias("b")
+    across = one.select(F.inline(F.arrays_zip(ends, starts)).alias("a", "b"))
+    gap = F.timestamp_diff("MINUTE", F.col("a"), F.col("b"))
+
+    def after(minutes):
+        return (F.col("a") + F.make_dt_interval(mins=F.lit(minutes))).cast(kind)
+
+    held = gap - idle_minutes - hold_minutes
+    return inside.unionByName(across).where(gap > idle_minutes).select(
+        after(idle_minutes).alias("first_idle"), (F.col("b") - step).cast(kind).alias("last_idle"), (gap - idle_minutes).alias("idle_minutes"),
+        F.when(held > 0, after(idle_minutes + hold_minutes)).alias("firing_from"), F.greatest(held, F.lit(0)).cast("long").alias("firing_minutes"))
+
+
+def idle_episodes(log: DataFrame, idle_minutes: int = 5, hold_minutes: int = 10) -> DataFrame:
+    """MON-7: first and last minute, and number of minutes, of every time that the idle alert fires."""
+    fired = idle_gaps(log, idle_minutes, hold_minutes).where("firing_minutes > 0")
+    return fired.select(F.col("firing_from").alias("first_minute"), F.col("last_idle").alias("last_minute"), F.col("firing_minutes").alias("minutes"))
 
 
 def missing_event_ids(requests: DataFrame, width: str = "1 minute") -> DataFrame:

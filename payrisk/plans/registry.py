@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payrisk import schemas as S
@@ -482,21 +482,21 @@ def q_missing_alert(spark, sf_dir):
 
 @register("idle_gaps")
 def q_idle_gaps(spark, sf_dir):
-    """MON-6 + MON-7: per minute of the log, predictions, the 5-minute idle condition and its 10-minute hold."""
-    return monitor.idle_alert(_log(spark, sf_dir))
+    """MON-6 + MON-7: one row per time without predictions in the last 5 minutes (first and last minute, and from when the alert
+    fires after 10 more), over a log with an outage of five days."""
+    return monitor.idle_gaps(fixtures.with_outage(_log(spark, sf_dir)))
 
 
 @register("alert_hold")
 def q_alert_hold(spark, sf_dir):
-    """MON-7: firing episodes of the idle alert (gaps and islands over the minute spine)."""
-    s = monitor.idle_alert(_log(spark, sf_dir))
-    w = Window.orderBy("minute")
-    s = s.withColumn("_start", F.col("firing") & ~F.coalesce(F.lag("firing").over(w), F.lit(False)))
-    s = s.withColumn("_ep", F.sum(F.col("_start").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return (s.where("firing").groupBy("_ep")
-             .agg(F.min("minute").alias("first_minute"), F.max("minute").alias("last_minute"),
-                  F.count(F.lit(1)).alias("minutes"))
-             .drop("_ep"))
+    """MON-7: firing episodes of the idle alert, over a log with an outage of five days."""
+    return monitor.idle_episodes(fixtures.with_outage(_log(spark, sf_dir)))
+
+
+@register("requests_per_minute")
+def q_requests_per_minute(spark, sf_dir):
+    """MON-2: requests by status per minute and per-second rate."""
+    return _round(monitor.request_rates(_log(spark, sf_dir)), ["rate_per_s"])
 
 
 @register("missing_event_ids")

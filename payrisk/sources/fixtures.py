@@ -241,3 +241,9 @@ def land_json_lines(df: DataFrame, path: str, partitions: int = TOPIC_PARTITIONS
     """Write a ``value`` text column as JSON-lines files, one per topic partition."""
     df.repartition(partitions).write.mode("overwrite").text(path)
     return path
+
+
+def with_outage(log: DataFrame, since: str = "2024-01-15 00:00:00", days: int = 5) -> DataFrame:
+    """The log with nothing for ``days`` days from ``since`` on: later rows come that much later."""
+    later = (F.col("ts") + F.make_dt_interval(days=F.lit(days))).cast(log.schema["ts"].dataType)
+    return log.withColumn("ts", F.when(F.col("ts") >= F.lit(since).cast(log.schema["ts"].dataType), later).otherwise(F.col("ts")))
