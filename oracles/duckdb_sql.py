@@ -680,3 +680,8 @@ SQL["stream_geo_change_5m"] = with_(PAYMENTS) + """, p AS (
 v AS (SELECT card_id, time_bucket(INTERVAL '5 minutes', et) + INTERVAL '5 minutes' AS event_timestamp,
              CASE WHEN count(DISTINCT country) > 1 THEN 1 ELSE 0 END AS geo_change_flag_5m FROM p GROUP BY 1, 2)
 SELECT * FROM v WHERE event_timestamp <= (SELECT max(et) FROM p) - INTERVAL '5 seconds'"""
+
+# what the final watermark (5 s behind the newest event) less the longest look back has closed
+SQL["stream_geo_change"] = f"""SELECT * FROM ({SQL['geo_change']}) WHERE event_timestamp < (SELECT max(ts) FROM events WHERE user_id IS NOT NULL) - INTERVAL '305 seconds'"""
+SQL["stream_enriched"] = f"""SELECT * FROM ({SQL['enriched_events']}) WHERE card_id IS NOT NULL
+  AND event_timestamp < (SELECT max(ts) FROM events WHERE user_id IS NOT NULL) - INTERVAL '14405 seconds'"""

@@ -818,3 +818,40 @@ def q_stream_geo_change_5m(spark, sf_dir):
     out = spark.read.parquet(f"{root}/out")
     return out.select("card_id", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
                       "geo_change_flag_5m")
+
+
+@register("stream_geo_change")
+def q_stream_geo_change(spark, sf_dir):
+    """EXT-3 (stream, exact): every event with 1 if its card was in another country within 5 minutes before, by an interval
+    self-join and one flag per event; the events that the final watermark (5 s late) closes."""
+    from payrisk.streaming.features import geo_flags_stream
+
+    configure(spark)
+    root = scratch_path(spark, "stream-geo-exact")
+    _pay(spark, sf_dir).select("event_id", "card_id", "country", F.col("event_timestamp").cast("timestamp").alias("event_time")).write.parquet(f"{root}/in")
+    schema = spark.read.parquet(f"{root}/in").schema
+    now, again = (spark.readStream.schema(schema).parquet(f"{root}/in") for _ in range(2))
+    _run_available_now(geo_flags_stream(now, again), f"{root}/out", f"{root}/ckpt")
+    out = spark.read.parquet(f"{root}/out")
+    return out.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+
+
+@register("stream_enriched")
+def q_stream_enriched(spark, sf_dir):
+    """JOIN-5 + EXT-4 as of the event, on streams: payments joined to the stream of both views' feature rows (interval join, then
+    the newest row per event and view); the events that the final watermark closes."""
+    from payrisk.streaming.features import enriched_stream
+
+    configure(spark)
+    root = scratch_path(spark, "stream-enriched")
+    pay = _pay(spark, sf_dir)
+    stamp = F.col("event_timestamp").cast("timestamp").alias("event_timestamp")
+    pay.where("card_id is not null and event_timestamp is not null").select("event_id", "card_id", stamp, "amount").write.parquet(f"{root}/events")
+    views = {v.name: v for v in velocity_views(pay)}
+    tagged = [v.df.select("card_id", stamp, stamp.alias("created_timestamp"), F.lit(name).alias("view"), *v.fields) for name, v in views.items()]
+    tagged[0].unionByName(tagged[1], allowMissingColumns=True).write.parquet(f"{root}/features")
+    events, features = (spark.readStream.schema(spark.read.parquet(f"{root}/{t}").schema).parquet(f"{root}/{t}") for t in ("events", "features"))
+    joined = enriched_stream(events, features, {name: (list(v.fields), v.ttl_seconds) for name, v in views.items()})
+    _run_available_now(joined, f"{root}/out", f"{root}/ckpt")
+    out = spark.read.parquet(f"{root}/out").withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+    return _round(out, ["amount", "amount_sum_1m", "avg_transaction_amount_5m"])

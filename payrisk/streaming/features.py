@@ -56,3 +56,39 @@ def start_card_velocity(payments: DataFrame, path: str, checkpoint: str, fmt: st
         w = w.option("path", path)
     return (w.format(fmt).options(**(options or {})).option("checkpointLocation", checkpoint).outputMode("append")
              .trigger(**(trigger or {"processingTime": S.CHECKPOINT_INTERVAL})).start())
+
+
+def geo_flags_stream(payments: DataFrame, again: DataFrame, seconds: int = 300, lateness: str = S.WATERMARK_DELAY, ts: str = "event_time") -> DataFrame:
+    """EXT-3 on a stream, exact: every event with 1 if its card was in another country within the ``seconds`` before, as
+    :func:`payrisk.operators.velocity.geo_change_flag` has it in batch.
+
+    ``again`` is the same stream read once more: each event waits for earlier events of its card, other country (an interval join), and
+    the matches become one flag per event.  Both states are bounded by the watermark; an event comes out once that is
+    ``seconds`` past it.  Repeated deliveries of one event give one row."""
+    now = payments.where(F.col("card_id").isNotNull() & F.col(ts).isNotNull()).select("event_id", "card_id", F.col(ts).alias("event_timestamp"), "country").withWatermark("event_timestamp", lateness)
+    then = again.where(F.col("card_id").isNotNull() & F.col(ts).isNotNull()).select(F.col("event_id").alias("_id"), F.col("card_id").alias("_card"), F.col(ts).alias("_ts"), F.col("country").alias("_country"))
+    then = then.withWatermark("_ts", lateness)
+    earlier = (F.col("_ts") < F.col("event_timestamp")) | ((F.col("_ts") == F.col("event_timestamp")) & (F.col("_id") < F.col("event_id")))
+    near = (F.col("_ts") <= F.col("event_timestamp")) & (F.col("_ts") >= F.col("event_timestamp") - F.expr(f"INTERVAL {seconds} SECONDS"))
+    met = now.join(then, (F.col("card_id") == F.col("_card")) & near & earlier & ~F.col("country").eqNullSafe(F.col("_country")), "leftOuter")
+    return met.groupBy("event_id", "card_id", "event_timestamp", "country").agg(F.max(F.col("_card").isNotNull().cast("int")).alias("geo_change_flag_5m"))
+
+
+def enriched_stream(events: DataFrame, features: DataFrame, views: dict[str, tuple[list[str], int]], lateness: str = S.WATERMARK_DELAY) -> DataFrame:
+    """JOIN-5 + EXT-4 as of the event: every event (event_id, card_id, event_timestamp, ..) with the newest feature row of each view that
+    was there at its time and not older than the view's TTL.
+
+    ``features``: one stream of the rows of all views: card_id, event_timestamp, created_timestamp, view, and each view's columns;
+    ``views``: name -> (columns, TTL in seconds).  An interval join to the feature stream, then one ``max`` of (time, created, values)
+    per event and view: two stateful operators, bounded by the watermark.  An event comes out once that is the longest TTL past it."""
+    longest = max(ttl for _, ttl in views.values())
+    left = events.withWatermark("event_timestamp", lateness)
+    right = features.withColumnsRenamed({"card_id": "_card", "event_timestamp": "_ts"}).withWatermark("_ts", lateness)
+    known = (F.col("_ts") <= F.col("event_timestamp")) & (F.col("_ts") >= F.col("event_timestamp") - F.expr(f"INTERVAL {longest} SECONDS"))
+    met = left.join(right, (F.col("card_id") == F.col("_card")) & known, "leftOuter")
+    newest = []
+    for view, (cols, ttl) in views.items():
+        fresh = (F.col("view") == view) & (F.col("_ts") >= F.col("event_timestamp") - F.expr(f"INTERVAL {ttl} SECONDS"))
+        newest.append(F.max(F.when(fresh, F.struct("_ts", "created_timestamp", *cols))).alias(f"_{view}"))
+    best = met.groupBy(*events.columns).agg(*newest)
+    return best.select(*events.columns, *[F.col(f"_{view}.{c}").alias(c) for view, (cols, _) in views.items() for c in cols])

@@ -207,3 +207,58 @@ def test_label_outcomes_have_null_rows(spark):
     assert null and len(null) == len(set(null)) and matched
     assert {r["event_id"] for r in late.collect()} & set(null)
     assert any(int(i) % 10 == 0 for i in null)  # these never get a label
+
+
+def _in_order(spark, rows, schema, ts, path):
+    """Four files in time order, read one a micro-batch."""
+    rows = sorted(rows, key=lambda r: r[ts])
+    for k in range(4):
+        spark.createDataFrame(rows[k * len(rows) // 4 : (k + 1) * len(rows) // 4], schema).coalesce(1).write.parquet(f"{path}/p{k}")
+        for f in os.listdir(f"{path}/p{k}"):
+            os.utime(f"{path}/p{k}/{f}", (1_700_000_000 + k, 1_700_000_000 + k))
+    return spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", "1").parquet(path)
+
+
+def _run_to(df, tmp_dir, name):
+    df.writeStream.format("parquet").option("path", f"{tmp_dir}/{name}").option("checkpointLocation", f"{tmp_dir}/{name}-ck").trigger(availableNow=True).start().awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(f"{tmp_dir}/{name}").collect()
+
+
+def test_geo_flags_over_batches(spark, tmp_dir):
+    """An earlier event in another country, batches ago or of the same second, flags; the own country, or 300 s and more before, does not."""
+    import random
+
+    from payrisk.streaming.features import geo_flags_stream
+
+    rng, t0 = random.Random(3), datetime(2024, 1, 1)
+    rows = [(f"e{i:03d}", rng.choice("abc"), rng.choice(["US", "GB", None]), t0 + timedelta(seconds=rng.randint(0, 400) * 10)) for i in range(300)]
+    schema = "event_id string, card_id string, country string, event_time timestamp"
+    now = _in_order(spark, rows, schema, 3, f"{tmp_dir}/in")
+    again = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", "1").parquet(f"{tmp_dir}/in")
+    got = {r["event_id"]: r["geo_change_flag_5m"] for r in _run_to(geo_flags_stream(now, again), tmp_dir, "geo")}
+    end = max(r[3] for r in rows) - timedelta(seconds=305)
+    want = {i: int(any(d == c and (s, j) < (t, i) and s >= t - timedelta(seconds=300) and o != k for j, d, o, s in rows)) for i, c, k, t in rows if t < end}
+    assert got == want and {0, 1} == set(want.values())
+
+
+def test_enriched_over_batches(spark, tmp_dir):
+    """Newest row of each view at the event's time, within its own TTL; ties by created time; events without a row have nulls."""
+    import random
+
+    from payrisk.streaming.features import enriched_stream
+
+    rng, t0 = random.Random(4), datetime(2024, 1, 1)
+    views = {"v1": (["x"], 600), "v2": (["y"], 1800)}
+    events = [(f"e{i:03d}", rng.choice("abcd"), t0 + timedelta(seconds=rng.randint(0, 9000))) for i in range(200)]
+    feats = [(c := rng.choice("abc"), t := t0 + timedelta(seconds=300 * rng.randint(0, 40)), t + timedelta(seconds=k), v := rng.choice(["v1", "v2"]), k if v == "v1" else None, k * 2.0 if v == "v2" else None)
+             for k in range(150)]
+    left = _in_order(spark, events, "event_id string, card_id string, event_timestamp timestamp", 2, f"{tmp_dir}/e")
+    right = _in_order(spark, feats, "card_id string, event_timestamp timestamp, created_timestamp timestamp, view string, x long, y double", 1, f"{tmp_dir}/f")
+    got = {r["event_id"]: (r["x"], r["y"]) for r in _run_to(enriched_stream(left, right, views), tmp_dir, "out")}
+
+    def newest(card, at, view, ttl):
+        rows = [(t, made, x if view == "v1" else y) for c, t, made, v, x, y in feats if (c, v) == (card, view) and at - timedelta(seconds=ttl) <= t <= at]
+        return max(rows)[2] if rows else None
+
+    end = min(max(e[2] for e in events), max(f[1] for f in feats)) - timedelta(seconds=1805)
+    assert got == {i: (newest(c, t, "v1", 600), newest(c, t, "v2", 1800)) for i, c, t in events if t < end}
