@@ -25,6 +25,42 @@ def test_margin_is_the_pairwise_sum():
     assert np.isclose(raw[0], want) and raw[1] == 0.3
 
 
+def test_factors_find_planted_pairs(spark, docs):
+    """An insult at a thing and a group's name alone are clean, both together toxic: without the factors most of these are missed."""
+    rng = np.random.default_rng(7)
+    insults, groups, filler = (["vile", "wretch", "scum"], ["northfolk", "hillmen", "rivers"], [f"word{i}" for i in range(60)])
+    rows, toxic = [], []
+    for i in range(1500):
+        bad, group = rng.random(2) < 0.5
+        words = list(rng.choice(filler, 12)) + [str(rng.choice(insults))] * int(bad) + [str(rng.choice(groups))] * int(group)
+        rows.append((i, " ".join(map(str, rng.permutation(words))), "en", "a"))
+        toxic.append((i, int(bad and group)))
+    labels = spark.createDataFrame(toxic, "doc_id long, toxic int")
+    model = toxicity.learn(toxicity.learnable(docs(rows)), toxicity.learnable(labels))
+    texts, y = [r[1] for r in rows], np.array([t for _, t in toxic]) > 0
+
+    def found(m):
+        p = toxicity.probabilities(texts, m) >= 0.7
+        return p[y].mean(), p[~y].mean()
+
+    recall, wrong = found(model)
+    flat, _ = found(model | {"v": np.zeros_like(model["v"])})
+    assert recall > 0.95 and wrong < 0.02 and flat < recall - 0.3
+
+
+def test_rows_are_bounded_not_ids(spark, docs):
+    """One labelled id with many texts, and one row many times over."""
+    rows = [(1, f"text number {i} of one id", "en", "a") for i in range(4000)] + [(2, "the same row", "en", "a")] * 4000 + [(3, "an insult", "en", "a")]
+    labels = spark.createDataFrame([(1, 0), (2, 0), (3, 1)], "doc_id long, toxic int")
+    seen, train = [], toxicity.train
+    try:
+        toxicity.train = lambda of, col, y, chosen: seen.append(len(y)) or train(of, col, y, chosen)
+        toxicity.learn(docs(rows), labels, max_rows=500)
+    finally:
+        toxicity.train = train
+    assert 300 < seen[0] <= 750
+
+
 def test_odd_rows(spark, odd, docs):
     labels = spark.createDataFrame([(4, 1, 0), (5, 0, 1), (6, None, None), (None, 1, 0)], "doc_id long, quality int, toxic int")
     for lab in (labels, labels.limit(0)):
