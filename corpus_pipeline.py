@@ -41,7 +41,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("language", language), ("toxicity", toxicity), ("near_dedup", near_dedup), ("mixing", mixing), ("packing", packing)]
-#: Models and similarity joins have no SQL form; tests/llm/test_pipeline.py holds the stages against plain versions.
+#: Models and similarity joins have no SQL form; tests/llm/test_llm_pipeline.py holds the stages against plain versions.
 ORACLE_SQL = None
 
 
