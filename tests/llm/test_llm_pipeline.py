@@ -18,7 +18,7 @@ def test_stages_in_order(spark):
         assert seen.columns == docs.columns and set(rows) <= set(was)
         ids = sorted(r[0] for r in rows)
         if name == "language":
-            want = langid.detect(before, langid.learn(langid.learnable(before), sample_key="doc_id")).filter("lang_pred <> 'und' and score >= 0.5")
+            want = langid.detect(before, langid.learn(langid.learnable(before), sample_key="doc_id")).filter("lang_pred <> 'und' and score >= 0.25")
             assert ids == sorted(r["row"]["doc_id"] for r in want.collect()) and len(ids) > 0.95 * len(was)
         elif name == "toxicity":
             want = toxicity.score(before, toxicity.learn(toxicity.learnable(before), toxicity.learnable(labels))).filter("score < 0.7")
@@ -40,5 +40,5 @@ def test_registered():
 
     names = set(e.queries())
     assert {"pipeline", *(n for n in names if n.startswith("op"))} <= names
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
     assert set(e.oracle_sql()) <= names and importlib.util.find_spec("payrisk.llm")
