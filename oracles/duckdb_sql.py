@@ -402,8 +402,7 @@ SELECT 'amount' AS feature, round(psi, 6) AS psi, n_bins, n_expected, n_actual F
 _DELAYED = with_(PAYMENTS, V1M, V5M) + """, pe AS (
   SELECT * FROM payments WHERE card_id IS NOT NULL AND event_timestamp IS NOT NULL AND amount IS NOT NULL AND is_fraud IS NOT NULL),
 elig AS (
-  SELECT * FROM pe WHERE event_timestamp <= (SELECT max(event_timestamp) FROM pe) - INTERVAL '60 minutes'
-  ORDER BY event_timestamp DESC, event_id DESC LIMIT 200000),
+  SELECT * FROM pe WHERE event_timestamp <= (SELECT max(event_timestamp) FROM pe) - INTERVAL '60 minutes'),
 """ + pit_two_views(ALIGN_5M).replace("FROM payments\n  WHERE card_id", "FROM elig\n  WHERE card_id") + f""",
 js AS (SELECT *, {heuristic('amount', 'txn_count_1m', 'txn_count_5m')} AS fraud_probability FROM pit),
 cm AS (SELECT count(*) AS n, {_cls('js')} FROM js),

@@ -79,11 +79,6 @@ def score(df: DataFrame, model=None, version: str | None = None, threshold: floa
     return score_model(df, model, version or "unknown", threshold)
 
 
-def latency_ms(c: Column) -> Column:
-    """Round a latency to 3 decimals (ms), as logged."""
-    return F.round(c, 3)
-
-
 def score_python_model(df: DataFrame, predict_proba, version: str, threshold: float = S.DECISION_THRESHOLD,
                        features: list[str] = S.FEATURE_ORDER) -> DataFrame:
     """ML-4 for a foreign Python model (anything with ``predict_proba(X)`` on a

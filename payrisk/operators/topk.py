@@ -40,11 +40,6 @@ def tail_by_time(df: DataFrame, n: int, ts: str = "ts", tiebreak: tuple[str, ...
     return keep.orderBy(*order).limit(n)
 
 
-def max_value(df: DataFrame, col: str) -> Column:
-    """AGG-16: ``max(col)`` of ``df`` as a scalar-subquery column (no driver round trip)."""
-    return df.agg(F.max(col)).scalar()
-
-
 def before_cutoff(df: DataFrame, ts: str, cutoff: Column) -> DataFrame:
     """FLT-3 / FLT-4: rows with ``ts <= cutoff``.  With ``cutoff`` from
     :func:`max_minus` the comparison is column-vs-subquery, which Spark pushes
@@ -55,8 +50,3 @@ def before_cutoff(df: DataFrame, ts: str, cutoff: Column) -> DataFrame:
 def max_minus(df: DataFrame, col: str, minutes: int) -> Column:
     """``max(col) − minutes`` computed inside one scalar subquery."""
     return df.agg(F.timestamp_add("MINUTE", F.lit(-int(minutes)), F.max(col))).scalar()
-
-
-def cutoff_minus(ref_max: Column, minutes: int) -> Column:
-    """``max - minutes`` for an already computed maximum."""
-    return F.timestamp_add("MINUTE", F.lit(-int(minutes)), ref_max)

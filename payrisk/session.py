@@ -79,9 +79,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/payrisk/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(p: str) -> str:
-    """Strip a ``file:`` scheme for local filesystem access in tests."""
-    return p[5:] if p.startswith("file:") else p
-
-
-__all__ = ["build_session", "configure", "checkpoint_root", "scratch_path", "local_path"]
+__all__ = ["build_session", "configure", "checkpoint_root", "scratch_path"]

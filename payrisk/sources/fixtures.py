@@ -230,16 +230,15 @@ TOPIC_PARTITIONS = 12
 
 def landed_messages(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
     """Raw messages landed as a Parquet table (what a topic snapshot looks like),
-    one file per topic partition, read back, so the validator's plan starts at a
+    one file per task, read back, so the validator's plan starts at a
     scan of bytes."""
-    (raw_payment_messages(payments(spark, sf_dir), partitions=TOPIC_PARTITIONS)
-     .repartition(TOPIC_PARTITIONS, "partition").write.mode("overwrite").parquet(path))
+    raw_payment_messages(payments(spark, sf_dir), partitions=TOPIC_PARTITIONS).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-def land_json_lines(df: DataFrame, path: str, partitions: int = TOPIC_PARTITIONS) -> str:
-    """Write a ``value`` text column as JSON-lines files, one per topic partition."""
-    df.repartition(partitions).write.mode("overwrite").text(path)
+def land_json_lines(df: DataFrame, path: str) -> str:
+    """Write a ``value`` text column as JSON-lines files, one per task."""
+    df.write.mode("overwrite").text(path)
     return path
 
 
