@@ -647,6 +647,26 @@ SQL["class_weight"] = _TRAIN + """, c AS (
          CAST(sum(CASE WHEN is_fraud = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos FROM sp WHERE NOT is_test)
 SELECT neg, pos, round(neg / greatest(pos, 1), 6) AS scale_pos_weight FROM c"""
 
+_FEATURES = ["amount", "txn_count_1m", "amount_sum_1m", "txn_count_5m", "avg_transaction_amount_5m"]
+_LONG = "\n  UNION ALL ".join(f"SELECT '{f}' AS f, CAST({f} AS DOUBLE) AS x, is_fraud FROM tr" for f in _FEATURES)
+
+SQL["boost_first_gains"] = _TRAIN + f""", tr AS (SELECT * FROM sp WHERE NOT is_test),
+wt AS (SELECT count(*) FILTER (is_fraud = 0) / greatest(count(*) FILTER (is_fraud = 1), 1) AS w FROM tr),
+lg AS ({_LONG}),
+q AS (SELECT f, unnest(quantile_cont(x, [i / 32.0 FOR i IN range(32)])) AS cut FROM lg GROUP BY f),
+c AS (SELECT f, cut FROM (SELECT DISTINCT f, cut FROM q) QUALIFY cut > min(cut) OVER (PARTITION BY f)),
+cl AS (SELECT f, list(cut) AS cuts FROM c GROUP BY f),
+b AS (SELECT lg.f, len(list_filter(coalesce(cuts, []), lambda v: v <= x)) AS bin, is_fraud FROM lg LEFT JOIN cl ON lg.f = cl.f),
+d AS (SELECT f, bin, CASE WHEN is_fraud = 1 THEN (SELECT w FROM wt) ELSE 1.0 END AS w, is_fraud FROM b),
+h AS (SELECT f, bin, sum(CAST(round(w * (0.5 - is_fraud) * 16777216) AS BIGINT)) AS g,
+             sum(CAST(round(w * 0.25 * 16777216) AS BIGINT)) AS h FROM d GROUP BY 1, 2),
+s AS (SELECT f, bin, sum(g) OVER u AS gl, sum(h) OVER u AS hl, sum(g) OVER p AS gt, sum(h) OVER p AS ht FROM h
+      WINDOW u AS (PARTITION BY f ORDER BY bin), p AS (PARTITION BY f))
+SELECT f AS feature_name, CAST(bin AS BIGINT) AS bin, CAST(gl AS BIGINT) AS gl, CAST(hl AS BIGINT) AS hl, CAST(gt AS BIGINT) AS gt,
+       CAST(ht AS BIGINT) AS ht, round(((gl / 16777216.0) ** 2 / (hl / 16777216.0 + 1.0)
+       + ((gt - gl) / 16777216.0) ** 2 / ((ht - hl) / 16777216.0 + 1.0) - (gt / 16777216.0) ** 2 / (ht / 16777216.0 + 1.0)) / 2, 6) AS gain
+FROM s"""
+
 SQL["training_frame"] = with_(PAYMENTS, V1M, V5M, pit_two_views(ALIGN_5M)) + """
 SELECT event_id, card_id, event_timestamp, round(amount, 6) AS amount, is_fraud, txn_count_1m,
        round(amount_sum_1m, 6) AS amount_sum_1m, txn_count_5m, round(avg_transaction_amount_5m, 6) AS avg_transaction_amount_5m

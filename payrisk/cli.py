@@ -86,7 +86,8 @@ def cmd_train(a) -> int:
     spark = _session()
     params = TrainParams(test_size=a.test_size, seed=a.seed, n_estimators=a.n_estimators, max_depth=a.max_depth,
                          learning_rate=a.learning_rate, subsample=a.subsample, colsample_bytree=a.colsample_bytree,
-                         threshold=a.threshold)
+                         threshold=a.threshold, reg_lambda=a.reg_lambda, min_child_weight=a.min_child_weight, max_bins=a.max_bins,
+                         booster=a.booster)
     model, metrics = train(spark.read.parquet(a.payments_path), params)
     save_model(model, a.model_path)
     log_run(metrics, a.runs_path, "train", asdict(params))
@@ -278,6 +279,7 @@ def parser() -> argparse.ArgumentParser:
     add("train", cmd_train, [("payments_path", None), ("model_path", None), ("runs_path", None),
                              ("test_size", 0.2), ("seed", 42), ("n_estimators", 300), ("max_depth", 6),
                              ("learning_rate", 0.05), ("subsample", 0.9), ("colsample_bytree", 0.9),
+                             ("reg_lambda", 1.0), ("min_child_weight", 1.0), ("max_bins", 256), ("booster", "hist"),
                              ("threshold", S.DECISION_THRESHOLD)])
     add("evaluate-delayed", cmd_evaluate_delayed, [("payments_real_path", None), ("model_path", None),
                                                    ("label_delay_minutes", S.LABEL_DELAY_MINUTES),

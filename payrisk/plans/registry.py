@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from payrisk import schemas as S
 from payrisk.functions.columns import round6, window_end
-from payrisk.operators import metrics, monitor, pit, quality, topk, validate, velocity
+from payrisk.operators import boosting, metrics, monitor, pit, quality, topk, validate, velocity
 from payrisk.operators import psi as psi_op
 from payrisk.operators.quantiles import exact_quantiles
 from payrisk.operators.score import fill_event_id
@@ -715,6 +715,48 @@ def q_gbt_test_scores(spark, sf_dir):
     return _round(s.select("event_id", "is_fraud", "fraud_probability", "decision"), ["fraud_probability"])
 
 
+#: Fewer trees than a production fit (300 at rate 0.05): each level of a tree is a job of its own.
+BOOST = tr.TrainParams(booster="hist", n_estimators=20, learning_rate=0.3)
+
+
+@register("boost_first_gains")
+def q_boost_first_gains(spark, sf_dir):
+    """ML-2: the first tree's root: sums and gain (L2 1.0) of every cut of every feature over the weighted training split."""
+    frame = stratified_split(tr.training_frame(_pay(spark, sf_dir))).where(~F.col("is_test")).checkpoint(eager=True)
+    rows = boosting.with_bins(tr.weighted(frame), boosting.feature_cuts(frame, S.FEATURE_ORDER, 32))
+    hist = boosting.histograms(boosting.gradients(rows, "is_fraud", "weight", F.lit(0.0)), F.lit(0))
+    names = F.array(*map(F.lit, S.FEATURE_ORDER))
+    gains = boosting.split_gains(hist, 1.0).withColumn("feature_name", F.get(names, F.col("feature")))
+    return gains.select("feature_name", F.col("bin").cast("bigint").alias("bin"), "gl", "hl", "gt", "ht", round6(F.col("gain")).alias("gain"))
+
+
+def _boosted(spark, sf_dir):
+    key = ("hist", sf_dir, spark.sparkContext.applicationId)
+    if key not in _MODELS:
+        model, met = tr.train(_pay(spark, sf_dir), BOOST)
+        path = tr.save_model(model, scratch_path(spark, "model-hist"))
+        _MODELS[key] = (path, met.checkpoint(eager=True))
+    return _MODELS[key]
+
+
+@register("train_boosted")
+def q_train_boosted(spark, sf_dir):
+    """ML-1/2/5 + AGG-10: second-order histogram boosting (20 trees, depth 6, rate 0.3, row and column draws 0.9, L2 1.0,
+    Hessian child weight 1.0) on the weighted training split; test-split metrics."""
+    return _boosted(spark, sf_dir)[1]
+
+
+@register("boosted_test_scores")
+def q_boosted_test_scores(spark, sf_dir):
+    """ML-4 + ML-6: the saved booster reloaded and applied to the test split; P(fraud) and decision."""
+    from payrisk.operators.score import score_model
+
+    model = tr.load_model(_boosted(spark, sf_dir)[0])
+    frame = stratified_split(tr.training_frame(_pay(spark, sf_dir)))
+    s = score_model(frame.where(F.col("is_test")), model, "candidate")
+    return _round(s.select("event_id", "is_fraud", "fraud_probability", "decision"), ["fraud_probability"])
+
+
 # ---------------------------------------------------------------- snapshots, logs, enrichment
 
 _ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"

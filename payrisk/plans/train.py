@@ -3,13 +3,12 @@
 Training frame: labelled payments → join time aligned to the 5-minute window
 end → point-in-time join of both feature views → missing features 0 →
 feature vector in the fixed order.  Split: deterministic stratified 80/20.
-Model: Spark ML gradient-boosted trees (logistic loss) with positive rows
-weighted by neg/pos of the training split.  Parameter mapping from the
-reference's booster: trees → maxIter, depth → maxDepth, learning rate →
-stepSize, row subsample → subsamplingRate, column subsample →
+Positive rows are weighted by neg/pos of the training split.  ``booster`` names the model:
+``hist`` is :mod:`payrisk.operators.boosting` (second order, L2 on leaves, Hessian child weight: every parameter
+of the reference's booster has its own meaning); ``gbt`` is Spark ML's gradient-boosted trees with trees → maxIter, depth →
+maxDepth, learning rate → stepSize, row subsample → subsamplingRate, column subsample →
 featureSubsetStrategy, histogram bins → maxBins, min-child-weight → minInstancesPerNode
-(rows instead of their weight; L2 has no counterpart).  Scores will not equal the reference's booster; tests check
-orderings and invariants.
+(rows instead of their weight; no L2).  Scores will not equal the reference's booster (other row and column draws).
 """
 
 from __future__ import annotations
@@ -25,6 +24,7 @@ from pyspark.sql import functions as F
 
 from payrisk import schemas as S
 from payrisk.functions.columns import window_end
+from payrisk.operators.boosting import BoostedTrees, fit_boosted
 from payrisk.operators.metrics import average_precision, class_weight, classification_summary
 from payrisk.operators.pit import point_in_time_join
 from payrisk.operators.score import score_model
@@ -49,6 +49,8 @@ class TrainParams:
     max_bins: int = 256
     min_child_weight: float = 1.0
     threshold: float = S.DECISION_THRESHOLD
+    reg_lambda: float = 1.0
+    booster: str = "gbt"
 
 
 def training_frame(payments: DataFrame) -> DataFrame:
@@ -76,7 +78,19 @@ def build_estimator(params: TrainParams) -> Pipeline:
     return Pipeline(stages=[VectorAssembler(inputCols=S.FEATURE_ORDER, outputCol="features"), gbt])
 
 
-def train(payments: DataFrame, params: TrainParams = TrainParams()) -> tuple[PipelineModel, DataFrame]:
+def fit(train_df: DataFrame, params: TrainParams) -> PipelineModel | BoostedTrees:
+    """ML-2: the model that ``params.booster`` names, fitted on the weighted training split."""
+    if params.booster == "gbt":
+        return build_estimator(params).fit(train_df)
+    if params.booster != "hist":
+        raise ValueError(f"unknown booster {params.booster}")
+    return fit_boosted(train_df, S.FEATURE_ORDER, "is_fraud", "weight", n_estimators=params.n_estimators, max_depth=params.max_depth,
+                       learning_rate=params.learning_rate, reg_lambda=params.reg_lambda, min_child_weight=params.min_child_weight,
+                       max_bins=params.max_bins, subsample=params.subsample, colsample=params.colsample_bytree,
+                       row_key="event_id", seed=params.seed)
+
+
+def train(payments: DataFrame, params: TrainParams = TrainParams()) -> tuple[PipelineModel | BoostedTrees, DataFrame]:
     """Fit on the training split, evaluate on the test split (ML-5).
 
     The weighted training split is checkpointed to the shared folder before
@@ -89,7 +103,7 @@ def train(payments: DataFrame, params: TrainParams = TrainParams()) -> tuple[Pip
     frame = frame.checkpoint(eager=True)
     train_df = weighted(frame.where(~F.col("is_test")))
     test_df = frame.where(F.col("is_test"))
-    model = build_estimator(params).fit(train_df)
+    model = fit(train_df, params)
     scored = score_model(test_df, model, "candidate", params.threshold)
     summ = classification_summary(scored, "is_fraud", "fraud_probability", params.threshold)
     ap = average_precision(scored, "is_fraud", "fraud_probability").scalar()
@@ -100,15 +114,17 @@ def train(payments: DataFrame, params: TrainParams = TrainParams()) -> tuple[Pip
     return model, metrics
 
 
-def save_model(model: PipelineModel, path: str) -> str:
+def save_model(model: PipelineModel | BoostedTrees, path: str) -> str:
     """ML-6: persist (overwrite)."""
+    if isinstance(model, BoostedTrees):
+        return model.save(path)
     model.write().overwrite().save(path)
     return path
 
 
-def load_model(path: str) -> PipelineModel:
+def load_model(path: str) -> PipelineModel | BoostedTrees:
     """ML-6: reload."""
-    return PipelineModel.load(path)
+    return BoostedTrees.load(path) if _there(f"{path}/trees") else PipelineModel.load(path)
 
 
 def load_model_or_fallback(path: str | None, allow_fallback: bool = True):
@@ -116,7 +132,7 @@ def load_model_or_fallback(path: str | None, allow_fallback: bool = True):
     when no model lies at ``path`` and ``allow_fallback`` is on (scoring then uses
     the heuristic).  A model that is there but cannot be read is an error."""
     if path and _there(path):
-        return PipelineModel.load(path), path.rstrip("/").rsplit("/", 1)[-1]
+        return load_model(path), path.rstrip("/").rsplit("/", 1)[-1]
     if not allow_fallback:
         raise FileNotFoundError(f"no model at {path}")
     return None, "fallback"
@@ -141,5 +157,5 @@ def log_run(metrics: DataFrame, runs_path: str, run_name: str, params: dict) ->
     return row
 
 
-__all__ = ["TrainParams", "training_frame", "weighted", "build_estimator", "train", "save_model", "load_model",
+__all__ = ["TrainParams", "training_frame", "weighted", "build_estimator", "fit", "train", "save_model", "load_model",
            "log_run", "asdict"]

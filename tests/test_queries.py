@@ -9,7 +9,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from payrisk.plans.registry import QUERIES as REGISTRY
 from payrisk.sources.tables import TABLES
 
-MODELS = {"train_gbt", "gbt_test_scores", "eval_delayed_gbt"}  # see test_train_model.py
+MODELS = {"train_gbt", "gbt_test_scores", "eval_delayed_gbt", "train_boosted", "boosted_test_scores"}  # see test_boosting.py, test_train_model.py
 TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN",
          "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "date": "DATE"}
 
