@@ -419,21 +419,58 @@ FROM cm"""
 
 
 # ---------------------------------------------------------------- validation / ingest
-_K = "CAST(event_id AS BIGINT) % 97"
-_OUTCOME = f"""CASE {_K} WHEN 0 THEN 'type:amount' WHEN 2 THEN 'enum:is_fraud' WHEN 3 THEN 'type:is_fraud'
-  WHEN 4 THEN 'enum:channel' WHEN 5 THEN 'type:amount' WHEN 6 THEN 'missing_required:amount' WHEN 7 THEN 'not_object'
-  WHEN 8 THEN 'not_json' WHEN 9 THEN 'invalid_utf8' WHEN 11 THEN 'type:is_card_present' ELSE 'ok' END"""
-
-SQL["dlq_reasons"] = with_(PAYMENTS) + f"SELECT {_OUTCOME} AS outcome, count(*) AS n FROM payments GROUP BY 1"
-
-SQL["valid_payments"] = with_(PAYMENTS) + f"""
+# The raw messages as text (digits of doubles left out where texts are compared); errors are read from that text.  Only bytes that
+# are no UTF-8 can't stand in a VARCHAR: ``bad`` marks them.
+_STR = {"event_id": "event_id", "card_id": "card_id", "user_id": "regexp_replace(card_id, '^card_', 'u_')", "merchant_id": "merchant_id",
+        "device_id": "'d_' || card_id", "ip": "'10.0.0.1'", "account_id": "'a_' || card_id", "amount": None, "currency": "'USD'", "mcc": "'5411'",
+        "channel": "channel", "is_card_present": None, "country": "country", "city": "city", "lat": None, "lon": None,
+        "event_ts": "strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ')", "ingest_ts": "strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ')",
+        "is_fraud": None}
+_BARE = {"amount": "CAST(amount AS VARCHAR)", "is_card_present": "CASE WHEN channel = 'pos' THEN 'true' ELSE 'false' END",
+         "lat": "CAST(lat AS VARCHAR)", "lon": "CAST(lon AS VARCHAR)", "is_fraud": "CAST(is_fraud AS VARCHAR)"}
+_DOC = "'{' || " + " || ',' || ".join(
+    f"""'"{f}":"' || {x} || '"'""" if x else f"""'"{f}":' || {_BARE[f]}""" for f, x in _STR.items()) + " || '}'"
+_EDITS = [(0, '"amount":([^,}]+)', '"amount":"\\1"'), (1, '"is_fraud":([01])', '"is_fraud":\\1.0'), (2, '"is_fraud":[01]', '"is_fraud":2'),
+          (3, '"is_fraud":[01]', '"is_fraud":true'), (4, '"channel":"[a-z]*"', '"channel":"atm"'), (5, '"amount":[^,}]+', '"amount":null'),
+          (6, '"amount":[^,}]+,', ''), (10, '\\}$', ',"extra_note":"ok"}'), (11, '"is_card_present":(true|false)', '"is_card_present":"yes"')]
+MESSAGES = f"""doc AS (SELECT *, CAST(event_id AS BIGINT) % 97 AS k, {_DOC} AS good FROM payments),
+msg AS (SELECT *, k = 9 AS bad, CASE k WHEN 7 THEN '[]' WHEN 8 THEN 'not json ' || event_id WHEN 9 THEN chr(65533) || good
+  {' '.join(f"WHEN {k} THEN regexp_replace(good, '{pat}', '{rep}')" for k, pat, rep in _EDITS)} ELSE good END AS raw FROM doc)"""
+_TYPES = {"amount": "number", "lat": "number", "lon": "number", "is_card_present": "boolean", "is_fraud": "integer"}
+
+
+def _type_error(f: str) -> str:
+    t, v = f"json_type(raw, '$.{f}')", f"json_extract_string(raw, '$.{f}')"
+    number = f"{t} IN ('DOUBLE', 'BIGINT', 'UBIGINT')"
+    ok = {"number": number, "boolean": f"{t} = 'BOOLEAN'", "string": f"{t} = 'VARCHAR'",
+          "integer": f"({number} AND TRY_CAST({v} AS DOUBLE) = floor(TRY_CAST({v} AS DOUBLE)))"}[_TYPES.get(f, "string")]
+    enum = {"channel": f"{v} NOT IN ('pos', 'ecom')", "is_fraud": f"TRY_CAST({v} AS DOUBLE) NOT IN (0, 1)"}.get(f)
+    return f"WHEN NOT ({ok}) THEN 'type:{f}'" + (f" WHEN {enum} THEN 'enum:{f}'" if enum else "")
+
+
+_OUTCOME = "CASE WHEN bad THEN 'invalid_utf8' WHEN NOT json_valid(raw) THEN 'not_json' WHEN json_type(raw) <> 'OBJECT' THEN 'not_object' " + " ".join(
+    [f"WHEN json_type(raw, '$.{f}') IS NULL THEN 'missing_required:{f}'" for f in _STR] + [_type_error(f) for f in _STR]) + " ELSE 'ok' END"
+CHECKED = f"checked AS (SELECT *, {_OUTCOME} AS outcome FROM msg)"
+_MASKED = """regexp_replace(raw, '("(amount|lat|lon)":"?)-?[0-9.eE+]+', '\\1#', 'g') AS raw"""
+
+SQL["dlq_reasons"] = with_(PAYMENTS, MESSAGES, CHECKED) + "SELECT outcome, count(*) AS n FROM checked GROUP BY 1"
+
+SQL["valid_payments"] = with_(PAYMENTS, MESSAGES, CHECKED) + """
 SELECT event_id, card_id, round(amount, 6) AS amount, channel, channel = 'pos' AS is_card_present, is_fraud,
        date_trunc('second', event_timestamp) AS event_time
-FROM payments WHERE {_OUTCOME} = 'ok'"""
-
-SQL["dlq_records"] = with_(PAYMENTS) + f"""
-SELECT CAST(event_id AS BIGINT) AS offset, {_OUTCOME} AS error, 'payments.v1' AS topic FROM payments
-WHERE {_OUTCOME} <> 'ok'"""
+FROM checked WHERE outcome = 'ok'"""
+
+SQL["dlq_records"] = with_(PAYMENTS, MESSAGES, CHECKED) + f"""
+SELECT CAST(event_id AS BIGINT) AS offset, outcome AS error, 'payments.v1' AS topic, {_MASKED}, true AS in_topic FROM checked
+WHERE outcome <> 'ok'"""
+
+SQL["stream_errors"] = with_(PAYMENTS, MESSAGES) + f""", r AS (
+  SELECT CASE WHEN bad THEN 'invalid_utf8' WHEN NOT json_valid(raw) THEN 'not_json' WHEN json_type(raw) <> 'OBJECT' THEN 'not_object'
+              WHEN coalesce(json_extract_string(raw, '$.card_id'), '') = '' THEN 'card_id_empty'
+              WHEN coalesce(TRY_CAST(json_extract_string(raw, '$.amount') AS DOUBLE), -1) < 0 THEN 'amount_invalid' END AS reason, raw FROM msg)
+SELECT CASE WHEN reason = 'amount_invalid' THEN json_extract_string(raw, '$.event_id') END AS event_id,
+       CASE WHEN reason = 'amount_invalid' THEN json_extract_string(raw, '$.card_id') END AS card_id, reason, {_MASKED}
+FROM r WHERE reason IS NOT NULL"""
 
 _CSV_SRC = """src AS (
   SELECT event_id AS eid,

@@ -168,7 +168,8 @@ def cmd_validate_stream(a) -> int:
     spark = _session(streaming=True)
     src = (sources.kafka_source(spark, a.bootstrap, a.topic, "earliest") if a.bootstrap
            else sources.file_message_source(spark, a.input_path))
-    q = jobs.start_validation(src, a.valid_path, a.dlq_path, a.checkpoint)
+    out = {"kafka.bootstrap.servers": a.bootstrap, "topic": a.dlq_topic} if a.bootstrap and a.dlq_topic else None
+    q = jobs.start_validation(src, a.valid_path, a.dlq_path, a.checkpoint, dlq_topic=out)
     q.awaitTermination()
     return 0
 
@@ -199,7 +200,7 @@ def cmd_score_stream(a) -> int:
            else sources.json_lines_source(spark, a.input_path))
     model, version = load_model_or_fallback(a.model_path, a.allow_fallback_model)
     out = {"kafka.bootstrap.servers": a.bootstrap, "topic": a.output_topic} if a.bootstrap and a.output_topic else None
-    q = jobs.start_scoring(sources.decode_payments(src), a.latest_1m_path, a.latest_5m_path, a.decisions_path, a.log_path,
+    q = jobs.start_scoring(sources.decode_requests(src), a.latest_1m_path, a.latest_5m_path, a.decisions_path, a.log_path,
                            a.errors_path, a.checkpoint, {"availableNow": True} if a.once else None, threshold=a.threshold,
                            model=model, version=version, apply_ttl=a.apply_ttl, bounded_requests=bool(a.bootstrap) and limit is not None, decisions_topic=out)
     q.awaitTermination()
@@ -291,7 +292,7 @@ def parser() -> argparse.ArgumentParser:
     add("drift", cmd_drift, [("payments_path", None), ("offline_features_path", None),
                              ("prediction_log_path", None), ("recent_rows", S.RECENT_ROWS)])
     add("validate-stream", cmd_validate_stream, [("bootstrap", None), ("topic", "payments.v1"), ("input_path", None),
-                                                 ("valid_path", None), ("dlq_path", None), ("checkpoint", None)])
+                                                 ("valid_path", None), ("dlq_path", None), ("dlq_topic", None), ("checkpoint", None)])
     add("velocity-stream", cmd_velocity_stream, [("bootstrap", None), ("topic", "payments.v1"), ("input_path", None),
                                                  ("output_path", None), ("output_topic", None), ("checkpoint", None)])
     add("score-stream", cmd_score_stream, [

@@ -382,6 +382,11 @@ def _raw(spark, sf_dir):
     return fixtures.landed_messages(spark, sf_dir, scratch_path(spark, "raw-messages"))
 
 
+def _masked(col: str):
+    """A message's text with the digits of its doubles left out, which SQL engines print differently."""
+    return F.regexp_replace(col, r'("(amount|lat|lon)":"?)-?[0-9.E]+', "$1#").alias(col)
+
+
 @register("dlq_reasons")
 def q_dlq_reasons(spark, sf_dir):
     """FLT-5 + AGG-17: strict JSON validation of every raw message; count per outcome (ok or first error)."""
@@ -390,9 +395,11 @@ def q_dlq_reasons(spark, sf_dir):
 
 @register("dlq_records")
 def q_dlq_records(spark, sf_dir):
-    """SNK-3: dead-letter records (offset, error, topic) of the invalid messages."""
+    """SNK-3: dead-letter records (error, raw, topic, partition, offset) of the invalid messages, as topic records
+    whose JSON value is read back.  The partition is compared by its range, as its hash has no SQL form."""
     _, dlq = validate.split_valid(_raw(spark, sf_dir))
-    return dlq.select("offset", "error", "topic")
+    records = sjobs.dlq_records(dlq).select(F.from_json("value", S.DLQ).alias("v")).select("v.*")
+    return records.select("offset", "error", "topic", _masked("raw"), F.col("partition").between(0, fixtures.TOPIC_PARTITIONS - 1).alias("in_topic"))
 
 
 @register("valid_payments")
@@ -598,6 +605,16 @@ def q_stream_scores(spark, sf_dir):
                   ["amount", "fraud_probability"])
 
 
+@register("stream_errors")
+def q_stream_errors(spark, sf_dir):
+    """STR-9: raw messages through the scoring stream; each message that is not scored with its text and the reason."""
+    root = scratch_path(spark, "stream-errors")
+    _raw(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/in")
+    stream = ssrc.decode_requests(ssrc.file_message_source(spark, f"{root}/in"))
+    sjobs.start_scoring(stream, None, None, f"{root}/decisions", f"{root}/log", f"{root}/errors", f"{root}/ckpt", {"availableNow": True}).awaitTermination()
+    return spark.read.parquet(f"{root}/errors/*").select("event_id", "card_id", "reason", _masked("raw"))
+
+
 @register("decision_records")
 def q_decision_records(spark, sf_dir):
     """SNK-4 + STR-6: the scoring stream's decisions as topic records, keyed by card with a JSON value; the

@@ -116,6 +116,11 @@ PAYMENTS_REAL = _st(
     ("channel", S), ("country", S), ("city", S), ("lat", D), ("lon", D), ("is_fraud", I),
 )
 
+DLQ = T.StructType([
+    T.StructField("error", T.StringType()), T.StructField("raw", T.StringType()), T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType()),
+])
+
 DECISIONS = _st(
     ("event_id", S), ("card_id", S), ("amount", D), ("event_ts", S), ("ingest_ts", S),
     ("fraud_probability", D), ("decision", S), ("model_version", S), ("scored_at", S),

@@ -26,20 +26,30 @@ def _batch_dir(root: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/batch={batch_id}"
 
 
-def route_batch(batch: DataFrame, batch_id: int, valid_root: str, dlq_root: str) -> None:
+def dlq_records(dlq: DataFrame) -> DataFrame:
+    """SNK-3: dead-letter rows as topic records, without key, with a JSON value of error, raw text, topic, partition and offset."""
+    from payrisk.streaming.sources import to_json_value
+
+    return to_json_value(dlq.select(*S.DLQ.fieldNames()))
+
+
+def route_batch(batch: DataFrame, batch_id: int, valid_root: str, dlq_root: str, dlq_topic: dict | None = None) -> None:
     """STR-5 / SNK-3: write a validated micro-batch's valid rows and dead-letter
-    records, each to its own per-batch directory."""
+    records, each to its own per-batch directory; with ``dlq_topic`` (options of a Kafka writer) the records also go out
+    to a topic (again, if a batch is retried)."""
     batch = batch.persist()
     try:
         valid, dlq = route(batch)
         valid.write.mode("overwrite").parquet(_batch_dir(valid_root, batch_id))
         dlq.write.mode("overwrite").parquet(_batch_dir(dlq_root, batch_id))
+        if dlq_topic:
+            dlq_records(dlq).write.format("kafka").options(**dlq_topic).save()
     finally:
         batch.unpersist()
 
 
 def start_validation(raw_stream: DataFrame, valid_root: str, dlq_root: str, checkpoint: str,
-                     trigger: dict | None = None):
+                     trigger: dict | None = None, dlq_topic: dict | None = None):
     """STR-5: stateless validate-and-route stream with a dead-letter output.
 
     AGG-17: the ``validation`` observation (rows, ok, dlq per micro-batch) is
@@ -48,7 +58,7 @@ def start_validation(raw_stream: DataFrame, valid_root: str, dlq_root: str, chec
         "validation", F.count(F.lit(1)).alias("rows"),
         F.sum(F.col("is_valid").cast("int")).alias("ok"), F.sum((~F.col("is_valid")).cast("int")).alias("dlq"))
     return (counted.writeStream.option("checkpointLocation", checkpoint)
-            .foreachBatch(lambda df, bid: route_batch(df, bid, valid_root, dlq_root))
+            .foreachBatch(lambda df, bid: route_batch(df, bid, valid_root, dlq_root, dlq_topic))
             .trigger(**(trigger or {"processingTime": S.CHECKPOINT_INTERVAL})).start())
 
 
@@ -59,7 +69,8 @@ def score_batch(batch: DataFrame, batch_id: int, latest_1m_root: str | None, lat
     """STR-6 for one micro-batch: online features (JOIN-5: the state of the streams
     that keep the latest rows, named by their checkpoints, as of the batch), missing flags, fallback score, decision; writes decisions
     (keyed by card, SNK-4), the prediction log (SNK-5) and rejected requests
-    with a reason (STR-9).  ``model``: a fitted ``PipelineModel`` (ML-4);
+    with a reason (STR-9; with the text of the message and the reason it could not be read, where
+    ``batch`` comes from ``decode_requests``).  ``model``: a fitted ``PipelineModel`` (ML-4);
     without one the fallback heuristic scores (ML-7).  ``apply_ttl``: a
     latest value older than the view's TTL before the event time counts as
     missing (Q15).  Requests without an event id get a deterministic one
@@ -70,16 +81,18 @@ def score_batch(batch: DataFrame, batch_id: int, latest_1m_root: str | None, lat
     as records keyed by card.  The log's ``latency_ms`` is decision time
     minus ingest time."""
     spark = batch.sparkSession
+    if "decode_error" not in batch.columns:
+        batch = batch.withColumns({"raw": F.lit(None).cast("string"), "decode_error": F.lit(None).cast("string")})
     batch = batch.persist()
     try:
         # FLT-7 / FLT-2: card id non-empty, amount >= 0 (a missing or empty event id is filled)
         ok_req = (F.col("card_id").isNotNull() & (F.col("card_id") != "") & F.col("amount").isNotNull()
                   & (F.col("amount") >= 0))
-        reqs = fill_event_id(batch.where(ok_req), basis=["card_id", "amount", "event_ts", "ingest_ts"], number_equal=True)
+        reqs = fill_event_id(batch.where(ok_req).drop("raw", "decode_error"), basis=["card_id", "amount", "event_ts", "ingest_ts"], number_equal=True)
         reqs = reqs.withColumn("_as_of", iso_to_timestamp(F.col("event_ts")))
         rejects = batch.where(~ok_req | ok_req.isNull()).select(
-            "event_id", "card_id", "amount", "event_ts", "ingest_ts",
-            F.when(F.col("card_id").isNull() | (F.col("card_id") == ""), F.lit("card_id_empty"))
+            "event_id", "card_id", "amount", "event_ts", "ingest_ts", "raw",
+            F.when(F.col("decode_error").isNotNull(), F.col("decode_error")).when(F.col("card_id").isNull() | (F.col("card_id") == ""), F.lit("card_id_empty"))
              .otherwise(F.lit("amount_invalid")).alias("reason"))
         feats = reqs
         for root, fields, ttl in ((latest_1m_root, ["txn_count_1m", "amount_sum_1m"], S.TTL_1M_MINUTES * 60),

@@ -99,6 +99,18 @@ def decode_payments(messages: DataFrame, value: str = "value") -> DataFrame:
     return out.withColumn("event_time", et)
 
 
+def decode_requests(messages: DataFrame, value: str = "value") -> DataFrame:
+    """:func:`decode_payments` that keeps every message: ``raw`` is its text (bad bytes become U+FFFD) and ``decode_error`` says
+    why nothing could be read of it (``no_value``, ``invalid_utf8``, ``not_json``, ``not_object``), null if something could."""
+    text = F.col(value).cast("string")
+    why = (F.when(text.isNull(), "no_value").when(~F.is_valid_utf8(text), "invalid_utf8")
+           .when(F.try_parse_json(text).isNull(), "not_json").when(~F.regexp_like(text, F.lit(r"^[ \t\r\n]*\{")), "not_object"))
+    read = messages.select(decoded(value).alias("p"), F.make_valid_utf8(text).alias("raw"), why.alias("_why"))
+    some = any_not_null([f"p.{f}" for f in S.PAYMENTS_RAW.fieldNames()])
+    out = read.select("p.*", "raw", F.when(~some, F.col("_why")).alias("decode_error"))
+    return out.withColumn("event_time", F.date_trunc("second", iso_to_timestamp(F.col("event_ts")).cast("timestamp")))
+
+
 def to_json_value(df: DataFrame, key: str | None = None) -> DataFrame:
     """SNK-2 / SNK-4: rows as Kafka records: optional ``key`` column and JSON ``value``."""
     cols = [F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value")]
