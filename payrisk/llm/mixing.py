@@ -5,8 +5,8 @@ the virtual finish time (words of its source up to and with it) / target of its
 until the budget is spent, the last one partly.  Running sums are exact and never in one task: a source is cut into ranges
 of the shuffle key, the queue into ranges of virtual time, and only the ranges' totals are summed in order.
 
-Cases: null text has size 0 and is taken 0 times; null source is a source of its own, last; a null id shuffles as the empty
-text; repeated rows queue one behind the other; equal finish times go by source, epoch, key, id and size; an empty table gives an
+Cases: null text has size 0 and is taken 0 times; null source is a source of its own, last; a null id shuffles by the
+digest of its text, so rows without id are spread (equal texts without id stand together); repeated rows queue one behind the other; equal finish times go by source, epoch, key, id and size; an empty table gives an
 empty result; a source without words has target 0; further columns are ignored.
 """
 
@@ -74,14 +74,16 @@ def mix(sizes: DataFrame, weights: tuple = WEIGHTS, repeats: int = REPEATS, seed
     """One row per row of ``sizes(doc_id, source, size)``: source_size, target, taken, copies (epochs in which words are taken).
 
     A column ``number``, different in every row, is carried through; rows with a null or repeated id are then shuffled by it too.
+    A column ``digest`` (text) shuffles the rows without id.
     """
     numbered = "number" in sizes.columns
-    text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    unnamed = F.concat(F.lit(":"), F.coalesce("digest", F.lit(""))) if "digest" in sizes.columns else F.lit("")
+    text = F.coalesce(F.col("doc_id").cast("string"), unnamed)
     if numbered:
         many = sizes.groupBy("doc_id").count().filter("doc_id is null or count > 1").select(F.col("doc_id").alias("_id"), F.lit(True).alias("_many"))
         sizes = sizes.join(many, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
         text = F.when(F.col("_many"), F.concat(text, F.lit(":"), F.col("number").cast("string"))).otherwise(text)
-    sizes = land(sizes.withColumn("key", F.md5(F.concat(F.lit(f"{seed}:"), text).cast("binary"))).drop("_id", "_many"), "mix-sizes")
+    sizes = land(sizes.withColumn("key", F.md5(F.concat(F.lit(f"{seed}:"), text).cast("binary"))).drop("_id", "_many", "digest"), "mix-sizes")
     ranges = max(8, sizes.count() // rows_per_range + 1)
     targets = land(source_targets(sizes, weights, repeats), "mix-targets")
     docs = sizes.join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
@@ -108,7 +110,8 @@ def words(text: str = "text") -> Column:
 
 def mixing_query(docs: DataFrame) -> DataFrame:
     """op8: doc_id, size, source_size, target, taken for all documents."""
-    return mix(docs.select("doc_id", F.col("source").cast("string").alias("source"), words().alias("size"))).drop("source", "copies")
+    digest = F.when(F.col("doc_id").isNull(), F.md5(F.col("text").cast("binary")))
+    return mix(docs.select("doc_id", F.col("source").cast("string").alias("source"), words().alias("size"), digest.alias("digest"))).drop("source", "copies")
 
 
 def mixing_stage(docs: DataFrame) -> DataFrame:
@@ -125,7 +128,7 @@ def mixing_stage(docs: DataFrame) -> DataFrame:
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
+         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), ':' || coalesce(md5(text), ''))) AS key FROM documents),
 s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 s1 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS source_rank, CAST(sum(source_size) OVER () AS BIGINT) AS budget FROM s0),
 s2 AS (SELECT *, CAST(CASE (source_rank - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS BIGINT) AS weight, 3 * source_size AS cap FROM s1),

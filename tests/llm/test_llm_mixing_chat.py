@@ -107,3 +107,14 @@ def test_chat_sql(spark):
     q = chat.chat_query(spark.read.parquet(f"{d}/conversations.parquet"))
     want = con.execute(chat.SQL).fetchall()
     assert sorted(map(tuple, q.select(*[c[0] for c in con.description]).collect())) == sorted(want)
+
+
+def test_rows_without_id_are_spread(spark, docs):
+    rows = [(None, " ".join(["w"] * (i % 40 + 1)) + f" t{i}", "en", "a") for i in range(2_000)] + [(i, "one two three", "en", "b") for i in range(200)]
+    first, again = (mixing.mixing_query(docs(r).repartition(n)).collect() for r, n in ((rows, 2), (rows[::-1], 5)))
+    assert len(first) == 2_200 and sorted(map(str, first)) == sorted(map(str, again))
+    total = sum(r["taken"] for r in first if r["doc_id"] is None)
+    assert abs(total - next(r["target"] for r in first if r["doc_id"] is None)) <= 60
+    con = duckdb.connect()
+    con.register("documents", docs(rows).select("doc_id", "source", "text").toPandas().astype({"doc_id": "Int64"}))
+    assert sorted(map(str, con.sql(mixing.SQL).fetchall())) == sorted(str(tuple(r)) for r in first)
