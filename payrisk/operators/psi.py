@@ -1,7 +1,7 @@
 """Population stability index (AGG-11, AGG-12, AGG-13).
 
 Bins come from the *expected* side: decile edges by exact linear-interpolated
-quantiles (bounded-memory search for high-cardinality columns, see
+quantiles (bracketed by a sketch, then refined, see
 ``payrisk.operators.quantiles``), outer edges replaced by ±∞, duplicate edges
 merged.  Bins are
 right-closed ``(e_i, e_{i+1}]``: a value's bin is the number of inner edges
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from payrisk import schemas as S
-from payrisk.operators.quantiles import quantiles_of, value_counts
+from payrisk.operators.quantiles import column_quantiles, flat_values
 
 
 def _clean(df: DataFrame, col: str, weight: str | None = None) -> DataFrame:
@@ -29,17 +29,21 @@ def _clean(df: DataFrame, col: str, weight: str | None = None) -> DataFrame:
     return df.select(x.alias("_x"), n.alias("_n")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
 
 
-def edge_columns(counts: DataFrame, cols: list[str], bins: int = S.PSI_BINS) -> dict[str, Column]:
-    """Sorted distinct inner decile edges of every column in ``counts`` (:func:`value_counts`), as literal arrays of at
-    most ``bins − 1`` numbers; null for a column without values."""
-    got = quantiles_of(counts, [i / bins for i in range(1, bins)])
-    return {c: F.array(*[F.lit(float(v)) for v in sorted(set(got[c]))]) if c in got else F.lit(None).cast("array<double>")
-            for c in cols}
+def inner_edges_of(flat: DataFrame, bins: int = S.PSI_BINS) -> dict[str, list[float]]:
+    """Sorted distinct inner decile edges of every column in ``flat(c, x)`` (:func:`payrisk.operators.quantiles.flat_values`),
+    at most ``bins − 1`` numbers each; a column without values is left out."""
+    return {c: sorted(set(q)) for c, q in column_quantiles(flat, [i / bins for i in range(1, bins)]).items()}
+
+
+def edge_columns(flat: DataFrame, cols: list[str], bins: int = S.PSI_BINS) -> dict[str, Column]:
+    """:func:`inner_edges_of` as literal arrays; null for a column without values."""
+    got = inner_edges_of(flat, bins)
+    return {c: F.array(*[F.lit(float(v)) for v in got[c]]) if c in got else F.lit(None).cast("array<double>") for c in cols}
 
 
 def inner_edges(expected: DataFrame, col: str, bins: int = S.PSI_BINS) -> Column:
     """:func:`edge_columns` of one column."""
-    return edge_columns(value_counts(expected, [col]), [col], bins)[col]
+    return edge_columns(flat_values(expected, [col]), [col], bins)[col]
 
 
 def bin_of(x: Column, edges: Column, max_edges: int = S.PSI_BINS - 1) -> Column:
@@ -95,3 +99,31 @@ def psi(expected: DataFrame, actual: DataFrame, col: str, actual_col: str | None
               .otherwise(F.col("_psi")))
     return agg.select(F.lit(name or col).alias("feature"), value.alias("psi"), F.col("n_bins").cast("int").alias("n_bins"),
                       F.col("n_expected").cast("long").alias("n_expected"), F.col("n_actual").cast("long").alias("n_actual"))
+
+
+def psi_of_columns(sides: DataFrame, edges: dict[str, list[float]], eps: float = S.PSI_EPS) -> DataFrame:
+    """AGG-12 for many columns in one grouped pass: ``feature, psi, n_bins, n_expected, n_actual`` per column of ``edges``
+    (:func:`inner_edges_of`), from ``sides(c, x, expected)``, a row per value with the side it stands on.  Empty bins count 0;
+    NaN where a side is empty, 0.0 where there is no inner edge."""
+    spark = sides.sparkSession
+    most = max((len(e) for e in edges.values()), default=0)
+    of_column = F.lit(None).cast("array<double>")
+    for c, e in edges.items():
+        of_column = F.when(F.col("c") == c, F.array(*[F.lit(float(v)) for v in e]).cast("array<double>")).otherwise(of_column)
+    binned = sides.withColumn("_edges", of_column).select("c", bin_of(F.col("x"), F.col("_edges"), most).alias("bin") if most
+                                                          else F.lit(0).alias("bin"), "expected")
+    counts = binned.groupBy("c", "bin").agg(F.count_if("expected").alias("ne"), F.count_if(~F.col("expected")).alias("na"))
+    spine = spark.createDataFrame([(c, i, len(e) + 1) for c, e in edges.items() for i in range(len(e) + 1)], "c string, bin int, k int")
+    t = F.broadcast(spine).join(counts, ["c", "bin"], "left").na.fill(0, ["ne", "na"])  # at most a row per column and bin
+    whole = Window.partitionBy("c")
+    t = t.withColumn("n_expected", F.sum("ne").over(whole)).withColumn("n_actual", F.sum("na").over(whole))
+
+    def share(n: str, total: str) -> Column:
+        return (F.col(n) / F.greatest(F.col(total), F.lit(1)) + F.lit(eps)) / (F.lit(1.0) + F.col("k") * F.lit(eps))
+
+    t = t.withColumn("_e", share("ne", "n_expected")).withColumn("_a", share("na", "n_actual"))
+    total = t.groupBy("c").agg(F.sum((F.col("_a") - F.col("_e")) * F.log(F.col("_a") / F.col("_e"))).alias("_psi"),
+                               F.max("k").alias("n_bins"), F.max("n_expected").alias("n_expected"), F.max("n_actual").alias("n_actual"))
+    value = (F.when((F.col("n_expected") == 0) | (F.col("n_actual") == 0), F.lit(float("nan")))
+              .when(F.col("n_bins") < 2, F.lit(0.0)).otherwise(F.col("_psi")))
+    return total.select(F.col("c").alias("feature"), value.alias("psi"), "n_bins", "n_expected", "n_actual")

@@ -20,7 +20,7 @@ from payrisk.operators.dedupe import keep_latest
 from payrisk.operators.metrics import average_precision, classification_summary, confusion_columns, safe_ratio
 from payrisk.operators.pit import point_in_time_join
 from payrisk.operators.psi import edge_columns, psi
-from payrisk.operators.quantiles import exact_quantiles, value_counts
+from payrisk.operators.quantiles import exact_quantiles, flat_values
 from payrisk.operators.score import score
 from payrisk.operators.topk import max_minus, tail_by_time
 from payrisk.plans.features import velocity_views
@@ -215,7 +215,7 @@ def evaluate_delayed(payments: DataFrame, delay_minutes: int = S.LABEL_DELAY_MIN
         joined = _materialize(joined)
     summ = classification_summary(joined, "is_fraud", "fraud_probability", threshold)
     ap = average_precision(joined, "is_fraud", "fraud_probability").scalar()
-    both = value_counts(p, ["amount"]).unionByName(value_counts(views[0].df, ["txn_count_1m"]))
+    both = flat_values(p, ["amount"]).unionByName(flat_values(views[0].df, ["txn_count_1m"]))
     edges = edge_columns(both, ["amount", "txn_count_1m"])
     psi_amount = psi(p, joined, "amount", edges=edges["amount"]).select("psi").scalar()
     psi_txn = psi(views[0].df, joined, "txn_count_1m", edges=edges["txn_count_1m"]).select("psi").scalar()

@@ -2,7 +2,9 @@
 import numpy as np
 import pytest
 
-from payrisk.operators.quantiles import exact_quantiles, quantiles_of, running_sums, value_counts
+from payrisk.operators import quantiles
+from payrisk.operators.quantiles import (bracket_counts, column_quantiles, exact_quantiles, flat_values, quantiles_of,
+                                         rank_brackets, running_sums, value_counts)
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.9, 0.95, 0.999, 1.0]
 
@@ -46,3 +48,36 @@ def test_running_sums(spark):
 def test_empty(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert exact_quantiles(df, "x", [0.5]) == [None]
+
+
+def test_only_the_brackets_are_counted_one_by_one(spark, data):
+    vals, df = data
+    flat = flat_values(df, ["x"])
+    brackets = rank_brackets(flat, [0.1, 0.5, 0.9])
+    counts = bracket_counts(flat, brackets).collect()
+    assert sum(r["n"] for r in counts) == len(vals)
+    assert len(counts) < 0.02 * len(set(vals))
+    ends = [e for b in brackets["x"] for e in b]
+    assert ends == sorted(ends)
+
+
+@pytest.mark.parametrize("accuracy,grid", [(2, 3), (10, 4), (50, 400)])
+def test_a_rough_sketch_gives_the_same_values(spark, data, accuracy, grid):
+    vals, df = data
+    got = column_quantiles(flat_values(df.selectExpr("x", "-x as y"), ["x", "y"]), PROBS, accuracy, grid)
+    assert np.allclose(got["x"], np.quantile(vals, PROBS), rtol=0, atol=1e-9)
+    assert np.allclose(got["y"], np.quantile(-vals, PROBS), rtol=0, atol=1e-9)
+
+
+def test_a_rank_outside_its_bracket_is_counted_in_full(spark, data, monkeypatch):
+    vals, df = data
+    monkeypatch.setattr(quantiles, "rank_brackets", lambda *a: {"x": [(7.0, 7.0)]})
+    flat = flat_values(df, ["x"])
+    assert quantiles_of(bracket_counts(flat, {"x": [(7.0, 7.0)]}), [0.01]) == {}
+    assert np.allclose(column_quantiles(flat, PROBS)["x"], np.quantile(vals, PROBS), rtol=0, atol=1e-9)
+
+
+def test_infinite_and_single_values(spark):
+    df = spark.createDataFrame([(float("-inf"),), (1.0,), (float("inf"),)], "x double")
+    assert exact_quantiles(df, "x", [0.0, 0.5, 1.0]) == [float("-inf"), 1.0, float("inf")]
+    assert exact_quantiles(df.where("x = 1.0"), "x", [0.0, 0.3, 1.0]) == [1.0, 1.0, 1.0]
