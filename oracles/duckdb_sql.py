@@ -145,6 +145,10 @@ SELECT event_id, card_id, event_timestamp, amount, is_fraud, txn_count_1m, round
 SQL["pit_1m_5m_aligned"] = with_(PAYMENTS, V1M, V5M, pit_two_views(ALIGN_5M)) + _PIT_SELECT
 SQL["pit_1m_5m_aligned_large"] = with_(PAYMENTS_LARGE, V1M, V5M, pit_two_views(ALIGN_5M)) + _PIT_SELECT
 
+SQL["pit_1m_5m_stored"] = SQL["pit_1m_5m_aligned"]
+SQL["card_velocity_1m_deliveries"] = SQL["card_velocity_1m"]
+SQL["card_velocity_5m_deliveries"] = SQL["card_velocity_5m"]
+
 SQL["latest_features"] = with_(PAYMENTS, V1M) + """
 SELECT card_id, event_timestamp, txn_count_1m, round(amount_sum_1m, 6) AS amount_sum_1m
 FROM f1 QUALIFY row_number() OVER (PARTITION BY card_id ORDER BY event_timestamp DESC) = 1"""
@@ -659,11 +663,6 @@ SELECT event_id, card_id, round(amount, 6) AS amount, round(fraud_probability, 6
 
 SQL["decision_records"] = SQL["stream_scores"].replace("SELECT event_id, card_id, round", "SELECT card_id AS key, event_id, card_id, round")
 
-SQL["stream_label_join"] = with_(PAYMENTS, V1M, V5M, PLOG, LABLOG) + """
-SELECT p.event_id, p.ts, round(p.fraud_probability, 6) AS fraud_probability, l.is_fraud, l.label_timestamp
-FROM plog p JOIN lablog l ON p.event_id = l.event_id
- AND l.label_timestamp >= p.ts AND l.label_timestamp <= p.ts + INTERVAL '150 minutes'"""
-
 SQL["stream_label_outcomes"] = with_(PAYMENTS, V1M, V5M, PLOG, LABLOG) + """,
 w AS (SELECT least((SELECT max(ts) FROM plog), (SELECT max(label_timestamp) FROM lablog)) - INTERVAL '10 minutes' AS mark)
 SELECT p.event_id, p.ts, round(p.fraud_probability, 6) AS fraud_probability, l.is_fraud, l.label_timestamp
@@ -671,6 +670,8 @@ FROM plog p CROSS JOIN w LEFT JOIN lablog l ON p.event_id = l.event_id
  AND l.label_timestamp >= p.ts AND l.label_timestamp <= p.ts + INTERVAL '60 minutes'
 WHERE l.event_id IS NOT NULL OR p.ts + INTERVAL '60 minutes' < w.mark"""
 
+SQL["stream_label_join"] = SQL["stream_label_outcomes"].replace("60 minutes", "150 minutes")
+
 
 # ---------------------------------------------------------------- training
 _TRAIN = with_(PAYMENTS, V1M, V5M, pit_two_views(ALIGN_5M)) + """, sp AS (

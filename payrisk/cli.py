@@ -230,9 +230,13 @@ def cmd_snapshot_features(a) -> int:
 
 
 def cmd_online_read(a) -> int:
-    from payrisk.streaming.online import read_online
+    from payrisk.streaming.online import read_card, read_online
 
     spark = _session(streaming=True)
+    if a.published_path:
+        for row in read_card(spark, a.published_path, a.card_id).toJSON().collect():
+            print(row)
+        return 0
     table = read_online(spark, a.table_path)
     if table is None:
         print("online_table_empty")
@@ -242,6 +246,27 @@ def cmd_online_read(a) -> int:
     return 0
 
 
+def cmd_publish_online(a) -> int:
+    """The online table in files bucketed by card, for lookups of one card (``online-read --published_path``)."""
+    from payrisk.streaming.online import publish_online
+
+    if publish_online(_session(streaming=True), a.table_path, a.published_path, a.buckets) is None:
+        print("online_table_empty")
+        return 1
+    return 0
+
+
+def cmd_update_features(a) -> int:
+    """Feature views kept up with deliveries: windows that new payment files touch are computed again."""
+    from payrisk.streaming.incremental import start_views
+
+    spark = _session(streaming=True)
+    schema = spark.read.parquet(a.payments_path).schema
+    trigger = {"availableNow": True} if a.once else {"processingTime": S.CHECKPOINT_INTERVAL}
+    start_views(spark, a.payments_path, schema, a.output_path, a.checkpoint, trigger).awaitTermination()
+    return 0
+
+
 def cmd_push_online(a) -> int:
     """Feature records of a topic (at most ONLINE_PUSH_MAX_ROWS a micro-batch) or landed feature files, kept as the newest row per card."""
     from payrisk.sources.logs import FEATURE_VIEWS, snapshot_features
@@ -303,7 +328,9 @@ def parser() -> argparse.ArgumentParser:
     for name, fn, topic in (("snapshot-payments", cmd_snapshot_payments, "payments.v1"), ("snapshot-features", cmd_snapshot_features, "features.card.v1")):
         add(name, fn, [("bootstrap", None), ("topic", topic), ("input_path", None), ("starting_ms", None), ("ending_ms", None), ("output_path", None)]
             + [("view", "1m")] * (name == "snapshot-features"))
-    add("online-read", cmd_online_read, [("table_path", None), ("card_id", None)])
+    add("online-read", cmd_online_read, [("table_path", None), ("published_path", None), ("card_id", None)])
+    add("publish-online", cmd_publish_online, [("table_path", None), ("published_path", None), ("buckets", S.ONLINE_BUCKETS)])
+    add("update-features", cmd_update_features, [("payments_path", None), ("output_path", None), ("checkpoint", None), ("once", True)])
     add("push-online", cmd_push_online, [("bootstrap", None), ("topic", "features.card_velocity_1m.v2"), ("view", "1m"), ("input_path", None), ("table_path", None),
                                          ("output_topic", None), ("once", False)])
     return p

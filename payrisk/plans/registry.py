@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from payrisk import schemas as S
 from payrisk.functions.columns import round6, window_end
-from payrisk.operators import boosting, metrics, monitor, pit, quality, topk, validate, velocity
+from payrisk.operators import boosting, metrics, monitor, pit, quality, stored, topk, validate, velocity
 from payrisk.operators import psi as psi_op
 from payrisk.operators.quantiles import exact_quantiles
 from payrisk.operators.score import fill_event_id
@@ -26,8 +26,8 @@ from payrisk.plans import train as tr
 from payrisk.plans.features import velocity_views
 from payrisk.session import configure, scratch_path
 from payrisk.sources import fixtures, logs
+from payrisk.streaming import incremental, online
 from payrisk.streaming import jobs as sjobs
-from payrisk.streaming import online
 from payrisk.streaming import sources as ssrc
 from payrisk.streaming.features import card_velocity_stream
 
@@ -137,6 +137,43 @@ def q_pit_1m_5m_aligned_large(spark, sf_dir):
     return _pit_aligned(spark, sf_dir, large=True)
 
 
+@register("pit_1m_5m_stored")
+def q_pit_1m_5m_stored(spark, sf_dir):
+    """JOIN-2 over stored features: both views bucketed by (card, hour) first, so only the entity rows are shuffled by the join."""
+    pay = _pay(spark, sf_dir)
+    root = scratch_path(spark, "stored-views")
+    views = [stored.store_view(v, f"{root}/{v.name}", 8) for v in velocity_views(pay)]
+    fill = {"txn_count_1m": 0, "amount_sum_1m": 0.0, "txn_count_5m": 0, "avg_transaction_amount_5m": 0.0}
+    out = stored.join_stored(_entities(pay, aligned=True), views, fill=fill)
+    return _round(out, ["amount_sum_1m", "avg_transaction_amount_5m"])
+
+
+def _delivered(spark, sf_dir, view):
+    """All payments in three deliveries (the second half of the month before the first, then every tenth payment late), the views
+    updated after each."""
+    pay = _pay(spark, sf_dir)
+    root = scratch_path(spark, "deliveries")
+    late = F.pmod(F.col("event_id").cast("long"), F.lit(10)) == 0
+    first = F.col("event_timestamp") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    for part in (~late & ~F.coalesce(first, F.lit(False)), ~late & F.coalesce(first, F.lit(False)), late):
+        pay.where(part).write.mode("append").parquet(f"{root}/payments")
+        incremental.start_views(spark, f"{root}/payments", pay.schema, f"{root}/views", f"{root}/ckpt", views=(view,)).awaitTermination()
+    return incremental.read_view(spark, f"{root}/views", view)
+
+
+@register("card_velocity_1m_deliveries")
+def q_card_velocity_1m_deliveries(spark, sf_dir):
+    """AGG-1 by deliveries of files: just the windows that a delivery touches are computed again, late rows included."""
+    return _round(_delivered(spark, sf_dir, "1m").select("card_id", "event_timestamp", "txn_count_1m", "amount_sum_1m"), ["amount_sum_1m"])
+
+
+@register("card_velocity_5m_deliveries")
+def q_card_velocity_5m_deliveries(spark, sf_dir):
+    """AGG-2 by deliveries of files, as the 1-minute view."""
+    out = _delivered(spark, sf_dir, "5m").select("card_id", "event_timestamp", "txn_count_5m", "avg_transaction_amount_5m")
+    return _round(out, ["avg_transaction_amount_5m"])
+
+
 @register("latest_features")
 def q_latest_features(spark, sf_dir):
     """WIN-3: newest 1-minute feature row per card."""
@@ -649,9 +686,9 @@ def _label_rows(out):
 
 @register("stream_label_join")
 def q_stream_label_join(spark, sf_dir):
-    """JOIN-6: prediction stream ⟕ label stream (watermarks 10 min, label within 150 min of the
-    prediction, as late as any comes here); the matched pairs."""
-    return _label_rows(_label_join(spark, sf_dir, "150 minutes").where(F.col("l_event_id").isNotNull()))
+    """JOIN-6: prediction stream ⟕ label stream (watermarks 10 min, label within 150 min of the prediction): matched pairs, and
+    with nulls each prediction whose horizon the watermark has passed."""
+    return _label_rows(_label_join(spark, sf_dir, "150 minutes"))
 
 
 @register("stream_label_outcomes")

@@ -87,6 +87,7 @@ WATERMARK_DELAY = "5 seconds"
 CHECKPOINT_INTERVAL = "10 seconds"
 ONLINE_PUSH_MAX_ROWS = 5000
 ONLINE_PUSH_INTERVAL = "1 second"
+ONLINE_BUCKETS = 64
 
 # --------------------------------------------------------------------------
 # Struct types

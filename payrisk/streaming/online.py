@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payrisk import schemas as S
+from payrisk.sources.bucketed import read_buckets, write_buckets
 from payrisk.streaming.sources import to_json_value
 
 
@@ -48,3 +49,15 @@ def read_online(spark: SparkSession, checkpoint: str) -> DataFrame | None:
     state = spark.read.format("statestore").load(checkpoint)
     row = state.schema["value"].dataType.fieldNames()[0]
     return state.select("key.*", F.col("value")[row].alias("row")).select(*state.schema["key"].dataType.fieldNames(), "row.*")
+
+
+def publish_online(spark: SparkSession, checkpoint: str, path: str, buckets: int = S.ONLINE_BUCKETS, key: str = "card_id") -> DataFrame | None:
+    """The online table as of the last committed batch, written to ``path`` (new) in ``buckets`` files hashed and sorted by card;
+    None before the first batch."""
+    latest = read_online(spark, checkpoint)
+    return None if latest is None else write_buckets(latest, path, [key], buckets)
+
+
+def read_card(spark: SparkSession, path: str, card_id: str, key: str = "card_id") -> DataFrame:
+    """SNK-9: one card's row of a published online table; reads that card's bucket alone."""
+    return read_buckets(spark, path, [key]).where(F.col(key) == F.lit(card_id))
