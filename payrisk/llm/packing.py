@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payrisk.llm.common import distinct, land, mix64, slices
+from payrisk.llm.common import land, mix64, slices
 
 WINDOW = 2048
 SEPARATOR = 1
@@ -40,8 +40,8 @@ HELD_COUNTS = 1_000_000
 BUCKET_IDS = 2_000_000
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()),
                     ("sequence_id", pa.int64()), ("offset", pa.int64())])
-#: Fixed value: how byte-level BPE files split a text before merging.
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Fixed value: how byte-level BPE files split a text before merging (possessive, so nothing is tried twice).
+SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 
 
 def byte_ranks(spec: dict) -> dict[bytes, int] | None:
@@ -158,6 +158,33 @@ def pair_keys(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.nda
     return doc[1:][inside], (flat[:-1].astype(np.uint64) << np.uint64(32) | flat[1:].astype(np.uint64))[inside]
 
 
+def pair_counts(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, document, count) of the distinct pairs of each document, ascending by key, then document.
+
+    Where all ids have 16 bits, a pair and its document share one integer and one plain sort brings equal ones together."""
+    lengths = np.array([len(x) for x in ids])
+    flat = np.concatenate(ids)
+    bits = max(len(ids) - 1, 1).bit_length()
+    if flat.dtype.itemsize > 2 or bits > 32:
+        doc, pair = pair_keys(flat, lengths)
+        by = np.lexsort((doc, pair))
+        doc, pair = doc[by], pair[by]
+        first = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (doc[1:] != doc[:-1])])) if len(pair) else np.zeros(0, np.int64)
+        return pair[first], doc[first], np.diff(np.append(first, len(pair)))
+    wide = flat.astype(np.uint64)
+    doc = np.repeat(np.arange(len(ids), dtype=np.uint64), lengths)
+    both = ((wide[:-1] << np.uint64(16) | wide[1:]) << np.uint64(bits) | doc[1:])[doc[1:] == doc[:-1]]
+    both.sort()
+    first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, np.int64)
+    pair, at = both[first] >> np.uint64(bits), (both[first] & np.uint64((1 << bits) - 1)).astype(np.int64)
+    return pair >> np.uint64(16) << np.uint64(32) | pair & np.uint64(0xFFFF), at, np.diff(np.append(first, len(both)))
+
+
+def starts(x: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
+
+
 def packed(key: np.ndarray) -> bytes:
     """Keys of pairs; in half the bytes where both ids of all pairs have 16 bits."""
     if (key & np.uint64(0xFFFF0000FFFF0000)).any():
@@ -207,12 +234,11 @@ def term_weights(ordered: DataFrame, docs: int, total: int) -> DataFrame:
                     task, keys, counts, held, kept = tasks[lo], [], [], 0, 0
                 for at in range(lo, hi, 500):
                     end = min(at + 500, hi)
-                    ids = _ids(blobs[at:end], n[at:end])
-                    doc, pair = pair_keys(np.concatenate(ids), np.array([len(x) for x in ids]))
-                    key, place = np.unique(pair, return_inverse=True)
-                    keys.append(key)
-                    counts.append(np.bincount(distinct(place * 500 + doc) // 500, minlength=len(key)).astype(np.uint32))
-                    held += len(key)
+                    pair, _, _ = pair_counts(_ids(blobs[at:end], n[at:end]))
+                    first = starts(pair)
+                    keys.append(pair[first])
+                    counts.append(np.diff(np.append(first, len(pair))).astype(np.uint32))
+                    held += len(first)
                     if held > 2 * kept + HELD_COUNTS:
                         key, n_held = _summed(keys, counts)
                         keys, counts, held, kept = [key], [n_held.astype(np.uint32)], len(key), len(key)
@@ -243,43 +269,49 @@ class Vocabulary:
     def __init__(self, keys: np.ndarray):
         self.keys = keys
 
-    def __call__(self, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        doc, pair = pair_keys(flat, lengths)
-        if not len(self.keys):
-            return doc[:0], np.zeros(0, np.int64)
-        at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
-        known = self.keys[at] == pair
-        return doc[known], at[known]
+    def __call__(self, ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(term, document, count), by term, then document."""
+        pair, doc, tf = pair_counts(ids)
+        if not len(self.keys) or not len(pair):
+            return np.zeros(0, np.int64), doc[:0], tf[:0]
+        first = starts(pair)
+        at = np.minimum(np.searchsorted(self.keys, pair[first]), len(self.keys) - 1)
+        at = np.repeat(np.where(self.keys[at] == pair[first], at, -1), np.diff(np.append(first, len(pair))))
+        known = at >= 0
+        return at[known], doc[known], tf[known]
+
+
+def term_counts(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(term, document, count) by hashed terms (:func:`term_pairs`), by term, then document."""
+    doc, term = term_pairs(np.concatenate(ids), np.array([len(x) for x in ids]))
+    key, tf = np.unique(term * len(ids) + doc, return_counts=True)
+    return key // len(ids), key % len(ids), tf
 
 
 class Shard:
-    """BM25 inverted index of some documents; ``terms`` gives (document, term) of their ids, ``idf`` is by term."""
+    """BM25 inverted index of some documents; ``terms`` gives (term, document, count) of their ids, ``idf`` is by term."""
 
-    def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean: float, terms: Callable = term_pairs):
+    def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean: float, terms: Callable = term_counts):
         n = np.array([len(x) for x in ids])
-        doc, term = terms(np.concatenate(ids), n)
-        key, tf = np.unique(term * len(ids) + doc, return_counts=True)  # by term, then document
-        term, doc = key // len(ids), key % len(ids)
+        term, doc, tf = terms(ids)
+        run = np.diff(np.append(starts(term), len(term)))
+        both = np.repeat(run > 1, run)  # a term that no other document of the shard has finds none
+        term, self.doc, tf = term[both], doc[both], tf[both]
         norm = K1 * (1 - B + B * (n - 1) / max(mean, 1e-9))
-        weight = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
-        new = np.concatenate([[True], term[1:] != term[:-1]]) if len(term) else np.zeros(0, bool)
-        place = np.cumsum(new) - 1
-        both = np.bincount(place)[place] > 1 if len(term) else new  # a term that no other document of the shard has finds none
-        self.doc, self.weight = doc[both], weight[both]
-        new = np.concatenate([[True], np.diff(place[both]) > 0]) if both.any() else np.zeros(0, bool)
-        self.start = np.flatnonzero(new)
-        self.end = np.append(self.start[1:], len(new)) if len(new) else self.start
+        self.weight = idf[term] * tf * (K1 + 1) / (tf + norm[self.doc])
+        self.start, self.size = starts(term), run[run > 1]
         # each document's query: all its terms that another document of the shard has too
-        place = np.cumsum(new) - 1
-        at = np.argsort(self.doc, kind="stable")
-        first = np.searchsorted(self.doc[at], np.arange(len(ids) + 1))
-        self.query = [place[at[a:b]][:QUERY_TERMS] for a, b in zip(first[:-1], first[1:])]
+        place = np.repeat(np.arange(len(self.size)), self.size)
+        order = self.doc.astype(np.uint16) if len(ids) <= 1 << 16 else self.doc  # small numbers are sorted by counting
+        place = place[np.argsort(order, kind="stable")]
+        edges = np.concatenate([[0], np.cumsum(np.bincount(self.doc, minlength=len(ids)))])
+        self.query = [place[a:b][:QUERY_TERMS] for a, b in zip(edges[:-1], edges[1:])]
 
     def scores(self, k: int) -> np.ndarray:
         """BM25 of all documents for document k's query."""
         if not len(self.query[k]):
             return np.zeros(len(self.query))
-        start, n = self.start[self.query[k]], (self.end - self.start)[self.query[k]]
+        start, n = self.start[self.query[k]], self.size[self.query[k]]
         at = np.arange(int(n.sum())) + np.repeat(start - np.cumsum(n) + n, n)
         return np.bincount(self.doc[at], weights=self.weight[at], minlength=len(self.query))
 
@@ -300,7 +332,7 @@ class Packer:
             start, self.used = start + take, self.used + take
         return out
 
-    def fill(self, ids: list[np.ndarray], idf: np.ndarray, mean: float, terms: Callable = term_pairs) -> list[tuple[int, int, int, int, int]]:
+    def fill(self, ids: list[np.ndarray], idf: np.ndarray, mean: float, terms: Callable = term_counts) -> list[tuple[int, int, int, int, int]]:
         shard, free, pieces = Shard(ids, idf, mean, terms), np.ones(len(ids), bool), []
         for seed in range(len(ids)):
             if not free[seed]:

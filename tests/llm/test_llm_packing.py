@@ -1,6 +1,7 @@
 import struct
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+
 
 import numpy as np
 import pytest
@@ -120,3 +121,22 @@ def test_keys_of_pairs_are_packed_and_unpacked():
         blob = packing.packed(key)
         assert len(blob) == (4 if top == 1 << 16 else 8) * len(key) and (packing.unpacked(blob, len(key)) == key).all()
     assert len(packing.unpacked(packing.packed(np.zeros(0, np.uint64)), 0)) == 0
+
+
+@pytest.mark.parametrize("top,kind", [(9, "<u2"), (1 << 16, "<u2"), (1 << 20, "<u4")])
+def test_pair_counts_against_a_plain_count(top, kind):
+    rng = np.random.default_rng(top)
+    ids = [rng.integers(0, top, n).astype(kind) for n in (0, 1, 2, 50, 400, 1)]
+    plain = Counter((int(a) << 32 | int(b), d) for d, x in enumerate(ids) for a, b in zip(x[:-1], x[1:]))
+    pair, doc, n = packing.pair_counts(ids)
+    assert list(zip(zip(pair.tolist(), doc.tolist()), n.tolist())) == sorted(plain.items())
+    known = np.unique(pair)[::2]
+    term, doc, n = packing.Vocabulary(known)(ids)
+    want = {k: c for k, c in plain.items() if k[0] in set(known.tolist())}
+    assert list(zip(zip(known[term].tolist(), doc.tolist()), n.tolist())) == sorted(want.items())
+
+
+def test_split_equals_the_tokenizer_on_spaces():
+    words = packing.tokenizer(packing.default_tokenizer())
+    for text in ("", " ", "  a", "a  ", "a \n\n b", "\n\n", "a\t", "it's 'S we'll\u00a0\u00a0x", "1 2  3\r\n", "..  !!\u3000\u3000", "\u0600\u0661 \u00e9"):
+        assert words.ids(text) == words.tokenizer.encode(text, add_special_tokens=False).ids
