@@ -39,3 +39,18 @@ def test_features_drift_and_ingest(spark, tmp_dir):
                "--output_report_json", f"{tmp_dir}/report"])
     assert rc == 0 and spark.read.parquet(f"{tmp_dir}/real").count() > 0
     assert spark.read.json(f"{tmp_dir}/report").first()["rows"] > 0
+
+
+def test_update_features_and_one_card_of_the_online_table(spark, tmp_dir, capsys):
+    fixtures.payments(spark, "/root/testdata/sf0.001").write.parquet(f"{tmp_dir}/payments")
+    assert main(["update-features", "--payments_path", f"{tmp_dir}/payments", "--output_path", f"{tmp_dir}/views", "--checkpoint", f"{tmp_dir}/ckpt"]) == 0
+    assert spark.read.parquet(f"{tmp_dir}/views/5m").count() > 0
+    one = spark.read.parquet(f"{tmp_dir}/views/1m").drop("batch")
+    one.write.parquet(f"{tmp_dir}/f1")
+    assert main(["publish-online", "--table_path", f"{tmp_dir}/online", "--published_path", f"{tmp_dir}/pub"]) == 1  # nothing yet
+    assert main(["push-online", "--input_path", f"{tmp_dir}/f1", "--table_path", f"{tmp_dir}/online", "--once", "1"]) == 0
+    assert main(["publish-online", "--table_path", f"{tmp_dir}/online", "--published_path", f"{tmp_dir}/pub", "--buckets", "4"]) == 0
+    capsys.readouterr()
+    card = one.first()["card_id"]
+    assert main(["online-read", "--published_path", f"{tmp_dir}/pub", "--card_id", card]) == 0
+    assert f'"card_id":"{card}"' in capsys.readouterr().out
