@@ -6,7 +6,7 @@ Spark user asks the same questions of the prediction log.  A counter rate
 (event-time window, label).  Sliding windows are sums of neighbouring panes,
 one pane a slide, so events are aggregated once; held alerts are counts over
 the panes before; idle times are the gaps between minutes that have predictions.
-No window is unpartitioned, and no minute without rows is made.
+No window is unpartitioned; only ``idle_alert`` makes the minutes without rows.
 """
 
 from __future__ import annotations
@@ -170,6 +170,30 @@ def idle_gaps(log: DataFrame, idle_minutes: int = 5, hold_minutes: int = 10) ->
         F.when(held > 0, after(idle_minutes + hold_minutes)).alias("firing_from"), F.greatest(held, F.lit(0)).cast("long").alias("firing_minutes"))
 
 
+def idle_alert(log: DataFrame, idle_minutes: int = 5, hold_minutes: int = 10) -> DataFrame:
+    """MON-6 + MON-7: every minute from the log's first to its last: predictions n, those of the last ``idle_minutes`` (n_last), idle
+    (a full span without any) and firing (idle now and at each of the ``hold_minutes`` minutes before).
+
+    Each minute's count is added to itself and the minutes after it that look back on it, so no window runs over the minutes;
+    they are made day by day, spread by day."""
+    kind = log.schema["ts"].dataType
+    minute = F.date_trunc("minute", F.col("ts")).cast(kind)
+    per = log.where(F.col("ts").isNotNull()).groupBy(minute.alias("minute")).agg(F.count("decision").alias("n"))
+    look = idle_minutes + hold_minutes
+    ahead = per.where("n > 0").select("minute", "n", F.explode(F.sequence(F.lit(0), F.lit(look - 1))).alias("_k"))
+    at = (F.col("minute") + F.make_dt_interval(mins=F.col("_k"))).cast(kind)
+    sums = ahead.groupBy(at.alias("minute")).agg(*[F.sum(F.when(F.col("_k") < k, F.col("n")).otherwise(0)).alias(c)
+                                                   for c, k in (("_n", 1), ("_last", idle_minutes), ("_held", look))])
+    days = per.agg(F.min("minute").alias("_lo"), F.max("minute").alias("_hi")).select(
+        "_lo", "_hi", F.explode(F.sequence(F.to_date("_lo"), F.to_date("_hi"))).alias("_day")).repartition("_day")
+    start, step = F.col("_day").cast(kind), F.expr("INTERVAL 1 MINUTE")
+    every = days.select("_lo", "_hi", F.explode(F.sequence(start, (start + F.expr("INTERVAL 1439 MINUTE")).cast(kind), step)).alias("minute"))
+    every = every.where(F.col("minute").between(F.col("_lo"), F.col("_hi"))).join(sums, "minute", "left").na.fill(0, ["_n", "_last", "_held"])
+    age = F.timestamp_diff("MINUTE", F.col("_lo"), F.col("minute")) + 1
+    return every.select("minute", F.col("_n").alias("n"), F.col("_last").alias("n_last"), ((F.col("_last") == 0) & (age >= idle_minutes)).alias("idle"),
+                        ((F.col("_held") == 0) & (age >= look)).alias("firing"))
+
+
 def idle_episodes(log: DataFrame, idle_minutes: int = 5, hold_minutes: int = 10) -> DataFrame:
     """MON-7: first and last minute, and number of minutes, of every time that the idle alert fires."""
     fired = idle_gaps(log, idle_minutes, hold_minutes).where("firing_minutes > 0")

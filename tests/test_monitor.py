@@ -90,3 +90,31 @@ def test_gaps_are_windowed_by_day_only(spark):
     plan = monitor.idle_gaps(_log(spark, [(START, "approve")]))._jdf.queryExecution().executedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
     assert windows and all("], [day#" in line for line in windows)
+
+
+def test_idle_alert_has_every_minute(spark):
+    """Every minute of the log is a row, those of a five-day outage too, and only heads and tails without a full span are not idle."""
+    rng = random.Random(7)
+    rows, at = [(START, None)], START + 9 * MINUTE
+    for k in range(40):
+        at += timedelta(seconds=rng.choice([5, 50, 200, 310, 900, 960, 4000])) + (timedelta(days=5) if k == 20 else timedelta())
+        rows.append((at, rng.choice(["approve", "fraud", None])))
+    rows += [(at + 20 * MINUTE, None), (None, "approve")]
+    minutes = [t.replace(second=0, microsecond=0) for t, _ in rows if t]
+    span = int((max(minutes) - START) / MINUTE) + 1
+    n = [0] * span
+    for m, (t, d) in zip(minutes, rows):
+        n[int((m - START) / MINUTE)] += d is not None
+    idle = [i >= 4 and not any(n[i - 4:i + 1]) for i in range(span)]
+    want = [(START + i * MINUTE, n[i], sum(n[max(0, i - 4):i + 1]), idle[i], i >= 10 and all(idle[i - 10:i + 1])) for i in range(span)]
+    assert sorted(map(tuple, monitor.idle_alert(_log(spark, rows).repartition(3)).collect())) == want
+    assert span > 5 * 1440 and monitor.idle_alert(_log(spark, [])).collect() == []
+
+
+def test_idle_gaps_query_is_by_minute(spark):
+    from payrisk.plans.registry import QUERIES
+
+    out = QUERIES["idle_gaps"](spark, "/root/testdata/sf0.001")
+    assert out.columns == ["minute", "n", "n_last", "idle", "firing"]
+    lo, hi, rows = out.selectExpr("min(minute)", "max(minute)", "count(*)").first()
+    assert rows == (hi - lo) / MINUTE + 1
