@@ -113,3 +113,20 @@ def test_quality_rules_p999_and_labels(spark):
     assert errs[1] == "amount_p999_too_high p999=12345678.9"
     assert errs[2] == "is_fraud_has_invalid_values count=1"
     assert errs[3] == "event_timestamp_not_utc"
+
+
+def test_routing_parses_a_message_once(spark):
+    """A filter on the outcome must not copy the parse for each use of a field."""
+    from payrisk.plans.registry import QUERIES
+
+    for name in ("valid_payments", "dlq_records"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson(") == 1, name
+
+
+def test_landed_messages_are_spread(spark, tmp_path):
+    from payrisk.sources import fixtures
+
+    landed = fixtures.landed_messages(spark, "/root/testdata/sf0.01", str(tmp_path / "raw"))
+    assert len(landed.inputFiles()) >= spark.sparkContext.defaultParallelism
+    assert landed.count() == 10_000
