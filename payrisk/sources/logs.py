@@ -50,7 +50,7 @@ def snapshot_payments(messages: DataFrame) -> DataFrame:
     dropped."""
     from payrisk.streaming.sources import any_not_null, decoded
 
-    p = messages.select(decoded("value").alias("p")).select("p.*").where(any_not_null(S.PAYMENTS_RAW.fieldNames()))
+    p = decoded(messages).select("p.*").where(any_not_null(S.PAYMENTS_RAW.fieldNames()))
     p = p.where(F.col("event_ts").isNotNull() & (F.col("event_ts") != ""))
     out = p.select(
         "card_id",

@@ -262,3 +262,14 @@ def test_enriched_over_batches(spark, tmp_dir):
 
     end = min(max(e[2] for e in events), max(f[1] for f in feats)) - timedelta(seconds=1805)
     assert got == {i: (newest(c, t, "v1", 600), newest(c, t, "v2", 1800)) for i, c, t in events if t < end}
+
+
+def test_decoding_parses_a_message_once(spark):
+    """Neither the typed columns nor the filter on them copy the parse."""
+    from payrisk.sources import logs
+    from payrisk.streaming import sources
+
+    lines = spark.createDataFrame([('{"event_id": "a", "card_id": "c", "amount": "2.5", "event_ts": "2024-01-01T00:00:00Z"}',), ("x",)], "value string")
+    for out in (sources.decode_payments(lines), sources.decode_requests(lines), logs.snapshot_payments(lines)):
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert [(r.event_id, r.amount) for r in sources.decode_payments(lines).collect()] == [("a", 2.5)]
