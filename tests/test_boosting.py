@@ -2,6 +2,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,3 +133,38 @@ def test_saved_and_loaded(spark, tmp_path):
     loaded, version = tr.load_model_or_fallback(path)
     assert version == "hist" and loaded == model
     assert set(model.importance()) == set(NAMES) and max(model.importance().values()) > 0
+
+
+def test_first_order_is_spark_mls_gbt(spark):
+    """Few distinct values, so both may cut at the same places; no draws.  Weights and labels as in training."""
+    rows = [(r[0], round(r[1]), r[2], r[3] // 20, r[4], r[5]) for r in _rows(600, 6)]
+    df = _frame(spark, [(i, float(a), b, float(c), y, w) for i, a, b, c, y, w in rows]).cache()
+    ours = bo.fit_boosted(df, NAMES, "y", "w", n_estimators=4, max_depth=3, learning_rate=0.1, first_order=True)
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    gbt = GBTClassifier(labelCol="y", weightCol="w", maxIter=4, maxDepth=3, stepSize=0.1, maxBins=256, featureSubsetStrategy="all")
+    theirs = Pipeline(stages=[VectorAssembler(inputCols=NAMES, outputCol="features"), gbt]).fit(df)
+    want = dict(score_model(df, theirs, "t", features=NAMES).select("id", "fraud_probability").collect())
+    got = dict(score_model(df, ours, "t", features=NAMES).select("id", "fraud_probability").collect())
+    assert got.keys() == want.keys() and max(abs(got[i] - want[i]) for i in want) < 1e-5
+
+
+@pytest.mark.parametrize("first_order", [False, True])
+def test_a_level_is_one_job(spark, first_order):
+    df, sc = _frame(spark, _rows(300, 7)), spark.sparkContext
+
+    def jobs(trees):
+        sc.setJobGroup(f"boost-{first_order}-{trees}", "")
+        bo.fit_boosted(df, NAMES, "y", "w", n_estimators=trees, max_depth=3, max_bins=16, subsample=0.9, row_key="id", first_order=first_order)
+        return len(sc.statusTracker().getJobIdsForGroup(f"boost-{first_order}-{trees}"))
+
+    few, many = jobs(1), jobs(4)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < many - few <= 3 * 3
+
+
+def test_sums_beyond_doubles_stay_exact():
+    u = np.array([2.0**52, 3.0, 2.0**52, 5.0])
+    assert sum(int(p.sum()) << shift for shift, p in bo._exact(u)) == 2**53 + 8 and len(bo._exact(u)) == 2
