@@ -9,6 +9,7 @@ over its time buckets.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,8 @@ from payrisk.sources.bucketed import read_buckets, write_buckets
 
 BUCKET_SECONDS = 3600
 BUCKETS = 64
+#: Feature entries that a bucket holds, about: one task sorts them.
+BUCKET_ENTRIES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -40,6 +43,12 @@ class StoredView:
         return read_buckets(spark, self.folder, [self.key, "_bucket"])
 
 
+def buckets_for(rows: int, views: list[FeatureView], least: int = 8, bucket_seconds: int = BUCKET_SECONDS) -> int:
+    """One number of buckets for ``views`` of at most ``rows`` feature rows each, so a bucket stays the same size as they grow."""
+    copies = max(v.ttl_seconds / bucket_seconds + 1 for v in views)
+    return max(least, math.ceil(rows * copies / BUCKET_ENTRIES))
+
+
 def store_view(view: FeatureView, path: str, buckets: int = BUCKETS, bucket_seconds: int = BUCKET_SECONDS) -> StoredView:
     """Stores ``view`` at ``path`` (new).  Of feature rows with one key and time the one created last stays; rows without key
     or time match nothing and are left out.  Take ``buckets`` by size, some 256 MB a bucket."""
@@ -52,7 +61,7 @@ def store_view(view: FeatureView, path: str, buckets: int = BUCKETS, bucket_seco
     sec = epoch_seconds(view.ts_col)
     own, reach = F.floor(sec / bucket_seconds), F.floor((sec + view.ttl_seconds) / bucket_seconds)
     entry = F.struct(F.col(view.ts_col).alias("_fts"), *view.fields)
-    spread = rows.select(key, entry.alias("f"), F.explode(F.sequence(own, reach)).alias("_bucket"))
+    spread = rows.select(key, entry.alias("f"), F.explode(F.sequence(own, reach)).alias("_bucket")).repartition(buckets, key, "_bucket")
     write_buckets(spread.groupBy(key, "_bucket").agg(F.array_sort(F.collect_list("f")).alias("feats")),
                   stored.folder, [key, "_bucket"], buckets)
     return stored

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from payrisk.operators.pit import FeatureView, point_in_time_join
-from payrisk.operators.stored import StoredView, join_stored, store_view
+from payrisk.operators.stored import StoredView, buckets_for, join_stored, store_view
+from payrisk.plans import registry
 from payrisk.plans.features import velocity_views
 from payrisk.sources import fixtures
 from payrisk.sources.bucketed import _name, read_buckets, write_buckets
@@ -98,3 +99,19 @@ def test_published_online_table(spark, tmp_dir):
     card = table.first()["card_id"]
     assert [r["card_id"] for r in online.read_card(spark, f"{tmp_dir}/pub", card).collect()] == [card]
     assert online.read_card(spark, f"{tmp_dir}/pub", "nobody").count() == 0
+
+
+def test_buckets_grow_with_the_rows(spark, tmp_dir):
+    views = velocity_views(fixtures.payments(spark, "/root/testdata/sf0.001"))
+    few, many = (buckets_for(n, views) for n in (1000, 36_000_000))
+    assert few == 8 and 36_000_000 * 5 / many <= 1_000_000
+    one, several = (join_stored(views[0].df.select("card_id", "event_timestamp"), [store_view(v, f"{tmp_dir}/{n}/{v.name}", n) for v in views]) for n in (8, 19))
+    assert _rows(one) == _rows(several)
+
+
+def test_the_query_takes_buckets_by_rows(spark, monkeypatch):
+    taken, store = [], registry.stored.store_view
+    monkeypatch.setattr(registry.stored, "store_view", lambda v, path, buckets: taken.append(buckets) or store(v, path, buckets))
+    monkeypatch.setattr(registry.stored, "BUCKET_ENTRIES", 300)
+    rows = registry.QUERIES["pit_1m_5m_stored"](spark, "/root/testdata/sf0.001").count()
+    assert rows == fixtures.payments(spark, "/root/testdata/sf0.001").count() and taken[0] == taken[1] == -(-rows * 5 // 300)
