@@ -5,10 +5,11 @@ end → point-in-time join of both feature views → missing features 0 →
 feature vector in the fixed order.  Split: deterministic stratified 80/20.
 Positive rows are weighted by neg/pos of the training split.  ``booster`` names the model:
 ``hist`` is :mod:`payrisk.operators.boosting` (second order, L2 on leaves, Hessian child weight: every parameter
-of the reference's booster has its own meaning); ``gbt`` is Spark ML's gradient-boosted trees with trees → maxIter, depth →
+of the reference's booster has its own meaning); ``gbt`` is the first-order form there, which fits the trees of Spark ML's
+``GBTClassifier`` (log loss, variance impurity) on blocks of rows; ``ml`` is that estimator itself, with trees → maxIter, depth →
 maxDepth, learning rate → stepSize, row subsample → subsamplingRate, column subsample →
-featureSubsetStrategy, histogram bins → maxBins, min-child-weight → minInstancesPerNode
-(rows instead of their weight; no L2).  Scores will not equal the reference's booster (other row and column draws).
+featureSubsetStrategy, histogram bins → maxBins, min-child-weight → minInstancesPerNode.  Both count
+rows instead of their weight and have no L2.  Scores will not equal the reference's booster (other row and column draws).
 """
 
 from __future__ import annotations
@@ -80,14 +81,15 @@ def build_estimator(params: TrainParams) -> Pipeline:
 
 def fit(train_df: DataFrame, params: TrainParams) -> PipelineModel | BoostedTrees:
     """ML-2: the model that ``params.booster`` names, fitted on the weighted training split."""
-    if params.booster == "gbt":
+    if params.booster == "ml":
         return build_estimator(params).fit(train_df)
-    if params.booster != "hist":
+    if params.booster not in ("gbt", "hist"):
         raise ValueError(f"unknown booster {params.booster}")
     return fit_boosted(train_df, S.FEATURE_ORDER, "is_fraud", "weight", n_estimators=params.n_estimators, max_depth=params.max_depth,
                        learning_rate=params.learning_rate, reg_lambda=params.reg_lambda, min_child_weight=params.min_child_weight,
                        max_bins=params.max_bins, subsample=params.subsample, colsample=params.colsample_bytree,
-                       row_key="event_id", seed=params.seed)
+                       row_key="event_id", seed=params.seed, first_order=params.booster == "gbt",
+                       min_child_rows=max(1, round(params.min_child_weight)))
 
 
 def train(payments: DataFrame, params: TrainParams = TrainParams()) -> tuple[PipelineModel | BoostedTrees, DataFrame]:
