@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from array import array
 from collections.abc import Callable, Iterator
 
@@ -32,6 +33,12 @@ TERMS = 1 << 18
 K1, B = 1.2, 0.75
 #: None: all terms of a seed vote, no query is cut.
 QUERY_TERMS = None
+#: Characters in a part, on average, from which a text is cut at :data:`PARTS`: each part is a call.
+PART_CHARS = 100
+#: Terms in at least one of so many of a shard's documents are scored by a matrix product, for so many seeds at once.
+COMMON, SEEDS = 8, 32
+#: Weights are multiples of it, so a shard's scores (below 2^27) are exact sums, equal in any order.
+GRAIN = 2.0**-26
 SHARD_DOCS, SHARD_IDS = 2_048, 1_500_000
 TASK_IDS = 3_000_000
 #: Counts that a task holds before it sums those of equal pairs.
@@ -42,6 +49,10 @@ SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
                     ("sequence_id", pa.int64()), ("offset", pa.int64())])
 #: Fixed value: how byte-level BPE files split a text before merging (possessive, so nothing is tried twice).
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+#: The same for a text cut at :data:`PARTS`; without look-ahead it runs as an automaton.
+PART_SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
+#: Before the last of several spaces that precede a word.  Spaces are Unicode's; Python's ``\s`` also has U+001C to U+001F.
+PARTS = re.compile(r"(?<=[^\S\x1c-\x1f])(?=[^\S\x1c-\x1f][\S\x1c-\x1f])")
 
 
 def byte_ranks(spec: dict) -> dict[bytes, int] | None:
@@ -79,16 +90,20 @@ class FileTokenizer:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        self.fast = None
+        self.fast = self.of_part = None
         if (ranks := byte_ranks(spec)) is not None:
             import tiktoken
 
-            self.fast = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            self.fast, self.of_part = (tiktoken.Encoding("file", pat_str=split, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+                                       for split in (SPLIT, PART_SPLIT))
 
     def ids(self, text: str) -> list[int]:
         if self.fast is None or any(s in text for s in self.special):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
-        return self.fast(text)
+        parts = PARTS.split(text)
+        if len(parts) == 1:
+            return self.of_part(text)
+        return self.fast(text) if len(text) < PART_CHARS * len(parts) else [x for part in parts for x in self.of_part(part)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.frombuffer(array(self.kind, self.ids(t)), self.kind) for t in texts]
@@ -202,8 +217,17 @@ def unpacked(blob: bytes, n: int) -> np.ndarray:
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, and the sums of their counts."""
-    key, at = np.unique(np.concatenate(keys), return_inverse=True)
-    return key, np.bincount(at, weights=np.concatenate(counts), minlength=len(key)).astype(np.int64)
+    key, n = np.concatenate(keys), np.concatenate(counts)
+    if len(key) and not (key & np.uint64(0xFFFF0000FFFF0000)).any() and int(n.max()) < 1 << 32:
+        # a key and its count share one integer, so a plain sort does
+        both = (key >> np.uint64(16) | key & np.uint64(0xFFFF)) << np.uint64(32) | n.astype(np.uint64)
+        both.sort()
+        key, n = both >> np.uint64(32), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        first = starts(key)
+        key = key[first]
+        return key >> np.uint64(16) << np.uint64(32) | key & np.uint64(0xFFFF), np.add.reduceat(n, first)
+    key, at = np.unique(key, return_inverse=True)
+    return key, np.bincount(at, weights=n, minlength=len(key)).astype(np.int64)
 
 
 def term_weights(ordered: DataFrame, docs: int, total: int) -> DataFrame:
@@ -246,18 +270,24 @@ def term_weights(ordered: DataFrame, docs: int, total: int) -> DataFrame:
             yield out()
 
     def weigh(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("task")
         keys = [unpacked(x, len(n) // 4) for x, n in zip(rows["keys"].to_pylist(), rows["counts"].to_pylist())]
-        counts = np.concatenate([np.frombuffer(x, "<u4") for x in rows["counts"].to_pylist()])
-        key, at = np.unique(np.concatenate(keys), return_inverse=True)
-        df = np.bincount(at, weights=counts)
+        counts = np.frombuffer(b"".join(rows["counts"].to_pylist()), "<u4")
+        flat, tasks = np.concatenate(keys), rows["task"].to_numpy()
+        key, df = _summed([flat], [counts])
         idf = np.log1p((docs - df + 0.5) / (df + 0.5))
-        tasks, rank = np.unique(rows["task"].to_numpy(), return_inverse=True)
-        both, place = np.unique(np.repeat(rank, [len(x) for x in keys]) * len(key) + at, return_inverse=True)
-        both = both[np.bincount(place, weights=counts) > 1]
-        edges = np.searchsorted(both, np.arange(len(tasks) + 1) * len(key))
-        cuts = [both[a:b] % len(key) for a, b in zip(edges[:-1], edges[1:])]
-        return pa.table({"task": pa.array(tasks, pa.int64()), "keys": pa.array([key[c].tobytes() for c in cuts], pa.binary()),
-                         "idf": pa.array([idf[c].astype("<f8").tobytes() for c in cuts], pa.binary())})
+        edges = np.concatenate([[0], np.cumsum([len(x) for x in keys])])
+        if (tasks[1:] == tasks[:-1]).any():  # a task was read in parts
+            tasks, rank = np.unique(tasks, return_inverse=True)
+            both, place = np.unique(np.repeat(rank, np.diff(edges)) * len(key) + np.searchsorted(key, flat), return_inverse=True)
+            flat, counts = key[both % len(key)], np.bincount(place, weights=counts)
+            edges = np.searchsorted(both, np.arange(len(tasks) + 1) * len(key))
+        kept = counts > 1
+        edges, flat = np.concatenate([[0], np.cumsum(kept)])[edges], flat[kept]
+        weight = idf[np.searchsorted(key, flat)].astype("<f8")
+        cuts = [slice(a, b) for a, b in zip(edges[:-1], edges[1:])]
+        return pa.table({"task": pa.array(tasks, pa.int64()), "keys": pa.array([flat[c].tobytes() for c in cuts], pa.binary()),
+                         "idf": pa.array([weight[c].tobytes() for c in cuts], pa.binary())})
 
     rows = ordered.select("task", "n", "ids").mapInArrow(count, "bucket long, task long, keys binary, counts binary")
     return rows.groupBy("bucket").applyInArrow(weigh, "task long, keys binary, idf binary")
@@ -298,22 +328,34 @@ class Shard:
         both = np.repeat(run > 1, run)  # a term that no other document of the shard has finds none
         term, self.doc, tf = term[both], doc[both], tf[both]
         norm = K1 * (1 - B + B * (n - 1) / max(mean, 1e-9))
-        self.weight = idf[term] * tf * (K1 + 1) / (tf + norm[self.doc])
-        self.start, self.size = starts(term), run[run > 1]
-        # each document's query: all its terms that another document of the shard has too
+        weight = np.ceil(idf[term] * tf * (K1 + 1) / (tf + norm[self.doc]) / GRAIN) * GRAIN
+        size = run[run > 1]
+        common = size * COMMON >= len(ids)
+        dense = np.repeat(common, size)
+        # common terms: a matrix (term, document); it is zero where the document has no such pair
+        self.gives = np.zeros((int(common.sum()), len(ids)))
+        self.gives[np.repeat(np.arange(len(self.gives)), size[common]), self.doc[dense]] = weight[dense]
+        self.asks, self.ahead = np.ascontiguousarray(self.gives.T > 0), {}
+        self.doc, self.weight, self.size = self.doc[~dense], weight[~dense], size[~common]
+        self.start = np.cumsum(self.size) - self.size
+        # each document's query: all its other terms that another document of the shard has too
         place = np.repeat(np.arange(len(self.size)), self.size)
         order = self.doc.astype(np.uint16) if len(ids) <= 1 << 16 else self.doc  # small numbers are sorted by counting
         place = place[np.argsort(order, kind="stable")]
         edges = np.concatenate([[0], np.cumsum(np.bincount(self.doc, minlength=len(ids)))])
-        self.query = [place[a:b][:QUERY_TERMS] for a, b in zip(edges[:-1], edges[1:])]
-
-    def scores(self, k: int) -> np.ndarray:
-        """BM25 of all documents for document k's query."""
+        self.query = [place[a:b] for a, b in zip(edges[:-1], edges[1:])]
+
+    def scores(self, k: int, free: np.ndarray | None = None) -> np.ndarray:
+        """BM25 of all documents for document k's query; ``free`` marks documents that may be asked for next."""
+        if k not in self.ahead:
+            seeds = [k] if free is None else [k, *(k + 1 + np.flatnonzero(free[k + 1 :])[: SEEDS - 1])]
+            self.ahead = dict(zip(seeds, self.asks[seeds].astype(float) @ self.gives))
+        common = self.ahead[k]
         if not len(self.query[k]):
-            return np.zeros(len(self.query))
+            return common
         start, n = self.start[self.query[k]], self.size[self.query[k]]
         at = np.arange(int(n.sum())) + np.repeat(start - np.cumsum(n) + n, n)
-        return np.bincount(self.doc[at], weights=self.weight[at], minlength=len(self.query))
+        return common + np.bincount(self.doc[at], weights=self.weight[at], minlength=len(self.query))
 
 
 class Packer:
@@ -340,7 +382,7 @@ class Packer:
             free[seed] = False
             pieces += self.place(seed, len(ids[seed]))
             if self.used < self.window:
-                scores, sequence = np.where(free, shard.scores(seed), 0.0), self.sequence
+                scores, sequence = np.where(free, shard.scores(seed, free), 0.0), self.sequence
                 while self.sequence == sequence and self.used < self.window and scores[best := int(scores.argmax())] > 0:
                     free[best], scores[best] = False, 0.0
                     pieces += self.place(best, len(ids[best]))

@@ -140,3 +140,67 @@ def test_split_equals_the_tokenizer_on_spaces():
     words = packing.tokenizer(packing.default_tokenizer())
     for text in ("", " ", "  a", "a  ", "a \n\n b", "\n\n", "a\t", "it's 'S we'll\u00a0\u00a0x", "1 2  3\r\n", "..  !!\u3000\u3000", "\u0600\u0661 \u00e9"):
         assert words.ids(text) == words.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+SPACES = [chr(c) for c in (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+
+
+def test_texts_cut_at_runs_of_spaces_give_the_same_ids():
+    """A text is cut where the automaton would take a run of spaces as one; U+001C to U+001F and U+200B are no spaces."""
+    words = packing.tokenizer(packing.default_tokenizer())
+    assert words.of_part is not None
+    plain = "it's 12 naïve, words "
+    for s in (*SPACES, "\x1c", "\x1f", "​"):
+        for run in (s, s + s, " " + s, s + " ", "\n" + s + "\n", s * 5 + " "):
+            for text in (f"a{run}b", f"{run}'s{run}1{run}", f"{plain * 30}{run}b. {plain * 30}{run}"):
+                assert words.ids(text) == words.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    long = f"{plain * 30}\n\n  b" * 3
+    parts = packing.PARTS.split(long)
+    assert len(parts) > 1 and "".join(parts) == long and len(long) >= packing.PART_CHARS * len(parts)
+
+
+def test_common_terms_are_scored_by_the_matrix():
+    """Lists of terms in many documents are not walked for each seed; all scores follow the formula and are exact, so copies tie."""
+    rng = np.random.default_rng(3)
+    ids = [np.concatenate([rng.integers(0, 8, 60), rng.integers(100, 130, 40)]).astype("<u2") for _ in range(90)]
+    ids = [*ids, np.array([7], "<u2"), *(x.copy() for x in ids[:30])]
+    doc, pair = packing.pair_keys(np.concatenate(ids), np.array([len(x) for x in ids]))
+    keys = np.unique(pair)
+    idf, n = rng.uniform(0.1, 3, len(keys)), np.array([len(x) for x in ids])
+    shard = packing.Shard(ids, idf, 80.0, packing.Vocabulary(keys))
+    assert len(shard.gives) and len(shard.size) and shard.size.max() * packing.COMMON < len(ids)
+    tf = np.zeros((len(ids), len(keys)))
+    np.add.at(tf, (doc, np.searchsorted(keys, pair)), 1)
+    norm = packing.K1 * (1 - packing.B + packing.B * (n - 1) / 80.0)
+    gives = idf * tf * (packing.K1 + 1) / (tf + norm[:, None])
+    shared = (tf > 0).sum(0) > 1
+    free = rng.random(len(ids)) < 0.7
+    for k in range(len(ids)):
+        got = shard.scores(k, free)
+        assert got == pytest.approx(gives[:, shared & (tf[k] > 0)].sum(1))
+        assert (got[:30] == got[91:]).all() and (got == packing.Shard.scores(shard, k)).all()
+        assert (got / packing.GRAIN == np.rint(got / packing.GRAIN)).all()
+
+
+@pytest.mark.parametrize("top", [1 << 16, 1 << 20])
+def test_sums_and_weights_of_tasks_read_in_parts(spark, top):
+    rng = np.random.default_rng(top)
+    key = (rng.integers(top - 5, top, 300) << 32 | rng.integers(0, 5, 300)).astype(np.uint64)
+    count = rng.integers(1, 1 << 20, 300).astype(np.uint32)
+    plain = Counter()
+    for k, c in zip(key.tolist(), count.tolist()):
+        plain[k] += c
+    got = packing._summed([key[:100], key[100:]], [count[:100], count[100:]])
+    assert list(zip(got[0].tolist(), got[1].tolist())) == sorted(plain.items())
+    kind = "<u2" if top == 1 << 16 else "<u4"
+    texts = [(int(t), rng.integers(top - 6, top, 9).astype(kind)) for t in rng.integers(0, 3, 40)]
+    own, all_docs = Counter(), Counter()
+    for t, x in texts:
+        for k in {int(a) << 32 | int(b) for a, b in zip(x[:-1], x[1:])}:
+            own[t, k] += 1
+            all_docs[k] += 1
+    rows = spark.createDataFrame([(t, len(x), x.tobytes()) for t, x in texts], "task long, n long, ids binary").repartition(4)
+    got = {}
+    for r in packing.term_weights(rows, len(texts), 360).collect():
+        got |= {(r["task"], k): w for k, w in zip(np.frombuffer(r["keys"], "<u8").tolist(), np.frombuffer(r["idf"], "<f8").tolist())}
+    assert got == {(t, k): pytest.approx(np.log1p((40 - all_docs[k] + 0.5) / (all_docs[k] + 0.5))) for (t, k), c in own.items() if c > 1}
