@@ -32,14 +32,13 @@ def fill_event_id(df: DataFrame, event_id: str = "event_id", basis: list[str] |
     """PRJ-18: a missing/empty event id is replaced by a deterministic id (sha2 of
     the row's other fields), so a retried batch gets the same id; flag kept in
     ``event_id_missing``.  With ``number_equal``, rows equal in all these fields get an id each
-    (numbered among themselves; only rows without an id share a group)."""
+    (numbered among themselves; rows with an id are neither moved nor sorted, so ``df`` is read twice)."""
     basis = basis or [c for c in df.columns if c != event_id]
     raw = F.to_json(F.struct(*[F.col(c) for c in basis]))
     missing = F.col(event_id).isNull() | (F.col(event_id) == "")
     if number_equal:
-        group = F.coalesce(F.when(missing, raw), F.concat(F.lit("id:"), F.col(event_id)))
-        nth = F.row_number().over(Window.partitionBy(group).orderBy(F.lit(0)))
-        df = df.withColumn("_nth", nth)
+        nth = F.row_number().over(Window.partitionBy(raw).orderBy(F.lit(0)))
+        df = df.where(missing).withColumn("_nth", nth).unionByName(df.where(~missing).withColumn("_nth", F.lit(1)))
         raw = F.when(F.col("_nth") == 1, raw).otherwise(F.concat(raw, F.lit("#"), F.col("_nth")))
         return fill_with(df, event_id, missing, raw).drop("_nth")
     return fill_with(df, event_id, missing, raw)
